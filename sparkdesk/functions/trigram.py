@@ -4,17 +4,17 @@ A trigram set follows the documented trigram rules: lower-case, split on
 non-alphanumerics, pad each word with two leading blanks and one trailing blank, take
 every 3-character substring. ``similarity`` is shared / union of the distinct sets.
 ``word_similarity(a, b)`` is the best similarity between the set of ``a`` and the set of
-any contiguous run of ``b``'s ordered (non-deduplicated) trigrams. The run search is the
-only part that is not a plain column expression: an Arrow-batched pandas UDF that
-receives both trigram arrays already computed by the JVM.
+any contiguous run of ``b``'s ordered (non-deduplicated) trigrams. The run search is
+written with array functions for identifier-sized text and as an Arrow-batched pandas UDF
+(one linear pass per start) for long text.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 WORD_SPLIT = r"[^\p{L}\p{N}]+"
 
@@ -83,15 +83,57 @@ def best_extent_similarity(term_set, target_list) -> float:
     return best
 
 
-@F.pandas_udf(DoubleType())
-def _word_similarity_udf(term_sets: pd.Series, target_lists: pd.Series) -> pd.Series:
+def _word_similarity_batch(term_sets: pd.Series, target_lists: pd.Series) -> pd.Series:
     return pd.Series([best_extent_similarity(a, b) for a, b in zip(term_sets, target_lists)], dtype="float64")
 
 
+# Arrow-batched form for long targets (many trigrams): one linear pass per start.
+word_similarity_long = F.pandas_udf(_word_similarity_batch, DoubleType())
+
+
+def word_similarity_arrays(a_set: Column, t_list: Column) -> Column:
+    """Native form: every run that starts and ends on a trigram of A is scored with array
+    functions (JVM-side). Cost grows with (matching positions)^2 x length, so it suits
+    identifier-sized text; ``word_similarity_long`` is the linear-pass form for long text."""
+    n_a = F.size(a_set)
+    n = F.size(t_list)
+    hit = lambda i: F.array_contains(a_set, F.element_at(t_list, i))
+
+    def run_score(i, j):
+        run = F.array_distinct(F.slice(t_list, i, j - i + 1))
+        sh = F.size(F.array_intersect(a_set, run))
+        return sh / (n_a + F.size(run) - sh)
+
+    per_start = lambda i: F.array_max(F.transform(F.filter(F.sequence(i, n), hit),
+                                                  lambda j: run_score(i, j)))
+    best = F.aggregate(F.filter(F.sequence(F.lit(1), n), hit), F.lit(0.0).cast("double"),
+                       lambda acc, i: F.greatest(acc, per_start(i)))
+    return F.when((n_a > 0) & (n > 0), best).otherwise(F.lit(0.0))
+
+
 def word_similarity(a, b) -> Column:
-    """Asymmetric, term first."""
-    return _word_similarity_udf(trigram_set(a), trigram_list(b))
+    """Asymmetric, term first. For use over many rows prefer ``with_word_similarity``, which
+    computes both trigram arrays once per row instead of inside the run search."""
+    return word_similarity_arrays(trigram_set(a), trigram_list(b))
+
+
+def with_word_similarity(df: DataFrame, a, b, out: str) -> DataFrame:
+    """Adds ``out`` = word_similarity(a, b): the JVM builds both trigram arrays, then one
+    ``mapInPandas`` pass runs the linear run search over Arrow batches."""
+    tmp_a, tmp_b = f"__{out}_a", f"__{out}_b"
+    staged = df.select("*", trigram_set(a).alias(tmp_a), trigram_list(b).alias(tmp_b))
+    return add_run_similarity(staged, [(tmp_a, tmp_b, out)]).drop(tmp_a, tmp_b)
+
+
+def add_run_similarity(df: DataFrame, specs: list) -> DataFrame:
+    """For each (set column, list column, out) adds ``out`` = best run similarity, per row."""
+    outs = [o for _, _, o in specs]
+    schema = StructType(list(df.schema.fields) + [StructField(o, DoubleType()) for o in outs])
 
+    def run(batches):
+        for pdf in batches:
+            for a, b, o in specs:
+                pdf[o] = [best_extent_similarity(x, y) for x, y in zip(pdf[a], pdf[b])]
+            yield pdf
 
-def word_similarity_arrays(term_set: Column, target_list: Column) -> Column:
-    return _word_similarity_udf(term_set, target_list)
+    return df.mapInPandas(run, schema)

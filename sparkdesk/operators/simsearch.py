@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from ..functions.text import score_text
-from ..functions.trigram import similarity_from_counts, trigram_list, trigram_set, word_similarity_arrays
+from ..functions.trigram import add_run_similarity, similarity_from_counts, trigram_list, trigram_set
 from ..session import fits
 
 # Defaults of a request.
@@ -77,12 +77,15 @@ def normalise_items(items: DataFrame) -> DataFrame:
 
 def similarity_search(entity: DataFrame, id_col: str, columns: list, items: DataFrame,
                       min_pct: float = DEFAULT_MIN_PCT, k: int = DEFAULT_K,
-                      use_word_similarity: bool = True, label: Column | None = None) -> DataFrame:
+                      use_word_similarity: bool = True, label: Column | None = None,
+                      fold_upper: bool = True) -> DataFrame:
     """Top-k entity rows per item. ``columns`` are identifier column names or Columns; when it
     is empty, ``label`` is scored instead (B12). ``items(item_index, term)``.
 
-    Output: item_index, item, term, id, name, score (4 decimals), similarity_percent.
+    Output: item_index, item, term, id, name, score (4 decimals), similarity_percent, rank.
+    ``fold_upper`` upper-cases both sides first, as the entity search does.
     """
+    up = F.upper if fold_upper else (lambda c: F.col(c) if isinstance(c, str) else c)
     if not columns:
         if label is None:
             raise ValueError("no identifier column and no label")
@@ -92,15 +95,15 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
     name_expr = label if label is not None else F.concat_ws(" - ", *cols)
 
     it = normalise_items(items.select("item_index", "term"))
-    it = it.select("item_index", "term", trigram_set(F.upper("term")).alias("a_set"))
+    it = it.select("item_index", "term", trigram_set(up("term")).alias("a_set"))
     it = it.select("item_index", "term", F.size("a_set").alias("n_a"), F.explode("a_set").alias("trg"))
     it_side = F.broadcast(it) if fits(it, ITEM_BROADCAST_ROWS) else it
 
     ent = entity.select(F.col(id_col).alias("id"), *[c.alias(f"t{i}") for i, c in enumerate(cols)],
                         name_expr.alias("name"))
     per_col = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("col_no"), F.size(trigram_set(F.upper(f"t{i}"))).alias("n_b"),
-                 trigram_set(F.upper(f"t{i}")).alias("b_set"))
+        F.struct(F.lit(i).alias("col_no"), F.size(trigram_set(up(f"t{i}"))).alias("n_b"),
+                 trigram_set(up(f"t{i}")).alias("b_set"))
         for i in range(n_cols)])).alias("pc")
     ent_trg = (ent.select("id", "name", *[f"t{i}" for i in range(n_cols)], per_col)
                .select("id", "name", *[f"t{i}" for i in range(n_cols)], "pc.col_no", "pc.n_b",
@@ -117,15 +120,16 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
     best_shared = F.greatest(*[F.col(f"s{i}") for i in range(n_cols)]) if n_cols > 1 else F.col("s0")
     cand = cand.filter(best_shared * 100.0 > F.lit(float(min_pct)) * F.col("n_a"))
 
+    if use_word_similarity:
+        # word similarity as plain top-level columns of their own projection
+        # arrays first, as columns, so the run search reads them instead of recomputing them
+        cand = cand.select("*", trigram_set(up("term")).alias("a_set"),
+                           *[trigram_list(up(f"t{i}")).alias(f"l{i}") for i in range(n_cols)])
+        cand = add_run_similarity(cand, [("a_set", f"l{i}", f"w{i}") for i in range(n_cols)])
     scores = []
     for i in range(n_cols):
         sim = similarity_from_counts(F.col(f"s{i}"), F.col("n_a"), F.coalesce(F.col(f"nb{i}"), F.lit(0)))
-        if use_word_similarity:
-            wsim = F.when(F.col(f"s{i}") > 0, word_similarity_arrays(
-                trigram_set(F.upper("term")), trigram_list(F.upper(f"t{i}")))).otherwise(F.lit(0.0))
-            scores.append(F.greatest(sim, wsim) * 100.0)
-        else:
-            scores.append(sim * 100.0)
+        scores.append((F.greatest(sim, F.col(f"w{i}")) if use_word_similarity else sim) * 100.0)
     score = F.greatest(*scores) if len(scores) > 1 else scores[0]
     scored = cand.select("item_index", "term", "id", "name", score.alias("raw_score"))
     scored = scored.filter(F.col("raw_score") > F.lit(float(min_pct)))
