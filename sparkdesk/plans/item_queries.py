@@ -1 +1,109 @@
-"""Registered queries."""
+"""Registered queries for tabular work items and task tables (family C)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import workitems
+from ..session import fresh_shared_path, table
+from ..sources.tabular import read_text_csv, read_workbooks, sheet_range
+from . import staging
+from .registry import query
+
+_CUST_JSON = ("{'c_custkey': CAST(c_custkey AS VARCHAR), 'c_name': c_name, 'c_nationkey': CAST(c_nationkey AS VARCHAR),"
+              " 'c_acctbal': CAST(c_acctbal AS VARCHAR), 'c_mktsegment': c_mktsegment}")
+
+
+@query("row_items", f"SELECT to_json({_CUST_JSON}) AS item FROM customer")
+def row_items(spark, sf_dir):
+    """C3 + C5: customer written as CSV, read back with every cell as text, one item per row."""
+    df = read_text_csv(spark, staging.customer_csv(spark, sf_dir))
+    return workitems.row_items(df)
+
+
+GROUP_MAX_ROWS = 1000
+
+
+@query("group_items", f"""
+SELECT c_mktsegment, CAST(floor(c_custkey / {GROUP_MAX_ROWS}) AS BIGINT) AS chunk, count(*) AS n_rows,
+       min(c_custkey) AS first_row, to_json(list({_CUST_JSON} ORDER BY c_custkey)) AS item
+FROM customer GROUP BY ALL
+""")
+def group_items(spark, sf_dir):
+    """Rows grouped by segment, cells as text, whole rows in key order, bounded chunks."""
+    cust = table(spark, sf_dir, "customer")
+    keys = workitems.normalise_group_keys(" c_mktsegment , ")
+    return workitems.group_items(cust.withColumn("row_no", F.col("c_custkey")), keys, "row_no",
+                                 max_rows=GROUP_MAX_ROWS)
+
+
+QUESTION = "Review this customer record"
+AGENT = "AGENT0001"
+CONVERSATION = "CONV0001"
+
+
+@query("task_table", f"""
+SELECT c_custkey AS item_no, '{workitems.TASK_TYPE_DEFAULT}' AS taskType, '{workitems.TASK_STATUS_DEFAULT}' AS status,
+       '{QUESTION}:' || to_json({_CUST_JSON}) AS etcopQuestion, '{AGENT}' AS eTCOPAgent,
+       '{CONVERSATION}' AS etcopGroup
+FROM customer
+""")
+def task_table(spark, sf_dir):
+    """C11 + C13: one task per CSV row with default type/status and the conversation as group;
+    written by the bulk sink and read back."""
+    items = workitems.row_items(read_text_csv(spark, staging.customer_csv(spark, sf_dir))
+                                .withColumn("item_no", F.col("c_custkey").cast("bigint")), ordinal="item_no")
+    tasks = workitems.task_table(items, QUESTION, AGENT, task_type="", status=None, group_id="",
+                                 conversation_id=CONVERSATION, ordinal="item_no")
+    path = fresh_shared_path(spark, "tasks")
+    workitems.write_tasks(tasks, path)
+    back = spark.read.parquet(path)
+    return back.select("item_no", "taskType", "status", "etcopQuestion", "eTCOPAgent", "etcopGroup")
+
+
+_DIM = [("TT-001", "view"), ("TT-002", "click")]
+
+
+@query("get_or_create", """
+WITH dim(id, name) AS (VALUES """ + ", ".join(f"('{i}', '{n}')" for i, n in _DIM) + """),
+names AS (SELECT DISTINCT event_type AS name FROM events)
+SELECT n.name, coalesce(d.id, upper('NEW-' || n.name)) AS id, d.id IS NULL AS created
+FROM names n LEFT JOIN (SELECT name, min(id) AS id FROM dim GROUP BY name) d ON n.name = d.name
+""")
+def get_or_create(spark, sf_dir):
+    """Event types looked up in a two-row type dimension; the others get new ids."""
+    dim = spark.createDataFrame(_DIM, "id string, name string")
+    return workitems.get_or_create(table(spark, sf_dir, "events"), dim, name_col="event_type")
+
+
+@query("page_of_list", """
+SELECT * FROM customer WHERE c_mktsegment = 'BUILDING' ORDER BY c_custkey LIMIT 10 OFFSET 5
+""")
+def page_of_list(spark, sf_dir):
+    """C14: rows 5..14 of the customers named by a filter, in key order."""
+    return workitems.page_of_list(table(spark, sf_dir, "customer"), "c_mktsegment", "BUILDING", 5, 15, "c_custkey")
+
+
+SHEET_RANGE = "A1:D400"
+
+
+@query("sheet_range", f"""
+WITH t AS (
+  SELECT c_mktsegment AS seg, CAST(floor(c_custkey / {staging.WORKBOOK_ROWS}) AS BIGINT) AS block,
+         row_number() OVER (PARTITION BY c_mktsegment, floor(c_custkey / {staging.WORKBOOK_ROWS})
+                            ORDER BY c_custkey) + 1 AS row_no,
+         concat_ws(', ', CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR),
+                   CAST(c_acctbal AS VARCHAR)) AS line
+  FROM customer),
+h AS (SELECT DISTINCT seg, block, CAST(1 AS BIGINT) AS row_no, 'c_custkey, c_name, c_nationkey, c_acctbal' AS line
+      FROM t)
+SELECT seg || '_' || CAST(block AS VARCHAR) || '.xlsx' AS book, seg AS sheet, row_no, line
+FROM (SELECT seg, block, row_no, line FROM t UNION ALL SELECT seg, block, row_no, line FROM h)
+WHERE row_no <= 400
+""")
+def sheet_range_q(spark, sf_dir):
+    """C4 + C15: workbooks written from customer, read back sheet by sheet, range A1:D400."""
+    rows = read_workbooks(spark, staging.customer_workbooks(spark, sf_dir))
+    rng = sheet_range(rows, SHEET_RANGE)
+    return rng.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("book"), "sheet",
+                      F.col("row_no").cast("bigint").alias("row_no"), "line")
