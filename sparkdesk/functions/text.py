@@ -33,7 +33,8 @@ def url_file_name(url, is_text: Column | None = None) -> Column:
     name = F.when(base == "", F.lit("downloaded_file")).otherwise(base)
     if is_text is None:
         return name
-    has_ext = F.regexp_extract(name, r"[^.](\.[^.]*)$", 1) != ""
+    # an extension as os.path.splitext sees it: a last dot-part after a non-dot character
+    has_ext = name.rlike(r"^\.*[^.].*\.[^.]*$")
     return F.when(is_text & ~has_ext, F.concat(name, F.lit(".txt"))).otherwise(name)
 
 

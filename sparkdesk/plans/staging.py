@@ -36,7 +36,7 @@ def _done(path: str) -> bool:
 
 def _mark(path: str) -> None:
     fs, inner = _fs(path.rstrip("/") + "/_DONE")
-    with fs.open_output_stream(inner) as fh:
+    with fs.open_output_stream(inner, compression=None) as fh:
         fh.write(b"ok")
 
 

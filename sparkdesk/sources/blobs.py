@@ -30,7 +30,7 @@ def write_blobs(df: DataFrame, path_col: str = "path", content_col: str = "conte
                 parent = inner.rsplit("/", 1)[0]
                 fs.create_dir(parent, recursive=True)
                 data = bytes(content)
-                with fs.open_output_stream(inner) as fh:
+                with fs.open_output_stream(inner, compression=None) as fh:
                     fh.write(data)
                 out.append((p, len(data)))
             yield pd.DataFrame(out, columns=["path", "size"])
@@ -40,6 +40,6 @@ def write_blobs(df: DataFrame, path_col: str = "path", content_col: str = "conte
 
 def read_first_line(path: str) -> str:
     fs, inner = _fs(path)
-    with fs.open_input_stream(inner) as fh:
+    with fs.open_input_stream(inner, compression=None) as fh:
         head = fh.read(1 << 16)
     return head.split(b"\n", 1)[0].decode("utf-8").rstrip("\r")
