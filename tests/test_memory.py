@@ -31,8 +31,8 @@ def test_status_and_state(spark):
 def test_order_of_input_does_not_matter(spark):
     rows = LOG[:]
     random.Random(1).shuffle(rows)
-    a = sorted(tuple(r) for r in memory.fold_status(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect())
-    b = sorted(tuple(r) for r in memory.fold_status(spark.createDataFrame(LOG, SCHEMA)).collect())
+    a = sorted(repr(tuple(r)) for r in memory.fold_status(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect())
+    b = sorted(repr(tuple(r)) for r in memory.fold_status(spark.createDataFrame(LOG, SCHEMA)).collect())
     assert a == b
 
 
