@@ -137,3 +137,37 @@ def add_run_similarity(df: DataFrame, specs: list) -> DataFrame:
             yield pdf
 
     return df.mapInPandas(run, schema)
+
+
+def py_trigram_list(text, fold_upper: bool = False) -> list:
+    """The same rules in Python, for Arrow batches (identical to ``trigram_list``)."""
+    import regex
+
+    if text is None:
+        return []
+    t = text.upper().lower() if fold_upper else text.lower()
+    out = []
+    for w in regex.split(r"[^\p{L}\p{N}]+", t):
+        if w:
+            p = "  " + w + " "
+            out.extend(p[i:i + 3] for i in range(len(w) + 1))
+    return out
+
+
+def with_trigram_sets(df: DataFrame, specs: list, fold_upper: bool = False) -> DataFrame:
+    """Adds, per (text column, out), the distinct trigram set of the text as array<string>.
+
+    Higher-order array functions run interpreted; for long text one Arrow-batched pass in
+    Python over each partition is several times faster, so the large side of a search uses this.
+    """
+    from pyspark.sql.types import ArrayType, StringType
+
+    schema = StructType(list(df.schema.fields) + [StructField(o, ArrayType(StringType())) for _, o in specs])
+
+    def run(batches):
+        for pdf in batches:
+            for c, o in specs:
+                pdf[o] = [list(dict.fromkeys(py_trigram_list(x, fold_upper))) for x in pdf[c]]
+            yield pdf
+
+    return df.mapInPandas(run, schema)

@@ -4,13 +4,15 @@ One job for the whole batch (the reference runs one query per item):
 
 1. items → distinct trigrams of each term (``n_a``);
 2. entity identifier columns → distinct trigrams per (row, column) (``n_b``);
-3. equi-join on the trigram. The item side is a request batch: it is broadcast after a
-   size check, otherwise the join shuffles and AQE splits hot trigrams;
-4. one partial aggregate per (item, row) counts shared trigrams per column, so only
-   candidate pairs cross the shuffle;
+3. candidates by an exact prefix filter: a pair passes only if it shares more than
+   min_pct % of the term's trigrams, hence at least one of the term's
+   n_a - floor(min_pct * n_a / 100) rarest trigrams; only those join the entity trigrams
+   (the item side is a request batch, broadcast after a size check, else a shuffle join
+   with AQE splitting skewed keys), so hot trigrams never fan out;
+4. candidates are recounted exactly per column from the two trigram sets;
 5. lossless bound: both measures are <= shared / n_a, so pairs with
    100 * shared <= min_pct * n_a can never pass the threshold and are dropped before the
-   word-similarity run search;
+   word-similarity run search (mapInPandas, survivors only);
 6. score = greatest over columns of greatest(similarity, word_similarity) * 100,
    threshold (strictly greater), top-k per item with a (score desc, id) order. Spark plans
    a partial ``WindowGroupLimit`` before the shuffle, so a hot item sends at most k rows
@@ -26,7 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from ..functions.text import score_text
-from ..functions.trigram import add_run_similarity, similarity_from_counts, trigram_list, trigram_set
+from ..functions.trigram import (
+    add_run_similarity,
+    similarity_from_counts,
+    trigram_list,
+    trigram_set,
+    with_trigram_sets,
+)
 from ..session import fits
 
 # Defaults of a request.
@@ -94,28 +102,39 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
     n_cols = len(cols)
     name_expr = label if label is not None else F.concat_ws(" - ", *cols)
 
-    it = normalise_items(items.select("item_index", "term"))
-    it = it.select("item_index", "term", trigram_set(up("term")).alias("a_set"))
-    it = it.select("item_index", "term", F.size("a_set").alias("n_a"), F.explode("a_set").alias("trg"))
-    it_side = F.broadcast(it) if fits(it, ITEM_BROADCAST_ROWS) else it
+    it_terms = normalise_items(items.select("item_index", "term"))
+    it_sets = it_terms.select("item_index", "term", trigram_set(up("term")).alias("a_set"))
+    it_trg = it_sets.select("item_index", F.size("a_set").alias("n_a"), F.explode("a_set").alias("trg"))
+    small = fits(it_trg, ITEM_BROADCAST_ROWS)
+    bc = F.broadcast if small else (lambda d: d)
 
     ent = entity.select(F.col(id_col).alias("id"), *[c.alias(f"t{i}") for i, c in enumerate(cols)],
                         name_expr.alias("name"))
-    per_col = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("col_no"), F.size(trigram_set(up(f"t{i}"))).alias("n_b"),
-                 trigram_set(up(f"t{i}")).alias("b_set"))
-        for i in range(n_cols)])).alias("pc")
-    ent_trg = (ent.select("id", "name", *[f"t{i}" for i in range(n_cols)], per_col)
-               .select("id", "name", *[f"t{i}" for i in range(n_cols)], "pc.col_no", "pc.n_b",
-                       F.explode("pc.b_set").alias("trg")))
-
-    pairs = ent_trg.join(it_side, "trg")
-    aggs = [F.first("term").alias("term"), F.first("n_a").alias("n_a"), F.first("name").alias("name")]
-    for i in range(n_cols):
-        aggs += [F.count(F.when(F.col("col_no") == i, 1)).alias(f"s{i}"),
-                 F.max(F.when(F.col("col_no") == i, F.col("n_b"))).alias(f"nb{i}"),
-                 F.first(f"t{i}").alias(f"t{i}")]
-    cand = pairs.groupBy("item_index", "id").agg(*aggs)
+    # each row's trigram sets, computed once per row (never per candidate pair)
+    ent_sets = with_trigram_sets(ent, [(f"t{i}", f"b{i}") for i in range(n_cols)], fold_upper=fold_upper)
+    ent_trg = ent_sets.select("id", F.explode(F.array_distinct(F.flatten(F.array(
+        *[F.col(f"b{i}") for i in range(n_cols)])))).alias("trg"))
+
+    # Prefix filter (exact): a pair can pass only if it shares more than min_pct % of the term's
+    # n_a trigrams, so it shares at least one of any n_a - floor(min_pct * n_a / 100) of them.
+    # Each term keeps that many of its rarest trigrams (frequency counted only for the batch's
+    # trigrams, map-side combined), so the hot trigrams never enter the candidate join.
+    freq = (ent_trg.join(bc(it_trg.select("trg").distinct()), "trg", "left_semi")
+            .groupBy("trg").agg(F.count(F.lit(1)).alias("freq")))
+    keep = F.col("n_a") - F.floor(F.col("n_a") * F.lit(float(max(min_pct, 0.0))) / 100.0) + 1
+    w_rare = Window.partitionBy("item_index").orderBy(F.col("freq").asc(), F.col("trg").asc())
+    prefix = (it_trg.join(bc(freq), "trg", "left").fillna(0, ["freq"])
+              .withColumn("r", F.row_number().over(w_rare)).filter(F.col("r") <= keep)
+              .select("item_index", "trg"))
+    cand = ent_trg.join(bc(prefix), "trg").select("item_index", "id").distinct()
+
+    # survivors get texts (entity by id; AQE broadcasts from the measured size of the candidates
+    # when it can) and the term's set (checked-small batch), then an exact recount per column
+    cand = cand.join(ent_sets, "id").join(bc(it_sets), "item_index")
+    cand = cand.select("item_index", "id", "name", "term", "a_set", *[f"t{i}" for i in range(n_cols)],
+                       F.size("a_set").alias("n_a"),
+                       *[F.size(F.array_intersect("a_set", f"b{i}")).alias(f"s{i}") for i in range(n_cols)],
+                       *[F.size(f"b{i}").alias(f"nb{i}") for i in range(n_cols)])
 
     best_shared = F.greatest(*[F.col(f"s{i}") for i in range(n_cols)]) if n_cols > 1 else F.col("s0")
     cand = cand.filter(best_shared * 100.0 > F.lit(float(min_pct)) * F.col("n_a"))
@@ -123,8 +142,7 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
     if use_word_similarity:
         # word similarity as plain top-level columns of their own projection
         # arrays first, as columns, so the run search reads them instead of recomputing them
-        cand = cand.select("*", trigram_set(up("term")).alias("a_set"),
-                           *[trigram_list(up(f"t{i}")).alias(f"l{i}") for i in range(n_cols)])
+        cand = cand.select("*", *[trigram_list(up(f"t{i}")).alias(f"l{i}") for i in range(n_cols)])
         cand = add_run_similarity(cand, [("a_set", f"l{i}", f"w{i}") for i in range(n_cols)])
     scores = []
     for i in range(n_cols):
