@@ -42,6 +42,7 @@ def main() -> None:
         try:
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             times[key] = round(time.time() - t, 3)
+            print(f"{key}: {times[key]}s", file=sys.stderr, flush=True)
         except Exception as e:  # reported, not hidden
             errors[key] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = os.path.basename(os.path.normpath(sf_dir)).replace("sf", "")

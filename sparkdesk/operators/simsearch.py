@@ -112,8 +112,20 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
                         name_expr.alias("name"))
     # each row's trigram sets, computed once per row (never per candidate pair)
     ent_sets = with_trigram_sets(ent, [(f"t{i}", f"b{i}") for i in range(n_cols)], fold_upper=fold_upper)
-    ent_trg = ent_sets.select("id", F.explode(F.array_distinct(F.flatten(F.array(
-        *[F.col(f"b{i}") for i in range(n_cols)])))).alias("trg"))
+    t_frac = float(max(min_pct, 0.0)) / 100.0
+    if not use_word_similarity and t_frac > 0:
+        # Length bound (exact for plain similarity): s / (n_a + n_b - s) > t with s <= n_a needs
+        # n_b * t < n_a. Rows too long for every term of the batch are dropped before exploding.
+        max_n_a = it_trg.agg(F.max("n_a")).first()[0] or 0  # one number
+        ent_sets = ent_sets.filter(F.least(*[F.size(f"b{i}") for i in range(n_cols)]) * t_frac < max_n_a) \
+            if n_cols > 1 else ent_sets.filter(F.size("b0") * t_frac < max_n_a)
+        per_col = F.explode(F.array(*[F.struct(F.size(f"b{i}").alias("n_b"), F.col(f"b{i}").alias("b"))
+                                      for i in range(n_cols)])).alias("pc")
+        ent_trg = (ent_sets.select("id", per_col)
+                   .select("id", F.col("pc.n_b").alias("n_b"), F.explode("pc.b").alias("trg")))
+    else:
+        ent_trg = ent_sets.select("id", F.lit(0).alias("n_b"), F.explode(F.array_distinct(F.flatten(F.array(
+            *[F.col(f"b{i}") for i in range(n_cols)])))).alias("trg"))
 
     # Prefix filter (exact): a pair can pass only if it shares more than min_pct % of the term's
     # n_a trigrams, so it shares at least one of any n_a - floor(min_pct * n_a / 100) of them.
@@ -126,7 +138,11 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
     prefix = (it_trg.join(bc(freq), "trg", "left").fillna(0, ["freq"])
               .withColumn("r", F.row_number().over(w_rare)).filter(F.col("r") <= keep)
               .select("item_index", "trg"))
-    cand = ent_trg.join(bc(prefix), "trg").select("item_index", "id").distinct()
+    pj = bc(prefix.join(it_trg.select("item_index", "n_a").distinct(), "item_index"))
+    cand_pairs = ent_trg.join(pj, "trg")
+    if not use_word_similarity and t_frac > 0:
+        cand_pairs = cand_pairs.filter(F.col("n_b") * t_frac < F.col("n_a"))
+    cand = cand_pairs.select("item_index", "id").distinct()
 
     # survivors get texts (entity by id; AQE broadcasts from the measured size of the candidates
     # when it can) and the term's set (checked-small batch), then an exact recount per column

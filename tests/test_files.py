@@ -63,3 +63,26 @@ def test_names(spark):
     assert got == ["report.txt", "downloaded_file.txt", "f.csv"]
     n = spark.createDataFrame([("Año 2024: ventas/Q1",)], "t string").select(safe_name("t").alias("s")).first().s
     assert n == "Año_2024__ventas_Q1"
+
+
+def test_whole_text_and_sinks(spark, tmp_path):
+    from sparkdesk.sources.export import ExportError, export_csv, write_header_only, write_table
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("line1\nline2\n")
+    rows = filesrc.whole_text(spark, str(tmp_path / "in")).collect()
+    assert len(rows) == 1 and rows[0].text == "line1\nline2\n"
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    write_table(df, str(tmp_path / "t"))
+    write_table(df, str(tmp_path / "t"), override=False)
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+    write_table(df, str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1
+    write_header_only(df, str(tmp_path / "h"))
+    parts = [p for p in (tmp_path / "h").iterdir() if p.name.startswith("part-")]
+    assert parts and parts[0].read_text().strip() == "id,v"
+    res = export_csv(spark.createDataFrame([("John Doe", None)], "name string, email string"),
+                     str(tmp_path / "e"), include_headers=False)
+    assert res.rows == 1
+    with pytest.raises(ExportError, match="No data returned"):
+        export_csv(df.limit(0), str(tmp_path / "empty"))

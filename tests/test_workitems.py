@@ -76,3 +76,14 @@ def test_workbook_three_sheets(spark, tmp_path):
     assert len(rows) == 6
     rng = sheet_range(read_workbooks(spark, str(tmp_path)), "A2:A9").collect()
     assert sorted(r.line for r in rng) == ["1", "3", "5"]
+
+
+def test_typed_csv_extension(spark, tmp_path):
+    from sparkdesk.sources.tabular import TabularError, check_extension, read_typed_csv
+
+    p = tmp_path / "t.csv"
+    p.write_text("product,price\nLaptop,999.99\nMouse,29.99\n")
+    df = read_typed_csv(spark, str(p))
+    assert dict(df.dtypes)["price"] == "double"
+    with pytest.raises(TabularError):
+        check_extension("x.CSV")
