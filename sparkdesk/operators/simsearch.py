@@ -110,6 +110,11 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
 
     ent = entity.select(F.col(id_col).alias("id"), *[c.alias(f"t{i}") for i, c in enumerate(cols)],
                         name_expr.alias("name"))
+    # The trigram sets are the Python-heavy step: an input with fewer partitions than task slots
+    # (one small file) is spread first; a large input keeps its scan partitions.
+    slots = ent.sparkSession.sparkContext.defaultParallelism
+    if ent.rdd.getNumPartitions() < slots:
+        ent = ent.repartition(slots, "id")
     # each row's trigram sets, computed once per row (never per candidate pair)
     ent_sets = with_trigram_sets(ent, [(f"t{i}", f"b{i}") for i in range(n_cols)], fold_upper=fold_upper)
     t_frac = float(max(min_pct, 0.0)) / 100.0

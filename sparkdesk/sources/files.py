@@ -80,7 +80,7 @@ def _quote_root(root: str) -> str:
 
 def whole_text(spark: SparkSession, path: str) -> DataFrame:
     """Each file's content as one value (path, text)."""
-    return (spark.read.option("wholetext", True).text(path)
+    return (spark.read.text(path, wholetext=True)
             .select(F.input_file_name().alias("path"), F.col("value").alias("text")))
 
 
