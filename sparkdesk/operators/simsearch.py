@@ -28,13 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from ..functions.text import score_text
-from ..functions.trigram import (
-    add_run_similarity,
-    similarity_from_counts,
-    trigram_list,
-    trigram_set,
-    with_trigram_sets,
-)
+from ..functions.trigram import add_run_similarity, similarity_from_counts, with_trigram_codes
 from ..session import fits
 
 # Defaults of a request.
@@ -93,7 +87,6 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
     Output: item_index, item, term, id, name, score (4 decimals), similarity_percent, rank.
     ``fold_upper`` upper-cases both sides first, as the entity search does.
     """
-    up = F.upper if fold_upper else (lambda c: F.col(c) if isinstance(c, str) else c)
     if not columns:
         if label is None:
             raise ValueError("no identifier column and no label")
@@ -103,7 +96,8 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
     name_expr = label if label is not None else F.concat_ws(" - ", *cols)
 
     it_terms = normalise_items(items.select("item_index", "term"))
-    it_sets = it_terms.select("item_index", "term", trigram_set(up("term")).alias("a_set"))
+    it_sets = with_trigram_codes(it_terms.select("item_index", "term"), [("term", "a_set", False)],
+                                 fold_upper=fold_upper)
     it_trg = it_sets.select("item_index", F.size("a_set").alias("n_a"), F.explode("a_set").alias("trg"))
     small = fits(it_trg, ITEM_BROADCAST_ROWS)
     bc = F.broadcast if small else (lambda d: d)
@@ -116,14 +110,15 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
     if ent.rdd.getNumPartitions() < slots:
         ent = ent.repartition(slots, "id")
     # each row's trigram sets, computed once per row (never per candidate pair)
-    ent_sets = with_trigram_sets(ent, [(f"t{i}", f"b{i}") for i in range(n_cols)], fold_upper=fold_upper)
+    ent_sets = with_trigram_codes(ent, [(f"t{i}", f"b{i}", False) for i in range(n_cols)], fold_upper=fold_upper)
     t_frac = float(max(min_pct, 0.0)) / 100.0
     if not use_word_similarity and t_frac > 0:
-        # Length bound (exact for plain similarity): s / (n_a + n_b - s) > t with s <= n_a needs
-        # n_b * t < n_a. Rows too long for every term of the batch are dropped before exploding.
+        # Length bound (exact for plain similarity): s / (n_a + n_b - s) >= t with s <= n_a needs
+        # n_b * t <= n_a. Rows too long for every term of the batch are dropped before exploding.
         max_n_a = it_trg.agg(F.max("n_a")).first()[0] or 0  # one number
-        ent_sets = ent_sets.filter(F.least(*[F.size(f"b{i}") for i in range(n_cols)]) * t_frac < max_n_a) \
-            if n_cols > 1 else ent_sets.filter(F.size("b0") * t_frac < max_n_a)
+        ent_sets = ent_sets.filter(F.least(*[F.size(f"b{i}") for i in range(n_cols)]) * t_frac
+                                   <= F.lit(max_n_a + 1e-9)) \
+            if n_cols > 1 else ent_sets.filter(F.size("b0") * t_frac <= F.lit(max_n_a + 1e-9))
         per_col = F.explode(F.array(*[F.struct(F.size(f"b{i}").alias("n_b"), F.col(f"b{i}").alias("b"))
                                       for i in range(n_cols)])).alias("pc")
         ent_trg = (ent_sets.select("id", per_col)
@@ -132,21 +127,28 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
         ent_trg = ent_sets.select("id", F.lit(0).alias("n_b"), F.explode(F.array_distinct(F.flatten(F.array(
             *[F.col(f"b{i}") for i in range(n_cols)])))).alias("trg"))
 
-    # Prefix filter (exact): a pair can pass only if it shares more than min_pct % of the term's
-    # n_a trigrams, so it shares at least one of any n_a - floor(min_pct * n_a / 100) of them.
-    # Each term keeps that many of its rarest trigrams (frequency counted only for the batch's
-    # trigrams, map-side combined), so the hot trigrams never enter the candidate join.
+    # Prefix filter (exact): a pair can pass only if it shares at least min_pct % of the term's
+    # n_a trigrams, so it shares at least one of ANY n_a - floor(min_pct * n_a / 100) + 1 of
+    # them. Which ones is free to choose; each term keeps its rarest, by the number of entity
+    # rows holding the trigram (counted only for the batch's trigrams and combined map-side),
+    # so hot trigrams never enter the candidate join.
     freq = (ent_trg.join(bc(it_trg.select("trg").distinct()), "trg", "left_semi")
             .groupBy("trg").agg(F.count(F.lit(1)).alias("freq")))
     keep = F.col("n_a") - F.floor(F.col("n_a") * F.lit(float(max(min_pct, 0.0))) / 100.0) + 1
     w_rare = Window.partitionBy("item_index").orderBy(F.col("freq").asc(), F.col("trg").asc())
     prefix = (it_trg.join(bc(freq), "trg", "left").fillna(0, ["freq"])
               .withColumn("r", F.row_number().over(w_rare)).filter(F.col("r") <= keep)
-              .select("item_index", "trg"))
+              .select("item_index", "trg", "r"))
     pj = bc(prefix.join(it_trg.select("item_index", "n_a").distinct(), "item_index"))
     cand_pairs = ent_trg.join(pj, "trg")
     if not use_word_similarity and t_frac > 0:
-        cand_pairs = cand_pairs.filter(F.col("n_b") * t_frac < F.col("n_a"))
+        # Plain similarity also knows the row's size: s / (n_a + n_b - s) >= t needs
+        # s >= t (n_a + n_b) / (1 + t), so only the n_a - s_min + 1 rarest trigrams of the term
+        # can carry the pair (length-aware prefix; a few trigrams for a long row). Bounds are
+        # taken non-strict with a small margin, so float rounding can only keep more.
+        s_min = F.ceil(F.lit(t_frac) * (F.col("n_a") + F.col("n_b")) / F.lit(1.0 + t_frac) - F.lit(1e-9))
+        cand_pairs = cand_pairs.filter((F.col("n_b") * t_frac <= F.col("n_a") + F.lit(1e-9))
+                                       & (F.col("r") <= F.col("n_a") - s_min + 1))
     cand = cand_pairs.select("item_index", "id").distinct()
 
     # survivors get texts (entity by id; AQE broadcasts from the measured size of the candidates
@@ -158,12 +160,12 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
                        *[F.size(f"b{i}").alias(f"nb{i}") for i in range(n_cols)])
 
     best_shared = F.greatest(*[F.col(f"s{i}") for i in range(n_cols)]) if n_cols > 1 else F.col("s0")
-    cand = cand.filter(best_shared * 100.0 > F.lit(float(min_pct)) * F.col("n_a"))
+    cand = cand.filter(best_shared * 100.0 >= F.lit(float(min_pct)) * F.col("n_a") - F.lit(1e-9))
 
     if use_word_similarity:
         # word similarity as plain top-level columns of their own projection
         # arrays first, as columns, so the run search reads them instead of recomputing them
-        cand = cand.select("*", *[trigram_list(up(f"t{i}")).alias(f"l{i}") for i in range(n_cols)])
+        cand = with_trigram_codes(cand, [(f"t{i}", f"l{i}", True) for i in range(n_cols)], fold_upper=fold_upper)
         cand = add_run_similarity(cand, [("a_set", f"l{i}", f"w{i}") for i in range(n_cols)])
     scores = []
     for i in range(n_cols):
