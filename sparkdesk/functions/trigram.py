@@ -131,9 +131,19 @@ def add_run_similarity(df: DataFrame, specs: list) -> DataFrame:
     schema = StructType(list(df.schema.fields) + [StructField(o, DoubleType()) for o in outs])
 
     def run(batches):
+        memo: dict = {}  # repeated (term, text) pairs are scored once per task
         for pdf in batches:
             for a, b, o in specs:
-                pdf[o] = [best_extent_similarity(x, y) for x, y in zip(pdf[a], pdf[b])]
+                vals = []
+                for x, y in zip(pdf[a], pdf[b]):
+                    key = (tuple(x) if x is not None else (), tuple(y) if y is not None else ())
+                    v = memo.get(key)
+                    if v is None:
+                        v = best_extent_similarity(x, y)
+                        if len(memo) < 200_000:
+                            memo[key] = v
+                    vals.append(v)
+                pdf[o] = vals
             yield pdf
 
     return df.mapInPandas(run, schema)
