@@ -87,6 +87,13 @@ def fold_state(status: DataFrame) -> DataFrame:
     return alive.filter(F.col("gone").isNull() & F.col("last").isNotNull()).select(*KEY, "user_id", *cols)
 
 
+def write_state(state: DataFrame, path: str) -> None:
+    """D-5: one collection per assistant: the state is written partitioned by assistant, and a
+    re-run replaces only the assistants it holds (dynamic partition overwrite)."""
+    (state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("assistant_id").parquet(path))
+
+
 # --- nearest neighbours -----------------------------------------------------------------------
 
 def _local_topk(queries: pd.DataFrame, k: int, metric: str, exclude_self: bool):

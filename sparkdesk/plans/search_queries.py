@@ -149,3 +149,28 @@ def simsearch_benchmark_docs(spark, sf_dir):
                                                      F.col("text").alias("term"))
     return similarity_search(docs, "doc_id", ["text"], items, min_pct=BENCH_MIN_PCT, k=BENCH_K,
                              use_word_similarity=False, label=F.col("doc_id").cast("string"), fold_upper=False)
+
+
+# Entity with a tenant: customers visible to the demo context (client = segment, org = nation);
+# identifier columns picked from the schema (text columns with a safe name, in the configured order).
+@query("simsearch_tenant", _topk_oracle(
+    "SELECT n_nationkey AS item_index, 'Customer#' || lpad(CAST(n_nationkey * 7 AS VARCHAR), 9, '0') AS term "
+    "FROM nation",
+    "SELECT c_custkey AS id, c_name AS name, c_name AS t0 FROM customer "
+    "WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING', '1-URGENT', '2-HIGH', '3-MEDIUM') "
+    "AND c_nationkey IN (0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12)",
+    ["c_name"], 30.0, 3, True))
+def simsearch_tenant(spark, sf_dir):
+    """B9 + B10: the tenant filter applies to the entity before the search; identifier columns
+    come from the schema (c_acctbal is not text, the unsafe name is skipped)."""
+    from ..operators.governed import tenant_filter
+    from ..operators.simsearch import identifier_columns
+    from .tables import DEMO_CONTEXT, TENANTS
+
+    cust = tenant_filter(table(spark, sf_dir, "customer"), TENANTS["customer"], DEMO_CONTEXT)
+    cols = identifier_columns(cust.schema, ["c_name", "c_acctbal", "c_name; drop table"])
+    nation = table(spark, sf_dir, "nation")
+    items = nation.select(F.col("n_nationkey").alias("item_index"),
+                          F.concat(F.lit("Customer#"), F.lpad((F.col("n_nationkey") * 7).cast("string"), 9, "0"))
+                          .alias("term"))
+    return similarity_search(cust, "c_custkey", cols, items, min_pct=30.0, k=3)

@@ -52,3 +52,12 @@ def test_result_lines(spark):
     ranked = spark.createDataFrame([("u1", 2, 7), ("u1", 1, 9)], "user string, rank int, id long")
     r = memory.result_lines(ranked, F.concat(F.lit("t"), F.col("id").cast("string")), ["user"]).first()
     assert r.result == "- t9 (memory_id: 9)\n- t7 (memory_id: 7)"
+
+
+def test_state_per_assistant(spark, tmp_path):
+    log = spark.createDataFrame(LOG + [(11, "add", "a2", "u9", "m1", "other assistant")], SCHEMA)
+    memory.write_state(memory.fold_state(memory.fold_status(log)), str(tmp_path / "state"))
+    assert sorted(p.name for p in (tmp_path / "state").iterdir() if p.name.startswith("assistant_id=")) == [
+        "assistant_id=a1", "assistant_id=a2"]
+    back = spark.read.parquet(str(tmp_path / "state")).filter(F.col("assistant_id") == "a2").collect()
+    assert [(r.memory_id, r.content) for r in back] == [("m1", "other assistant")]
