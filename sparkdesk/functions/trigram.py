@@ -37,6 +37,14 @@ def trigram_set(text) -> Column:
     return F.coalesce(F.array_distinct(trigram_list(text)), F.array().cast("array<string>"))
 
 
+def trigram_codes(text) -> Column:
+    """The distinct trigram set as array<bigint> codes (same codes as ``py_trigram_codes``)."""
+    def code(g):
+        cp = lambda k: F.ascii(F.substring(g, k, 1)).cast("bigint")  # noqa: E731  (code point)
+        return F.shiftleft(cp(1), 42).bitwiseOR(F.shiftleft(cp(2), 21)).bitwiseOR(cp(3))
+    return F.transform(trigram_set(text), code)
+
+
 def similarity_from_counts(shared: Column, n_a: Column, n_b: Column) -> Column:
     """shared / (n_a + n_b - shared); 0 when either side has no trigram."""
     union = n_a + n_b - shared

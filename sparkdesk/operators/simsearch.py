@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from ..functions.text import score_text
-from ..functions.trigram import add_run_similarity, similarity_from_counts, with_trigram_codes
+from ..functions.trigram import add_run_similarity, similarity_from_counts, trigram_codes, with_trigram_codes
 from ..session import fits
 
 # Defaults of a request.
@@ -96,8 +96,9 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
     name_expr = label if label is not None else F.concat_ws(" - ", *cols)
 
     it_terms = normalise_items(items.select("item_index", "term"))
-    it_sets = with_trigram_codes(it_terms.select("item_index", "term"), [("term", "a_set", False)],
-                                 fold_upper=fold_upper)
+    # the batch side is small: its codes come from column expressions (no Python pass)
+    it_sets = it_terms.select("item_index", "term", trigram_codes(
+        F.upper("term") if fold_upper else F.col("term")).alias("a_set"))
     it_trg = it_sets.select("item_index", F.size("a_set").alias("n_a"), F.explode("a_set").alias("trg"))
     small = fits(it_trg, ITEM_BROADCAST_ROWS)
     bc = F.broadcast if small else (lambda d: d)

@@ -67,3 +67,12 @@ def test_trigram_list_keeps_order(spark):
     df = spark.createDataFrame([("two words",)], "t string")
     assert df.select(trigram_list("t").alias("l")).first().l == [
         "  t", " tw", "two", "wo ", "  w", " wo", "wor", "ord", "rds", "ds "]
+
+
+def test_codes_agree_between_jvm_and_python(spark):
+    from sparkdesk.functions.trigram import py_trigram_codes, trigram_codes
+
+    texts = ["two words", "Ünïcode straße É", "", None, "a-b c_d 12"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [sorted(r.c) if r.c is not None else None for r in df.select(trigram_codes("t").alias("c")).collect()]
+    assert got == [sorted(py_trigram_codes(t)) for t in texts]
