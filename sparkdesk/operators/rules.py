@@ -60,9 +60,11 @@ def org_closure(spark: SparkSession, tree: DataFrame, max_depth: int = 32) -> Da
         SELECT ancestor, descendant, level FROM cl""")
 
 
-def org_included(closure: DataFrame, child: Column, parent: Column) -> Column:
-    """A13 scalar form is a join; this returns the join condition for (child, parent) pairs."""
-    return (closure["descendant"] == child) & (closure["ancestor"] == parent)
+def org_included(pairs: DataFrame, closure: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
+    """A13 ``isorgincluded(child, parent)`` for a table of pairs: the level of ``child`` under
+    ``parent`` (1 = itself), or -1 when it is not included. An equi-join on both keys."""
+    c = closure.select(F.col("descendant").alias(child), F.col("ancestor").alias(parent), "level")
+    return pairs.join(c, [child, parent], "left").withColumn("level", F.coalesce(F.col("level"), F.lit(-1)))
 
 
 def rollup_by_org(facts: DataFrame, org_col: str, closure: DataFrame, measures: list) -> DataFrame:

@@ -184,3 +184,20 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
                       "term", "id", F.coalesce(F.col("name"), F.lit("")).alias("name"),
                       F.round("raw_score", 4).alias("score"),
                       score_text(F.col("raw_score")).alias("similarity_percent"), "rank")
+
+
+def search_request(entities: dict, entity: str | None, items_json: str | None, qty_results=None,
+                   min_sim_percent=None, spark=None) -> DataFrame:
+    """B14 request form. ``entities`` maps a name to (DataFrame, id column, identifier columns).
+    Missing items or entity → error; an unknown entity gives one status row, not a failure;
+    'null' / empty parameters take the defaults."""
+    if not items_json or not entity:
+        raise ValueError("Missing parameter: items and entityName are required")
+    if entity not in entities:
+        return spark.createDataFrame([(entity, "Entity not found")], "entity string, status string")
+    df, id_col, configured = entities[entity]
+    req = df.sparkSession.createDataFrame([(items_json,)], "items string")
+    items = items_from_json(req)
+    cols = identifier_columns(df.schema, configured)
+    return similarity_search(df, id_col, cols, items, min_pct=parse_min_pct(min_sim_percent),
+                             k=parse_k(qty_results), label=None if cols else F.col(id_col).cast("string"))

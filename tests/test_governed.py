@@ -80,3 +80,37 @@ def test_filter_pushed_to_scan(session):
     df = run_select(session, "SELECT c.c_name FROM customer c", CTX)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "c_mktsegment" in plan
+
+
+def test_rules_with_columns_present(spark):
+    from sparkdesk.operators import rules
+
+    df = spark.createDataFrame([(1, "Y", "Y", "CO"), (2, "N", "Y", "CO"), (3, "Y", "N", "DR")],
+                               "id int, isactive string, issotrx string, docstatus string")
+    assert [r.id for r in rules.active_only(df).collect()] == [1, 3]
+    assert [r.id for r in rules.active_only(df, include_inactive=True).collect()] == [1, 2, 3]
+    assert [r.id for r in rules.sales_split(df, sales=False).collect()] == [3]
+    assert [r.id for r in rules.docstatus_filter(df).collect()] == [1, 2]
+    assert [r.id for r in rules.docstatus_filter(df, statuses=None).collect()] == [1, 2, 3]
+    names = df.select(rules.docstatus_name(F.col("docstatus")).alias("n")).collect()
+    assert [r.n for r in names] == ["Completed", "Completed", "Drafted"]
+
+
+def test_org_included(spark):
+    from sparkdesk.operators import rules
+
+    tree = spark.createDataFrame([("0", None), ("R1", "0"), ("N1", "R1"), ("N2", "R1"), ("R2", "0")],
+                                 "node string, parent string")
+    closure = rules.org_closure(spark, tree)
+    pairs = spark.createDataFrame([("N1", "0"), ("N1", "R1"), ("N1", "N1"), ("N1", "R2")], "child string, parent string")
+    got = {(r.child, r.parent): r.level for r in rules.org_included(pairs, closure).collect()}
+    assert got == {("N1", "0"): 3, ("N1", "R1"): 2, ("N1", "N1"): 1, ("N1", "R2"): -1}
+
+
+def test_relaxed_search_stages(spark):
+    from sparkdesk.operators import rules
+
+    ent = spark.createDataFrame([(1, "White T-Shirt"), (2, "Black shirt"), (3, "White cap")], "id int, name string")
+    terms = spark.createDataFrame([("a", "white t-shirt"), ("b", "Wite T-Shirt"), ("c", "zz")], "term_id string, term string")
+    got = sorted((r.term_id, r.id, r.stage) for r in rules.relaxed_search(ent, "id", "name", terms).collect())
+    assert got == [("a", 1, 1), ("b", 1, 2)]

@@ -80,3 +80,16 @@ def test_topk_plan_limits_before_shuffle(spark):
     df = similarity_search(part, "p_partkey", ["p_name"], items, k=2)
     df.collect()
     assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_search_request(spark):
+    from sparkdesk.operators.simsearch import search_request
+
+    part = spark.read.parquet(f"{SF001}/part.parquet")
+    ents = {"Product": (part, "p_partkey", ["p_name", "p_brand"])}
+    res = search_request(ents, "Product", '["", "   ", "blue gear"]', "null", "null").collect()
+    assert {r.item for r in res} == {"item_2"} and len(res) == 1  # defaults: k = 1, 30 %
+    st = search_request(ents, "Nope", '["x"]', spark=spark).first()
+    assert st.status == "Entity not found"
+    with pytest.raises(ValueError):
+        search_request(ents, None, '["x"]')

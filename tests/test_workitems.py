@@ -87,3 +87,14 @@ def test_typed_csv_extension(spark, tmp_path):
     assert dict(df.dtypes)["price"] == "double"
     with pytest.raises(TabularError):
         check_extension("x.CSV")
+
+
+def test_headers_table(spark, tmp_path):
+    from sparkdesk.sources.files import directory_manifest
+    from sparkdesk.sources.tabular import headers_table
+
+    (tmp_path / "a.csv").write_text('id,"na,me"\n1,x\n')
+    (tmp_path / "b.csv").write_text("p,q,r\n")
+    got = sorted((r.path.rsplit("/", 1)[-1], r.position, r.column)
+                 for r in headers_table(spark, directory_manifest(spark, str(tmp_path))).collect())
+    assert got == [("a.csv", 0, "id"), ("a.csv", 1, "na,me"), ("b.csv", 0, "p"), ("b.csv", 1, "q"), ("b.csv", 2, "r")]
