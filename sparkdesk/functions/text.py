@@ -56,10 +56,14 @@ def guard_first_word_keyword(q) -> Column:
     """A9 whole-word variant: the same keywords, matched only as whole words."""
     low = normalised_query(q)
     out = F.lit(None).cast("string")
+    alts = []
     for kw in reversed(GUARD_KEYWORDS):
         end = "" if kw.endswith("_") else r"($|[^a-z0-9_])"  # sp_ / xp_ are name prefixes
         out = F.when(low.rlike(r"(^|[^a-z0-9_])" + kw + end), F.lit(kw)).otherwise(out)
-    return out
+        alts.append(kw)
+    # one scan decides whether any keyword occurs at all; the ordered checks run only then
+    anywhere = "|".join(sorted(alts, key=len, reverse=True))
+    return F.when(low.rlike(f"({anywhere})"), out)
 
 
 def guard_allows(q) -> Column:

@@ -12,11 +12,13 @@ from ..functions.text import (
     guard_first_word_keyword,
     statement_kind,
 )
+from ..session import spread_small
 
 
 def audit_queries(df: DataFrame, query_col: str = "query") -> DataFrame:
     """Per query text: statement kind, first offending keyword (substring and whole-word), verdicts."""
     q = F.col(query_col)
+    df = spread_small(df)  # regex scans of whole texts are CPU-bound
     return df.select(
         "*",
         statement_kind(q).alias("kind"),

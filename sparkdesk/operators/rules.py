@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import fits
+from ..session import fits, spread_small
 
 # Document status codes and their names.
 DOCSTATUS_NAMES = {"DR": "Drafted", "CO": "Completed", "CL": "Closed", "VO": "Voided", "RE": "Reversed"}
@@ -101,10 +101,17 @@ def relaxed_search(entity: DataFrame, id_col: str, name_col: str, terms: DataFra
     pats = pats.withColumn("q", F.least(F.length("pattern"), F.lit(3))).withColumn("key", _pattern_key("pattern"))
 
     low = F.lower(F.col(name_col))
-    ent = entity.select(F.col(id_col), F.col(name_col))
-    grams = ent.select(id_col, name_col, F.explode(F.array_distinct(F.flatten(F.array(
-        _ngrams(low, 1), _ngrams(low, 2), _ngrams(low, 3))))).alias("key"))
+    ent = spread_small(entity.select(F.col(id_col), F.col(name_col)))
     small = fits(pats, TERM_BROADCAST_ROWS)
+    # key lengths the batch actually uses (at most three values): names emit only those n-grams
+    if small:
+        lengths = sorted(r["q"] for r in pats.select("q").distinct().collect())
+    else:
+        lengths = [1, 2, 3]
+    if not lengths:
+        lengths = [3]
+    grams = ent.select(id_col, name_col, F.explode(F.array_distinct(F.flatten(F.array(
+        *[_ngrams(low, q) for q in lengths])))).alias("key"))
     pj = F.broadcast(pats) if small else pats
     hits = (grams.join(pj, "key")
             .filter(F.instr(F.lower(F.col(name_col)), F.col("pattern")) > 0)

@@ -81,3 +81,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def fits(df: DataFrame, max_rows: int) -> bool:
     """Size check before a broadcast or a driver-side collect: stops after max_rows + 1 rows."""
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def spread_small(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Before CPU-heavy per-row work: an input with fewer partitions than task slots (a small
+    file is a single scan task) is spread over all slots; a large input keeps its partitions,
+    so this costs nothing at scale. Streaming inputs are left alone."""
+    if df.isStreaming:
+        return df
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, key) if key else df.repartition(slots)
