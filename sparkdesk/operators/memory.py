@@ -9,9 +9,9 @@ skewed join partition; no window has to hold a whole id's history in one task.
 
 Search. k nearest memories of the same user (L2 by default, cosine optional), exact. A
 bounded query block (size checked) is shipped to every task with ``mapInPandas``: each task
-computes distances block-wise with NumPy and keeps a local top-k per query; a window top-k
-over those survivors gives the answer. Beyond the bound the queries are joined to the
-memories on the user and distances are array expressions.
+computes distances chunk-wise with NumPy and keeps a local top-k per query; a window top-k
+over those survivors gives the answer. More queries are cut into hash blocks, one scan of
+the memories per block; no (query, memory) pair ever becomes a row.
 """
 
 from __future__ import annotations
@@ -96,14 +96,30 @@ def write_state(state: DataFrame, path: str) -> None:
 
 # --- nearest neighbours -----------------------------------------------------------------------
 
+# Queries scored together inside one task (bounds the distance matrix to chunk x batch rows).
+QUERY_CHUNK = 1024
+
+
+def _distances(qmat: np.ndarray, mat: np.ndarray, metric: str) -> np.ndarray:
+    """Distances of every query row to every memory row, O(q x n) memory (no q x n x d array)."""
+    if metric == "cosine":
+        return 1.0 - qmat @ mat.T
+    d2 = (qmat * qmat).sum(1)[:, None] + (mat * mat).sum(1)[None, :] - 2.0 * (qmat @ mat.T)
+    return np.sqrt(np.maximum(d2, 0.0))
+
+
+def _unit(mat: np.ndarray) -> np.ndarray:
+    return mat / np.maximum(np.linalg.norm(mat, axis=1, keepdims=True), 1e-12)
+
+
 def _local_topk(queries: pd.DataFrame, k: int, metric: str, exclude_self: bool):
-    """Per-batch scorer: memories (user, id, vec) against the broadcast queries of the same user."""
+    """Per-batch scorer: memories (user, id, vec) against the shipped queries of the same user;
+    emits only a local top-k per query (ties at the k-th distance kept)."""
     q_by_user = {}
     for user, grp in queries.groupby("user"):
         mat = np.stack([np.asarray(v, dtype=np.float64) for v in grp["vec"]])
-        if metric == "cosine":
-            mat = mat / np.maximum(np.linalg.norm(mat, axis=1, keepdims=True), 1e-12)
-        q_by_user[user] = (grp["query_id"].to_numpy(), grp["source_id"].to_numpy(), mat)
+        q_by_user[user] = (grp["query_id"].to_numpy(), grp["source_id"].to_numpy(),
+                           _unit(mat) if metric == "cosine" else mat)
 
     def run(batches):
         for pdf in batches:
@@ -111,27 +127,23 @@ def _local_topk(queries: pd.DataFrame, k: int, metric: str, exclude_self: bool):
             for user, grp in pdf.groupby("user"):
                 if user not in q_by_user:
                     continue
-                qids, sources, qmat = q_by_user[user]
+                qids, sources, qall = q_by_user[user]
                 mat = np.stack([np.asarray(v, dtype=np.float64) for v in grp["vec"]])
-                ids = grp["id"].to_numpy()
                 if metric == "cosine":
-                    mat = mat / np.maximum(np.linalg.norm(mat, axis=1, keepdims=True), 1e-12)
-                    dist = 1.0 - qmat @ mat.T
-                else:
-                    diff = qmat[:, None, :] - mat[None, :, :]
-                    dist = np.sqrt(np.einsum("qnd,qnd->qn", diff, diff))
-                if exclude_self:
-                    dist = np.where(sources[:, None] == ids[None, :], np.inf, dist)
-                kk = min(k, dist.shape[1])
-                for qi in range(dist.shape[0]):
-                    row = dist[qi]
-                    idx = np.argpartition(row, kk - 1)[:kk] if kk < len(row) else np.arange(len(row))
-                    # keep ties at the k-th distance so the global (distance, id) order is exact
-                    cut = row[idx].max()
-                    idx = np.nonzero(row <= cut)[0]
-                    for j in idx:
-                        if np.isfinite(row[j]):
-                            out.append((int(qids[qi]), user, int(ids[j]), float(row[j])))
+                    mat = _unit(mat)
+                ids = grp["id"].to_numpy()
+                for c0 in range(0, len(qids), QUERY_CHUNK):
+                    dist = _distances(qall[c0:c0 + QUERY_CHUNK], mat, metric)
+                    if exclude_self:
+                        dist = np.where(sources[c0:c0 + QUERY_CHUNK, None] == ids[None, :], np.inf, dist)
+                    kk = min(k, dist.shape[1])
+                    for qi in range(dist.shape[0]):
+                        row = dist[qi]
+                        idx = np.argpartition(row, kk - 1)[:kk] if kk < len(row) else np.arange(len(row))
+                        cut = row[idx].max()
+                        for j in np.nonzero(row <= cut)[0]:
+                            if np.isfinite(row[j]):
+                                out.append((int(qids[c0 + qi]), user, int(ids[j]), float(row[j])))
             yield pd.DataFrame(out, columns=["query_id", "user", "id", "distance"])
 
     return run
@@ -144,26 +156,29 @@ def knn(memories: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str
     ``memories(user, id, vec)``; ``queries(query_id, user, vec, source_id)``. ``exclude_self``
     drops the memory whose id equals the query's source_id. Output: query_id, user, id,
     distance, rank (ties broken by id).
+
+    Queries are shipped to the tasks in blocks of at most QUERY_BLOCK_ROWS (checked); more
+    queries are cut into hash blocks and each block is one scan of the memories, so no
+    (query, memory) pair is ever a row.
     """
     q = queries.select("query_id", "user", "vec", F.col("source_id"))
+    mem = memories.select("user", "id", "vec")
+    out_schema = "query_id long, user string, id long, distance double"
     if fits(q, QUERY_BLOCK_ROWS):
-        block = q.toPandas()  # bounded by the check above
-        scored = memories.select("user", "id", "vec").mapInPandas(
-            _local_topk(block, k, metric, exclude_self),
-            "query_id long, user string, id long, distance double")
+        blocks = [q]
     else:
-        j = memories.select("user", "id", F.col("vec").alias("mvec")).join(q, "user")
-        if exclude_self:
-            j = j.filter(F.col("id") != F.col("source_id"))
-        if metric == "cosine":
-            dot = F.aggregate(F.zip_with("vec", "mvec", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-            na = F.sqrt(F.aggregate(F.transform("vec", lambda a: a * a), F.lit(0.0), lambda s, x: s + x))
-            nb = F.sqrt(F.aggregate(F.transform("mvec", lambda a: a * a), F.lit(0.0), lambda s, x: s + x))
-            dist = F.lit(1.0) - dot / (na * nb)
-        else:
-            dist = F.sqrt(F.aggregate(F.zip_with("vec", "mvec", lambda a, b: (a - b) * (a - b)),
-                                      F.lit(0.0), lambda s, x: s + x))
-        scored = j.select("query_id", "user", "id", dist.alias("distance"))
+        n_blocks = -(-q.count() // QUERY_BLOCK_ROWS)
+        while True:
+            hashed = q.withColumn("__blk", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)))
+            blocks = [hashed.filter(F.col("__blk") == b).drop("__blk") for b in range(n_blocks)]
+            if all(fits(b, 2 * QUERY_BLOCK_ROWS) for b in blocks):
+                break
+            n_blocks *= 2
+    parts = [mem.mapInPandas(_local_topk(b.toPandas(), k, metric, exclude_self), out_schema)
+             for b in blocks]  # each block bounded by the checks above
+    scored = parts[0]
+    for p in parts[1:]:
+        scored = scored.unionByName(p)
     w = Window.partitionBy("query_id").orderBy(F.col("distance").asc(), F.col("id").asc())
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= int(k))
 
@@ -189,9 +204,7 @@ def best_template(rows: DataFrame, templates: DataFrame, max_distance: float | N
     by_user = {}
     for user, grp in block.groupby("user"):
         mat = np.stack([np.asarray(v, dtype=np.float64) for v in grp["vec"]])
-        if metric == "cosine":
-            mat = mat / np.maximum(np.linalg.norm(mat, axis=1, keepdims=True), 1e-12)
-        by_user[user] = (grp["template_id"].to_numpy(), mat)
+        by_user[user] = (grp["template_id"].to_numpy(), _unit(mat) if metric == "cosine" else mat)
     limit = None if max_distance is None else float(max_distance)
 
     def run(batches):
@@ -203,12 +216,7 @@ def best_template(rows: DataFrame, templates: DataFrame, max_distance: float | N
                     continue
                 ids, tmat = by_user[user]
                 mat = np.stack([np.asarray(v, dtype=np.float64) for v in grp["vec"]])
-                if metric == "cosine":
-                    mat = mat / np.maximum(np.linalg.norm(mat, axis=1, keepdims=True), 1e-12)
-                    d = 1.0 - mat @ tmat.T
-                else:
-                    diff = mat[:, None, :] - tmat[None, :, :]
-                    d = np.sqrt(np.einsum("ntd,ntd->nt", diff, diff))
+                d = _distances(_unit(mat) if metric == "cosine" else mat, tmat, metric)
                 # nearest, ties to the lowest template id
                 order = np.lexsort((np.broadcast_to(ids, d.shape), d), axis=1)[:, 0]
                 best_d = d[np.arange(len(d)), order]

@@ -36,16 +36,24 @@ def test_order_of_input_does_not_matter(spark):
     assert a == b
 
 
-def test_knn_paths_agree(spark, monkeypatch):
+def test_knn_blocks_agree_with_brute_force(spark, monkeypatch):
     rnd = random.Random(5)
     mem = spark.createDataFrame([(f"u{i % 3}", i, [rnd.random() for _ in range(8)]) for i in range(120)],
                                 "user string, id long, vec array<double>")
     q = spark.createDataFrame([(1000 + i, f"u{i % 3}", [rnd.random() for _ in range(8)], None) for i in range(6)],
                               "query_id long, user string, vec array<double>, source_id long")
     block = sorted((r.query_id, r.id, r["rank"]) for r in memory.knn(mem, q, k=4).collect())
-    monkeypatch.setattr(memory, "QUERY_BLOCK_ROWS", 1)
-    joined = sorted((r.query_id, r.id, r["rank"]) for r in memory.knn(mem, q, k=4).collect())
-    assert block == joined and len(block) == 24
+    monkeypatch.setattr(memory, "QUERY_BLOCK_ROWS", 2)
+    monkeypatch.setattr(memory, "QUERY_CHUNK", 1)
+    blocked = sorted((r.query_id, r.id, r["rank"]) for r in memory.knn(mem, q, k=4).collect())
+    assert block == blocked and len(block) == 24
+    # brute force
+    ms = [(r.user, r.id, r.vec) for r in mem.collect()]
+    want = []
+    for r in q.collect():
+        d = sorted((sum((a - b) ** 2 for a, b in zip(r.vec, v)) ** 0.5, i) for u, i, v in ms if u == r.user)
+        want += [(r.query_id, i, n + 1) for n, (_, i) in enumerate(d[:4])]
+    assert block == sorted(want)
 
 
 def test_result_lines(spark):
