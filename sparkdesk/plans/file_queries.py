@@ -175,9 +175,8 @@ FROM documents WHERE {_KIND} = 4 ORDER BY name LIMIT 100
 def list_by_type(spark, sf_dir):
     """The first 100 PDF files of the staged folder, by name (type from the first bytes)."""
     root = staging.document_files(spark, sf_dir)
-    m = filesrc.directory_manifest(spark, root, recursive=True)
-    content = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "content")
-    typed = m.join(content, "path").select("name", "rel_path", "path", fileops.sniff_mime("content").alias("mime"))
+    m = filesrc.directory_manifest(spark, root, recursive=True, with_content=True)
+    typed = m.select("name", "rel_path", "path", fileops.sniff_mime("content").alias("mime"))
     return fileops.list_by_type(typed, "PDF").select("name", "rel_path", "mime")
 
 

@@ -42,19 +42,20 @@ def _listing(spark: SparkSession, path: str, with_content: bool = False) -> Data
 
 
 def directory_manifest(spark: SparkSession, path: str, recursive: bool = False, extensions=None,
-                       ignore: list | None = None) -> DataFrame:
+                       ignore: list | None = None, with_content: bool = False) -> DataFrame:
     """Files under ``path`` (flat or recursive) as (path, name, rel_path, length, modificationTime).
 
     Hidden files and folders are skipped, so are names in ``ignore`` (folders and file names);
     ``extensions`` (list or comma text, always lower-cased and trimmed) keeps files whose
-    lower-cased name ends with one of them.
+    lower-cased name ends with one of them. ``with_content`` also reads the bytes (one pass
+    for jobs that need both the listing rules and the content).
     """
     if isinstance(extensions, str):
         extensions = extensions.split(",")
     exts = [e.strip().lower() for e in (extensions or []) if e and e.strip()]
     ignore = list(ignore or [])
     root = path.rstrip("/")
-    df = _listing(spark, root)
+    df = _listing(spark, root, with_content=with_content)
     rel = F.regexp_replace(F.col("path"), r"^.*?" + _quote_root(root) + "/", "")
     df = df.withColumn("rel_path", rel).withColumn("parts", F.split("rel_path", "/"))
     df = df.withColumn("name", F.element_at("parts", -1))
@@ -69,7 +70,8 @@ def directory_manifest(spark: SparkSession, path: str, recursive: bool = False,
         for e in exts:
             cond = cond | low.endswith(e)
         df = df.filter(cond)
-    return df.select("path", "name", "rel_path", "length", "modificationTime")
+    return df.select("path", "name", "rel_path", "length", "modificationTime",
+                     *(["content"] if with_content else []))
 
 
 def _quote_root(root: str) -> str:
