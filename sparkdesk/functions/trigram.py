@@ -11,7 +11,6 @@ written with array functions for identifier-sized text and as an Arrow-batched p
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -91,18 +90,10 @@ def best_extent_similarity(term_set, target_list) -> float:
     return best
 
 
-def _word_similarity_batch(term_sets: pd.Series, target_lists: pd.Series) -> pd.Series:
-    return pd.Series([best_extent_similarity(a, b) for a, b in zip(term_sets, target_lists)], dtype="float64")
-
-
-# Arrow-batched form for long targets (many trigrams): one linear pass per start.
-word_similarity_long = F.pandas_udf(_word_similarity_batch, DoubleType())
-
-
 def word_similarity_arrays(a_set: Column, t_list: Column) -> Column:
     """Native form: every run that starts and ends on a trigram of A is scored with array
     functions (JVM-side). Cost grows with (matching positions)^2 x length, so it suits
-    identifier-sized text; ``word_similarity_long`` is the linear-pass form for long text."""
+    identifier-sized text; ``add_run_similarity`` is the linear-pass form for long text."""
     n_a = F.size(a_set)
     n = F.size(t_list)
     hit = lambda i: F.array_contains(a_set, F.element_at(t_list, i))
@@ -192,25 +183,6 @@ def py_trigram_set(text, fold_upper: bool = False) -> list:
     return list(out)
 
 
-def with_trigram_sets(df: DataFrame, specs: list, fold_upper: bool = False) -> DataFrame:
-    """Adds, per (text column, out), the distinct trigram set of the text as array<string>.
-
-    Higher-order array functions run interpreted; for long text one Arrow-batched pass in
-    Python over each partition is several times faster, so the large side of a search uses this.
-    """
-    from pyspark.sql.types import ArrayType, StringType
-
-    schema = StructType(list(df.schema.fields) + [StructField(o, ArrayType(StringType())) for _, o in specs])
-
-    def run(batches):
-        for pdf in batches:
-            for c, o in specs:
-                pdf[o] = [py_trigram_set(x, fold_upper) for x in pdf[c]]
-            yield pdf
-
-    return df.mapInPandas(run, schema)
-
-
 def _code(g: str) -> int:
     """A trigram as one integer: three code points (< 2**21 each) in 63 bits, no collisions."""
     return (ord(g[0]) << 42) | (ord(g[1]) << 21) | ord(g[2])

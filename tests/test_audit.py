@@ -1,4 +1,3 @@
-import pytest
 
 from sparkdesk.operators.audit import audit_queries
 

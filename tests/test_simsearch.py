@@ -1,4 +1,3 @@
-import itertools
 
 import pytest
 from pyspark.sql import functions as F
