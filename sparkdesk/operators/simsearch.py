@@ -29,7 +29,7 @@ from pyspark.sql.types import StringType, StructType
 
 from ..functions.text import score_text
 from ..functions.trigram import add_run_similarity, similarity_from_counts, trigram_codes, with_trigram_codes
-from ..session import fits, spread_small
+from ..session import fits, spread_small, task_slots
 
 # Defaults of a request.
 DEFAULT_K = 1
@@ -107,8 +107,8 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
                         name_expr.alias("name"))
     # The trigram sets are the Python-heavy step: an input with fewer partitions than task slots
     # (one small file) is spread first; a large input keeps its scan partitions.
-    slots = ent.sparkSession.sparkContext.defaultParallelism
     ent = spread_small(ent, "id")
+    slots = task_slots(ent.sparkSession)
     # each row's trigram sets, computed once per row (never per candidate pair)
     ent_sets = with_trigram_codes(ent, [(f"t{i}", f"b{i}", False) for i in range(n_cols)], fold_upper=fold_upper)
     t_frac = float(max(min_pct, 0.0)) / 100.0

@@ -39,14 +39,21 @@ def local_session(cpus: int | str = "*", app: str = "sparkdesk", extra: dict | N
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; set a private one only if none is configured."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no context: use the configured folder
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="sparkdesk-ckpt-")
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", configured)
+    if sc is None:
+        return configured
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
@@ -89,7 +96,18 @@ def spread_small(df: DataFrame, key: str | None = None) -> DataFrame:
     so this costs nothing at scale. Streaming inputs are left alone."""
     if df.isStreaming:
         return df
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= slots:
+            return df
+    except Exception:  # no RDD view (e.g. a remote session): leave the plan as it is
         return df
     return df.repartition(slots, key) if key else df.repartition(slots)
+
+
+def task_slots(spark: SparkSession) -> int:
+    """Parallel task slots of the cluster (falls back to the shuffle partition count)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
