@@ -163,10 +163,9 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
     cand = cand.filter(best_shared * 100.0 >= F.lit(float(min_pct)) * F.col("n_a") - F.lit(1e-9))
 
     if use_word_similarity:
-        # word similarity as plain top-level columns of their own projection
-        # arrays first, as columns, so the run search reads them instead of recomputing them
-        # CPU-heavy per row: spread the (small, post-bound) candidates over every task slot, as
-        # the adaptive planner would otherwise pack them into a few partitions by byte size
+        # CPU-heavy per row: spread the (post-bound) candidates over every task slot, as the
+        # adaptive planner would otherwise pack them into a few partitions by byte size; the
+        # ordered trigram codes of each text, then one linear run search per pair
         cand = cand.repartition(slots)
         cand = with_trigram_codes(cand, [(f"t{i}", f"l{i}", True) for i in range(n_cols)], fold_upper=fold_upper)
         cand = add_run_similarity(cand, [("a_set", f"l{i}", f"w{i}") for i in range(n_cols)])
