@@ -30,3 +30,24 @@ def test_memory_fold_stream_equals_batch(spark, tmp_path):
     live = sorted((r.memory_id, r.user_id, r.content) for r in streams.live_memories(spark, root).collect())
     batch = memory.fold_state(memory.fold_status(spark.createDataFrame(LOG, SCHEMA)))
     assert live == sorted((r.memory_id, r.user_id, r.content) for r in batch.collect())
+
+
+def test_governed_and_items_streams(spark, tmp_path):
+    from sparkdesk.operators.governed import AccessContext, TenantColumns
+
+    src = tmp_path / "c"
+    spark.read.parquet("/root/testdata/sf0.001/customer.parquet").write.parquet(str(src))
+    schema = spark.read.parquet(str(src)).schema
+    stream = spark.readStream.schema(schema).parquet(str(src))
+    ctx = AccessContext(clients=("BUILDING",), orgs=(1, 2, 3), tables=frozenset({"customer"}))
+    gov = streams.governed_stream(stream, TenantColumns("c_mktsegment", "c_nationkey"), ctx)
+    q = (streams.items_stream(gov).writeStream.format("memory").queryName("items_out")
+         .option("checkpointLocation", str(tmp_path / "ck3")).start())
+    q.processAllAvailable()
+    q.stop()
+    import json
+
+    items = [json.loads(r.item) for r in spark.sql("SELECT * FROM items_out").collect()]
+    assert items and all(i["c_mktsegment"] == "BUILDING" and i["c_nationkey"] in (1, 2, 3) for i in items)
+    want = spark.read.parquet(str(src)).filter("c_mktsegment = 'BUILDING' AND c_nationkey IN (1, 2, 3)").count()
+    assert len(items) == want
