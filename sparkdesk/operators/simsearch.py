@@ -29,7 +29,7 @@ from pyspark.sql.types import StringType, StructType
 
 from ..functions.text import score_text
 from ..functions.trigram import add_run_similarity, similarity_from_counts, trigram_codes, with_trigram_codes
-from ..session import fits, spread_small, task_slots
+from ..session import cut_lineage, fits, spread_small, task_slots
 
 # Defaults of a request.
 DEFAULT_K = 1
@@ -80,7 +80,7 @@ def normalise_items(items: DataFrame) -> DataFrame:
 def similarity_search(entity: DataFrame, id_col: str, columns: list, items: DataFrame,
                       min_pct: float = DEFAULT_MIN_PCT, k: int = DEFAULT_K,
                       use_word_similarity: bool = True, label: Column | None = None,
-                      fold_upper: bool = True) -> DataFrame:
+                      fold_upper: bool = True, checkpoint_sets: bool = True) -> DataFrame:
     """Top-k entity rows per item. ``columns`` are identifier column names or Columns; when it
     is empty, ``label`` is scored instead (B12). ``items(item_index, term)``.
 
@@ -109,8 +109,12 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
     # (one small file) is spread first; a large input keeps its scan partitions.
     ent = spread_small(ent, "id")
     slots = task_slots(ent.sparkSession)
-    # each row's trigram sets, computed once per row (never per candidate pair)
+    # each row's trigram sets, computed once per row (never per candidate pair); the Python pass
+    # costs far more than writing its result, and three steps below read it, so it is written
+    # once to the shared checkpoint folder (a reliable checkpoint: lost executors re-read it)
     ent_sets = with_trigram_codes(ent, [(f"t{i}", f"b{i}", False) for i in range(n_cols)], fold_upper=fold_upper)
+    if checkpoint_sets:
+        ent_sets = cut_lineage(ent_sets)
     t_frac = float(max(min_pct, 0.0)) / 100.0
     if not use_word_similarity and t_frac > 0:
         # Length bound (exact for plain similarity): s / (n_a + n_b - s) >= t with s <= n_a needs
@@ -149,7 +153,9 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
         s_min = F.ceil(F.lit(t_frac) * (F.col("n_a") + F.col("n_b")) / F.lit(1.0 + t_frac) - F.lit(1e-9))
         cand_pairs = cand_pairs.filter((F.col("n_b") * t_frac <= F.col("n_a") + F.lit(1e-9))
                                        & (F.col("r") <= F.col("n_a") - s_min + 1))
-    cand = cand_pairs.select("item_index", "id").distinct()
+    # the recount below is CPU-bound: fix the pair partitioning at the task-slot count (the same
+    # hash partitioning serves the distinct, and the adaptive planner does not pack it)
+    cand = cand_pairs.select("item_index", "id").repartition(slots, "item_index", "id").distinct()
 
     # survivors get texts (entity by id; AQE broadcasts from the measured size of the candidates
     # when it can) and the term's set (checked-small batch), then an exact recount per column
