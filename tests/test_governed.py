@@ -114,3 +114,11 @@ def test_relaxed_search_stages(spark):
     terms = spark.createDataFrame([("a", "white t-shirt"), ("b", "Wite T-Shirt"), ("c", "zz")], "term_id string, term string")
     got = sorted((r.term_id, r.id, r.stage) for r in rules.relaxed_search(ent, "id", "name", terms).collect())
     assert got == [("a", 1, 1), ("b", 1, 2)]
+
+
+def test_rows_as_json(session):
+    from sparkdesk.operators.governed import rows_as_json
+
+    df = run_select(session, "SELECT n.n_nationkey, n.n_name FROM nation n WHERE n.n_nationkey < 2", CTX)
+    rows = sorted(r.row for r in rows_as_json(df).collect())
+    assert rows == ['["0","NATION_0"]', '["1","NATION_1"]']
