@@ -88,15 +88,15 @@ def task_table(items: DataFrame, question: str, agent_id: str, task_type: str |
     return items.select(
         *([F.col(ordinal).alias("item_no")] if ordinal else []),
         F.lit(ttype).alias("taskType"), F.lit(tstatus).alias("status"),
-        F.concat_ws(":", F.lit(question), F.col(item_col)).alias("etcopQuestion"),
-        F.lit(agent_id).alias("eTCOPAgent"), F.lit(group).alias("etcopGroup"))
+        F.concat_ws(":", F.lit(question), F.col(item_col)).alias("question"),
+        F.lit(agent_id).alias("agent"), F.lit(group).alias("group_id"))
 
 
 def write_tasks(tasks: DataFrame, path: str) -> None:
     """Idempotent bulk sink. Partitioned by group; re-running a batch replaces only that
     group's partition (dynamic overwrite), never a content hash: equal rows stay separate tasks."""
     (tasks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("etcopGroup").parquet(path))
+     .partitionBy("group_id").parquet(path))
 
 
 def get_or_create(names: DataFrame, dimension: DataFrame, new_id: Column | None = None,

@@ -44,8 +44,8 @@ CONVERSATION = "CONV0001"
 
 @query("task_table", f"""
 SELECT c_custkey AS item_no, '{workitems.TASK_TYPE_DEFAULT}' AS taskType, '{workitems.TASK_STATUS_DEFAULT}' AS status,
-       '{QUESTION}:' || to_json({_CUST_JSON}) AS etcopQuestion, '{AGENT}' AS eTCOPAgent,
-       '{CONVERSATION}' AS etcopGroup
+       '{QUESTION}:' || to_json({_CUST_JSON}) AS question, '{AGENT}' AS agent,
+       '{CONVERSATION}' AS group_id
 FROM customer
 """)
 def task_table(spark, sf_dir):
@@ -58,7 +58,7 @@ def task_table(spark, sf_dir):
     path = fresh_shared_path(spark, "tasks")
     workitems.write_tasks(tasks, path)
     back = spark.read.parquet(path)
-    return back.select("item_no", "taskType", "status", "etcopQuestion", "eTCOPAgent", "etcopGroup")
+    return back.select("item_no", "taskType", "status", "question", "agent", "group_id")
 
 
 _DIM = [("TT-001", "view"), ("TT-002", "click")]

@@ -56,7 +56,7 @@ def test_unknown_group_key(spark):
 def test_task_defaults(spark):
     items = spark.createDataFrame([("x",)], "item string")
     t = workitems.task_table(items, "Q", "AG", task_type="", status="", group_id="", conversation_id="C1").first()
-    assert (t.taskType, t.status, t.etcopQuestion, t.etcopGroup) == (
+    assert (t.taskType, t.status, t.question, t.group_id) == (
         workitems.TASK_TYPE_DEFAULT, workitems.TASK_STATUS_DEFAULT, "Q:x", "C1")
 
 
