@@ -111,3 +111,39 @@ def task_slots(spark: SparkSession) -> int:
         return int(spark.sparkContext.defaultParallelism)
     except Exception:
         return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sparkdesk`` importable in the Python workers of this application: the package is
+    zipped once into the shared folder and added with ``addPyFile`` (Spark copies it to every
+    executor). Not needed when the package is installed on the cluster's Python."""
+    import io
+    import zipfile
+
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # remote session: the package must be installed where the workers run
+        return
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    zf.write(full, os.path.join("sparkdesk", os.path.relpath(full, root)))
+    from .sources.blobs import _fs
+
+    target = shared_path(spark, f"pkg-{uuid.uuid4().hex[:8]}", "sparkdesk.zip")
+    fs, inner = _fs(target)
+    fs.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    with fs.open_output_stream(inner, compression=None) as fh:
+        fh.write(buf.getvalue())
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
