@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from sparkdesk.plans import registry, staging  # noqa: E402
-from sparkdesk.session import local_session, table  # noqa: E402
+from sparkdesk.session import local_session, ship_package, table  # noqa: E402
 
 
 def main() -> None:
@@ -23,6 +23,7 @@ def main() -> None:
     only = [k for k in os.environ.get("BENCH_QUERIES", "").split(",") if k]
     spark = local_session(cpus, app="sparkdesk-bench")
     registry.load_all()
+    ship_package(spark)  # the staging below already runs Python in the workers
 
     # warm-up (JVM, Python workers), not timed
     table(spark, sf_dir, "nation").write.format("noop").mode("overwrite").save()
