@@ -1 +1,185 @@
-"""To be written."""
+"""Embedding near-duplicates by E8 lattice hashing.
+
+Unit vectors are projected by random Gaussian matrices to 8 dimensions, scaled and shifted, and decoded to the
+nearest point of the E8 lattice; its hash is the vector's *home* cell in that table. Besides its home a
+vector visits the next nearest lattice cells. Two vectors meet where one's home is the other's home or
+visited cell, and every pair that meets is verified by the exact cosine in double precision.
+
+* Equal vectors are one class and never paired.
+* A pair may meet in several tables. Each vector carries its cells, so a task can tell whether a pair
+  met already in an earlier table (or in the other's home of the same one) and counts it only where it met
+  first: links are counted inside the tasks, no pair is written out. Tasks return counts and the edges of a
+  spanning forest.
+* Cells with many members are split into blocks, and each pair of blocks is a group of its own.
+
+Every vector is indexed. Parameters (TABLES, VISITS, SCALE) are chosen for a recall above 0.99 at cosine 0.9.
+
+Defined results: vectors that are null, empty, zero or hold null or non-finite components link with nothing and
+are their own component; vectors of different lengths never link; repeated rows are one class and link
+with each other; a null vec_id takes part, but is never a component's id.
+"""
+
+from __future__ import annotations
+
+import functools
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import mix64, written
+from .components import components, local_forest
+
+TABLES, VISITS, SCALE = 8, 3, 0.36
+BLOCK = 400
+
+
+@functools.lru_cache(maxsize=8)
+def projections(dim: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(dim)
+    return rng.standard_normal((TABLES, dim, 8)), rng.random((TABLES, 8))
+
+
+def nearest_d8(x: np.ndarray) -> np.ndarray:
+    """The nearest integer points with an even sum."""
+    r = np.rint(x)
+    gap = x - r
+    worst = np.argmax(np.abs(gap), axis=1)
+    odd = (r.sum(axis=1) % 2) != 0
+    i = np.flatnonzero(odd)
+    r[i, worst[i]] += np.where(gap[i, worst[i]] >= 0, 1.0, -1.0)
+    return r
+
+
+def nearest_e8(x: np.ndarray) -> np.ndarray:
+    """The nearest points of E8: even integer points, or those shifted by one half."""
+    a, b = nearest_d8(x), nearest_d8(x - 0.5) + 0.5
+    return np.where((((x - a) ** 2).sum(axis=1) <= ((x - b) ** 2).sum(axis=1))[:, None], a, b)
+
+
+@functools.lru_cache(maxsize=1)
+def shortest() -> np.ndarray:
+    """The 240 shortest vectors of E8: the steps to the neighbouring cells."""
+    out = []
+    for i in range(8):
+        for j in range(i):
+            for a in (-1, 1):
+                for b in (-1, 1):
+                    v = np.zeros(8)
+                    v[i], v[j] = a, b
+                    out.append(v)
+    for k in range(256):
+        v = np.array([0.5 if k >> i & 1 else -0.5 for i in range(8)])
+        if v.sum() % 2 == 0:
+            out.append(v)
+    return np.array(out)
+
+
+def cell_hash(points: np.ndarray, table: int, dim: int) -> np.ndarray:
+    h = np.full(len(points), np.uint64(table * 1_000_003 + dim))
+    for c in np.rint(points * 2).astype(np.int64).T.view(np.uint64):
+        h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + c)
+    return h
+
+
+def cells(unit: np.ndarray) -> np.ndarray:
+    """(vectors, tables, 1 + visits) cell hashes, the home cell first."""
+    dim = unit.shape[1]
+    matrices, shifts = projections(dim)
+    out = np.empty((len(unit), TABLES, 1 + VISITS), np.uint64)
+    for t in range(TABLES):
+        y = unit @ matrices[t] * SCALE + shifts[t]
+        home = nearest_e8(y)
+        out[:, t, 0] = cell_hash(home, t, dim)
+        # distance to home + s is |y - home|^2 + 2 - 2 (y - home).s: the largest products are nearest
+        order = np.argsort(-((y - home) @ shortest().T), axis=1, kind="stable")[:, :VISITS]
+        for v in range(VISITS):
+            out[:, t, 1 + v] = cell_hash(home + shortest()[order[:, v]], t, dim)
+    return out
+
+
+def unit_rows(vectors) -> np.ndarray:
+    x = np.array([np.asarray(v, np.float64) for v in vectors])
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def hashed(classes: DataFrame) -> DataFrame:
+    """classes (cid, embedding, size) + cells (flat, table by table)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for _, same in pdf.groupby(pdf["embedding"].map(len)):
+                c = cells(unit_rows(same["embedding"])).reshape(len(same), -1).view(np.int64)
+                yield same.assign(cells=list(c))
+
+    return classes.mapInPandas(run, "cid long, embedding array<double>, size long, cells array<long>")
+
+
+def meets_first(cells_a: np.ndarray, cells_b: np.ndarray, table: int, cell: int) -> np.ndarray:
+    """For pairs (row by row): is (table, cell) the first place where the two meet?"""
+    a, b = (c.reshape(len(c), TABLES, 1 + VISITS) for c in (cells_a, cells_b))
+    at_a = (b == a[:, :, :1]).any(axis=2)  # b comes to a's home
+    at_b = (a == b[:, :, :1]).any(axis=2)
+    earlier = (at_a[:, :table] | at_b[:, :table]).any(axis=1)
+    home_a, home_b = a[:, table, 0], b[:, table, 0]
+    place = np.where(at_a[:, table] & (~at_b[:, table] | (home_a <= home_b)), home_a, home_b)
+    return ~earlier & (place == cell)
+
+
+def linked_in_cell(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Counts of links (a, k) and forest edges (a, b) of one pair of blocks of one cell."""
+    table, cell, p, q = (int(pdf[c].iloc[0]) for c in ("t", "cell", "p", "q"))
+    unit, ids = unit_rows(pdf["embedding"]), pdf["cid"].to_numpy()
+    sets, size = np.array(pdf["cells"].tolist(), np.int64), pdf["size"].to_numpy()
+    home, block = pdf["home"].to_numpy(bool), pdf["block"].to_numpy()
+    count = np.zeros(len(ids), np.int64)
+    edges = []
+    for s in range(0, len(ids), 256):
+        i, j = np.nonzero(unit[s:s + 256] @ unit.T >= threshold)
+        i += s
+        ok = (ids[i] < ids[j]) & (home[i] | home[j]) & ((p == q) | (block[i] != block[j]))
+        i, j = i[ok], j[ok]
+        ok = meets_first(sets[i], sets[j], table, cell)
+        i, j = i[ok], j[ok]
+        np.add.at(count, i, size[j])
+        np.add.at(count, j, size[i])
+        edges.append(pd.DataFrame({"a": ids[i], "b": ids[j]}))
+    some = np.flatnonzero(count)
+    forest = next(local_forest(iter(edges)))
+    return pd.concat([pd.DataFrame({"a": ids[some], "b": -1, "k": count[some]}), forest.assign(k=0)])[["a", "b", "k"]].astype("int64")
+
+
+def near_duplicates(table: DataFrame, threshold: float = 0.9, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """key, n_links, component_id, kept for every row."""
+    v = F.col(vector).cast("array<double>")
+    good = F.coalesce((F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+                      & F.exists(v, lambda x: x != 0), F.lit(False))
+    rows = table.select(F.col(key).alias("id"), F.when(good, v).alias("embedding"))
+    rows = rows.withColumn("e1", F.xxhash64("embedding")).withColumn("e2", F.xxhash64(F.lit(1), "embedding"))
+    classes = (rows.where("embedding is not null").groupBy("e1", "e2")
+               .agg(F.count("*").alias("size"), F.min("id").alias("least"), F.first("embedding").alias("embedding")))
+    classes = written(classes.withColumn("cid", F.monotonically_increasing_id()), "vector-classes")
+    indexed = written(hashed(classes.select("cid", "embedding", "size")), "vector-cells")
+    visits = indexed.select("cid", F.posexplode("cells").alias("slot", "cell")).select(
+        "cid", F.expr(f"slot div {1 + VISITS}").alias("t"), "cell", (F.col("slot") % (1 + VISITS) == 0).alias("home"))
+    busy = (visits.groupBy("t", "cell").agg(F.count("*").alias("k"), F.max("home").alias("any_home"))
+            .where("k > 1 and any_home").select("t", "cell", F.expr(f"(k + {BLOCK - 1}) div {BLOCK}").alias("blocks")))
+    met = visits.join(busy, ["t", "cell"]).withColumn("block", F.pmod(F.xxhash64("cid"), "blocks"))
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    met = met.select("cid", "t", "cell", "home", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
+    parts = table.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    found = written(met.join(indexed, "cid").repartition(int(parts), "t", "cell", "p", "q").groupBy("t", "cell", "p", "q")
+                    .applyInPandas(lambda pdf: linked_in_cell(pdf, threshold), "a long, b long, k long"), "vector-links")
+    counts = found.where("b < 0").groupBy("a").agg(F.sum("k").alias("k"))
+    labels = components(found.where("b >= 0").select("a", "b"))
+    classes = classes.select("cid", "e1", "e2", "size", "least").join(labels, F.col("cid") == labels["node"], "left").withColumn("label", F.coalesce("label", "cid"))
+    classes = written(classes.join(counts, F.col("cid") == counts["a"], "left").select(
+        "e1", "e2", "label", "least", (F.col("size") - 1 + F.coalesce("k", F.lit(0))).alias("n_links")), "vector-groups")
+    groups = classes.groupBy("label").agg(F.min("least").alias("component_id"))
+    known = classes.join(groups, "label").select("e1", "e2", "n_links", "component_id")
+    out = rows.withColumn("ok", F.col("embedding").isNotNull()).drop("embedding").join(known, ["e1", "e2"], "left")
+    out = out.select(F.col("id").alias(key), F.when(F.col("ok"), F.col("n_links")).otherwise(F.lit(0)).alias("n_links"),
+                     F.when(F.col("ok"), F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    return out.withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
