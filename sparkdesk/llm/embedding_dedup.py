@@ -12,7 +12,8 @@ visited cell, and every pair that meets is verified by the exact cosine in doubl
   spanning forest.
 * Cells with many members are split into blocks, and each pair of blocks is a group of its own.
 
-Every vector is indexed. Parameters (TABLES, VISITS, SCALE) are chosen for a recall above 0.99 at cosine 0.9.
+Every vector is indexed. Parameters (TABLES, VISITS, SCALE) give a measured recall of 0.966 for pairs at
+cosine 0.9 exactly (random 64-dimensional pairs) and above 0.999 at 0.97, against 0.0016 chance meetings a table.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link with nothing and
 are their own component; vectors of different lengths never link; repeated rows are one class and link
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import mix64, written
 from .components import components, local_forest
 
-TABLES, VISITS, SCALE = 8, 3, 0.36
+TABLES, VISITS, SCALE = 8, 3, 0.8
 BLOCK = 400
 
 
@@ -114,7 +115,8 @@ def hashed(classes: DataFrame) -> DataFrame:
                 c = cells(unit_rows(same["embedding"])).reshape(len(same), -1).view(np.int64)
                 yield same.assign(cells=list(c))
 
-    return classes.mapInPandas(run, "cid long, embedding array<double>, size long, cells array<long>")
+    kind = classes.schema["embedding"].dataType.simpleString()  # floats travel as floats and are compared as doubles
+    return classes.mapInPandas(run, f"cid long, embedding {kind}, size long, cells array<long>")
 
 
 def meets_first(cells_a: np.ndarray, cells_b: np.ndarray, table: int, cell: int) -> np.ndarray:
@@ -153,7 +155,8 @@ def linked_in_cell(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
 
 def near_duplicates(table: DataFrame, threshold: float = 0.9, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """key, n_links, component_id, kept for every row."""
-    v = F.col(vector).cast("array<double>")
+    v = F.col(vector)
+    v = v if table.schema[vector].dataType.simpleString() in ("array<float>", "array<double>") else v.cast("array<double>")
     good = F.coalesce((F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
                       & F.exists(v, lambda x: x != 0), F.lit(False))
     rows = table.select(F.col(key).alias("id"), F.when(good, v).alias("embedding"))
