@@ -231,8 +231,11 @@ def mixed_lists(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def star_pairs(entries: DataFrame, round_: int) -> DataFrame:
-    """Each class with the leader that most of its lists name (one pair for each class at most)."""
-    rank = F.struct(F.xxhash64(F.lit(round_), "cid").alias("h"), F.col("cid").alias("lead"), F.col("comp").alias("lead_comp"))
+    """Each class with the leader that most of its lists name (one pair for each class at most).
+
+    A list's leader is its class with the fewest shingles of its own, which among near copies is the one
+    nearest to their source."""
+    rank = F.struct((F.col("n") - F.col("held")).alias("own"), F.xxhash64(F.lit(round_), "cid").alias("h"), F.col("cid").alias("lead"), F.col("comp").alias("lead_comp"))
     leads = entries.where("level = 1").groupBy("token").agg(F.min(rank).alias("l")).select("token", "l.lead", "l.lead_comp")
     named = entries.where("level = 1").join(leads, "token").where("comp <> lead_comp").groupBy("cid", "lead").agg(F.count("*").alias("k"))
     best = named.groupBy("cid").agg(F.max(F.struct("k", "lead")).alias("t"))
@@ -241,12 +244,17 @@ def star_pairs(entries: DataFrame, round_: int) -> DataFrame:
 
 def remaining_pairs(entries: DataFrame) -> DataFrame:
     """All pairs of classes of different components that share enough prefix entries."""
-    small = entries.where("comp <> largest").select("token", *[F.col(c).alias(f"{c}_a") for c in ("cid", "comp", "n", "match", "level")])
-    other = entries.select("token", "largest", *[F.col(c).alias(f"{c}_b") for c in ("cid", "comp", "n", "match", "level")])
+    small = entries.where("comp <> largest").select("token", *[F.col(c).alias(f"{c}_a") for c in ("cid", "comp", "n", "held", "match", "place", "level")])
+    other = entries.select("token", "largest", *[F.col(c).alias(f"{c}_b") for c in ("cid", "comp", "n", "held", "match", "place", "level")])
+    # The t-th common entry of a linked pair stands where t - 1 + (shared shingles from there on) still reach the
+    # overlap asked for, on both sides; the first l common entries all do, so the others need not be counted.
+    left = "least(held_a - place_a, held_b - place_b) + least(match_a, match_b) - 1"
+    reach = F.expr(f"{100 + PERCENT} * ({left}) >= {PERCENT} * (n_a + n_b) and "
+                   f"{100 + PERCENT} * least(held_a, held_b) >= {PERCENT} * (n_a + n_b)")
     once = F.expr("comp_a <> comp_b and (comp_b = largest or cid_a < cid_b)")
     near = F.expr(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
     level = F.expr("greatest(level_a, level_b) <= least(match_a, match_b)")
-    met = small.join(other, "token").where(once & near & level)
+    met = small.join(other, "token").where(once & near & reach & level)
     pair = (F.least("cid_a", "cid_b").alias("a"), F.greatest("cid_a", "cid_b").alias("b"))
     return (met.groupBy(*pair).agg(F.count("*").alias("k"), F.max(F.expr("least(match_a, match_b)")).alias("need"))
             .where("k >= need").select("a", "b"))
@@ -263,8 +271,9 @@ def linked_classes(docs: DataFrame, text: str, total: int, n_docs: int, rounds:
         lambda pdf: shared_shingles(pdf, buckets), "bucket long, sigs binary, sizes binary, counts binary, hashes binary, dfs binary")
     classes = written(shared.repartition(max(parts, buckets), "bucket").groupBy("bucket").applyInPandas(
         prefixes, "cid long, s1 long, s2 long, n long, match int, shared binary, entries array<long>, levels array<int>"), "ngram-classes")
-    entries = classes.select("cid", "n", "match", F.explode(F.arrays_zip("entries", "levels")).alias("e")).select(
-        "cid", "n", "match", F.col("e.entries").alias("token"), F.col("e.levels").alias("level"))
+    entries = classes.select("cid", "n", (F.octet_length("shared") / 8).cast("long").alias("held"), "match",
+                             F.posexplode(F.arrays_zip("entries", "levels")).alias("place", "e")).select(
+        "cid", "n", "held", "match", "place", F.col("e.entries").alias("token"), F.col("e.levels").alias("level"))
     open_, links, labels = entries, None, None
     for r in range(rounds):
         open_ = written(mixed_lists(entries, labels), "ngram-lists")

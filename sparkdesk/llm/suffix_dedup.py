@@ -2,9 +2,9 @@
 
 A byte goes when a string of ``length`` bytes (default 400) over it also starts anywhere else in the corpus.
 
-1. **Anchors.** In every window of 400 bytes the smallest 32-byte hash (the leftmost of equals) is the
+1. **Anchors.** In every window of 400 bytes the smallest 160-byte hash (the leftmost of equals) is the
    window's anchor. Equal windows have equal anchors at the same offset, so only texts around equal anchors
-   have to meet. Windows that share one anchor position form a *context* (at most 768 bytes); each
+   have to meet. Windows that share one anchor position form a *context* (at most 640 bytes); each
    window lies in exactly one.
 2. Contexts are counted by (anchor, content hash). A context seen twice is repeated whole. An anchor with
    one context, seen once, is unique text and goes no further.
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import mix64, pieces, written
 
-GRAM = 32
+GRAM = 160  # long enough that a common line alone brings no texts together
 PIECE = 1 << 20
 CONTEXTS_PER_BUCKET = 1_000
 MAX_CONTEXTS = 200
@@ -230,12 +230,16 @@ def fetched(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 def repeated_ranges(docs: DataFrame, length: int, max_contexts: int) -> DataFrame:
     """id, th, begin, end: byte ranges covered by repeated strings (ranges may overlap)."""
     all_ = written(contexts(docs, length), "suffix-contexts")
-    seen = all_.groupBy("anchor", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("id", "th", "first", "last")).alias("at"))
-    per_anchor = seen.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("n").alias("total")).where("total > 1")
-    seen = written(seen.join(per_anchor.select("anchor", "kinds"), "anchor"), "suffix-anchors")
-    whole = all_.join(seen.where("n > 1").select("anchor", "ctx"), ["anchor", "ctx"]).select(
+    per_anchor = (all_.groupBy("anchor").agg(F.count("*").alias("total"), (F.min("ctx") < F.max("ctx")).alias("several"))
+                  .where("total > 1").select("anchor", "several"))
+    repeated = written(all_.join(per_anchor, "anchor"), "suffix-repeated")
+    seen = written(repeated.groupBy("anchor", "ctx", "several").agg(
+        F.count("*").alias("n"), F.min(F.struct("id", "th", "first", "last")).alias("at")), "suffix-anchors")
+    whole = repeated.join(seen.where("n > 1").select("anchor", "ctx"), ["anchor", "ctx"]).select(
         "id", "th", F.col("first").alias("begin"), (F.col("last") + length).alias("end"))
-    edges = seen.where("kinds > 1").select("at.*", "anchor", "ctx", "n", (F.col("kinds") > max_contexts).alias("crowded"))
+    edges = seen.where("several")
+    kinds = edges.groupBy("anchor").agg(F.count("*").alias("kinds"))
+    edges = edges.join(kinds, "anchor").select("at.*", "anchor", "ctx", "n", (F.col("kinds") > max_contexts).alias("crowded"))
     data = written(fetched(docs, edges, length), "suffix-edges")
     calm = data.where("not crowded")
     buckets = max(1, -(-calm.count() // CONTEXTS_PER_BUCKET))
