@@ -74,12 +74,13 @@ def first_existing(requests: DataFrame, manifest: DataFrame, req_col: str = "req
             .select(req_col, F.col("b.candidate").alias("found"), F.col("b.rank").alias("rank")))
 
 
-def list_by_type(manifest: DataFrame, friendly: str, mime_col: str = "mime", name_col: str = "name") -> DataFrame:
-    """Friendly type → mime (unknown → error); the first LIST_PAGE files by name."""
+def list_by_type(manifest: DataFrame, friendly: str, mime_col: str = "mime", name_col: str = "name",
+                 page: int = LIST_PAGE, start: int = 0) -> DataFrame:
+    """Friendly type → mime (unknown → error); ``page`` files by name from row ``start`` on."""
     mime = FRIENDLY_TYPES.get(friendly.lower())
     if mime is None:
         raise FileTypeError(f"Unsupported file type: {friendly}")
-    return manifest.filter(F.col(mime_col) == mime).orderBy(name_col, "path").limit(LIST_PAGE)
+    return manifest.filter(F.col(mime_col) == mime).orderBy(name_col, "path").offset(start).limit(page)
 
 
 def idle_records(events: DataFrame, key: str, ts: str, now: Column, idle: str = "1 hour") -> DataFrame:

@@ -8,7 +8,7 @@ tables, subqueries, CTE bodies and on every join input, and an outer join keeps
 unmatched rows. No SQL text is rewritten.
 
 Before running, the text is parsed with Spark's own parser and rejected unless it is a
-query whose relations are all registered views (or CTE names) and each carries an alias.
+query made of listed nodes whose relations are all registered views (or CTE names in scope) and each carries an alias.
 """
 
 from __future__ import annotations
@@ -79,6 +79,7 @@ def tenant_filter(df: DataFrame, spec: TenantColumns, ctx: AccessContext) -> Dat
 def governed_session(spark: SparkSession, tables: dict, specs: dict, ctx: AccessContext) -> SparkSession:
     """New session holding one filtered temp view per accessible table; nothing else is reachable.
 
+    Every accessible table needs an entry in ``specs``; ``TenantColumns()`` says that it has no tenant.
     ``tables`` maps a name to a loader ``session -> DataFrame`` (a view belongs to the session
     that made its DataFrame, so the loader runs in the new session).
     """
@@ -86,58 +87,82 @@ def governed_session(spark: SparkSession, tables: dict, specs: dict, ctx: Access
     session.conf.set("spark.sql.runSQLOnFiles", "false")
     for name, load in tables.items():
         if ctx.can_read(name):
-            tenant_filter(load(session), specs.get(name, TenantColumns()), ctx).createOrReplaceTempView(name)
+            if name not in specs:
+                raise GovernanceError(f"The table {name} has no tenant specification.")
+            tenant_filter(load(session), specs[name], ctx).createOrReplaceTempView(name)
     return session
 
 
-def _relations(plan) -> tuple[list, set, bool]:
-    """Walk a parsed plan: (relation name parts, aliased?) pairs, CTE names, table-function use."""
-    rels, ctes, tvf = [], set(), False
-    seen = set()
-
-    def walk(node, parent):
-        nonlocal tvf
-        if node is None:
-            return
-        name = node.getClass().getSimpleName()
-        if name == "UnresolvedRelation":
-            parts = tuple(str(node.multipartIdentifier().apply(i)) for i in range(node.multipartIdentifier().size()))
-            key = (parts, parent == "SubqueryAlias", node.hashCode())
-            if key not in seen:
-                seen.add(key)
-                rels.append((parts, parent == "SubqueryAlias"))
-        elif name in ("UnresolvedTableValuedFunction", "UnresolvedTVFAliases"):
-            tvf = True
-        elif name == "UnresolvedWith":
-            it = node.cteRelations().iterator()
-            while it.hasNext():
-                ctes.add(str(it.next()._1()).lower())
-        for seq in (node.children(), node.innerChildren(), node.subqueries()):
-            it = seq.iterator()
-            while it.hasNext():
-                child = it.next()
-                if child.getClass().getName().startswith("scala.Tuple"):
-                    child = child._2()
-                walk(child, name)
-
-    walk(plan, None)
-    return rels, ctes, tvf
+# Nodes a user's query may consist of; anything else (script transforms, commands, identifier clauses,
+# table functions, inline sources of other kinds) is refused.
+_QUERY_NODES = _QUERY_ROOTS | {"UnresolvedRelation", "UnresolvedSubqueryColumnAliases", "OneRowRelation", "WindowExpression", "WithWindowDefinition",
+                               "UnresolvedHint", "Sample", "Expand", "Aggregate", "LocalRelation"} - {"Tail"}
+# Functions that run code of their own choosing, and identifiers made from expressions.
+_REFUSED_FUNCTIONS = {"reflect", "java_method", "try_reflect"}
+_REFUSED_EXPRESSIONS = {"ExpressionWithUnresolvedIdentifier", "CallMethodViaReflection"}
+
+
+def _items(seq):
+    it = seq.iterator()
+    while it.hasNext():
+        yield it.next()
+
+
+def _check_expression(e) -> None:
+    name = e.getClass().getSimpleName()
+    if name in _REFUSED_EXPRESSIONS:
+        raise GovernanceError(MSG_TABLE_NOT_ACCESSIBLE % "identifier expression")
+    if name == "UnresolvedFunction":
+        called = ".".join(str(x) for x in _items(e.nameParts())).lower()
+        if called.rsplit(".", 1)[-1] in _REFUSED_FUNCTIONS:
+            raise GovernanceError(f"The function {called} is not allowed.")
+    for c in _items(e.children()):
+        _check_expression(c)
+
+
+def _relations(node, parent: str, scope: frozenset):
+    """(name parts, aliased?, is a CTE of an enclosing WITH?) of every relation below a parsed node.
+
+    A CTE's name holds for the later CTEs and the body of its own WITH only (for its own body too if the
+    WITH is recursive)."""
+    name = node.getClass().getSimpleName()
+    if name in ("UnresolvedTableValuedFunction", "UnresolvedTVFAliases"):
+        raise GovernanceError(MSG_TABLE_NOT_ACCESSIBLE % "table function")
+    if name not in _QUERY_NODES:
+        raise GovernanceError(MSG_ONLY_SELECT)
+    for e in _items(node.expressions()):
+        _check_expression(e)
+    if name == "UnresolvedRelation":
+        parts = tuple(str(x) for x in _items(node.multipartIdentifier()))
+        yield parts, parent == "SubqueryAlias", len(parts) == 1 and parts[0].lower() in scope
+    if name == "UnresolvedWith":
+        for pair in _items(node.cteRelations()):
+            cte = str(pair._1()).lower()
+            yield from _relations(pair._2(), name, scope | {cte} if node.allowRecursion() else scope)
+            scope = scope | {cte}
+        children = _items(node.children())
+    else:
+        children = [*_items(node.children()), *_items(node.innerChildren())]
+    for child in [*children, *_items(node.subqueries())]:
+        yield from _relations(child, name, scope)
 
 
 def check_select(session: SparkSession, sql: str, ctx: AccessContext) -> None:
-    """A1 gates in the reference's order: a query, every table aliased, every table accessible."""
-    plan = session._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    """A1 gates in the reference's order: a query, every table aliased, every table accessible.
+
+    Every node and expression of the parsed text is on a list or refused, and a table must be one of this
+    session's own filtered views, not merely a name on the access list."""
+    state = session._jsparkSession.sessionState()
+    plan = state.sqlParser().parsePlan(sql)
     if plan.getClass().getSimpleName() not in _QUERY_ROOTS:
         raise GovernanceError(MSG_ONLY_SELECT)
-    rels, ctes, tvf = _relations(plan)
-    if tvf:
-        raise GovernanceError(MSG_TABLE_NOT_ACCESSIBLE % "table function")
-    for parts, aliased in rels:
+    rels = list(_relations(plan, "", frozenset()))
+    for parts, aliased, _ in rels:
         if not aliased:
             raise GovernanceError(MSG_TABLE_WITHOUT_ALIAS % ".".join(parts))
-    for parts, _ in rels:
+    for parts, _, cte in rels:
         name = ".".join(parts).lower()
-        if len(parts) != 1 or not (name in ctes or ctx.can_read(name)):
+        if not cte and (len(parts) != 1 or not ctx.can_read(name) or not state.catalog().getTempView(name).isDefined()):
             raise GovernanceError(MSG_TABLE_NOT_ACCESSIBLE % ".".join(parts))
 
 

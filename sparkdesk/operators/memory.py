@@ -49,9 +49,15 @@ def validate_ops(log: DataFrame) -> DataFrame:
     return log.withColumn("error", err)
 
 
+def mint_ids(log: DataFrame) -> DataFrame:
+    """D-1: an add without an id gets one of its own, made from the assistant and the position in the log."""
+    made = F.concat(F.lit("mem-"), F.col("assistant_id").cast("string"), F.lit("-"), F.col("seq").cast("string"))
+    return log.withColumn("memory_id", F.when((F.col("op") == "add") & ~_present("memory_id"), made).otherwise(F.col("memory_id")))
+
+
 def fold_status(log: DataFrame) -> DataFrame:
     """Status of every log row: invalid | added | duplicate | updated | deleted | not found | search."""
-    v = validate_ops(log)
+    v = mint_ids(validate_ops(log))
     ok = F.col("error").isNull()
     adds = (v.filter(ok & (F.col("op") == "add"))
             .groupBy(*KEY).agg(F.min("seq").alias("add_seq"), F.min_by("user_id", "seq").alias("owner")))
@@ -161,7 +167,7 @@ def knn(memories: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str
     queries are cut into hash blocks and each block is one scan of the memories, so no
     (query, memory) pair is ever a row.
     """
-    q = queries.select("query_id", "user", "vec", F.col("source_id"))
+    q = queries.select("query_id", "user", "vec", F.col("source_id")).dropDuplicates()
     mem = memories.select("user", "id", "vec")
     out_schema = "query_id long, user string, id long, distance double"
     if fits(q, QUERY_BLOCK_ROWS):
@@ -169,7 +175,7 @@ def knn(memories: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str
     else:
         n_blocks = -(-q.count() // QUERY_BLOCK_ROWS)
         while True:
-            hashed = q.withColumn("__blk", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)))
+            hashed = q.withColumn("__blk", F.pmod(F.xxhash64("query_id", "user", "vec", "source_id"), F.lit(n_blocks)))
             blocks = [hashed.filter(F.col("__blk") == b).drop("__blk") for b in range(n_blocks)]
             if all(fits(b, 2 * QUERY_BLOCK_ROWS) for b in blocks):
                 break
@@ -192,14 +198,33 @@ def result_lines(ranked: DataFrame, content: Column, keys: list) -> DataFrame:
                     F.array_join(F.transform("hits", lambda h: h["line"]), "\n").alias("result")))
 
 
+def _best_template_joined(rows: DataFrame, templates: DataFrame, max_distance: float | None, metric: str) -> DataFrame:
+    """The same by an equi-join on the agent and a partial minimum per row."""
+    def dot(x: Column, y: Column) -> Column:
+        return F.aggregate(F.zip_with(x, y, lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, v: s + v)
+
+    t = templates.select("user", "template_id", F.col("vec").alias("__t"))
+    j = rows.select("id", "user", "vec").join(t, "user", "left")
+    if metric == "cosine":
+        length = F.sqrt(dot(F.col("vec"), F.col("vec"))) * F.sqrt(dot(F.col("__t"), F.col("__t")))
+        d = F.lit(1.0) - dot(F.col("vec"), F.col("__t")) / F.greatest(length, F.lit(1e-12))
+    else:
+        gap = F.zip_with("vec", "__t", lambda a, b: a.cast("double") - b.cast("double"))
+        d = F.sqrt(dot(gap, gap))
+    best = j.withColumn("d", d).groupBy("id", "user").agg(F.min(F.when(F.col("d").isNotNull(), F.struct("d", "template_id"))).alias("b"))
+    near = F.lit(True) if max_distance is None else F.col("b.d") < F.lit(float(max_distance))
+    return best.select("id", "user", F.when(near, F.col("b.template_id")).cast("long").alias("template_id"),
+                       F.when(near, F.col("b.d")).alias("distance"))
+
+
 def best_template(rows: DataFrame, templates: DataFrame, max_distance: float | None, metric: str = "l2") -> DataFrame:
     """D-8: nearest template of the row's agent; kept only under ``max_distance`` (None = no
     threshold); rows without a match stay, with nulls. ``rows(id, user, vec)``,
-    ``templates(template_id, user, vec)``. The template set is bounded (checked) and shipped to
-    every task; each row is scored where it lies, so there is no shuffle at all."""
+    ``templates(template_id, user, vec)``. Up to QUERY_BLOCK_ROWS templates (checked) are shipped to
+    every task and each row is scored where it lies; more are joined on the agent."""
     t = templates.select("template_id", "user", "vec")
     if not fits(t, QUERY_BLOCK_ROWS):
-        raise ValueError("template set larger than the broadcast bound")
+        return _best_template_joined(rows, t, max_distance, metric)
     block = t.toPandas()  # bounded by the check above
     by_user = {}
     for user, grp in block.groupby("user"):

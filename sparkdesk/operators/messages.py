@@ -1,21 +1,16 @@
 """Ordered message assembly (E12): per conversation, system messages first, then the rest in
-turn order, as one JSON array of {role, content}. A conversation is cut into chunks of at most
-``max_turns`` turns (by turn range), so no list grows without bound."""
+turn order, as one JSON array of {role, content}."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_TURNS = 1000
-
 
 def assemble_messages(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
-                      text: str = "text", max_turns: int = DEFAULT_MAX_TURNS) -> DataFrame:
+                      text: str = "text") -> DataFrame:
+    """conv, n_messages, messages: one row for each conversation, as long as the conversation is."""
     msg = F.struct((F.col(role) != "system").alias("o1"), F.col(turn).alias("o2"),
                    F.struct(F.col(role).alias("role"), F.col(text).alias("content")).alias("m"))
-    grouped = (turns.withColumn("chunk", F.floor(F.col(turn) / F.lit(max_turns)).cast("bigint"))
-               .groupBy(conv, "chunk")
-               .agg(F.count(F.lit(1)).alias("n_messages"), F.array_sort(F.collect_list(msg)).alias("ms")))
-    return grouped.select(conv, "chunk", "n_messages",
-                          F.to_json(F.transform("ms", lambda x: x["m"])).alias("messages"))
+    grouped = turns.groupBy(conv).agg(F.count(F.lit(1)).alias("n_messages"), F.array_sort(F.collect_list(msg)).alias("ms"))
+    return grouped.select(conv, "n_messages", F.to_json(F.transform("ms", lambda x: x["m"])).alias("messages"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import fits, spread_small
+from ..session import cut_lineage, fits, spread_small
 
 # Document status codes and their names.
 DOCSTATUS_NAMES = {"DR": "Drafted", "CO": "Completed", "CL": "Closed", "VO": "Voided", "RE": "Reversed"}
@@ -42,22 +42,24 @@ def sales_split(df: DataFrame, sales: bool | None, col: str = "issotrx") -> Data
     return df.filter(F.col(col) == ("Y" if sales else "N"))
 
 
-def org_closure(spark: SparkSession, tree: DataFrame, max_depth: int = 32) -> DataFrame:
-    """(ancestor, descendant, level) with level 1 for the node itself, via a recursive CTE.
+def org_closure(spark: SparkSession, tree: DataFrame) -> DataFrame:
+    """(ancestor, descendant, level) with level 1 for the node itself and the fewest steps otherwise.
 
-    ``tree(node, parent)``; the depth bound stops cycles.
+    ``tree(node, parent)``. Level by level: the frontier is joined to its children, pairs already
+    known are taken off, and what is left is written out as the next frontier. Every pair appears
+    once, so cycles end the loop and no depth is cut.
     """
-    view = "__org_tree_closure_input"
-    tree.select(F.col("node").cast("string").alias("node"),
-                F.col("parent").cast("string").alias("parent")).createOrReplaceTempView(view)
-    return spark.sql(f"""
-        WITH RECURSIVE cl(ancestor, descendant, level) AS (
-          SELECT node, node, 1 FROM {view}
-          UNION ALL
-          SELECT cl.ancestor, t.node, cl.level + 1
-          FROM cl JOIN {view} t ON t.parent = cl.descendant
-          WHERE cl.level < {int(max_depth)})
-        SELECT ancestor, descendant, level FROM cl""")
+    edges = cut_lineage(tree.select(F.col("node").cast("string").alias("node"), F.col("parent").cast("string").alias("parent"))
+                        .where("node is not null").distinct())
+    known = frontier = cut_lineage(edges.select(F.col("node").alias("ancestor"), F.col("node").alias("descendant"), F.lit(1).alias("level"))
+                                   .distinct())
+    while True:
+        step = (frontier.join(edges, frontier["descendant"] == edges["parent"])
+                .select("ancestor", F.col("node").alias("descendant"), (F.col("level") + 1).alias("level")).distinct())
+        frontier = cut_lineage(step.join(known.select("ancestor", "descendant"), ["ancestor", "descendant"], "left_anti"))
+        if frontier.isEmpty():
+            return known
+        known = cut_lineage(known.unionByName(frontier))
 
 
 def org_included(pairs: DataFrame, closure: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:

@@ -1,10 +1,6 @@
 """Work items and task tables.
 
-An item is one row as a compact JSON object, or a group of rows as a JSON array of whole
-rows. A group is never collected whole: it is cut into chunks of at most ``max_rows``
-rows by ranges of the row ordinal, so every ``collect_list`` is bounded and a hot key
-spreads over many tasks. (The reference emits one item per group; with the ordinal range
-as the chunk the rows and their order are the same, the item is just cut in pieces.)
+An item is one row as a compact JSON object, or a group of rows as one JSON array of whole rows.
 """
 
 from __future__ import annotations
@@ -16,8 +12,6 @@ from pyspark.sql import functions as F
 TASK_TYPE_DEFAULT = "A83E397389DB42559B2D7719A442168F"
 TASK_STATUS_DEFAULT = "D0FCC72902F84486A890B70C1EB10C9C"
 
-DEFAULT_MAX_ROWS = 10_000
-
 _JSON = {"ignoreNullFields": "false"}
 
 
@@ -53,13 +47,12 @@ def row_items(df: DataFrame, ordinal: str | None = None) -> DataFrame:
     return df.select(*([ordinal] if ordinal else []), item)
 
 
-def group_items(df: DataFrame, keys: list, ordinal: str, max_rows: int = DEFAULT_MAX_ROWS,
-                fill_text: bool = True) -> DataFrame:
-    """Rows grouped by ``keys`` → JSON array of whole rows (key columns included), in
-    ``ordinal`` order. Output: keys..., chunk, n_rows, first_row, item.
+def group_items(df: DataFrame, keys: list, ordinal: str, fill_text: bool = True) -> DataFrame:
+    """Rows grouped by ``keys`` → one JSON array of whole rows per group (key columns included),
+    in ``ordinal`` order. Output: keys..., n_rows, first_row, item.
 
-    ``fill_text`` casts every cell to text with null → '' (null keys then form the '' group).
-    Chunk = ordinal div max_rows, so each collected list holds at most max_rows rows.
+    ``fill_text`` casts every cell to text with null → '' (null keys then form the '' group). One item
+    holds its whole group: that is the operator's output, as long as the group itself.
     """
     check_group_keys(df, keys)
     cols = [c for c in df.columns if c != ordinal]
@@ -67,12 +60,9 @@ def group_items(df: DataFrame, keys: list, ordinal: str, max_rows: int = DEFAULT
              for c in cols]
     staged = df.select(F.col(ordinal).alias("__ord"), *cells)
     row = F.struct(F.col("__ord").alias("o"), F.struct(*[F.col(f"`{c}`") for c in cols]).alias("r"))
-    grouped = (staged.withColumn("chunk", F.floor(F.col("__ord") / F.lit(max_rows)).cast("bigint"))
-               .groupBy(*keys, "chunk")
-               .agg(F.count(F.lit(1)).alias("n_rows"), F.min("__ord").alias("first_row"),
-                    F.array_sort(F.collect_list(row)).alias("rows")))
-    return grouped.select(*keys, "chunk", "n_rows", "first_row",
-                          F.to_json(F.transform("rows", lambda x: x["r"]), _JSON).alias("item"))
+    grouped = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.min("__ord").alias("first_row"),
+                                        F.array_sort(F.collect_list(row)).alias("rows"))
+    return grouped.select(*keys, "n_rows", "first_row", F.to_json(F.transform("rows", lambda x: x["r"]), _JSON).alias("item"))
 
 
 def task_table(items: DataFrame, question: str, agent_id: str, task_type: str | None = None,
@@ -92,24 +82,31 @@ def task_table(items: DataFrame, question: str, agent_id: str, task_type: str |
         F.lit(agent_id).alias("agent"), F.lit(group).alias("group_id"))
 
 
-def write_tasks(tasks: DataFrame, path: str) -> None:
-    """Idempotent bulk sink. Partitioned by group; re-running a batch replaces only that
-    group's partition (dynamic overwrite), never a content hash: equal rows stay separate tasks."""
-    (tasks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("group_id").parquet(path))
+def write_tasks(tasks: DataFrame, path: str, batch_id: str) -> None:
+    """Idempotent bulk sink. Partitioned by group and batch (one file or run); re-running a batch
+    replaces only its own partition (dynamic overwrite), other batches of the group stay. Never a
+    content hash: equal rows stay separate tasks."""
+    (tasks.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("group_id", "batch_id").parquet(path))
 
 
 def get_or_create(names: DataFrame, dimension: DataFrame, new_id: Column | None = None,
                   name_col: str = "name") -> DataFrame:
     """Look each distinct name up in ``dimension(id, name)`` (first hit = lowest id); names
-    with no row get a new id. Output: name, id, created."""
+    with no row get a new id (from a hash of the name, so names that differ only in case stay apart). Output: name, id, created."""
     wanted = names.select(F.col(name_col).alias("name")).distinct()
     first_hit = dimension.groupBy("name").agg(F.min("id").alias("id"))
     found = wanted.join(first_hit, "name", "left")
-    made = new_id if new_id is not None else F.upper(F.concat(F.lit("NEW-"), F.col("name")))
+    made = new_id if new_id is not None else F.concat(F.lit("NEW-"), F.upper(F.md5(F.col("name").cast("binary"))))
     return found.select("name", F.coalesce(F.col("id"), made).alias("id"), F.col("id").isNull().alias("created"))
 
 
+def with_created(dimension: DataFrame, looked_up: DataFrame) -> DataFrame:
+    """C12, the insert: the dimension(id, name) with the rows that ``get_or_create`` made."""
+    made = looked_up.where("created and name is not null").select("id", "name")
+    return dimension.select("id", "name").unionByName(made)
+
+
 def page_of_list(df: DataFrame, name_col: str, name: str, start: int, end: int, key: str) -> DataFrame:
     """C14: rows with name == ``name`` ordered by ``key``, rows [start, end)."""
     return df.filter(F.col(name_col) == name).orderBy(key).offset(start).limit(max(end - start, 0))

@@ -192,14 +192,11 @@ def idle_sweep(spark, sf_dir):
     return fileops.idle_records(table(spark, sf_dir, "events"), "user_id", "ts", F.expr(f"TIMESTAMP_NTZ '{NOW}'"))
 
 
-MAX_TURNS = 1000
-
-
-@query("message_assembly", f"""
-SELECT conv_id, CAST(floor(turn / {MAX_TURNS}) AS BIGINT) AS chunk, count(*) AS n_messages,
-       to_json(list({{'role': role, 'content': text}} ORDER BY role <> 'system', turn)) AS messages
+@query("message_assembly", """
+SELECT conv_id, count(*) AS n_messages,
+       to_json(list({'role': role, 'content': text} ORDER BY role <> 'system', turn)) AS messages
 FROM conversations GROUP BY ALL
 """)
 def message_assembly(spark, sf_dir):
     """Each conversation's messages, system first, then in turn order."""
-    return assemble_messages(table(spark, sf_dir, "conversations"), max_turns=MAX_TURNS)
+    return assemble_messages(table(spark, sf_dir, "conversations"))

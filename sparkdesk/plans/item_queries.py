@@ -21,20 +21,16 @@ def row_items(spark, sf_dir):
     return workitems.row_items(df)
 
 
-GROUP_MAX_ROWS = 1000
-
-
 @query("group_items", f"""
-SELECT c_mktsegment, CAST(floor(c_custkey / {GROUP_MAX_ROWS}) AS BIGINT) AS chunk, count(*) AS n_rows,
+SELECT c_mktsegment, count(*) AS n_rows,
        min(c_custkey) AS first_row, to_json(list({_CUST_JSON} ORDER BY c_custkey)) AS item
 FROM customer GROUP BY ALL
 """)
 def group_items(spark, sf_dir):
-    """Rows grouped by segment, cells as text, whole rows in key order, bounded chunks."""
+    """Rows grouped by segment, cells as text, whole rows in key order, one item per group."""
     cust = table(spark, sf_dir, "customer")
     keys = workitems.normalise_group_keys(" c_mktsegment , ")
-    return workitems.group_items(cust.withColumn("row_no", F.col("c_custkey")), keys, "row_no",
-                                 max_rows=GROUP_MAX_ROWS)
+    return workitems.group_items(cust.withColumn("row_no", F.col("c_custkey")), keys, "row_no")
 
 
 QUESTION = "Review this customer record"
@@ -56,7 +52,7 @@ def task_table(spark, sf_dir):
     tasks = workitems.task_table(items, QUESTION, AGENT, task_type="", status=None, group_id="",
                                  conversation_id=CONVERSATION, ordinal="item_no")
     path = fresh_shared_path(spark, "tasks")
-    workitems.write_tasks(tasks, path)
+    workitems.write_tasks(tasks, path, "customer.csv")
     back = spark.read.parquet(path)
     return back.select("item_no", "taskType", "status", "question", "agent", "group_id")
 
@@ -67,7 +63,7 @@ _DIM = [("TT-001", "view"), ("TT-002", "click")]
 @query("get_or_create", """
 WITH dim(id, name) AS (VALUES """ + ", ".join(f"('{i}', '{n}')" for i, n in _DIM) + """),
 names AS (SELECT DISTINCT event_type AS name FROM events)
-SELECT n.name, coalesce(d.id, upper('NEW-' || n.name)) AS id, d.id IS NULL AS created
+SELECT n.name, coalesce(d.id, 'NEW-' || upper(md5(n.name))) AS id, d.id IS NULL AS created
 FROM names n LEFT JOIN (SELECT name, min(id) AS id FROM dim GROUP BY name) d ON n.name = d.name
 """)
 def get_or_create(spark, sf_dir):

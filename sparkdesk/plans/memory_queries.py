@@ -22,14 +22,17 @@ def _log(spark, sf_dir):
         F.col("event_id").alias("seq"), F.expr(_OP_SQL).alias("op"),
         F.concat(F.lit("asst_"), (F.col("user_id") % 3).cast("string")).alias("assistant_id"),
         F.col("user_id").cast("string").alias("user_id"),
-        F.get_json_object("props", "$.k").alias("memory_id"),
+        F.when(~((F.col("event_type") == "signup") & (F.col("event_id") % 7 == 0)), F.get_json_object("props", "$.k"))
+        .alias("memory_id"),  # every seventh add comes without an id
         F.when(F.col("value") > 1, F.concat(F.lit("note "), F.col("event_id").cast("string"), F.lit(" "),
                                             F.col("props"))).alias("content"))
 
 
 _LOG_SQL = f"""
 log AS (SELECT event_id AS seq, {_OP_SQL} AS op, 'asst_' || CAST(user_id % 3 AS VARCHAR) AS assistant_id,
-               CAST(user_id AS VARCHAR) AS user_id, json_extract_string(props, '$.k') AS memory_id,
+               CAST(user_id AS VARCHAR) AS user_id, CASE WHEN event_type = 'signup' AND event_id % 7 = 0
+                    THEN 'mem-asst_' || CAST(user_id % 3 AS VARCHAR) || '-' || CAST(event_id AS VARCHAR)
+                    ELSE json_extract_string(props, '$.k') END AS memory_id,
                CASE WHEN value > 1 THEN 'note ' || CAST(event_id AS VARCHAR) || ' ' || props END AS content
         FROM events),
 v AS (SELECT *, CASE

@@ -15,6 +15,7 @@ TENANTS = {
     "customer": TenantColumns(client="c_mktsegment", org="c_nationkey"),
     "supplier": TenantColumns(org="s_nationkey"),
     "orders": TenantColumns(client="o_orderpriority", org="o_custkey % 25"),
+    **{name: TenantColumns() for name in ("nation", "region", "part")},  # shared by all tenants
 }
 
 # The access context used by the registered queries.

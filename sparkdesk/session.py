@@ -47,9 +47,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="sparkdesk-ckpt-")
-        if sc is None:
-            spark.conf.set("spark.checkpoint.dir", configured)
     if sc is None:
         return configured
     sc.setCheckpointDir(configured)
@@ -90,15 +90,20 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+# Inputs planned larger than this have scan tasks enough of their own.
+SMALL_BYTES = 256 << 20
+
+
 def spread_small(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Before CPU-heavy per-row work: an input with fewer partitions than task slots (a small
-    file is a single scan task) is spread over all slots; a large input keeps its partitions,
+    """Before CPU-heavy per-row work: a small input (often a single scan task) is spread over all
+    slots; a large input keeps its partitions,
     so this costs nothing at scale. Streaming inputs are left alone."""
     if df.isStreaming:
         return df
     try:
         slots = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= slots:
+        # planned size of the input in bytes; nothing runs for it
+        if int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()) > SMALL_BYTES:
             return df
     except Exception:  # no RDD view (e.g. a remote session): leave the plan as it is
         return df

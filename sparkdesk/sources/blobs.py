@@ -39,7 +39,17 @@ def write_blobs(df: DataFrame, path_col: str = "path", content_col: str = "conte
 
 
 def read_first_line(path: str) -> str:
+    """The first CSV record of a file, however long: up to the first line end outside quotes."""
     fs, inner = _fs(path)
+    head, done = b"", 0
+    quoted = False
     with fs.open_input_stream(inner, compression=None) as fh:
-        head = fh.read(1 << 16)
-    return head.split(b"\n", 1)[0].decode("utf-8").rstrip("\r")
+        while part := fh.read(1 << 16):
+            head += part
+            for at in range(done, len(head)):
+                if head[at] == 0x22:
+                    quoted = not quoted
+                elif head[at] == 0x0A and not quoted:
+                    return head[:at].decode("utf-8-sig").rstrip("\r")
+            done = len(head)
+    return head.decode("utf-8-sig").rstrip("\r")

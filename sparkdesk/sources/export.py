@@ -6,14 +6,12 @@ Rows are written by the executors as part files; the row count comes from an
 
 from __future__ import annotations
 
-import os
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import local_fs_path
-
 MSG_EMPTY = "No data returned from SQL query"
 
 
@@ -28,22 +26,21 @@ class ExportResult:
     size_mb: float
 
 
-def _dir_size(path: str) -> int:
-    p = local_fs_path(path)
-    total = 0
-    for root, _, files in os.walk(p):
-        for f in files:
-            if not f.startswith((".", "_")):
-                total += os.path.getsize(os.path.join(root, f))
-    return total
+def _hadoop(spark: SparkSession, path: str):
+    """The file system and path object Spark itself uses for a path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def export_csv(df: DataFrame, path: str, include_headers: bool = True, mode: str = "overwrite",
                single_file: bool = False) -> ExportResult:
-    """Write a result as CSV; an empty result is an error (checked from the same job's count).
+    """Write a result as CSV; an empty result is an error (checked from the same job's count)
+    and leaves an earlier export untouched: rows are written aside and swapped in.
 
     ``single_file`` coalesces to one part only for results the caller knows are small.
     """
+    spark = df.sparkSession
+    aside = f"{path.rstrip('/')}.aside-{uuid.uuid4().hex[:8]}" if mode == "overwrite" else path
     obs = Observation("export")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if single_file:
@@ -52,11 +49,19 @@ def export_csv(df: DataFrame, path: str, include_headers: bool = True, mode: str
         .option("header", include_headers)
         .option("emptyValue", "")
         .option("escape", '"')
-        .csv(path))
+        .csv(aside))
     rows = int(obs.get["rows"])
+    fs, target = _hadoop(spark, path)
+    if aside != path:
+        written = _hadoop(spark, aside)[1]
+        if rows == 0:  # the previous export stays as it is
+            fs.delete(written, True)
+        else:
+            fs.delete(target, True)
+            fs.rename(written, target)
     if rows == 0:
         raise ExportError(MSG_EMPTY)
-    return ExportResult(path, rows, round(_dir_size(path) / (1024 * 1024), 6))
+    return ExportResult(path, rows, round(fs.getContentSummary(target).getLength() / (1024 * 1024), 6))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", override: bool = True, **options) -> None:

@@ -43,9 +43,10 @@ def check_extension(path: str) -> str:
 
 
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Every cell as text (no inference), RFC doubled quotes, quoted newlines."""
-    return (spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
-            .option("multiLine", True).option("encoding", "UTF-8").csv(path))
+    """Every cell as text (no inference), RFC doubled quotes, quoted newlines; an empty cell is ''."""
+    df = (spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
+          .option("multiLine", True).option("encoding", "UTF-8").csv(path))
+    return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
 
 
 def read_typed_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -125,7 +126,7 @@ def parse_xlsx(content: bytes) -> list:
                             val = shared[int(val)]
                     cells[idx] = val
                 width = max(cells) + 1 if cells else 0
-                rows.append((int(row.get("r")), [cells.get(i, "") for i in range(width)]))
+                rows.append((int(row.get("r") or (rows[-1][0] + 1 if rows else 1)), [cells.get(i, "") for i in range(width)]))
         out.append((sh.get("name"), rows))
     return out
 

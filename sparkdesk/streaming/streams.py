@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..operators import memory
 from ..operators.audit import audit_queries
@@ -62,11 +63,17 @@ def status_to_snapshot(status: DataFrame) -> DataFrame:
         F.col("last.seq").alias("content_seq"), "del_seq")
 
 
-def latest_snapshot(spark: SparkSession, root: str) -> DataFrame:
+def latest_snapshot(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
+    """The newest snapshot, or the newest one older than epoch ``before`` (a replayed batch starts there)."""
     try:
         snaps = spark.read.schema(SNAPSHOT_SCHEMA + ", epoch long").parquet(root)
-    except Exception:  # first batch: nothing written yet
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        # first batch: nothing written yet
         return spark.createDataFrame([], SNAPSHOT_SCHEMA)
+    if before is not None:
+        snaps = snaps.filter(F.col("epoch") < before)
     last = snaps.agg(F.max("epoch")).first()[0]
     if last is None:
         return spark.createDataFrame([], SNAPSHOT_SCHEMA)
@@ -78,7 +85,7 @@ def memory_fold_batch(root: str, status_root: str | None = None):
 
     def fold(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        prev = latest_snapshot(spark, root)
+        prev = latest_snapshot(spark, root, before=epoch)
         batch_log = batch.select(*LOG_COLS)
         status = memory.fold_status(snapshot_to_log(prev).unionByName(batch_log))
         snap = status_to_snapshot(status)

@@ -86,3 +86,9 @@ def test_whole_text_and_sinks(spark, tmp_path):
     assert res.rows == 1
     with pytest.raises(ExportError, match="No data returned"):
         export_csv(df.limit(0), str(tmp_path / "empty"))
+    kept = str(tmp_path / "kept")
+    export_csv(df, kept)
+    before = spark.read.csv(kept).count()
+    with pytest.raises(ExportError):
+        export_csv(df.limit(0), kept)
+    assert spark.read.csv(kept).count() == before > 0

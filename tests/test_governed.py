@@ -12,9 +12,9 @@ from sparkdesk.operators.governed import (
 )
 from tests.conftest import SF001
 
-CTX = AccessContext(clients=("BUILDING",), orgs=(1, 2, 3), tables=frozenset({"customer", "orders", "nation"}))
+CTX = AccessContext(clients=("BUILDING",), orgs=(1, 2, 3), tables=frozenset({"customer", "orders", "nation", "events"}))
 SPECS = {"customer": TenantColumns("c_mktsegment", "c_nationkey"),
-         "orders": TenantColumns("o_orderpriority", "o_custkey % 25")}
+         "orders": TenantColumns("o_orderpriority", "o_custkey % 25"), "nation": TenantColumns()}
 
 
 @pytest.fixture(scope="module")
@@ -33,12 +33,34 @@ def session(spark):
     ("SELECT * FROM parquet.`/root/testdata/sf0.001/customer.parquet` p", "not accessible"),
     ("SELECT * FROM range(10) r", "not accessible"),
     ("SELECT * FROM spark_catalog.default.customer c", "not accessible"),
+    ("SELECT z.a FROM (SELECT TRANSFORM(n.n_name) USING 'echo x' AS (a string) FROM nation n LIMIT 1) z", MSG_ONLY_SELECT),
+    ("SELECT reflect('java.lang.System', 'getProperty', 'user.dir') AS a FROM nation n", "not allowed"),
+    ("SELECT n.n_name FROM nation n WHERE java_method('java.lang.System', 'getProperty', 'user.dir') > ''", "not allowed"),
+    ("SELECT * FROM IDENTIFIER('line' || 'item') l", "not accessible|Only queries"),
+    ("SELECT l.* FROM lineitem l WHERE EXISTS (WITH lineitem AS (SELECT 1 AS a) SELECT x.a FROM lineitem x)", "not accessible"),
+    ("WITH a AS (SELECT b1.* FROM b b1), b AS (SELECT 1 AS x) SELECT a1.* FROM a a1", "not accessible"),
+    ("SELECT * FROM events e", "not accessible"),
 ])
 def test_gates(session, sql, msg):
     with pytest.raises(GovernanceError, match=msg):
         run_select(session, sql, CTX)
 
 
+def test_missing_tenant_spec_is_an_error(spark):
+    with pytest.raises(GovernanceError, match="no tenant specification"):
+        governed_session(spark, {"nation": lambda s: s.read.parquet(f"{SF001}/nation.parquet")}, {}, CTX)
+
+
+def test_org_closure_deep_and_cyclic(spark):
+    from sparkdesk.operators import rules
+
+    chain = spark.createDataFrame([(str(k), str(k - 1) if k else None) for k in range(41)], "node string, parent string")
+    got = rules.org_closure(spark, chain)
+    assert got.where("ancestor = '0'").count() == 41 and got.agg(F.max("level")).first()[0] == 41
+    ring = spark.createDataFrame([("a", "b"), ("b", "a")], "node string, parent string")
+    assert sorted(map(tuple, rules.org_closure(spark, ring).collect())) == [("a", "a", 1), ("a", "b", 2), ("b", "a", 2), ("b", "b", 1)]
+
+
 def _only_tenant(rows, seg_idx=None):
     return all(r["c_mktsegment"] == "BUILDING" and r["c_nationkey"] in (1, 2, 3) for r in rows)
 

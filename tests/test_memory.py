@@ -69,3 +69,22 @@ def test_state_per_assistant(spark, tmp_path):
         "assistant_id=a1", "assistant_id=a2"]
     back = spark.read.parquet(str(tmp_path / "state")).filter(F.col("assistant_id") == "a2").collect()
     assert [(r.memory_id, r.content) for r in back] == [("m1", "other assistant")]
+
+
+def test_adds_without_an_id_get_one(spark):
+    log = spark.createDataFrame([(1, "add", "a1", "u1", None, "first"), (2, "add", "a1", "u1", " ", "second"), (3, "add", "a2", "u1", None, "third"),
+                                 (4, "search", "a1", "u1", None, "x"), (5, "update", "a1", "u1", "mem-a1-2", "changed")], SCHEMA)
+    status = memory.fold_status(log)
+    assert {r.seq: r.status for r in status.collect()} == {1: "added", 2: "added", 3: "added", 4: "search", 5: "updated"}
+    assert sorted(r.content for r in memory.fold_state(status).collect()) == ["changed", "first", "third"]
+
+
+def test_templates_beyond_the_shipped_bound(spark, monkeypatch):
+    rnd = random.Random(8)
+    rows = spark.createDataFrame([(i, f"u{i % 3}", [rnd.random() for _ in range(4)]) for i in range(40)], "id long, user string, vec array<double>")
+    templates = spark.createDataFrame([(100 + i, f"u{i % 2}", [rnd.random() for _ in range(4)]) for i in range(9)],
+                                      "template_id long, user string, vec array<double>")
+    shipped = sorted((r.id, r.template_id, round(r.distance, 9) if r.template_id else None) for r in memory.best_template(rows, templates, 0.5).collect())
+    monkeypatch.setattr(memory, "QUERY_BLOCK_ROWS", 3)
+    joined = sorted((r.id, r.template_id, round(r.distance, 9) if r.template_id else None) for r in memory.best_template(rows, templates, 0.5).collect())
+    assert shipped == joined

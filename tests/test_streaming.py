@@ -51,3 +51,13 @@ def test_governed_and_items_streams(spark, tmp_path):
     assert items and all(i["c_mktsegment"] == "BUILDING" and i["c_nationkey"] in (1, 2, 3) for i in items)
     want = spark.read.parquet(str(src)).filter("c_mktsegment = 'BUILDING' AND c_nationkey IN (1, 2, 3)").count()
     assert len(items) == want
+
+
+def test_replayed_epoch_gives_the_same_state(spark, tmp_path):
+    root, status = str(tmp_path / "snap"), str(tmp_path / "status")
+    fold = streams.memory_fold_batch(root, status)
+    fold(spark.createDataFrame(LOG[:4], SCHEMA), 0)
+    for _ in range(2):
+        fold(spark.createDataFrame(LOG[4:], SCHEMA), 1)
+    live = sorted((r.memory_id, r.user_id, r.content) for r in streams.live_memories(spark, root).collect())
+    assert live == [("m2", "u1", "x")] and spark.read.parquet(status).count() == len(LOG)

@@ -11,7 +11,7 @@ def test_text_csv_quotes_and_newlines(spark, tmp_path):
     p = tmp_path / "a.csv"
     p.write_text('col1,col2,col3\n1,"say ""hi""",\n2,"two\nlines",x\n', encoding="utf-8")
     rows = read_text_csv(spark, str(p)).collect()
-    assert rows[0].col2 == 'say "hi"' and rows[0].col3 is None
+    assert rows[0].col2 == 'say "hi"' and rows[0].col3 == ''
     assert rows[1].col2 == "two\nlines"
     assert all(f.dataType.simpleString() == "string" for f in read_text_csv(spark, str(p)).schema.fields)
 
@@ -32,11 +32,36 @@ def test_group_items(spark):
     assert rows[""].n_rows == 1  # null key forms its own group, cells as ''
 
 
-def test_group_items_are_bounded(spark):
+def test_one_item_per_group(spark):
     df = spark.range(0, 2500).select(F.col("id").alias("row_no"), F.lit("K").alias("k"))
-    rows = workitems.group_items(df, ["k"], "row_no", max_rows=1000).collect()
-    assert sorted(r.n_rows for r in rows) == [500, 1000, 1000]
-    assert sum(len(json.loads(r.item)) for r in rows) == 2500
+    rows = workitems.group_items(df, ["k"], "row_no").collect()
+    assert len(rows) == 1 and rows[0].n_rows == 2500 and len(json.loads(rows[0].item)) == 2500
+
+
+def test_batches_of_a_group_stay(spark, tmp_path):
+    path = str(tmp_path / "tasks")
+    for name, n in (("one.csv", 2), ("two.csv", 1), ("one.csv", 2)):
+        items = spark.createDataFrame([(f"x{k}",) for k in range(n)], "item string")
+        workitems.write_tasks(workitems.task_table(items, "Q", "AG", conversation_id="C1"), path, name)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_wide_header_comes_back_whole(spark, tmp_path):
+    from sparkdesk.sources.blobs import read_first_line
+
+    head = ",".join([f"column_é_{k}" for k in range(6000)] + ['"two\nlines"'])
+    (tmp_path / "w.csv").write_text(head + "\r\n1,2\n", encoding="utf-8")
+    assert read_first_line(str(tmp_path / "w.csv")) == head
+
+
+def test_messages_of_long_conversations(spark):
+    from sparkdesk.operators.messages import assemble_messages
+
+    turns = spark.createDataFrame([(1, k, "system" if k == 1500 else "user", str(k)) for k in range(2000)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = assemble_messages(turns).collect()
+    got = json.loads(rows[0].messages)
+    assert len(rows) == 1 and len(got) == 2000 and got[0] == {"role": "system", "content": "1500"}
 
 
 def test_group_key_normalisation():
@@ -61,10 +86,14 @@ def test_task_defaults(spark):
 
 
 def test_get_or_create(spark):
-    names = spark.createDataFrame([("a",), ("b",), ("a",)], "name string")
+    names = spark.createDataFrame([("a",), ("b",), ("a",), ("B",)], "name string")
     dim = spark.createDataFrame([("2", "a"), ("1", "a")], "id string, name string")
     got = {r.name: (r.id, r.created) for r in workitems.get_or_create(names, dim).collect()}
-    assert got == {"a": ("1", False), "b": ("NEW-B", True)}
+    assert got["a"] == ("1", False) and got["b"][1] and got["B"][1] and got["b"][0] != got["B"][0]
+    after = workitems.with_created(dim, workitems.get_or_create(names, dim))
+    assert after.count() == 4
+    again = workitems.get_or_create(names, after).collect()
+    assert {r.name: r.id for r in again} == {k: v[0] for k, v in got.items()} and not any(r.created for r in again)
 
 
 def test_workbook_three_sheets(spark, tmp_path):
