@@ -8,7 +8,8 @@
 3. Documents probe the arrays: hash the line, look up its number, compare the fingerprint, decide.
 
 Up to ``broadcast_keys`` indexed lines (32 bytes each) the arrays are broadcast. Beyond that the
-probes travel: (shard, salt) groups meet their shard's arrays, and only the lines to drop come back.
+probes travel: they meet their shard's arrays in groups of about ``group_probes``, and only the lines to drop
+come back.
 
 Defined results: null and empty texts are one empty line. Every row counts as a document, repeated rows
 too; a null id sorts below every other. Rows that share the largest id all keep the line.
@@ -173,7 +174,7 @@ def _by_broadcast(docs: DataFrame, index: DataFrame, shards: int, min_chars: int
     return docs.withColumn("_r", run("_id", "_text"))
 
 
-def _by_routing(docs: DataFrame, index: DataFrame, shards: int, min_chars: int, salts: int) -> DataFrame:
+def _by_routing(docs: DataFrame, index: DataFrame, shards: int, min_chars: int, group_probes: int) -> DataFrame:
     def probes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = [(i, k, n, h, l) for i, k, t in zip(pdf["_id"], pdf["_hash"], pdf["_text"], strict=True) if t
@@ -188,10 +189,12 @@ def _by_routing(docs: DataFrame, index: DataFrame, shards: int, min_chars: int,
         drop = Shard(arrays.iloc[0]).dropped(as_u64(asked["high"]), as_u64(asked["low"]), asked["_id"].to_numpy(np.int64))
         return asked.loc[drop, ["_id", "_hash", "line"]]
 
-    asked = (docs.select("_id", "_hash", "_text").mapInPandas(probes, "_id long, _hash long, line long, high long, low long")
-             .distinct().withColumn("shard", F.pmod("high", F.lit(shards)))
-             .withColumn("salt", F.pmod(F.xxhash64("_id", "_hash", "line"), F.lit(salts))))
-    spread = index.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    asked = written(docs.select("_id", "_hash", "_text").mapInPandas(probes, "_id long, _hash long, line long, high long, low long")
+                    .distinct().withColumn("shard", F.pmod("high", F.lit(shards))), "line-probes")
+    # a shard that a hot line sends many probes to is met in as many groups as they fill
+    groups = asked.groupBy("shard").count().select("shard", F.ceil(F.col("count") / group_probes).cast("long").alias("salts"))
+    asked = asked.join(groups, "shard").withColumn("salt", F.pmod(F.xxhash64("_id", "_hash", "line"), "salts"))
+    spread = index.join(groups, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
     gone = (asked.groupBy("shard", "salt").cogroup(spread.groupBy("shard", "salt"))
             .applyInPandas(answer, "_id long, _hash long, line long")
             .groupBy("_id", "_hash").agg(F.collect_set("line").alias("_gone")))
@@ -206,7 +209,7 @@ def _by_routing(docs: DataFrame, index: DataFrame, shards: int, min_chars: int,
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 5, min_chars: int = 40, key: str = "doc_id", text: str = "text",
-                broadcast_keys: int = 1_000_000, salts: int = 64, carry: tuple[str, ...] = ()) -> DataFrame:
+                broadcast_keys: int = 1_000_000, group_probes: int = 200_000, carry: tuple[str, ...] = ()) -> DataFrame:
     """key, carried columns, n_lines, n_dropped, kept for every row."""
     lines = written(frequent_lines(docs, key, text, min_docs, min_chars), "frequent-lines")
     n = lines.count()
@@ -215,5 +218,5 @@ def dedup_lines(docs: DataFrame, min_docs: int = 5, min_chars: int = 40, key: st
     rows = docs.select(F.struct(key, *carry).alias("_row"), F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("_id"),
                        F.col(text).alias("_text"), F.xxhash64(F.col(text)).alias("_hash"))
     out = (_by_broadcast(rows, index, shards, min_chars) if n <= broadcast_keys
-           else _by_routing(rows, index, shards, min_chars, salts))
+           else _by_routing(rows, index, shards, min_chars, group_probes))
     return out.select("_row.*", "_r.*")
