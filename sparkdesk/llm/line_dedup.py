@@ -193,8 +193,8 @@ def _by_routing(docs: DataFrame, index: DataFrame, shards: int, min_chars: int,
                     .distinct().withColumn("shard", F.pmod("high", F.lit(shards))), "line-probes")
     # a shard that a hot line sends many probes to is met in as many groups as they fill
     groups = asked.groupBy("shard").count().select("shard", F.ceil(F.col("count") / group_probes).cast("long").alias("salts"))
-    asked = asked.join(groups, "shard").withColumn("salt", F.pmod(F.xxhash64("_id", "_hash", "line"), "salts"))
-    spread = index.join(groups, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+    asked = asked.join(groups, "shard").withColumn("salt", F.pmod(F.xxhash64("_id", "_hash", "line"), "salts")).drop("salts")
+    spread = index.join(groups, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).drop("salts")
     gone = (asked.groupBy("shard", "salt").cogroup(spread.groupBy("shard", "salt"))
             .applyInPandas(answer, "_id long, _hash long, line long")
             .groupBy("_id", "_hash").agg(F.collect_set("line").alias("_gone")))
