@@ -140,6 +140,13 @@ def current_record(df: DataFrame, keys: list, order_cols: list, as_of: Column |
     return df.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"__latest.{c}").alias(c) for c in ordered])
 
 
+def valid_record(df: DataFrame, until_col: str, now: Column, provider_col: str, pattern: str, order: list) -> DataFrame:
+    """One row that is valid until ``now`` or later and whose provider is like ``pattern``, case ignored
+    (the first by ``order``; no row if there is none). A per-partition top 1, merged."""
+    valid = df.filter((F.col(until_col) >= now) & F.col(provider_col).ilike(pattern))
+    return valid.orderBy(*order).limit(1)
+
+
 def top_per_key(df: DataFrame, keys: list, order: list, k: int) -> DataFrame:
     """row_number() <= k per key; Spark adds a partial WindowGroupLimit before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(*order)

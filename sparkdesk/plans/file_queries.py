@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.text import safe_name as safe_name_col
 from ..functions.text import url_file_name as url_file_name_col
 from ..operators import files as fileops
+from ..operators import messages
 from ..operators.messages import assemble_messages
 from ..session import table
 from ..sources import files as filesrc
@@ -200,3 +201,28 @@ FROM conversations GROUP BY ALL
 def message_assembly(spark, sf_dir):
     """Each conversation's messages, system first, then in turn order."""
     return assemble_messages(table(spark, sf_dir, "conversations"))
+
+
+PAGE_SYSTEM, PAGE_EXTRA = "Read the pages and answer.", "Answer briefly."
+REFERENCE_INTRO, REFERENCE_REPLY = "This is a reference; use it as a template only.", "Understood. Send the real pages."
+
+
+@query("page_messages", f"""
+WITH q AS (SELECT conv_id, text AS question FROM conversations WHERE turn = 0),
+p AS (SELECT conv_id, list({{'role': 'user', 'content': text}} ORDER BY turn) AS ps FROM conversations WHERE turn > 0 GROUP BY 1),
+m AS (SELECT conv_id, list_concat(
+  [{{'role': 'system', 'content': '{PAGE_SYSTEM}' || CASE WHEN conv_id % 2 = 0 THEN chr(10) || '{PAGE_EXTRA}' ELSE '' END}}],
+  CASE WHEN conv_id % 3 = 0 THEN [{{'role': 'user', 'content': '{REFERENCE_INTRO}'}},
+    {{'role': 'user', 'content': 'reference ' || conv_id}}, {{'role': 'assistant', 'content': '{REFERENCE_REPLY}'}}] ELSE [] END,
+  [{{'role': 'user', 'content': question}}], coalesce(ps, [])) AS ms FROM q LEFT JOIN p USING (conv_id))
+SELECT conv_id, len(ms)::BIGINT AS n_messages, to_json(ms) AS messages FROM m
+""")
+def page_messages(spark, sf_dir):
+    """System with extra text, the reference triple, the question, then one message per page."""
+    turns = table(spark, sf_dir, "conversations")
+    even, third = F.col("conv_id") % 2 == 0, F.col("conv_id") % 3 == 0
+    questions = turns.where("turn = 0").select(
+        "conv_id", F.col("text").alias("question"), F.when(even, F.lit(PAGE_EXTRA)).alias("extra_system"),
+        F.when(third, F.concat(F.lit("reference "), F.col("conv_id").cast("string"))).alias("reference"))
+    return messages.page_messages(questions, turns.where("turn > 0"), "conv_id", "turn", "text", PAGE_SYSTEM,
+                                  REFERENCE_INTRO, REFERENCE_REPLY)

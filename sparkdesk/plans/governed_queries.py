@@ -313,3 +313,28 @@ def current_record(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     return rules.current_record(ev, ["user_id", "event_type"], ["ts", "event_id"],
                                 as_of=F.expr(f"TIMESTAMP_NTZ '{AS_OF}'"), ts_col="ts")
+
+
+@query("valid_record", f"""
+SELECT event_id, user_id, event_type, ts FROM events
+WHERE ts >= TIMESTAMP '{AS_OF}' AND event_type ILIKE '%CLICK%' ORDER BY ts, event_id LIMIT 1
+""")
+def valid_record(spark, sf_dir):
+    """The one record that is still valid and whose provider matches."""
+    ev = table(spark, sf_dir, "events")
+    one = rules.valid_record(ev, "ts", F.expr(f"TIMESTAMP_NTZ '{AS_OF}'"), "event_type", "%CLICK%", ["ts", "event_id"])
+    return one.select("event_id", "user_id", "event_type", "ts")
+
+
+_FLAGS_SQL = ("CASE c_custkey % 5 WHEN 0 THEN 'N' WHEN 1 THEN NULL ELSE 'Y' END AS isactive, "
+              "CASE c_custkey % 3 WHEN 0 THEN 'N' WHEN 1 THEN 'Y' END AS issotrx")
+
+
+@query("active_sales", f"""
+SELECT c_custkey, isactive, issotrx FROM (SELECT *, {_FLAGS_SQL} FROM customer)
+WHERE isactive = 'Y' AND issotrx = 'Y'
+""")
+def active_sales(spark, sf_dir):
+    """A10 and A12 on a table that has both columns, with nulls in them."""
+    cust = table(spark, sf_dir, "customer").selectExpr("*", *_FLAGS_SQL.split(", ", 1))
+    return rules.sales_split(rules.active_only(cust), sales=True).select("c_custkey", "isactive", "issotrx")
