@@ -13,6 +13,9 @@ Steps, all of them Spark shuffles of packed arrays:
 2. Shingle hashes travel, packed by hash shard, to where frequencies are counted over all classes; only
    shingles of two or more classes go back, packed by class. A class keeps them (its *shared* shingles)
    only if they reach 80 % of its size: otherwise nothing can link to it.
+   *Hot* shingles (``hot_least`` classes or more) would all meet in one shard, so they go straight to
+   their classes. They are found by counts over all documents; the count need not be exact, since any
+   order of shingles that all classes share gives the same links.
 3. Before pairs are listed, two rounds of stars link most near copies: every class is verified against the
    leader that most of its prefix lists name. Lists whose classes are all connected by then are done.
 4. In the lists that remain, every pair of classes from different components is counted, kept if it shares
@@ -45,6 +48,8 @@ VERIFY = 8.0
 TOKENS_PER_SHARD = 2_000_000
 CLASSES_PER_SHARD = 8_000
 BATCH_TOKENS = 1_000_000
+OFTEN = 5  # counts of a batch that are passed on
+HOT_LEAST, HOT_MOST = 10_000, 200_000  # classes that make a shingle hot; length of the list of hot shingles
 
 
 class Shingles:
@@ -78,18 +83,47 @@ def _signed(sig: bytes) -> tuple[int, int]:
     return tuple(np.frombuffer(sig, np.int64).tolist())
 
 
+def often_seen(sets: list[np.ndarray]) -> pd.DataFrame:
+    """One row (often, counts): the shingles that several of a batch's sets hold."""
+    h, k = np.unique(np.concatenate(sets), return_counts=True)
+    many = k >= max(2, OFTEN * int(k.sum()) // BATCH_TOKENS)
+    return pd.DataFrame({"id": pd.array([None], "Int64"), "n": 0, "s1": 0, "s2": 0, "often": [h[many].view(np.int64)], "counts": [k[many]]})
+
+
 def described(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """id, n, s1, s2 of every row (the signature in two halves)."""
+    """id, n, s1, s2 of every row (the signature in two halves); besides, rows with often, counts for batches of sets."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles = Shingles()
+        shingles, held, tokens = Shingles(), {}, 0
         for pdf in batches:
-            sets = [shingles(t) for t in pdf["text"]]
-            sigs = np.array([_signed(signature(s)) for s in sets], np.int64).reshape(-1, 2)
-            yield pd.DataFrame({"id": pdf["id"].astype("Int64"), "n": [len(s) for s in sets], "s1": sigs[:, 0], "s2": sigs[:, 1]})
+            sizes, sigs = [], []
+            for t in pdf["text"]:
+                s = shingles(t)
+                sig = signature(s)
+                sizes.append(len(s))
+                sigs.append(_signed(sig))
+                if len(s) and sig not in held:
+                    held[sig] = s
+                    tokens += len(s)
+                    if tokens >= BATCH_TOKENS:
+                        yield often_seen(list(held.values()))
+                        held, tokens = {}, 0
+            halves = np.array(sigs, np.int64).reshape(-1, 2)
+            yield pd.DataFrame({"id": pdf["id"].astype("Int64"), "n": sizes, "s1": halves[:, 0], "s2": halves[:, 1], "often": None, "counts": None})
+        if held:
+            yield often_seen(list(held.values()))
 
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, "id long, n long, s1 long, s2 long")
+    return rows.mapInPandas(run, "id long, n long, s1 long, s2 long, often array<long>, counts array<long>")
+
+
+def hot_shingles(batches: DataFrame, total: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, and counts of the hot shingles: at most HOT_MOST, since all counts add up to ``total``."""
+    counted = (batches.select(F.explode(F.arrays_zip("often", "counts")).alias("e")).groupBy(F.col("e.often").alias("h"))
+               .agg(F.sum("e.counts").alias("k")).where(F.col("k") >= max(least, -(-total // HOT_MOST))).toPandas())
+    h = counted["h"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(h)
+    return h[order], counted["k"].to_numpy(np.int64)[order]
 
 
 def _pack6(h: np.ndarray) -> bytes:
@@ -102,13 +136,19 @@ def _unpack6(b: bytes) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
-def packed_shingles(docs: DataFrame, text: str, bits: int) -> DataFrame:
+def class_buckets(sigs: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix64(sigs) % np.uint64(buckets)).astype(np.int64)
+
+
+def packed_shingles(docs: DataFrame, text: str, bits: int, buckets: int, hot) -> DataFrame:
     """Rows (shard, sigs, sizes, refs, low): the shingles of a batch of classes that fall into a shard.
 
-    The shard is the top bits of the hash; the 48 low bits travel."""
+    The shard is the top bits of the hash; the 48 low bits travel. Hot shingles have shards beyond those, one
+    for each bucket of classes; their place in the list of hot ones travels."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles, held, tokens = Shingles(), {}, 0
+        hot_hashes = hot.value[0]
 
         def flush() -> pd.DataFrame:
             sigs = np.frombuffer(b"".join(held), np.uint8).reshape(-1, 16)
@@ -116,6 +156,11 @@ def packed_shingles(docs: DataFrame, text: str, bits: int) -> DataFrame:
             h = np.concatenate(list(held.values()))
             ref = np.repeat(np.arange(len(held)), sizes)
             shard = (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
+            if len(hot_hashes):
+                place = np.minimum(np.searchsorted(hot_hashes, h), len(hot_hashes) - 1)
+                is_hot = hot_hashes[place] == h
+                h = np.where(is_hot, place.astype(np.uint64), h)
+                shard = np.where(is_hot, (1 << bits) + class_buckets(sigs.view(np.uint64)[ref, 0], buckets), shard)
             order = np.argsort(shard, kind="stable")
             values, starts = np.unique(shard[order], return_index=True)
             rows = []
@@ -139,8 +184,11 @@ def packed_shingles(docs: DataFrame, text: str, bits: int) -> DataFrame:
     return docs.select(F.col(text).alias("text")).mapInPandas(run, "shard long, sigs binary, sizes binary, refs binary, low binary")
 
 
-def shared_shingles(pdf: pd.DataFrame, buckets: int) -> pd.DataFrame:
-    """One hash shard: frequencies over distinct classes; the shingles of two or more, packed by class bucket."""
+def shared_shingles(pdf: pd.DataFrame, bits: int, buckets: int, hot: tuple[np.ndarray, np.ndarray]) -> pd.DataFrame:
+    """One hash shard: frequencies over distinct classes; the shingles of two or more, packed by class bucket.
+
+    A shard of hot shingles takes their frequencies from the list."""
+    shard = int(pdf["shard"].iloc[0])
     sigs = np.concatenate([np.frombuffer(b, np.uint64).reshape(-1, 2) for b in pdf["sigs"]])
     sizes = np.concatenate([np.frombuffer(b, np.uint32) for b in pdf["sizes"]])
     base = np.cumsum([0, *(len(b) // 16 for b in pdf["sigs"])])
@@ -150,13 +198,18 @@ def shared_shingles(pdf: pd.DataFrame, buckets: int) -> pd.DataFrame:
     cls = cls.reshape(-1)
     keep = first[cls[ref]] == ref  # a class that several batches sent counts once
     h, ref = h[keep], ref[keep]
-    order = np.argsort(h, kind="stable")
-    h, ref = h[order], ref[order]
-    new = np.append(True, h[1:] != h[:-1])
-    df = np.diff(np.append(np.flatnonzero(new), len(h)))[np.cumsum(new) - 1] if len(h) else np.zeros(0, np.int64)
-    many = df >= 2
-    h, ref, df = h[many] | (np.uint64(int(pdf["shard"].iloc[0])) << np.uint64(48)), ref[many], df[many]
-    bucket = (mix64(sigs[ref, 0]) % np.uint64(buckets)).astype(np.int64)
+    if shard >= 1 << bits:
+        hashes, counts = hot
+        top = (hashes >> np.uint64(64 - bits)) << np.uint64(48) if bits else np.uint64(0)
+        df, h = counts[h.astype(np.int64)], ((hashes & np.uint64((1 << 48) - 1)) | top)[h.astype(np.int64)]
+    else:
+        order = np.argsort(h, kind="stable")
+        h, ref = h[order], ref[order]
+        new = np.append(True, h[1:] != h[:-1])
+        df = np.diff(np.append(np.flatnonzero(new), len(h)))[np.cumsum(new) - 1] if len(h) else np.zeros(0, np.int64)
+        many = df >= 2
+        h, ref, df = h[many] | (np.uint64(shard) << np.uint64(48)), ref[many], df[many]
+    bucket = class_buckets(sigs[ref, 0], buckets)
     order = np.lexsort((ref, bucket))
     values, starts = np.unique(bucket[order], return_index=True)
     rows = []
@@ -260,15 +313,18 @@ def remaining_pairs(entries: DataFrame) -> DataFrame:
             .where("k >= need").select("a", "b"))
 
 
-def linked_classes(docs: DataFrame, text: str, total: int, n_docs: int, rounds: int = 2) -> tuple[DataFrame, DataFrame]:
+def linked_classes(docs: DataFrame, text: str, total: int, n_docs: int, hot: tuple[np.ndarray, np.ndarray],
+                   rounds: int = 2) -> tuple[DataFrame, DataFrame]:
     """classes (cid, s1, s2, n, shared) that can link, and links (a, b) that connect all linked ones."""
     bits = max(0, (max(1, total) // TOKENS_PER_SHARD).bit_length())
     buckets = max(1, -(-n_docs // CLASSES_PER_SHARD))
     spark = docs.sparkSession
     parts = spark.sparkContext.defaultParallelism
-    packed = packed_shingles(docs, text, bits).repartition(max(parts, 1 << bits), "shard")
+    shipped = spark.sparkContext.broadcast(hot)  # at most HOT_MOST entries
+    shards = (1 << bits) + (buckets if len(hot[0]) else 0)
+    packed = packed_shingles(docs, text, bits, buckets, shipped).repartition(max(parts, shards), "shard")
     shared = packed.groupBy("shard").applyInPandas(
-        lambda pdf: shared_shingles(pdf, buckets), "bucket long, sigs binary, sizes binary, counts binary, hashes binary, dfs binary")
+        lambda pdf: shared_shingles(pdf, bits, buckets, shipped.value), "bucket long, sigs binary, sizes binary, counts binary, hashes binary, dfs binary")
     classes = written(shared.repartition(max(parts, buckets), "bucket").groupBy("bucket").applyInPandas(
         prefixes, "cid long, s1 long, s2 long, n long, match int, shared binary, entries array<long>, levels array<int>"), "ngram-classes")
     entries = classes.select("cid", "n", (F.octet_length("shared") / 8).cast("long").alias("held"), "match",
@@ -284,11 +340,13 @@ def linked_classes(docs: DataFrame, text: str, total: int, n_docs: int, rounds:
     return classes, links.union(found)
 
 
-def components_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def components_of(docs: DataFrame, key: str = "doc_id", text: str = "text", hot_least: int = HOT_LEAST) -> DataFrame:
     """doc_id, n_shingles, component_id for every row."""
-    rows = written(described(docs, key, text), "ngram-docs")
+    all_ = written(described(docs, key, text), "ngram-docs")
+    rows = all_.where("often is null").drop("often", "counts")
     total, n_docs = rows.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    classes, links = linked_classes(docs, text, total, n_docs)
+    hot = hot_shingles(all_.where("often is not null"), total, hot_least)
+    classes, links = linked_classes(docs, text, total, n_docs, hot)
     labels = components(links)
     known = classes.select("s1", "s2", "cid").join(labels, F.col("cid") == labels["node"], "left").select(
         "s1", "s2", F.coalesce("label", "cid").alias("label"))

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -176,9 +177,18 @@ def test_ngram_join_against_all_pairs(spark, monkeypatch):
     rows += [(200, "one two"), (201, "one  TWO"), (202, ""), (203, None), (204, " \n"), (5, rows[5][1]), (None, rows[9][1]), (None, "lone text"), (202, "")]
     got = sorted((tuple(r) for r in ngram_join.components_of(table(spark, rows)).collect()), key=str)
     assert got == brute_groups(rows)
+    hot = ngram_join.components_of(table(spark, rows), hot_least=15)  # some shingles travel with their classes
+    assert sorted((tuple(r) for r in hot.collect()), key=str) == got
     assert ngram_join.components_of(table(spark, rows).limit(0)).count() == 0
 
 
+def test_ngram_join_hot_shingles_are_found():
+    rnd = np.random.default_rng(8)
+    sets = [np.unique(np.append(rnd.integers(1 << 63, size=50, dtype=np.uint64), [np.uint64(7)] * (i % 3 == 0))) for i in range(300)]
+    seen = ngram_join.often_seen(sets)
+    assert seen["often"][0].tolist() == [7] and seen["counts"][0].tolist() == [100]
+
+
 def test_language_toxicity_and_quality(spark):
     rnd = random.Random(6)
     vocab = {"xx": "alo bela cori dama efo".split(), "yy": "struk grzyb wchod prszt kwik".split()}
