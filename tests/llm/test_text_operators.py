@@ -184,7 +184,7 @@ def test_ngram_join_against_all_pairs(spark, monkeypatch):
 
 def test_ngram_join_hot_shingles_are_found():
     rnd = np.random.default_rng(8)
-    sets = [np.unique(np.append(rnd.integers(1 << 63, size=50, dtype=np.uint64), [np.uint64(7)] * (i % 3 == 0))) for i in range(300)]
+    sets = [np.unique(np.append(rnd.integers(8, 1 << 63, size=50, dtype=np.uint64), np.full(int(i % 3 == 0), 7, np.uint64))) for i in range(300)]
     seen = ngram_join.often_seen(sets)
     assert seen["often"][0].tolist() == [7] and seen["counts"][0].tolist() == [100]
 
