@@ -79,9 +79,14 @@ def train_ftrl(rows, passes: int = 2, alpha: float = 1.0, beta: float = 1.0, l1:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, sample_per_label: int = 6000) -> np.ndarray:
-    """docs: (doc_id, text); labels: (doc_id, <label>). Both already restricted to training rows."""
-    wanted = bounded_sample(labels.select("doc_id", F.col(label).cast("int").alias("label")).where("label is not null and doc_id is not null"),
-                            "label", "doc_id", sample_per_label)
+    """docs: (doc_id, text); labels: (doc_id, <label>). Both already restricted to training rows.
+
+    The two labels are weighed by their true shares: the sample thins them unevenly above the bound, and
+    the bias is set right for that."""
+    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("label is not null and doc_id is not null")
+    shares = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
+    wanted = bounded_sample(known, "label", "doc_id", sample_per_label)
+    kept = {r[0]: r[1] for r in wanted.groupBy("label").count().collect()}
     rows = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")  # at most 2 x sample_per_label rows
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -91,7 +96,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, sample_per_label: int =
         return pd.DataFrame({"w": [w.astype(np.float32).tobytes()]})
 
     got = rows.withColumn("h", F.xxhash64(F.lit(5), "doc_id")).withColumn("all", F.lit(1)).groupBy("all").applyInPandas(one, "w binary").collect()
-    return np.frombuffer(got[0]["w"], np.float32) if got else np.zeros((1 << BITS) + 1, np.float32)
+    weights = np.frombuffer(got[0]["w"], np.float32).copy() if got else np.zeros((1 << BITS) + 1, np.float32)
+    if got and all(kept.get(k) for k in (0, 1)):
+        weights[-1] += math.log(shares[1] / shares[0]) - math.log(kept[1] / kept[0])
+    return weights
 
 
 def score(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -217,3 +217,18 @@ def test_language_toxicity_and_quality(spark):
     score = {r[0]: r[1] for r in quality.score(docs, weights).collect()}
     assert sum((score[i] >= 0.5) == (i % 4 != 0) for i in range(300, 400)) >= 95
     assert {r["score"] for r in quality.score(edge, quality.fit(docs, labels.limit(0), "quality")).collect()} == {0.5}
+
+
+def test_quality_scores_do_not_depend_on_the_sample_bound(spark):
+    rng = np.random.default_rng(3)
+    texts, marks = [], []
+    for i in range(3500):
+        good = int(i % 7 != 0)  # six to one
+        words = ["fine" if rng.random() < (0.6 if good else 0.4) else "poor" for _ in range(6)]
+        texts.append((i, " ".join(words)))
+        marks.append((i, good))
+    docs, labels = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, quality int")
+    few = docs.where("doc_id < 400")
+    below, above = ({r[0]: r[1] for r in quality.score(few, quality.fit(docs, labels, "quality", cap)).collect()} for cap in (6000, 400))
+    odds = np.array([np.log(above[i] / (1 - above[i])) - np.log(below[i] / (1 - below[i])) for i in below])
+    assert abs(odds.mean()) < 0.5  # log(6) = 1.8 when the bias keeps the shares of the sample
