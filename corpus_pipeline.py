@@ -35,12 +35,17 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: of every group of linked documents the smallest doc_id stays (one row of it)."""
+    """Operator 8: of every group of linked documents one row stays, that of the smallest doc_id (null ids last).
+
+    Groups are joined by a key of the row, so null and repeated ids stand for no other row."""
     ship_package(spark)
-    groups = ngram_join.components_of(docs).select(F.col("doc_id").alias("_id"), "component_id")
-    keep = groups.where("_id <=> component_id").select("_id").distinct()
-    one = docs.select(*COLUMNS).dropDuplicates(list(COLUMNS))
-    return one.join(keep, one["doc_id"].eqNullSafe(keep["_id"]), "left_semi")
+    rows = written(docs.select(*COLUMNS).dropDuplicates(list(COLUMNS)).withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
+    groups = ngram_join.components_of(rows, key="_row").select("_row", "component_id")
+    rank = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", F.xxhash64("text").alias("text_hash"),
+                    F.xxhash64("lang", "source", "n_chars").alias("rest_hash"), "_row")
+    ranked = rows.select("_row", rank.alias("rank")).join(groups, "_row")
+    keep = ranked.groupBy("component_id").agg(F.min("rank").alias("least")).select(F.col("least._row").alias("_row"))
+    return rows.join(keep, "_row", "left_semi").select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -95,3 +95,81 @@ def test_query_matches_sql(spark, key):
     names = [d[0] for d in res.description]
     want = Counter(res.fetchall())
     assert Counter(tuple(r) for r in queries.QUERIES[key](spark, SF001).select(*names).collect()) == want
+
+
+def brute_survivors(rows):
+    """One row of every group of linked texts: the smallest non-null doc_id's."""
+    rows = sorted(set(rows), key=repr)
+    sets = []
+    for r in rows:
+        w = (r[1] or "").lower().split()
+        sets.append({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    label = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = label[a], label[b]
+                label = [y if v == x else v for v in label]
+    groups = {}
+    for r, v in zip(rows, label, strict=True):
+        groups.setdefault(v, []).append(r)
+    least = {v: min((r[0] is None, r[0] or 0) for r in g) for v, g in groups.items()}
+    return [(None if least[v][0] else least[v][1], {r[1] for r in g if (r[0] is None, r[0] or 0) == least[v]}) for v, g in groups.items()]
+
+
+def near_rows():
+    """Groups with null ids only, a repeated id within one group and over two groups, equal texts of two sources, lone and empty rows."""
+    rng = np.random.default_rng(4)
+
+    def text():
+        return " ".join(f"w{x}" for x in rng.integers(0, 10**6, 60))
+
+    def near(t, k):
+        return t + f" tail{k}"
+
+    a, b, c, d, e, f = (text() for _ in range(6))
+    rows = [(None, a, "en", "web"), (None, near(a, 1), "en", "web"), (None, near(a, 2), "en", "books"),
+            (None, b, "en", "web"), (5, near(b, 1), "en", "web"), (6, near(b, 2), "en", "web"),
+            (7, c, "en", "web"), (7, near(c, 1), "en", "web"), (7, c, "en", "books"),
+            (8, d, "en", "web"), (9, near(d, 1), "en", "web"), (8, e, "en", "web"), (2, near(e, 1), "en", "web"),
+            (None, f, "en", "web"), (None, "", "en", "web"), (11, "", "en", "web"), (12, None, "en", "web"), (13, text(), "en", "web")]
+    return [(*r, len(r[1] or "")) for r in rows]
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def same_survivors(got, want):
+    """got: (doc_id, text) rows; want: (doc_id, the texts of which one stays)."""
+    left = list(want)
+    for i, t in got:
+        at = next((k for k, (j, texts) in enumerate(left) if i == j and t in texts), None)
+        if at is None:
+            return False
+        left.pop(at)
+    return not left
+
+
+def test_one_row_stays_of_every_group(spark):
+    rows = near_rows()
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, DOCS), SF001).collect()]
+    assert same_survivors(got, brute_survivors(rows))
+
+
+def test_pipeline_run_against_brute_force(spark, tmp_path):
+    from collections import Counter
+
+    import public_tokenizers
+    import tokenizers
+
+    rows = near_rows()
+    spark.createDataFrame(rows, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{SF001}/labels.parquet").limit(0).write.parquet(str(tmp_path / "labels.parquet"))  # every score 0
+    spark.read.parquet(f"{SF001}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))  # no passage of it in the rows
+    tok = tokenizers.Tokenizer.from_file(public_tokenizers.path(queries.ENCODE_MODEL))
+    want = brute_survivors(rows)
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    ids = {t: len(tok.encode(t or "", add_special_tokens=False).ids) for _, texts in want for t in texts}
+    sizes = [(r.doc_id, r.n_tokens) for r in out]
+    assert Counter(i for i, _ in sizes) == Counter(i for i, _ in want)
+    assert same_survivors(sizes, [(i, {ids[t] for t in texts}) for i, texts in want])
