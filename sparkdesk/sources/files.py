@@ -1,8 +1,9 @@
 """File-set sources: directory manifest (E1), whole-file text (E2), archive expansion (E3),
 preview and dispatch by extension (C9, C10).
 
-Listings come from Spark's ``binaryFile`` source without the ``content`` column, so no bytes
-are read for a manifest. Archives are expanded per file inside tasks (``mapInPandas``).
+Folders are listed inside tasks, level by level, through the file system helper of ``blobs.py`` (Spark's
+own file index hides names that start with '_'); bytes are read only for the files kept. Archives are
+expanded per file inside tasks (``mapInPandas``).
 """
 
 from __future__ import annotations
@@ -10,13 +11,17 @@ from __future__ import annotations
 import bz2
 import gzip
 import io
+import os
 import posixpath
 import zipfile
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import BinaryType, StructField, StructType
+
+from ..session import cut_lineage, task_slots
+from .blobs import _fs
 
 # Archive suffixes in the order they are checked (case-sensitive), and the
 # folder that zip listings drop.
@@ -30,15 +35,78 @@ class FileSetError(ValueError):
     pass
 
 
-def _listing(spark: SparkSession, path: str, with_content: bool = False) -> DataFrame:
-    try:
-        df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            raise FileSetError(f"Path does not exist: {path}") from e
-        raise
-    cols = ["path", "modificationTime", "length"] + (["content"] if with_content else [])
-    return df.select(*cols)
+PART_BYTES = 16 << 20
+LISTING = "path string, folder boolean, length long, modified long"
+
+
+def _listing(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
+    """(path, modificationTime, length) of the files under ``path``; names that start with '.' and what
+    lies below them are left out. Folders are listed inside tasks, level by level, one row out per file."""
+    root = _plain(path)
+
+    def entries(folder: str, first: bool) -> list:
+        from pyarrow import fs as pafs
+
+        fs, _ = _fs(path)
+        if first:
+            info = fs.get_file_info(folder)
+            found = [] if info.type == pafs.FileType.NotFound else [info]
+        else:
+            found = [i for i in fs.get_file_info(pafs.FileSelector(folder)) if not i.base_name.startswith(".")]
+        return [(i.path, i.type == pafs.FileType.Directory, i.size or 0, (i.mtime_ns or 0) // 1_000_000)
+                for i in found]
+
+    def listed(first: bool):
+        def run(batches):
+            for pdf in batches:
+                for folder in pdf["path"]:
+                    yield pd.DataFrame(entries(folder, first), columns=["path", "folder", "length", "modified"])
+        return run
+
+    slots = task_slots(spark)
+    level = cut_lineage(spark.createDataFrame([(root,)], "path string").mapInPandas(listed(True), LISTING))
+    if level.isEmpty():
+        raise FileSetError(f"Path does not exist: {path}")
+    files, descend = level.where("not folder"), True
+    while descend and not (folders := level.where("folder")).isEmpty():
+        level = cut_lineage(folders.select("path").repartition(slots, "path").mapInPandas(listed(False), LISTING))
+        files, descend = files.unionByName(level.where("not folder")), recursive
+    return files.select(F.concat(F.lit(_prefix(path)), F.col("path")).alias("path"),
+                        F.timestamp_millis("modified").alias("modificationTime"), "length")
+
+
+def _plain(path: str) -> str:
+    """The path as the file system helper sees it."""
+    plain = _fs(path)[1].rstrip("/") or "/"
+    return plain if "://" in path else os.path.abspath(plain)
+
+
+def _prefix(path: str) -> str:
+    """What Spark's own paths have in front of that."""
+    if "://" in path and not path.startswith("file:"):
+        plain = _plain(path)
+        whole = path.rstrip("/")
+        return whole[:-len(plain)] if whole.endswith(plain) else ""
+    return "file:"
+
+
+def _with_content(files: DataFrame, path: str) -> DataFrame:
+    """The files' bytes besides, read in tasks, in parts of about PART_BYTES."""
+    cut = len(_prefix(path))
+
+    def run(batches):
+        fs, _ = _fs(path)
+        for pdf in batches:
+            part = pdf["length"].cumsum() // PART_BYTES
+            for _, some in pdf.groupby(part, sort=False):
+                contents = []
+                for p in some["path"]:
+                    with fs.open_input_stream(p[cut:], compression=None) as fh:
+                        contents.append(fh.read())
+                yield some.assign(content=contents)
+
+    schema = StructType([*files.schema.fields, StructField("content", BinaryType())])
+    return files.repartition(task_slots(files.sparkSession), "path").mapInPandas(run, schema)
 
 
 def directory_manifest(spark: SparkSession, path: str, recursive: bool = False, extensions=None,
@@ -55,10 +123,10 @@ def directory_manifest(spark: SparkSession, path: str, recursive: bool = False,
     exts = [e.strip().lower() for e in (extensions or []) if e and e.strip()]
     ignore = list(ignore or [])
     root = path.rstrip("/")
-    df = _listing(spark, root, with_content=with_content)
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + _quote_root(root) + "/", "")
+    df = _listing(spark, root, recursive=recursive)
+    rel = F.substring("path", len(_prefix(root)) + len(_plain(root).rstrip("/")) + 2, 1 << 30)
     df = df.withColumn("rel_path", rel).withColumn("parts", F.split("rel_path", "/"))
-    df = df.withColumn("name", F.element_at("parts", -1))
+    df = df.withColumn("name", F.element_at("parts", -1)).filter("name <> ''")
     if not recursive:
         df = df.filter(F.size("parts") == 1)
     df = df.filter(~F.exists("parts", lambda p: p.startswith(".")))
@@ -70,14 +138,8 @@ def directory_manifest(spark: SparkSession, path: str, recursive: bool = False,
         for e in exts:
             cond = cond | low.endswith(e)
         df = df.filter(cond)
-    return df.select("path", "name", "rel_path", "length", "modificationTime",
-                     *(["content"] if with_content else []))
-
-
-def _quote_root(root: str) -> str:
-    import re
-
-    return re.escape(root.replace("file://", "").replace("file:", ""))
+    df = df.select("path", "name", "rel_path", "length", "modificationTime")
+    return _with_content(df, root) if with_content else df
 
 
 def whole_text(spark: SparkSession, path: str) -> DataFrame:
@@ -118,12 +180,12 @@ def expand_archives(files: DataFrame) -> DataFrame:
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """E3 over a folder: every .zip / .gz / .bz2 file expanded."""
-    files = _listing(spark, path, with_content=True)
+    files = _listing(spark, path)
     name = F.element_at(F.split("path", "/"), -1)
     cond = F.lit(False)
     for s in ARCHIVE_SUFFIXES:
         cond = cond | name.endswith(s)
-    return expand_archives(files.filter(cond))
+    return expand_archives(_with_content(files.filter(cond), path))
 
 
 def _preview_one(path: str, content: bytes) -> tuple:

@@ -92,3 +92,16 @@ def test_whole_text_and_sinks(spark, tmp_path):
     with pytest.raises(ExportError):
         export_csv(df.limit(0), kept)
     assert spark.read.csv(kept).count() == before > 0
+
+
+def test_names_with_an_underscore_are_listed(spark, tmp_path):
+    for name in ("__init__.py", "_sub/deep_.txt", "a b/%20.txt", ".hidden/x.txt", "a b/.x", "plain.txt"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(name)
+    (tmp_path / "_sub" / "_old.gz").write_bytes(gzip.compress(b"old"))
+    rows = filesrc.directory_manifest(spark, str(tmp_path), recursive=True, with_content=True).collect()
+    assert sorted(r.rel_path for r in rows) == ["__init__.py", "_sub/_old.gz", "_sub/deep_.txt", "a b/%20.txt", "plain.txt"]
+    assert all(bytes(r.content) == (tmp_path / r.rel_path).read_bytes() and r.length == len(r.content) for r in rows)
+    assert all(r.modificationTime is not None and r.path == f"file:{tmp_path}/{r.rel_path}" for r in rows)
+    assert [r.name for r in filesrc.directory_manifest(spark, "file://" + str(tmp_path), extensions=".py").collect()] == ["__init__.py"]
+    assert [(r.member, bytes(r.content)) for r in filesrc.read_archives(spark, str(tmp_path)).collect()] == [("_old", b"old")]
