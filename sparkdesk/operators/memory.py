@@ -198,6 +198,15 @@ def result_lines(ranked: DataFrame, content: Column, keys: list) -> DataFrame:
                     F.array_join(F.transform("hits", lambda h: h["line"]), "\n").alias("result")))
 
 
+def none_found(lines: DataFrame, queries: DataFrame, query_text: Column, keys: list) -> DataFrame:
+    """D-7: one row for every row of ``queries`` (keys and ``user`` among its columns): its lines, or the
+    'none found' line and no ids."""
+    none = F.concat(F.lit("No memories found for user_id "), F.col("user"), F.lit(" with query: "), query_text)
+    asked = queries.select(*keys, "user", none.alias("none"))
+    return asked.join(lines.select(*keys, "ids", "result"), keys, "left").select(
+        *keys, "user", F.coalesce("ids", F.array().cast("array<long>")).alias("ids"), F.coalesce("result", "none").alias("result"))
+
+
 def _best_template_joined(rows: DataFrame, templates: DataFrame, max_distance: float | None, metric: str) -> DataFrame:
     """The same by an equi-join on the agent and a partial minimum per row."""
     def dot(x: Column, y: Column) -> Column:

@@ -148,3 +148,52 @@ def template_match(spark, sf_dir):
     best = memory.best_template(mem, templates, TEMPLATE_MAX_DISTANCE)
     return best.select(F.col("id").alias("vec_id"), F.col("user").alias("agent"), "template_id",
                        F.round("distance", 4).alias("distance"))
+
+
+EVERY = 20  # every vec_id divisible by this is a search query and a template
+
+
+@query("memory_search_many", f"""
+WITH m AS (SELECT CAST(label AS VARCHAR) AS usr, vec_id AS id, embedding FROM embeddings),
+q AS (SELECT usr, id AS qid, embedding AS qvec FROM m WHERE id % {EVERY} = 0),
+d AS (SELECT q.qid, m.id, list_distance(CAST(m.embedding AS DOUBLE[]), CAST(q.qvec AS DOUBLE[])) AS dist
+      FROM q JOIN m ON m.usr = q.usr AND m.id <> q.qid),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, id) AS rank FROM d),
+g AS (SELECT qid, list(id ORDER BY rank) AS ids,
+             string_agg('- embedding ' || CAST(id AS VARCHAR) || ' (memory_id: ' || CAST(id AS VARCHAR) || ')',
+                        chr(10) ORDER BY rank) AS result
+      FROM r WHERE rank <= {SEARCH_K} GROUP BY qid)
+SELECT q.qid AS query_id, q.usr AS user_id, coalesce(g.ids, []) AS ids,
+       coalesce(g.result, 'No memories found for user_id ' || q.usr || ' with query: embedding ' || CAST(q.qid AS VARCHAR))
+         AS result
+FROM q LEFT JOIN g ON q.qid = g.qid
+""")
+def memory_search_many(spark, sf_dir):
+    """D-4, D-5, D-7 over a query set that grows with the table; a query without hits gives the 'none found' line."""
+    mem = _memories(spark, sf_dir)
+    queries = mem.where(F.col("id") % EVERY == 0).select(F.col("id").alias("query_id"), "user", "vec",
+                                                         F.col("id").alias("source_id"))
+    ranked = memory.knn(mem, queries, k=SEARCH_K, exclude_self=True)
+    lines = memory.result_lines(ranked, F.concat(F.lit("embedding "), F.col("id").cast("string")), ["query_id"])
+    text = F.concat(F.lit("embedding "), F.col("query_id").cast("string"))
+    return memory.none_found(lines, queries, text, ["query_id"]).withColumnRenamed("user", "user_id")
+
+
+@query("template_match_many", f"""
+WITH e AS (SELECT vec_id, CAST(label AS VARCHAR) AS usr, embedding FROM embeddings),
+t AS (SELECT * FROM e WHERE vec_id % {EVERY} = 0),
+d AS (SELECT e.vec_id, t.vec_id AS template_id,
+             list_distance(CAST(e.embedding AS DOUBLE[]), CAST(t.embedding AS DOUBLE[])) AS dist
+      FROM e JOIN t ON e.usr = t.usr),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, template_id) AS rn FROM d)
+      WHERE rn = 1 AND dist < {TEMPLATE_MAX_DISTANCE})
+SELECT e.vec_id, e.usr AS agent, b.template_id, round(b.dist, 4) AS distance
+FROM e LEFT JOIN b ON e.vec_id = b.vec_id
+""")
+def template_match_many(spark, sf_dir):
+    """D-8 with templates that grow with the table."""
+    mem = _memories(spark, sf_dir)
+    templates = mem.where(F.col("id") % EVERY == 0).select(F.col("id").alias("template_id"), "user", "vec")
+    best = memory.best_template(mem, templates, TEMPLATE_MAX_DISTANCE)
+    return best.select(F.col("id").alias("vec_id"), F.col("user").alias("agent"), "template_id",
+                       F.round("distance", 4).alias("distance"))

@@ -88,3 +88,19 @@ def test_templates_beyond_the_shipped_bound(spark, monkeypatch):
     monkeypatch.setattr(memory, "QUERY_BLOCK_ROWS", 3)
     joined = sorted((r.id, r.template_id, round(r.distance, 9) if r.template_id else None) for r in memory.best_template(rows, templates, 0.5).collect())
     assert shipped == joined
+
+
+def test_many_queries_and_the_none_found_line(spark, monkeypatch, tmp_path):
+    from sparkdesk.plans import memory_queries
+
+    rnd = random.Random(9)
+    rows = [(i, [rnd.random() for _ in range(4)], i % 2) for i in range(100)] + [(200, [0.5] * 4, 7)]  # label 7 has one memory
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    for bound in (20_000, 2):  # shipped at once; hash blocks and the join
+        monkeypatch.setattr(memory, "QUERY_BLOCK_ROWS", bound)
+        got = {r.query_id: r for r in memory_queries.memory_search_many(spark, str(tmp_path)).collect()}
+        assert sorted(got) == [0, 20, 40, 60, 80, 200] and all(len(got[i].ids) == 3 for i in (0, 20, 40, 60, 80))
+        assert got[200].ids == [] and got[200].result == "No memories found for user_id 7 with query: embedding 200"
+        matched = memory_queries.template_match_many(spark, str(tmp_path)).collect()
+        assert len(matched) == len(rows) and {r.template_id for r in matched} <= {None, 0, 20, 40, 60, 80, 200}
+        assert all(r.template_id == r.vec_id for r in matched if r.vec_id % 20 == 0)
