@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from ..functions.text import score_text
-from ..functions.trigram import add_run_similarity, similarity_from_counts, trigram_codes, with_trigram_codes
+from ..functions.trigram import (add_run_similarity, best_run, previous_places, py_trigram_code_list, py_trigram_codes,
+                                 similarity_from_counts, trigram_codes, with_trigram_codes)
 from ..session import cut_lineage, fits, spread_small, task_slots
 
 # Defaults of a request.
@@ -190,6 +191,74 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
                       score_text(F.col("raw_score")).alias("similarity_percent"), "rank")
 
 
+def _long_text_scorer(terms: list, min_pct: float, k: int):
+    """Scores every text of a task against the terms; emits the task's top k per term, ties included."""
+    import numpy as np
+    import pandas as pd
+
+    sets = [(i, np.unique(np.array(py_trigram_codes(t), np.int64))) for i, t in terms]
+    vocab, owner = np.concatenate([a for _, a in sets]), np.repeat(np.arange(len(sets)), [len(a) for _, a in sets])
+    order = np.argsort(vocab, kind="stable")
+    vocab, owner = vocab[order], owner[order]
+    sizes = np.array([len(a) for _, a in sets])
+
+    def run(batches):
+        low = max(min_pct / 100.0, 1e-9)
+        floors, tops = np.full(len(sets), low), [[] for _ in sets]
+        for pdf in batches:
+            for id_, name, text in zip(pdf["id"], pdf["name"], pdf["text"]):
+                codes = np.array(py_trigram_code_list(text), np.int64)
+                if not len(codes):
+                    continue
+                distinct, inverse, prev = previous_places(codes)
+                at = np.minimum(np.searchsorted(distinct, vocab), len(distinct) - 1)
+                shared = np.bincount(owner[distinct[at] == vocab], minlength=len(sets))
+                for j in np.flatnonzero((shared > 0) & (shared >= floors * sizes - 1e-9)):
+                    is_a = np.isin(distinct, sets[j][1], assume_unique=True)[inverse]
+                    score = best_run(prev, is_a, int(sizes[j]), floors[j])
+                    if score > 0:
+                        tops[j].append((score, id_, name))
+                        if len(tops[j]) >= k:
+                            floors[j] = max(low, sorted((s for s, _, _ in tops[j]), reverse=True)[k - 1])
+                            tops[j] = [r for r in tops[j] if r[0] >= floors[j]]
+        rows = [(int(i), id_, name, score * 100.0) for (i, _), top in zip(sets, tops) for score, id_, name in top]
+        yield pd.DataFrame(rows, columns=["item_index", "id", "name", "raw_score"])
+
+    return run
+
+
+# Terms shipped to the tasks at once; more go by hash blocks, one scan of the texts for each.
+TERM_BLOCK_ROWS = 10_000
+
+
+def search_long_texts(entity: DataFrame, id_col: str, text_col: str, items: DataFrame,
+                      min_pct: float = DEFAULT_MIN_PCT, k: int = DEFAULT_K) -> DataFrame:
+    """``similarity_search`` by both measures over one column of long texts, case as in the rules, with the
+    id as name. No (item, row) pair becomes a row: every task keeps its own top k, whose worst score bounds
+    the next run search. The whole text is one of its runs, so the best run is the greater of both measures."""
+    terms = normalise_items(items.select("item_index", "term"))
+    blocks = 1 if fits(terms, TERM_BLOCK_ROWS) else -(-2 * terms.count() // TERM_BLOCK_ROWS)
+    kind = entity.schema[id_col].dataType
+    rows = entity.select(F.col(id_col).cast("string").alias("id"), F.col(id_col).cast("string").alias("name"), F.col(text_col).alias("text"))
+    rows = spread_small(rows, "id")
+    scored = None
+    for b in range(blocks):
+        part = terms if blocks == 1 else terms.where(F.pmod(F.xxhash64("item_index", "term"), F.lit(blocks)) == b)
+        shipped = [(r[0], r[1]) for r in part.collect()]  # bounded by the check above
+        if not shipped and blocks > 1:
+            continue
+        found = rows.mapInPandas(_long_text_scorer(shipped, float(min_pct), int(k)) if shipped else (lambda it: iter(())),
+                                 "item_index long, id string, name string, raw_score double")
+        scored = found if scored is None else scored.unionByName(found)
+    scored = scored.where(F.col("raw_score") > F.lit(float(min_pct))).withColumn("id", F.col("id").cast(kind))
+    w = Window.partitionBy("item_index").orderBy(F.col("raw_score").desc(), F.col("id").asc())
+    top = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= int(k)).join(terms, "item_index")
+    return top.select("item_index", F.concat(F.lit("item_"), F.col("item_index").cast("string")).alias("item"),
+                      "term", "id", F.coalesce(F.col("name"), F.lit("")).alias("name"),
+                      F.round("raw_score", 4).alias("score"),
+                      score_text(F.col("raw_score")).alias("similarity_percent"), "rank")
+
+
 def search_request(entities: dict, entity: str | None, items_json: str | None, qty_results=None,
                    min_sim_percent=None, spark=None) -> DataFrame:
     """B14 request form. ``entities`` maps a name to (DataFrame, id column, identifier columns).

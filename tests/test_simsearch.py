@@ -92,3 +92,26 @@ def test_search_request(spark):
     assert st.status == "Entity not found"
     with pytest.raises(ValueError):
         search_request(ents, None, '["x"]')
+
+
+def test_passages_in_long_documents_by_both_measures(spark, tmp_path):
+    import random
+
+    from sparkdesk.functions.trigram import best_extent_similarity, py_trigram_list, py_trigram_set
+    from sparkdesk.plans.search_queries import BENCH_K, BENCH_MIN_PCT, simsearch_benchmark_docs_both
+
+    rnd = random.Random(11)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 6))) for _ in range(80)]
+    passages = [" ".join(rnd.choices(words, k=12)) for _ in range(4)]
+    docs = [(i, " ".join(rnd.choices(words, k=rnd.randint(5, 150)))) for i in range(25)]
+    docs += [(100 + i, " ".join(rnd.choices(words, k=300)) + " " + p + " " + " ".join(rnd.choices(words, k=300))) for i, p in enumerate(passages)]
+    docs += [(200, docs[-1][1]), (201, None), (202, "")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(list(enumerate(passages)), "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    want = []
+    for j, p in enumerate(passages):
+        scores = sorted((-100.0 * best_extent_similarity(py_trigram_set(p), py_trigram_list(t)), i) for i, t in docs)
+        want += [(j, i, r + 1, round(-s, 4)) for r, (s, i) in enumerate([x for x in scores if -x[0] > BENCH_MIN_PCT][:BENCH_K])]
+    got = sorted((r.item_index, r["rank"], r.id, r.score) for r in simsearch_benchmark_docs_both(spark, str(tmp_path)).collect())
+    assert got == sorted((j, r, i, s) for j, i, r, s in want)
+    assert all((j, 1, 100 + j, 100.0) in got for j in range(4))
