@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package, table
-from . import decontaminate, embedding_dedup, encoding, lang_id, line_dedup, ngram_join, quality, suffix_dedup, token_counts, toxicity
+from . import decontaminate, embedding_dedup, encoding, lang_id, line_dedup, manifest, ngram_join, quality, suffix_dedup, token_counts, toxicity
 from .common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,51 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     weights = quality.fit(docs, training(labels, 4, 2), "quality")
     return held_out(quality.score(docs, weights), 4, 2).select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+# unsigned crc32 of a value's decimal text, bit by bit
+CRC_SQL = """xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({x}::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(0, 8)), lambda v, i: xor(v // 2, 3988292384::BIGINT * (v % 2)))))"""
+
+
+def part_sql(x: str) -> str:
+    return f"coalesce(strlen({x}::VARCHAR)::VARCHAR || ':' || {x}::VARCHAR, '-')"
+
+
+def leaf_sql(n_chars: str) -> str:
+    return "sha256(" + " || ".join(part_sql(x) for x in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+OP11_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce('=' || lang, '') AS g, {leaf_sql("n_chars")} AS leaf,
+                            CASE WHEN {CRC_SQL.format(x="doc_id")} % 7 = 0 THEN {leaf_sql("(n_chars + 1)")} ELSE {leaf_sql("n_chars")} END AS other FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM d),
+t(g, lvl, pos, n, h) AS (SELECT g, 0, pos, n, leaf FROM l
+    UNION ALL SELECT g, any_value(lvl) + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM t WHERE n > 1 GROUP BY g, pos // 2),
+r AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+u(lvl, pos, n, h) AS (SELECT 0, pos, n, subroot FROM r
+    UNION ALL SELECT any_value(lvl) + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM u WHERE n > 1 GROUP BY pos // 2),
+low AS (SELECT l.g, l.pos, t.lvl, t.pos AS at, t.h FROM l JOIN t ON t.g = l.g AND t.n > 1 AND t.pos = xor(l.pos // (1::BIGINT << t.lvl), 1)),
+high AS (SELECT r.g, u.lvl, u.pos AS at, u.h FROM r JOIN u ON u.n > 1 AND u.pos = xor(r.pos // (1::BIGINT << u.lvl), 1)),
+deep AS (SELECT g, max(lvl) AS top FROM t GROUP BY g),
+proof AS (SELECT g, pos, string_agg(h, '' ORDER BY part, lvl) AS p FROM (
+    SELECT g, pos, 0 AS part, lvl, h FROM low UNION ALL SELECT l.g, l.pos, 1, high.lvl, high.h FROM l JOIN high USING (g)) GROUP BY g, pos),
+f(g, pos, lvl, h) AS (SELECT g, pos, 0, other FROM l
+    UNION ALL SELECT f.g, f.pos, f.lvl + 1, CASE WHEN s.h IS NULL THEN sha256(f.h) WHEN s.at % 2 = 1 THEN sha256(f.h || s.h) ELSE sha256(s.h || f.h) END
+              FROM f JOIN deep ON deep.g = f.g AND f.lvl < deep.top LEFT JOIN low s ON s.g = f.g AND s.pos = f.pos AND s.lvl = f.lvl),
+f2(g, pos, lvl, h) AS (SELECT f.g, f.pos, 0, f.h FROM f JOIN deep ON deep.g = f.g AND deep.top = f.lvl
+    UNION ALL SELECT f2.g, f2.pos, f2.lvl + 1, CASE WHEN s.h IS NULL THEN sha256(f2.h) WHEN s.at % 2 = 1 THEN sha256(f2.h || s.h) ELSE sha256(s.h || f2.h) END
+              FROM f2 JOIN (SELECT max(lvl) AS top FROM u) m ON f2.lvl < m.top LEFT JOIN high s ON s.g = f2.g AND s.lvl = f2.lvl)
+SELECT l.doc_id, l.leaf, r.subroot, x.h AS root, sha256(coalesce(p, '')) AS proof_sha256, f2.h AS folded_root, f2.h = x.h AS verified
+FROM l JOIN r USING (g) CROSS JOIN (SELECT h FROM u WHERE n = 1) x LEFT JOIN proof ON proof.g = l.g AND proof.pos = l.pos
+JOIN f2 ON f2.g = l.g AND f2.pos = l.pos AND f2.lvl = (SELECT max(lvl) FROM u)
+"""
+
+
+@query("op11_merkle_manifest", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    out = manifest.manifest(table(spark, sf_dir, "documents"), check={"n_chars": tampered})
+    siblings = F.array_join(F.transform("path", lambda s: F.concat(s["before"], s["after"])), "")
+    return out.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings.cast("binary"), 256).alias("proof_sha256"),
+                      F.col("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
