@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package, table
-from . import decontaminate, embedding_dedup, encoding, lang_id, line_dedup, manifest, ngram_join, quality, suffix_dedup, token_counts, toxicity
+from . import decontaminate, embedding_dedup, encoding, lang_id, line_dedup, manifest, ngram_join, prefix_trie, quality, suffix_dedup, token_counts, toxicity
 from .common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,3 +201,27 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     siblings = F.array_join(F.transform("path", lambda s: F.concat(s["before"], s["after"])), "")
     return out.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings.cast("binary"), 256).alias("proof_sha256"),
                       F.col("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
+
+
+OP12_SQL = rf"""
+WITH t AS (SELECT conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id,
+                  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT conv_id, list({{'id': id, 'words': words}} ORDER BY turn NULLS FIRST, id) AS turns, {CRC_SQL.format(x="conv_id")} % 4 AS h FROM t GROUP BY conv_id),
+b AS (SELECT x.conv_id, list_concat(coalesce(y.turns, [])[1:x.h], x.turns[x.h + 1:]) AS turns FROM l x LEFT JOIN l y ON y.conv_id = x.conv_id - x.conv_id % 20),
+p AS (SELECT conv_id, len(turns) AS n, d, list_transform(turns[1:d], lambda s: s.id)::VARCHAR[] AS k, coalesce(turns[d].words, 0) AS words
+      FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM b)),
+g AS (SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words, string_agg(conv_id, ',' ORDER BY conv_id) FILTER (WHERE n = d) AS ends
+      FROM p GROUP BY d, k),
+c AS (SELECT g.*, u.conv_id AS parent_conv_id, (SELECT count(*) FROM g v WHERE v.d = g.d + 1 AND v.k[1:g.d] = g.k) AS n_children
+      FROM g LEFT JOIN g u ON u.d = g.d - 1 AND u.k = g.k[1:g.d - 1])
+SELECT c.conv_id, c.d AS depth, c.parent_conv_id, c.n_convs, c.n_children, count(*) FILTER (WHERE s.n_children = 0) AS n_leaves,
+       sum((s.n_convs - 1) * s.words)::BIGINT AS saved_tokens, sha256(coalesce(c.ends, '')) AS ends_sha256
+FROM c JOIN c s ON s.d >= c.d AND s.k[1:c.d] = c.k GROUP BY c.k, c.conv_id, c.d, c.parent_conv_id, c.n_convs, c.n_children, c.ends
+"""
+
+
+@query("op12_conversation_trie", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = prefix_trie.turn_lists(table(spark, sf_dir, "conversations"))
+    head = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).cast("int")
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_heads(lists, F.col("conv_id") - F.col("conv_id") % 20, head, 3))
