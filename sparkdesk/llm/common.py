@@ -43,17 +43,27 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 class Memo(dict):
-    """A dictionary that fills itself through ``make`` and starts anew when it holds ``limit`` keys."""
+    """A dictionary of strings that fills itself through ``make``. At ``limit`` keys the present ones become the old half, and
+    what is not asked for again goes with the next turn; strings over ``longest`` characters are made each time, so memory is bounded."""
 
-    def __init__(self, make, limit: int = 400_000, seed: dict | None = None):
+    longest = 64
+
+    def __init__(self, make, limit: int = 200_000, seed: dict | None = None):
         super().__init__(seed or {})
-        self.make, self.limit, self.seed = make, limit, seed or {}
+        self.make, self.limit, self.seed, self.old = make, limit, seed or {}, {}
 
     def __missing__(self, key):
+        if len(key) > self.longest:
+            return self.make(key)
+        value = self.old.get(key)
+        return self.keep(key, self.make(key) if value is None else value)
+
+    def keep(self, key, value):
         if len(self) >= self.limit + len(self.seed):
+            self.old = dict(self)
             self.clear()
             self.update(self.seed)
-        value = self[key] = self.make(key)
+        self[key] = value
         return value
 
 

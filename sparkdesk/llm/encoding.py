@@ -11,7 +11,9 @@ their own id; rows are independent, so ties, repeats, null ids and extra columns
 from __future__ import annotations
 
 import functools
+import hashlib
 import itertools
+import json
 import re
 from collections.abc import Iterator
 
@@ -61,25 +63,37 @@ def fragments(word: str, plain, final) -> list[str]:
     return out
 
 
+@functools.lru_cache(maxsize=4)
+def normalizer_of(path: str):
+    """The file's normalizer alone, without its vocabulary."""
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as fh:
+        spec = json.load(fh)
+    bare = {"version": "1.0", "added_tokens": [], "normalizer": spec["normalizer"], "pre_tokenizer": None, "post_processor": None, "decoder": None,
+            "truncation": None, "padding": None, "model": {"type": "BPE", "vocab": {}, "merges": []}}
+    return Tokenizer.from_str(json.dumps(bare)).normalizer
+
+
 class Encoder:
     """Ids and decoded text of one text, as the library gives them for this file."""
 
     def __init__(self, path: str, patterns, inside):
-        from tokenizers import Tokenizer
-
         model = load_model(path)
         self.vocab, self.ranks, self.suffix = model["vocab"], model["ranks"], model["suffix"]
         self.specials = model["specials"]
         self.splitter = Splitter(patterns, self.specials)
-        self.normalizer = Tokenizer.from_file(path).normalizer  # Unicode normal form, spaces, lower case
+        self.normalizer = normalizer_of(path)  # Unicode normal form, spaces, lower case
         self.beyond_latin = re.compile("[^\x00-\u024f]")
+        self.unusual = re.compile("[^\t-\r -~\u00a1-\u00ac\u00ae-\u024f]")  # or white space that str.split sees otherwise
         self.plain, self.final = inside
         self.final = self.final if self.suffix else self.plain
         names = {i: t for t, i in [*self.vocab.items(), *self.specials.items()]}
         self.names = [names.get(i, "") for i in range(max(names) + 1)]
-        self.inner = Memo(lambda f: self._ids(list(f)), 200_000)
-        self.ending = Memo(lambda f: self._ids([*f[:-1], f[-1] + self.suffix]), 200_000)
-        self.words = Memo(self._word)
+        self.inner = Memo(lambda f: self._ids(list(f)), 100_000)
+        self.ending = Memo(lambda f: self._ids([*f[:-1], f[-1] + self.suffix]), 100_000)
+        self.words = Memo(self._word, 100_000)
+        self.chunks = Memo(self._chunk, 100_000)
 
     def _ids(self, symbols: list[str]) -> tuple[int, ...]:
         return tuple(self.vocab[t] for t in merge(symbols, self.ranks))
@@ -95,7 +109,13 @@ class Encoder:
             return text.lower()
         return self.normalizer.normalize_str(text)
 
+    def _chunk(self, chunk: str) -> tuple[int, ...]:
+        return tuple(itertools.chain.from_iterable(map(self.words.__getitem__, self.splitter.pretokens(chunk))))
+
     def encode(self, text: str) -> list[int]:
+        if self.unusual.search(text) is None and (self.splitter.special is None or self.splitter.special.search(text) is None):
+            # pre-tokens never span white space: what stands between it is looked up whole
+            return list(itertools.chain.from_iterable(map(self.chunks.__getitem__, text.lower().split())))
         ids: list[int] = []
         for special, part in self.splitter.segments(text):
             if special:
@@ -130,9 +150,21 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     return rows.select(key, bpe(docs.sparkSession, F.col("_text"), path).alias("_r")).select(key, "_r.ids", "_r.decoded")
 
 
-def encoding_digest(docs: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
-    """key, n_tokens, ids_sha256, decoded_sha256."""
-    e = encode(docs, path, key)
-    return e.select(key, F.size("ids").cast("long").alias("n_tokens"),
-                    F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
-                    F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+def encoding_digest(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, n_tokens, ids_sha256, decoded_sha256. Ids and decoded texts are hashed one by one where they are made."""
+    shipped = docs.sparkSession.sparkContext.broadcast((with_classes(WORD_LEVEL), inner_pairs(path)))
+
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder = Encoder(path, *shipped.value)
+        decimal = list(map(str, range(len(encoder.names))))
+        for texts in batches:
+            out = []
+            for t in texts:
+                ids = encoder.encode(t) if t else []
+                out.append((len(ids), hashlib.sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest(),
+                            hashlib.sha256(encoder.decode(ids).encode()).hexdigest()))
+            yield pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+
+    rows = docs.select(F.col(key), F.col(text).alias("_text"))
+    return rows.select(key, run("_text").alias("_r")).select(key, "_r.n_tokens", "_r.ids_sha256", "_r.decoded_sha256")
