@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package, table
-from . import decontaminate, embedding_dedup, encoding, lang_id, line_dedup, manifest, ngram_join, prefix_trie, quality, suffix_dedup, token_counts, toxicity
+from . import decontaminate, embedding_dedup, encoding, lang_id, line_dedup, manifest, ngram_join, packing, prefix_trie, quality, suffix_dedup, token_counts, toxicity
 from .common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -225,3 +225,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = prefix_trie.turn_lists(table(spark, sf_dir, "conversations"))
     head = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).cast("int")
     return prefix_trie.prefix_trie(prefix_trie.with_shared_heads(lists, F.col("conv_id") - F.col("conv_id") % 20, head, 3))
+
+
+@query("op13_retrieval_packing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(ENCODE_MODEL), end_id=1)
