@@ -35,6 +35,7 @@ CELLS = 4_000_000
 PIECE = 10_000  # ids in one string of ids
 NODE = ("key binary, parent_key binary, edge boolean, parent_edge boolean, conv_id long, depth long, parent_conv_id long, n_convs long, n_children long, "
         "n_leaves long, saved_tokens long, words long, ends_sha256 string, first long, ends string")
+COLUMNS = [c.split(" ")[0] for c in NODE.split(", ")]
 NO_ENDS = hashlib.sha256(b"").hexdigest()
 
 
@@ -81,7 +82,7 @@ def matrix_nodes(ids: list[bytes], words: list, convs: np.ndarray) -> Iterator[p
         up = np.flatnonzero(change[:, max(d - 1, 0)])
         size, up_end = np.diff(starts, append=rows), np.append(up[1:], rows)
         edge, up_edge = (starts == 0) | (starts + size == rows), (up == 0) | (up_end == rows)
-        of = np.searchsorted(up, starts, side="right") - 1
+        of, up_keys = np.searchsorted(up, starts, side="right") - 1, {}
         last_words = w[starts, d - 1] if d else np.zeros(1, np.int64)
         member = m[starts, d - 1] >= 0 if d else np.ones(1, bool)
         kids = np.add.reduceat(child, starts)
@@ -92,24 +93,25 @@ def matrix_nodes(ids: list[bytes], words: list, convs: np.ndarray) -> Iterator[p
         saved[inner] += ((size - 1) * last_words)[member & ~edge]
         ends = np.add.reduceat((length == d).astype(np.int64), starts)  # the shorter rows come first
         over = up_edge[of] & (d > 0)
-        node = pd.DataFrame({
-            "key": None, "parent_key": None, "edge": edge, "parent_edge": over, "conv_id": np.minimum.reduceat(convs, starts), "depth": d,
-            "parent_conv_id": pd.Series(np.minimum.reduceat(convs, up)[of], dtype="Int64").where(~over & (d > 0)), "n_convs": size, "n_children": kids,
-            "n_leaves": np.add.reduceat(leaves, starts), "saved_tokens": np.add.reduceat(saved, starts), "words": last_words, "ends_sha256": NO_ENDS,
-            "first": None, "ends": None})
-        node["key"] = [node_key((first if s == 0 else last)[:16 * d]) if e else None for s, e in zip(starts.tolist(), edge.tolist(), strict=True)]
-        tops = {s: node_key((first if s == 0 else last)[:16 * (d - 1)]) for s in up[up_edge].tolist()} if d else {}
-        node["parent_key"] = [tops.get(s) for s in up[of].tolist()]
-        pieces = []
+        on = np.flatnonzero(edge).tolist()
+        keys, tops, hashes, pieces = [None] * len(starts), [None] * len(starts), [NO_ENDS] * len(starts), []
+        for k in on:
+            keys[k] = node_key((first if starts[k] == 0 else last)[:16 * d])
+        for k in np.flatnonzero(over).tolist():
+            tops[k] = up_keys[of[k]] if of[k] in up_keys else up_keys.setdefault(of[k], node_key((first if up[of[k]] == 0 else last)[:16 * (d - 1)]))
         for k in np.flatnonzero(member & (ends > 0)).tolist():
-            here = convs[starts[k]:starts[k] + ends[k]].tolist()
-            if not edge[k]:
-                node.at[k, "ends_sha256"] = hashlib.sha256(",".join(map(str, here)).encode()).hexdigest()
+            here = list(map(str, convs[starts[k]:starts[k] + ends[k]].tolist()))
+            if edge[k]:
+                pieces += [{"key": keys[k], "first": int(here[p]), "ends": ",".join(here[p:p + PIECE])} for p in range(0, len(here), PIECE)]
             else:
-                pieces += [{"key": node.at[k, "key"], "first": here[p], "ends": ",".join(map(str, here[p:p + PIECE]))} for p in range(0, len(here), PIECE)]
-        yield node[member]
+                hashes[k] = hashlib.sha256(",".join(here).encode()).hexdigest()
+        yield pd.DataFrame({
+            "key": keys, "parent_key": tops, "edge": edge, "parent_edge": over, "conv_id": np.minimum.reduceat(convs, starts), "depth": d,
+            "parent_conv_id": pd.array(np.minimum.reduceat(convs, up)[of], dtype="Int64"), "n_convs": size, "n_children": kids,
+            "n_leaves": np.add.reduceat(leaves, starts), "saved_tokens": np.add.reduceat(saved, starts), "words": last_words, "ends_sha256": hashes,
+            "first": None, "ends": None})[member]
         if pieces:
-            yield pd.DataFrame(pieces, columns=node.columns, dtype=object)
+            yield pd.DataFrame(pieces, columns=COLUMNS, dtype=object)
         starts = up
 
 
