@@ -224,33 +224,3 @@ def previous_places(codes):
     same = inverse[order[1:]] == inverse[order[:-1]]
     prev[order[1:][same]] = order[:-1][same]
     return distinct, inverse, prev
-
-
-def best_run(prev, is_a, n_a: int, floor: float, block: int = 32) -> float:
-    """``best_extent_similarity`` if it is at least ``floor`` (> 0), else 0; for long lists.
-
-    Starts are taken in blocks: a run that starts in a block shares at most what the run from the block's
-    first start shares, and has at least the other trigrams of the run from its last start."""
-    import numpy as np
-
-    best, found, n, hits = floor, 0.0, len(prev), np.flatnonzero(is_a)
-    for k in range(0, len(hits), block):
-        group = hits[k:k + block]
-        lo, hi = int(group[0]), int(group[-1])
-        reach = hi - lo + int(4 * n_a / best) + 1
-        while True:
-            end = min(n, lo + reach)
-            a = is_a[lo:end]
-            others = np.zeros(end - lo, np.int64)
-            others[hi - lo:] = np.cumsum((prev[hi:end] < hi) & ~a[hi - lo:])
-            if end == n or n_a / (n_a + others[-1]) < best:  # no run reaches beyond
-                break
-            reach *= 2
-        if (np.cumsum((prev[lo:end] < lo) & a) / (n_a + others)).max() < best:
-            continue
-        for s in group:
-            new, a = prev[s:end] < s, is_a[s:end]
-            top = float((np.cumsum(new & a) / (n_a + np.cumsum(new & ~a))).max())
-            if top >= best:
-                best = found = top
-    return found

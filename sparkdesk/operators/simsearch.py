@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from ..functions.text import score_text
-from ..functions.trigram import (add_run_similarity, best_run, previous_places, py_trigram_code_list, py_trigram_codes,
-                                 similarity_from_counts, trigram_codes, with_trigram_codes)
-from ..session import cut_lineage, fits, spread_small, task_slots
+from ..functions.text_windows import Text, TermBlock, scores_of, trigram_places
+from ..functions.trigram import add_run_similarity, similarity_from_counts, trigram_codes, with_trigram_codes
+from ..session import cut_lineage, fits, fresh_shared_path, spread_small, task_slots
 
 # Defaults of a request.
 DEFAULT_K = 1
@@ -191,65 +191,97 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
                       score_text(F.col("raw_score")).alias("similarity_percent"), "rank")
 
 
-def _long_text_scorer(terms: list, min_pct: float, k: int):
-    """Scores every text of a task against the terms; emits the task's top k per term, ties included."""
+# Terms that every task holds; more are read by the tasks from a table in the shared folder, block by block.
+TERM_ROWS, TERM_CHARS = 10_000, 8_000_000
+BLOCK_TERMS = 256  # terms counted against a text at once
+SCOUT_SHARE, SCOUT_ROWS = 0.05, 20_000  # texts that set the first floors
+CHUNK_PLACES = 1_000_000  # trigram places of the texts a task holds at once
+
+
+def _long_text_scorer(term_blocks, min_pct: float, k: int):
+    """Task function: (item_index, id, name, raw_score) rows that hold each term's top k of the task, ties included.
+
+    ``term_blocks()`` yields lists of (item_index, term, floor). A term's floor rises to the k-th best score met so far."""
     import numpy as np
     import pandas as pd
 
-    sets = [(i, np.unique(np.array(py_trigram_codes(t), np.int64))) for i, t in terms]
-    vocab, owner = np.concatenate([a for _, a in sets]), np.repeat(np.arange(len(sets)), [len(a) for _, a in sets])
-    order = np.argsort(vocab, kind="stable")
-    vocab, owner = vocab[order], owner[order]
-    sizes = np.array([len(a) for _, a in sets])
+    low = max(min_pct / 100.0, 1e-9)
+    columns = ["item_index", "id", "name", "raw_score"]
+
+    def scored(texts, floors):
+        for n, terms in enumerate(term_blocks()):
+            sets = [np.unique(trigram_places(t)) for _, t, _ in terms]
+            block = TermBlock(sets)
+            mine, tops = floors.setdefault(n, np.array([max(low, f) for *_, f in terms])), [[] for _ in terms]
+            for id_, name, text in texts:
+                for j, score in scores_of(text, block, mine).items():
+                    tops[j].append((score, id_, name))
+                    if len(tops[j]) >= k:
+                        mine[j] = max(mine[j], sorted((s for s, _, _ in tops[j]), reverse=True)[k - 1])
+                        tops[j] = [r for r in tops[j] if r[0] >= mine[j]]
+            yield pd.DataFrame([(i, id_, name, s * 100.0) for (i, *_), top in zip(terms, tops, strict=True) for s, id_, name in top], columns=columns)
 
     def run(batches):
-        low = max(min_pct / 100.0, 1e-9)
-        floors, tops = np.full(len(sets), low), [[] for _ in sets]
+        floors, texts, held = {}, [], 0
         for pdf in batches:
-            for id_, name, text in zip(pdf["id"], pdf["name"], pdf["text"]):
-                codes = np.array(py_trigram_code_list(text), np.int64)
-                if not len(codes):
-                    continue
-                distinct, inverse, prev = previous_places(codes)
-                at = np.minimum(np.searchsorted(distinct, vocab), len(distinct) - 1)
-                shared = np.bincount(owner[distinct[at] == vocab], minlength=len(sets))
-                for j in np.flatnonzero((shared > 0) & (shared >= floors * sizes - 1e-9)):
-                    is_a = np.isin(distinct, sets[j][1], assume_unique=True)[inverse]
-                    score = best_run(prev, is_a, int(sizes[j]), floors[j])
-                    if score > 0:
-                        tops[j].append((score, id_, name))
-                        if len(tops[j]) >= k:
-                            floors[j] = max(low, sorted((s for s, _, _ in tops[j]), reverse=True)[k - 1])
-                            tops[j] = [r for r in tops[j] if r[0] >= floors[j]]
-        rows = [(int(i), id_, name, score * 100.0) for (i, _), top in zip(sets, tops) for score, id_, name in top]
-        yield pd.DataFrame(rows, columns=["item_index", "id", "name", "raw_score"])
+            for id_, name, text in zip(pdf["id"], pdf["name"], pdf["text"], strict=True):
+                places = trigram_places(text)
+                if len(places):
+                    texts.append((id_, name, Text(places)))
+                    held += len(places)
+                if held > CHUNK_PLACES:
+                    yield from scored(texts, floors)
+                    texts, held = [], 0
+        if texts:
+            yield from scored(texts, floors)
 
     return run
 
 
-# Terms shipped to the tasks at once; more go by hash blocks, one scan of the texts for each.
-TERM_BLOCK_ROWS = 10_000
+def _held_terms(rows: list):
+    return lambda: (rows[s:s + BLOCK_TERMS] for s in range(0, len(rows), BLOCK_TERMS))
+
+
+def _stored_terms(terms: DataFrame):
+    """The terms as a table in the shared folder that tasks read a block at a time; nothing passes through the driver."""
+    folder = fresh_shared_path(terms.sparkSession, "search-terms")
+    terms.write.parquet(folder)
+
+    def blocks():
+        import pyarrow.dataset as ds
+
+        from ..sources.blobs import _fs
+
+        fs, inner = _fs(folder)
+        for part in sorted(ds.dataset(inner, filesystem=fs, format="parquet").files):
+            for batch in ds.dataset(part, filesystem=fs, format="parquet").to_batches(batch_size=BLOCK_TERMS):
+                yield list(zip(batch["item_index"].to_pylist(), batch["term"].to_pylist(), batch["floor"].to_pylist(), strict=True))
+
+    return blocks
 
 
 def search_long_texts(entity: DataFrame, id_col: str, text_col: str, items: DataFrame,
                       min_pct: float = DEFAULT_MIN_PCT, k: int = DEFAULT_K) -> DataFrame:
     """``similarity_search`` by both measures over one column of long texts, case as in the rules, with the
-    id as name. No (item, row) pair becomes a row: every task keeps its own top k, whose worst score bounds
-    the next run search. The whole text is one of its runs, so the best run is the greater of both measures."""
-    terms = normalise_items(items.select("item_index", "term"))
-    blocks = 1 if fits(terms, TERM_BLOCK_ROWS) else -(-2 * terms.count() // TERM_BLOCK_ROWS)
+    id as name. No (item, row) pair becomes a row: a count filter over sliding windows bounds every run (see
+    ``functions.text_windows``), only what can reach a term's k-th best score is scored, and every task keeps its own top k.
+    The whole text is one of its runs, so the best run is the greater of both measures."""
+    terms = normalise_items(items.select(F.col("item_index").cast("long").alias("item_index"), "term"))
+    small = fits(terms, TERM_ROWS) and (terms.agg(F.sum(F.length("term"))).first()[0] or 0) <= TERM_CHARS
     kind = entity.schema[id_col].dataType
     rows = entity.select(F.col(id_col).cast("string").alias("id"), F.col(id_col).cast("string").alias("name"), F.col(text_col).alias("text"))
-    rows = spread_small(rows, "id")
-    scored = None
-    for b in range(blocks):
-        part = terms if blocks == 1 else terms.where(F.pmod(F.xxhash64("item_index", "term"), F.lit(blocks)) == b)
-        shipped = [(r[0], r[1]) for r in part.collect()]  # bounded by the check above
-        if not shipped and blocks > 1:
-            continue
-        found = rows.mapInPandas(_long_text_scorer(shipped, float(min_pct), int(k)) if shipped else (lambda it: iter(())),
-                                 "item_index long, id string, name string, raw_score double")
-        scored = found if scored is None else scored.unionByName(found)
+
+    def search(texts: DataFrame, terms: DataFrame) -> DataFrame:
+        source = _held_terms([tuple(r) for r in terms.collect()]) if small else _stored_terms(terms)
+        return spread_small(texts, "id").mapInPandas(_long_text_scorer(source, float(min_pct), int(k)), "item_index long, id string, name string, raw_score double")
+
+    # a few texts give every term a first floor: the k-th best of some texts is never above the k-th best of all
+    share = min(SCOUT_SHARE, SCOUT_ROWS / max(rows.count(), 1))
+    scouts = rows.where(F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    best = Window.partitionBy("item_index").orderBy(F.col("raw_score").desc())
+    floors = (search(scouts, terms.withColumn("floor", F.lit(0.0))).withColumn("r", F.row_number().over(best)).where(F.col("r") == int(k))
+              .select("item_index", (F.col("raw_score") / 100.0 - 1e-12).alias("floor")))
+    scored = search(rows, terms.join(floors, "item_index", "left").select("item_index", "term", F.coalesce("floor", F.lit(0.0)).alias("floor")))
     scored = scored.where(F.col("raw_score") > F.lit(float(min_pct))).withColumn("id", F.col("id").cast(kind))
     w = Window.partitionBy("item_index").orderBy(F.col("raw_score").desc(), F.col("id").asc())
     top = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= int(k)).join(terms, "item_index")

@@ -100,12 +100,11 @@ def spread_small(df: DataFrame, key: str | None = None) -> DataFrame:
     so this costs nothing at scale. Streaming inputs are left alone."""
     if df.isStreaming:
         return df
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        # planned size of the input in bytes; nothing runs for it
-        if int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()) > SMALL_BYTES:
-            return df
-    except Exception:  # no RDD view (e.g. a remote session): leave the plan as it is
+    if getattr(df, "_jdf", None) is None:  # a remote session: leave the plan as it is
+        return df
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    # planned size of the input in bytes; nothing runs for it
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > SMALL_BYTES:
         return df
     return df.repartition(slots, key) if key else df.repartition(slots)
 

@@ -94,9 +94,17 @@ def test_search_request(spark):
         search_request(ents, None, '["x"]')
 
 
-def test_passages_in_long_documents_by_both_measures(spark, tmp_path):
+@pytest.mark.parametrize("held", [True, False])
+def test_passages_in_long_documents_by_both_measures(spark, tmp_path, monkeypatch, held):
     import random
 
+    from sparkdesk.operators import simsearch
+
+    if not held:  # terms read by the tasks, two at a time
+        monkeypatch.setattr(simsearch, "TERM_ROWS", 1)
+        monkeypatch.setattr(simsearch, "BLOCK_TERMS", 2)
+        monkeypatch.setattr(simsearch, "CHUNK_PLACES", 3000)
+
     from sparkdesk.functions.trigram import best_extent_similarity, py_trigram_list, py_trigram_set
     from sparkdesk.plans.search_queries import BENCH_K, BENCH_MIN_PCT, simsearch_benchmark_docs_both
 
@@ -115,3 +123,35 @@ def test_passages_in_long_documents_by_both_measures(spark, tmp_path):
     got = sorted((r.item_index, r["rank"], r.id, r.score) for r in simsearch_benchmark_docs_both(spark, str(tmp_path)).collect())
     assert got == sorted((j, r, i, s) for j, i, r, s in want)
     assert all((j, 1, 100 + j, 100.0) in got for j in range(4))
+
+
+def test_window_scores_equal_the_plain_run_search():
+    import random
+
+    import numpy as np
+
+    from sparkdesk.functions import text_windows as tw
+    from sparkdesk.functions.trigram import best_extent_similarity, py_trigram_code_list, py_trigram_codes
+
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 6))) for _ in range(60)]
+    terms = [" ".join(rnd.choices(words, k=rnd.choice([1, 2, 5, 20]))) for _ in range(25)] + ["é ½", "a"]
+    texts = [" ".join(rnd.choices(words, k=rnd.choice([1, 5, 60, 300]))) for _ in range(25)]
+    texts += ["same " * 200, "Ünï-cödé ½ " + terms[3] + " tail", terms[4] * 3, "a"]
+    block = tw.TermBlock([np.unique(tw.trigram_places(t)) for t in terms])
+    for text in texts:
+        codes = tw.trigram_places(text)
+        assert codes.tolist() == py_trigram_code_list(text)
+        for floor in (1e-9, 0.3, 0.7, 1.0):
+            got = tw.scores_of(tw.Text(codes), block, np.full(len(terms), floor))
+            for j, term in enumerate(terms):
+                want = best_extent_similarity(py_trigram_codes(term), codes.tolist())
+                assert abs(got.get(j, 0.0) - (want if want >= floor else 0.0)) < 1e-9
+    assert len(tw.trigram_places(None)) == len(tw.trigram_places(" -- ")) == 0
+
+
+def test_small_inputs_are_spread_over_the_slots(spark):
+    from sparkdesk.session import spread_small
+
+    part = spark.read.parquet(f"{SF001}/part.parquet")
+    assert spread_small(part).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
