@@ -10,8 +10,8 @@ skewed join partition; no window has to hold a whole id's history in one task.
 Search. k nearest memories of the same user (L2 by default, cosine optional), exact. A
 bounded query block (size checked) is shipped to every task with ``mapInPandas``: each task
 computes distances chunk-wise with NumPy and keeps a local top-k per query; a window top-k
-over those survivors gives the answer. More queries are cut into hash blocks, one scan of
-the memories per block; no (query, memory) pair ever becomes a row.
+over those survivors gives the answer. More queries meet the memories in a shuffle join of
+blocks that pivots leave over (``metric_join``); no (query, memory) pair ever becomes a row.
 """
 
 from __future__ import annotations
@@ -22,11 +22,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import fits
+from .metric_join import distances, nearest, unit
 
 # Modes and the default number of results.
 MODES = ("add", "update", "delete", "search")
 DEFAULT_K = 3
-# Query blocks up to this many rows are shipped to the tasks; above, the join path is used.
+# Up to this many queries or templates are shipped to the tasks; above, they are joined.
 QUERY_BLOCK_ROWS = 20_000
 
 KEY = ["assistant_id", "memory_id"]
@@ -106,18 +107,6 @@ def write_state(state: DataFrame, path: str) -> None:
 QUERY_CHUNK = 1024
 
 
-def _distances(qmat: np.ndarray, mat: np.ndarray, metric: str) -> np.ndarray:
-    """Distances of every query row to every memory row, O(q x n) memory (no q x n x d array)."""
-    if metric == "cosine":
-        return 1.0 - qmat @ mat.T
-    d2 = (qmat * qmat).sum(1)[:, None] + (mat * mat).sum(1)[None, :] - 2.0 * (qmat @ mat.T)
-    return np.sqrt(np.maximum(d2, 0.0))
-
-
-def _unit(mat: np.ndarray) -> np.ndarray:
-    return mat / np.maximum(np.linalg.norm(mat, axis=1, keepdims=True), 1e-12)
-
-
 def _local_topk(queries: pd.DataFrame, k: int, metric: str, exclude_self: bool):
     """Per-batch scorer: memories (user, id, vec) against the shipped queries of the same user;
     emits only a local top-k per query (ties at the k-th distance kept)."""
@@ -125,7 +114,7 @@ def _local_topk(queries: pd.DataFrame, k: int, metric: str, exclude_self: bool):
     for user, grp in queries.groupby("user"):
         mat = np.stack([np.asarray(v, dtype=np.float64) for v in grp["vec"]])
         q_by_user[user] = (grp["query_id"].to_numpy(), grp["source_id"].to_numpy(),
-                           _unit(mat) if metric == "cosine" else mat)
+                           unit(mat) if metric == "cosine" else mat)
 
     def run(batches):
         for pdf in batches:
@@ -136,10 +125,10 @@ def _local_topk(queries: pd.DataFrame, k: int, metric: str, exclude_self: bool):
                 qids, sources, qall = q_by_user[user]
                 mat = np.stack([np.asarray(v, dtype=np.float64) for v in grp["vec"]])
                 if metric == "cosine":
-                    mat = _unit(mat)
+                    mat = unit(mat)
                 ids = grp["id"].to_numpy()
                 for c0 in range(0, len(qids), QUERY_CHUNK):
-                    dist = _distances(qall[c0:c0 + QUERY_CHUNK], mat, metric)
+                    dist = distances(qall[c0:c0 + QUERY_CHUNK], mat, metric)
                     if exclude_self:
                         dist = np.where(sources[c0:c0 + QUERY_CHUNK, None] == ids[None, :], np.inf, dist)
                     kk = min(k, dist.shape[1])
@@ -156,35 +145,22 @@ def _local_topk(queries: pd.DataFrame, k: int, metric: str, exclude_self: bool):
 
 
 def knn(memories: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str = "l2",
-        exclude_self: bool = False) -> DataFrame:
+        exclude_self: bool = False, ship: bool = True) -> DataFrame:
     """Exact k nearest memories per query, within the query's user.
 
     ``memories(user, id, vec)``; ``queries(query_id, user, vec, source_id)``. ``exclude_self``
     drops the memory whose id equals the query's source_id. Output: query_id, user, id,
     distance, rank (ties broken by id).
 
-    Queries are shipped to the tasks in blocks of at most QUERY_BLOCK_ROWS (checked); more
-    queries are cut into hash blocks and each block is one scan of the memories, so no
-    (query, memory) pair is ever a row.
+    A batch of at most QUERY_BLOCK_ROWS queries (checked) is shipped to the tasks, unless ``ship`` is off; more queries
+    meet the memories in a shuffle join of blocks that pivots leave over (see ``metric_join``). No (query, memory) pair is
+    ever a row but for the local top k.
     """
     q = queries.select("query_id", "user", "vec", F.col("source_id")).dropDuplicates()
     mem = memories.select("user", "id", "vec")
-    out_schema = "query_id long, user string, id long, distance double"
-    if fits(q, QUERY_BLOCK_ROWS):
-        blocks = [q]
-    else:
-        n_blocks = -(-q.count() // QUERY_BLOCK_ROWS)
-        while True:
-            hashed = q.withColumn("__blk", F.pmod(F.xxhash64("query_id", "user", "vec", "source_id"), F.lit(n_blocks)))
-            blocks = [hashed.filter(F.col("__blk") == b).drop("__blk") for b in range(n_blocks)]
-            if all(fits(b, 2 * QUERY_BLOCK_ROWS) for b in blocks):
-                break
-            n_blocks *= 2
-    parts = [mem.mapInPandas(_local_topk(b.toPandas(), k, metric, exclude_self), out_schema)
-             for b in blocks]  # each block bounded by the checks above
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
+    if not ship or not fits(q, QUERY_BLOCK_ROWS):
+        return nearest(mem, q, k, metric, exclude_self)
+    scored = mem.mapInPandas(_local_topk(q.toPandas(), k, metric, exclude_self), "query_id long, user string, id long, distance double")
     w = Window.partitionBy("query_id").orderBy(F.col("distance").asc(), F.col("id").asc())
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= int(k))
 
@@ -207,38 +183,23 @@ def none_found(lines: DataFrame, queries: DataFrame, query_text: Column, keys: l
         *keys, "user", F.coalesce("ids", F.array().cast("array<long>")).alias("ids"), F.coalesce("result", "none").alias("result"))
 
 
-def _best_template_joined(rows: DataFrame, templates: DataFrame, max_distance: float | None, metric: str) -> DataFrame:
-    """The same by an equi-join on the agent and a partial minimum per row."""
-    def dot(x: Column, y: Column) -> Column:
-        return F.aggregate(F.zip_with(x, y, lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, v: s + v)
-
-    t = templates.select("user", "template_id", F.col("vec").alias("__t"))
-    j = rows.select("id", "user", "vec").join(t, "user", "left")
-    if metric == "cosine":
-        length = F.sqrt(dot(F.col("vec"), F.col("vec"))) * F.sqrt(dot(F.col("__t"), F.col("__t")))
-        d = F.lit(1.0) - dot(F.col("vec"), F.col("__t")) / F.greatest(length, F.lit(1e-12))
-    else:
-        gap = F.zip_with("vec", "__t", lambda a, b: a.cast("double") - b.cast("double"))
-        d = F.sqrt(dot(gap, gap))
-    best = j.withColumn("d", d).groupBy("id", "user").agg(F.min(F.when(F.col("d").isNotNull(), F.struct("d", "template_id"))).alias("b"))
-    near = F.lit(True) if max_distance is None else F.col("b.d") < F.lit(float(max_distance))
-    return best.select("id", "user", F.when(near, F.col("b.template_id")).cast("long").alias("template_id"),
-                       F.when(near, F.col("b.d")).alias("distance"))
-
-
-def best_template(rows: DataFrame, templates: DataFrame, max_distance: float | None, metric: str = "l2") -> DataFrame:
+def best_template(rows: DataFrame, templates: DataFrame, max_distance: float | None, metric: str = "l2", ship: bool = True) -> DataFrame:
     """D-8: nearest template of the row's agent; kept only under ``max_distance`` (None = no
-    threshold); rows without a match stay, with nulls. ``rows(id, user, vec)``,
+    threshold); rows without a match stay, with nulls. ``rows(id, user, vec)``, one row per id,
     ``templates(template_id, user, vec)``. Up to QUERY_BLOCK_ROWS templates (checked) are shipped to
-    every task and each row is scored where it lies; more are joined on the agent."""
+    every task, unless ``ship`` is off, and each row is scored where it lies; more meet the rows in a shuffle join of the
+    blocks that the threshold and the pivots leave over (see ``metric_join``)."""
     t = templates.select("template_id", "user", "vec")
-    if not fits(t, QUERY_BLOCK_ROWS):
-        return _best_template_joined(rows, t, max_distance, metric)
+    if not ship or not fits(t, QUERY_BLOCK_ROWS):
+        asked = rows.select(F.col("id").alias("query_id"), "user", "vec", F.lit(None).cast("long").alias("source_id"))
+        found = nearest(t.withColumnRenamed("template_id", "id"), asked, 1, metric, max_distance=max_distance)
+        found = found.select(F.col("query_id").alias("id"), F.col("id").alias("template_id"), "distance")
+        return rows.select("id", "user").join(found, "id", "left").select("id", "user", "template_id", "distance")
     block = t.toPandas()  # bounded by the check above
     by_user = {}
     for user, grp in block.groupby("user"):
         mat = np.stack([np.asarray(v, dtype=np.float64) for v in grp["vec"]])
-        by_user[user] = (grp["template_id"].to_numpy(), _unit(mat) if metric == "cosine" else mat)
+        by_user[user] = (grp["template_id"].to_numpy(), unit(mat) if metric == "cosine" else mat)
     limit = None if max_distance is None else float(max_distance)
 
     def run(batches):
@@ -250,7 +211,7 @@ def best_template(rows: DataFrame, templates: DataFrame, max_distance: float | N
                     continue
                 ids, tmat = by_user[user]
                 mat = np.stack([np.asarray(v, dtype=np.float64) for v in grp["vec"]])
-                d = _distances(_unit(mat) if metric == "cosine" else mat, tmat, metric)
+                d = distances(unit(mat) if metric == "cosine" else mat, tmat, metric)
                 # nearest, ties to the lowest template id
                 order = np.lexsort((np.broadcast_to(ids, d.shape), d), axis=1)[:, 0]
                 best_d = d[np.arange(len(d)), order]

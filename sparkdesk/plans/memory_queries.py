@@ -173,7 +173,7 @@ def memory_search_many(spark, sf_dir):
     mem = _memories(spark, sf_dir)
     queries = mem.where(F.col("id") % EVERY == 0).select(F.col("id").alias("query_id"), "user", "vec",
                                                          F.col("id").alias("source_id"))
-    ranked = memory.knn(mem, queries, k=SEARCH_K, exclude_self=True)
+    ranked = memory.knn(mem, queries, k=SEARCH_K, exclude_self=True, ship=False)
     lines = memory.result_lines(ranked, F.concat(F.lit("embedding "), F.col("id").cast("string")), ["query_id"])
     text = F.concat(F.lit("embedding "), F.col("query_id").cast("string"))
     return memory.none_found(lines, queries, text, ["query_id"]).withColumnRenamed("user", "user_id")
@@ -194,6 +194,6 @@ def template_match_many(spark, sf_dir):
     """D-8 with templates that grow with the table."""
     mem = _memories(spark, sf_dir)
     templates = mem.where(F.col("id") % EVERY == 0).select(F.col("id").alias("template_id"), "user", "vec")
-    best = memory.best_template(mem, templates, TEMPLATE_MAX_DISTANCE)
+    best = memory.best_template(mem, templates, TEMPLATE_MAX_DISTANCE, ship=False)
     return best.select(F.col("id").alias("vec_id"), F.col("user").alias("agent"), "template_id",
                        F.round("distance", 4).alias("distance"))

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from sparkdesk.operators import memory
@@ -104,3 +105,80 @@ def test_many_queries_and_the_none_found_line(spark, monkeypatch, tmp_path):
         matched = memory_queries.template_match_many(spark, str(tmp_path)).collect()
         assert len(matched) == len(rows) and {r.template_id for r in matched} <= {None, 0, 20, 40, 60, 80, 200}
         assert all(r.template_id == r.vec_id for r in matched if r.vec_id % 20 == 0)
+
+
+def _random_points(spark, n, users, dims=6, seed=3):
+    rnd = random.Random(seed)
+    rows = [(f"u{min(i % 10, users - 1)}", i, [rnd.gauss(0, 1) + (i % 4) * 3 for _ in range(dims)]) for i in range(n)]
+    rows += [("u0", n, rows[0][2]), ("u0", n + 1, [0.0] * dims), (None, n + 2, rows[1][2]), ("u1", n + 3, None)]
+    return rows, spark.createDataFrame(rows, "user string, id long, vec array<double>")
+
+
+@pytest.mark.parametrize(("metric", "limit"), [("l2", None), ("l2", 2.0), ("cosine", None), ("cosine", 0.05)])
+def test_pivot_join_equals_brute_force(spark, monkeypatch, metric, limit):
+    import numpy as np
+
+    from sparkdesk.operators import metric_join
+
+    monkeypatch.setattr(metric_join, "BLOCK_POINTS", 16)  # several blocks and shares for the hot user
+    monkeypatch.setattr(metric_join, "SHARE_QUERIES", 8)
+    rows, mem = _random_points(spark, 300, 3)
+    queries = [(r[1], r[0], r[2], r[1]) for r in rows if r[1] % 7 == 0 or r[1] >= 300] + [(9000, "nobody", [1.0] * 6, None)]
+    got = metric_join.nearest(mem, spark.createDataFrame(queries, "query_id long, user string, vec array<double>, source_id long"), 3, metric,
+                              exclude_self=True, max_distance=limit, n_pivots=8)
+
+    def dist(a, b):
+        a, b = np.array(a), np.array(b)
+        if metric == "l2":
+            return float(np.linalg.norm(a - b))
+        return 1.0 - float(a @ b) / max(float(np.linalg.norm(a) * np.linalg.norm(b)), 1e-300)
+
+    want = []
+    for qid, user, vec, source in queries:
+        if user and vec:
+            near = sorted((round(dist(vec, v), 6), i) for u, i, v in rows if u == user and v and i != source and (limit is None or dist(vec, v) < limit))
+            want += [(qid, i, d, n + 1) for n, (d, i) in enumerate(near[:3])]
+    found = sorted((r.query_id, r["rank"], r.distance) for r in got.collect())
+    want = sorted((q, n, d) for q, _, d, n in want)
+    assert [x[:2] for x in found] == [x[:2] for x in want]
+    assert np.allclose([x[2] for x in found], [x[2] for x in want], atol=2e-6)
+
+
+def test_pivots_leave_out_far_cells():
+    import numpy as np
+
+    from sparkdesk.operators.metric_join import distances, needed_cells
+
+    rnd = np.random.default_rng(1)
+    pivots = rnd.normal(size=(20, 4)) * 5
+    points = pivots[rnd.integers(0, 20, 2000)] + rnd.normal(size=(2000, 4)) * 0.3
+    d = distances(points, pivots, "l2")
+    cell = d.argmin(axis=1)
+    radius = d[np.arange(2000), cell]
+    ids = np.unique(cell)
+    n, low, high = (np.array([f(radius[cell == c]) for c in ids]) for f in (len, np.min, np.max))
+    gap = distances(pivots, pivots, "l2")
+    used = 0
+    for q in points[:200]:
+        need = needed_cells(distances(q[None], pivots, "l2")[0], gap, ids, n, low, high, 3, np.inf)
+        near = np.argsort(np.linalg.norm(points - q, axis=1), kind="stable")[:3]
+        assert set(cell[near]) <= set(ids[need])
+        used += need.sum()
+    assert used < 0.3 * 200 * len(ids)
+
+
+def test_many_templates_of_one_agent(spark):
+    """50,000 templates of one agent: the threshold's cells only, no product of rows and templates."""
+    import numpy as np
+
+    rnd = np.random.default_rng(2)
+    centres = rnd.normal(size=(40, 4)) * 20
+    t = centres[rnd.integers(0, 40, 50_000)] + rnd.normal(size=(50_000, 4))
+    q = centres[rnd.integers(0, 40, 300)] + rnd.normal(size=(300, 4))
+    templates = spark.createDataFrame([(i, "a", v) for i, v in enumerate(t.tolist())], "template_id long, user string, vec array<double>")
+    rows = spark.createDataFrame([(i, "a", v) for i, v in enumerate(q.tolist())] + [(999, "b", [0.0] * 4)], "id long, user string, vec array<double>")
+    got = {r.id: (r.template_id, r.distance) for r in memory.best_template(rows, templates, 0.5).collect()}
+    assert got.pop(999) == (None, None) and len(got) == 300
+    for i, (tid, d) in got.items():
+        all_d = np.linalg.norm(t - q[i], axis=1)
+        assert (tid is None and all_d.min() >= 0.5 - 1e-9) or (abs(all_d[tid] - all_d.min()) < 1e-6 and abs(d - all_d.min()) < 1e-6)
