@@ -29,6 +29,11 @@ NOT_LETTERS = re.compile(r"[\W\d_]+")
 CHUNK = 1 << 20
 
 
+def has_letter(text: str) -> bool:
+    """Whether the text holds a letter (superscripts, fractions and number signs are none)."""
+    return any(m.group().isalpha() for m in LETTER.finditer(text))
+
+
 def gram_counts(text: str) -> np.ndarray:
     """Counts of the hashed 1-, 2- and 3-grams of the whole text; runs of other characters are one space."""
     clean = " " + NOT_LETTERS.sub(" ", text.lower()) + " "
@@ -97,7 +102,7 @@ def fit(train: DataFrame, clusters: int = 4, sample_per_lang: int = 1500) -> dic
     sample = bounded_sample(train, "lang", "doc_id", sample_per_lang)
 
     def centroids(pdf: pd.DataFrame) -> pd.DataFrame:
-        texts = [t for t in pdf.sort_values("doc_id")["text"] if LETTER.search(t)]
+        texts = [t for t in pdf.sort_values("doc_id")["text"] if has_letter(t)]
         if not texts:
             return pd.DataFrame({"lang": [], "center": [], "limit": []})
         c, limits = cluster(np.array([vector(t, idf) for t in texts], np.float32), clusters)
@@ -121,7 +126,7 @@ def identify(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "tex
         for texts in batches:
             out = []
             for t in texts:
-                if not t or not m["langs"] or LETTER.search(t) is None:
+                if not t or not m["langs"] or not has_letter(t):
                     out.append(("und", 0.0, True))
                     continue
                 cos = m["centers"] @ vector(t, m["idf"])

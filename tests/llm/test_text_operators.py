@@ -232,3 +232,28 @@ def test_quality_scores_do_not_depend_on_the_sample_bound(spark):
     below, above = ({r[0]: r[1] for r in quality.score(few, quality.fit(docs, labels, "quality", cap)).collect()} for cap in (6000, 400))
     odds = np.array([np.log(above[i] / (1 - above[i])) - np.log(below[i] / (1 - below[i])) for i in below])
     assert abs(odds.mean()) < 0.5  # log(6) = 1.8 when the bias keeps the shares of the sample
+
+
+def test_texts_without_letters_have_no_language(spark):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the house and the garden", "en"), ("das haus und der garten", "de")] * 8)]
+    model = lang_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    odd = spark.createDataFrame([(1, "²"), (2, "½ ①"), (3, "12 __ !"), (4, None), (5, "² a")], "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in lang_id.identify(odd, model).collect()}
+    assert [got[i] for i in (1, 2, 3, 4)] == ["und"] * 4 and got[5] != "und"
+
+
+def test_other_labels_and_repeated_ids_do_not_train(spark):
+    good, bad = "a careful and clear text about rivers", "buy now cheap cheap click"
+    rows = [(i, good if i % 2 else bad) for i in range(60)]
+    labels = [(i, i % 2) for i in range(60)]
+    probe = spark.createDataFrame([(0, good), (1, bad)], "doc_id long, text string")
+
+    def scores(rows, labels):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        w = quality.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int"), "quality")
+        return [round(r["score"], 6) for r in quality.score(probe, w).orderBy("doc_id").collect()]
+
+    plain = scores(rows, labels)
+    assert plain[0] > 0.7 > plain[1]
+    assert scores(rows + [(100 + i, good) for i in range(50)], labels + [(100 + i, -1) for i in range(50)]) == plain
+    assert scores(rows + [(1, good)] * 40, labels) == plain

@@ -173,3 +173,12 @@ def test_pipeline_run_against_brute_force(spark, tmp_path):
     sizes = [(r.doc_id, r.n_tokens) for r in out]
     assert Counter(i for i, _ in sizes) == Counter(i for i, _ in want)
     assert same_survivors(sizes, [(i, {ids[t] for t in texts}) for i, texts in want])
+
+
+def test_unit_rows_of_very_large_and_small_vectors():
+    import numpy as np
+
+    from sparkdesk.llm.embedding_dedup import unit_rows
+
+    v = np.array([1.0, 2.0, -3.0])
+    assert np.allclose(unit_rows([v, v * 1e200, v * 1e-200]), [v / np.linalg.norm(v)] * 3)
