@@ -81,13 +81,14 @@ def train_ftrl(rows, passes: int = 2, alpha: float = 1.0, beta: float = 1.0, l1:
 def fit(docs: DataFrame, labels: DataFrame, label: str, sample_per_label: int = 6000) -> np.ndarray:
     """docs: (doc_id, text); labels: (doc_id, <label>). Both already restricted to training rows.
 
-    The two labels are weighed by their true shares: the sample thins them unevenly above the bound, and
+    Labels other than 0 and 1 are ignored; a repeated id trains once, with its least text. The two labels are weighed by their true shares: the sample thins them unevenly above the bound, and
     the bias is set right for that."""
-    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("label is not null and doc_id is not null")
+    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("label in (0, 1) and doc_id is not null")
     shares = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
     wanted = bounded_sample(known, "label", "doc_id", sample_per_label)
     kept = {r[0]: r[1] for r in wanted.groupBy("label").count().collect()}
-    rows = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")  # at most 2 x sample_per_label rows
+    rows = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")  # at most 2 x sample_per_label ids
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))  # one text of a repeated id
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         features = Features()
