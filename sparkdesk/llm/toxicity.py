@@ -73,7 +73,7 @@ def telling_words(toxic: list[bytes], ordinary: list[bytes], least_z: float = 6.
     return out
 
 
-def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
+def train_dictionaries(toxic: list[bytes], ordinary: list[bytes], ordinary_windows: int) -> tuple[bytes, bytes]:
     import zstandard as z
 
     def trained(size: int, samples: list[bytes]) -> bytes:
@@ -86,7 +86,7 @@ def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes
     spans = [b[max(0, m.start() - 1):m.end() + 1] for b in toxic for m in WORD.finditer(b) if m.group() in words]
     groups = [b"".join(spans[i:i + 8]) for i in range(0, len(spans), 8)]
     plain = [b[i:i + WINDOW] for b in ordinary for i in range(0, max(1, len(b)), WINDOW)]
-    plain = [plain[i] for i in np.random.default_rng(0).permutation(len(plain))[:20000]]
+    plain = [plain[i] for i in np.random.default_rng(0).permutation(len(plain))[:ordinary_windows]]
     return trained(ORDINARY_BYTES, plain), trained(TOXIC_BYTES, groups)
 
 
@@ -101,32 +101,34 @@ def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def fit_texts(rows: list[tuple[int, str]]) -> dict:
+def fit_texts(rows: list[tuple[int, str]], ordinary_windows: int = 20_000) -> dict:
     """rows: (label, text) in a fixed order. Half of them train the dictionaries, half the thresholds."""
     first, second = rows[::2], rows[1::2]
     toxic = [(t or "").lower().encode("utf-8", "surrogatepass") for y, t in first if y == 1]
     ordinary = [(t or "").lower().encode("utf-8", "surrogatepass") for y, t in first if y == 0]
     if not toxic or not ordinary or len({y for y, _ in second}) < 2:
         return {}
-    o, t = train_dictionaries(toxic, ordinary)
+    o, t = train_dictionaries(toxic, ordinary, ordinary_windows)
     savings = Savings(o, t)
     x = np.array([savings(text) for _, text in second])
     return {"ordinary": o, "toxic": t, "weights": logistic(x, np.array([float(y) for y, _ in second]))}
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_per_label: int = 4000) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_per_label: int = 4000, ordinary_windows: int = 20_000) -> dict:
     """docs: (doc_id, text); labels: (doc_id, <label>). Both already restricted to training rows.
 
-    The two labels are weighed by their true shares: the sample holds them evenly thinned only above
+    The ordinary dictionary is trained on at most ``ordinary_windows`` windows of the sampled texts, drawn evenly; a repeated id
+    trains once, with its least text. The two labels are weighed by their true shares: the sample holds them evenly thinned only above
     the bound, and the bias is set right for that."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("label in (0, 1) and doc_id is not null")
     shares = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
     wanted = bounded_sample(known, "label", "doc_id", sample_per_label)
-    rows = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")  # at most 2 x sample_per_label rows
+    rows = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")  # at most 2 x sample_per_label ids
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))  # one text of a repeated id
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["h", "doc_id"])
-        return pd.DataFrame({"m": [pickle.dumps(fit_texts(list(zip(pdf["label"], pdf["text"], strict=True))))]})
+        return pd.DataFrame({"m": [pickle.dumps(fit_texts(list(zip(pdf["label"], pdf["text"], strict=True)), ordinary_windows))]})
 
     got = rows.withColumn("h", F.xxhash64(F.lit(5), "doc_id")).withColumn("all", F.lit(1)).groupBy("all").applyInPandas(one, "m binary").collect()
     model = pickle.loads(got[0]["m"]) if got else {}
