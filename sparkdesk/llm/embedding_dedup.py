@@ -105,6 +105,7 @@ def cells(unit: np.ndarray) -> np.ndarray:
 
 def unit_rows(vectors) -> np.ndarray:
     x = np.array([np.asarray(v, np.float64) for v in vectors])
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # else squares of very large or small components are lost
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
