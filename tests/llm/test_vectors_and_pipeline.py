@@ -89,7 +89,7 @@ def test_query_matches_sql(spark, key):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     res = con.execute(queries.ORACLES[key])
     names = [d[0] for d in res.description]
