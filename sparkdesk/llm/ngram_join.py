@@ -46,8 +46,9 @@ PERCENT = 80
 MAX_MATCH = 3
 VERIFY = 8.0
 TOKENS_PER_SHARD = 2_000_000
-CLASSES_PER_SHARD = 8_000
+CLASSES_PER_SHARD = 4_000
 BATCH_TOKENS = 1_000_000
+PACK_TOKENS = 400_000  # tokens a task packs for the shards at once
 OFTEN = 5  # counts of a batch that are passed on
 HOT_LEAST, HOT_MOST = 10_000, 200_000  # classes that make a shingle hot; length of the list of hot shingles
 
@@ -175,7 +176,7 @@ def packed_shingles(docs: DataFrame, text: str, bits: int, buckets: int, hot) ->
                 if len(s) and (sig := signature(s)) not in held:
                     held[sig] = s
                     tokens += len(s)
-                    if tokens >= BATCH_TOKENS or len(held) >= 60_000:
+                    if tokens >= PACK_TOKENS or len(held) >= 60_000:
                         yield flush()
                         held, tokens = {}, 0
         if held:
@@ -192,12 +193,13 @@ def shared_shingles(pdf: pd.DataFrame, bits: int, buckets: int, hot: tuple[np.nd
     sigs = np.concatenate([np.frombuffer(b, np.uint64).reshape(-1, 2) for b in pdf["sigs"]])
     sizes = np.concatenate([np.frombuffer(b, np.uint32) for b in pdf["sizes"]])
     base = np.cumsum([0, *(len(b) // 16 for b in pdf["sigs"])])
-    ref = np.concatenate([np.frombuffer(b, np.uint16).astype(np.int64) + s for b, s in zip(pdf["refs"], base, strict=False)])
+    ref = np.concatenate([np.frombuffer(b, np.uint16) + np.int32(s) for b, s in zip(pdf["refs"], base, strict=False)])
     h = np.concatenate([_unpack6(b) for b in pdf["low"]])
     _, first, cls = np.unique(sigs, axis=0, return_index=True, return_inverse=True)
-    cls = cls.reshape(-1)
-    keep = first[cls[ref]] == ref  # a class that several batches sent counts once
+    own = first.astype(np.int32)[cls.reshape(-1)]
+    keep = own[ref] == ref  # a class that several batches sent counts once
     h, ref = h[keep], ref[keep]
+    del keep, own, cls
     if shard >= 1 << bits:
         hashes, counts = hot
         top = (hashes >> np.uint64(64 - bits)) << np.uint64(48) if bits else np.uint64(0)
@@ -206,10 +208,10 @@ def shared_shingles(pdf: pd.DataFrame, bits: int, buckets: int, hot: tuple[np.nd
         order = np.argsort(h, kind="stable")
         h, ref = h[order], ref[order]
         new = np.append(True, h[1:] != h[:-1])
-        df = np.diff(np.append(np.flatnonzero(new), len(h)))[np.cumsum(new) - 1] if len(h) else np.zeros(0, np.int64)
+        df = np.diff(np.append(np.flatnonzero(new), len(h))).astype(np.uint32)[np.cumsum(new, dtype=np.int32) - 1] if len(h) else np.zeros(0, np.int64)
         many = df >= 2
         h, ref, df = h[many] | (np.uint64(shard) << np.uint64(48)), ref[many], df[many]
-    bucket = class_buckets(sigs[ref, 0], buckets)
+    bucket = class_buckets(sigs[:, 0], buckets).astype(np.int32)[ref]
     order = np.lexsort((ref, bucket))
     values, starts = np.unique(bucket[order], return_index=True)
     rows = []
@@ -252,7 +254,7 @@ def prefixes(pdf: pd.DataFrame) -> pd.DataFrame:
         match, ends = chosen_match(f.astype(np.int64), n - len(mine), n, need)
         level = np.searchsorted(ends, np.arange(ends[-1]), side="right") + 1
         rows.append((int(pdf["bucket"].iloc[0]) << 32 | c, *uniq[c].view(np.int64).tolist(), n, match,
-                     np.sort(mine).tobytes(), mine[:ends[-1]].view(np.int64).tolist(), level.tolist()))
+                     np.sort(mine).tobytes(), mine[:ends[-1]].view(np.int64).copy(), level.astype(np.int32)))
     return pd.DataFrame(rows, columns=["cid", "s1", "s2", "n", "match", "shared", "entries", "levels"])
 
 
