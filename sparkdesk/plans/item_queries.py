@@ -33,6 +33,24 @@ def group_items(spark, sf_dir):
     return workitems.group_items(cust.withColumn("row_no", F.col("c_custkey")), keys, "row_no")
 
 
+# The segment of every third customer and the nation of every fifth one are missing.
+_GAPS_SEGMENT = "CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_mktsegment END"
+_GAPS_NATION = "CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_nationkey END"
+
+
+@query("group_items_null_keys", f"""
+WITH c AS (SELECT c_custkey, coalesce(CAST({_GAPS_NATION} AS VARCHAR), '') AS nation, coalesce({_GAPS_SEGMENT}, '') AS segment FROM customer)
+SELECT segment, nation, count(*) AS n_rows, min(c_custkey) AS first_row,
+       to_json(list({{'c_custkey': CAST(c_custkey AS VARCHAR), 'nation': nation, 'segment': segment}} ORDER BY c_custkey)) AS item
+FROM c GROUP BY segment, nation
+""")
+def group_items_null_keys(spark, sf_dir):
+    """Null keys form groups of their own, as the empty text, in one key and in several."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", F.expr(_GAPS_NATION).alias("nation"), F.expr(_GAPS_SEGMENT).alias("segment"),
+                                                   F.col("c_custkey").alias("row_no"))
+    return workitems.group_items(cust, workitems.normalise_group_keys(["segment", " nation "]), "row_no")
+
+
 QUESTION = "Review this customer record"
 AGENT = "AGENT0001"
 CONVERSATION = "CONV0001"
