@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators import catalog, rules
+from ..operators import catalog, hierarchy, rules
 from ..operators.audit import audit_queries
 from ..operators.governed import AccessContext, TenantColumns, run_select, tenant_filter, text_result
+from ..operators.ranking import row_numbers
 from ..session import fresh_shared_path, table
 from ..sources.export import export_csv
 from .registry import query
@@ -338,3 +339,60 @@ def active_sales(spark, sf_dir):
     """A10 and A12 on a table that has both columns, with nulls in them."""
     cust = table(spark, sf_dir, "customer").selectExpr("*", *_FLAGS_SQL.split(", ", 1))
     return rules.sales_split(rules.active_only(cust), sales=True).select("c_custkey", "isactive", "issotrx")
+
+
+# --- rows numbered over the whole result, inclusion in a tree ---------------------------------
+
+
+@query("governed_rownum_all", f"""
+SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, row_number() OVER (ORDER BY o.o_totalprice DESC NULLS LAST, o.o_orderkey) AS rn
+FROM {O_VIEW} o
+""")
+def governed_rownum_all(spark, sf_dir):
+    """A19 without an outer limit: every row of a governed result numbered, with no window in one task."""
+    df = run_select(demo_session(spark, sf_dir), "SELECT o.o_orderkey, o.o_custkey, o.o_totalprice FROM orders o", DEMO_CONTEXT)
+    return row_numbers(df, [F.col("o_totalprice").desc_nulls_last(), F.col("o_orderkey")])
+
+
+@query("governed_rownum_groups", f"""
+SELECT o.o_orderstatus, o.o_orderkey, row_number() OVER (PARTITION BY o.o_orderstatus ORDER BY o.o_orderdate, o.o_orderkey) AS rn
+FROM {O_VIEW} o
+""")
+def governed_rownum_groups(spark, sf_dir):
+    """A19 with three keys over all rows: a key's rows spread over many partitions."""
+    df = run_select(demo_session(spark, sf_dir), "SELECT o.o_orderstatus, o.o_orderkey, o.o_orderdate FROM orders o", DEMO_CONTEXT)
+    return row_numbers(df, [F.col("o_orderdate"), F.col("o_orderkey")], keys=("o_orderstatus",)).select("o_orderstatus", "o_orderkey", "rn")
+
+
+# Organisations: all, regions, nations, customers. Every order asks whether its customer, or the customer's
+# nation, lies under some nation, region, customer or the whole.
+_ORG_TREE = """
+tree(node, parent) AS (
+  SELECT '0', NULL
+  UNION ALL SELECT 'R' || CAST(r_regionkey AS VARCHAR), '0' FROM region
+  UNION ALL SELECT 'N' || CAST(n_nationkey AS VARCHAR), 'R' || CAST(n_regionkey AS VARCHAR) FROM nation
+  UNION ALL SELECT 'C' || CAST(c_custkey AS VARCHAR), 'N' || CAST(c_nationkey AS VARCHAR) FROM customer)"""
+_PAIR_PARENT = ("CASE o_orderkey % 5 WHEN 0 THEN '0' WHEN 1 THEN concat('R', CAST(o_orderkey % 7 AS {text})) "
+                "WHEN 2 THEN concat('N', CAST(o_orderkey % 25 AS {text})) WHEN 3 THEN concat('C', CAST(o_custkey AS {text})) END")
+
+
+@query("org_included", f"""
+WITH RECURSIVE {_ORG_TREE.strip()},
+up(node, ancestor, level) AS (
+  SELECT node, node, 1 FROM tree UNION ALL
+  SELECT up.node, t.parent, up.level + 1 FROM up JOIN tree t ON up.ancestor = t.node WHERE t.parent IS NOT NULL),
+pairs AS (SELECT o_orderkey, 'C' || CAST(o_custkey AS VARCHAR) AS child, {_PAIR_PARENT.format(text="VARCHAR")} AS parent FROM orders)
+SELECT p.o_orderkey, p.child, p.parent, CAST(coalesce(up.level, -1) AS BIGINT) AS level
+FROM pairs p LEFT JOIN up ON p.child = up.node AND p.parent = up.ancestor
+""")
+def org_included(spark, sf_dir):
+    """A13 ``isorgincluded`` for a pair of every order, by interval labels (unknown and null nodes among the pairs)."""
+    text = lambda prefix, c: F.concat(F.lit(prefix), F.col(c).cast("string"))
+    region, nation, customer = (table(spark, sf_dir, t) for t in ("region", "nation", "customer"))
+    tree = (spark.range(1).select(F.lit("0").alias("node"), F.lit(None).cast("string").alias("parent"))
+            .unionByName(region.select(text("R", "r_regionkey").alias("node"), F.lit("0").alias("parent")))
+            .unionByName(nation.select(text("N", "n_nationkey").alias("node"), text("R", "n_regionkey").alias("parent")))
+            .unionByName(customer.select(text("C", "c_custkey").alias("node"), text("N", "c_nationkey").alias("parent"))))
+    pairs = table(spark, sf_dir, "orders").select("o_orderkey", text("C", "o_custkey").alias("child"),
+                                                  F.expr(_PAIR_PARENT.format(text="STRING")).alias("parent"))
+    return hierarchy.included(pairs, hierarchy.interval_labels(tree))

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import workitems
 from ..session import fresh_shared_path, table
+from ..sources.csv_blocks import column_types, headers_of, read_quoted_csv, typed
+from ..sources.export import write_header_only
 from ..sources.tabular import read_text_csv, read_workbooks, sheet_range
 from . import staging
 from .registry import query
@@ -121,3 +123,69 @@ def sheet_range_q(spark, sf_dir):
     rng = sheet_range(rows, SHEET_RANGE)
     return rng.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("book"), "sheet",
                       F.col("row_no").cast("bigint").alias("row_no"), "line")
+
+
+# Bytes of a block of the staged files: small, so that files of this size are read by several tasks too.
+STAGED_BLOCK = 1 << 20
+
+
+@query("quoted_csv", """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
+       coalesce(text || chr(10) || '"' || coalesce(lang, '') || '"' || chr(13) || chr(10) || doc_id, '') AS text
+FROM documents
+""")
+def quoted_csv(spark, sf_dir):
+    """Whole documents, with line ends and quotes in their cells, from CSV files cut into blocks."""
+    return read_quoted_csv(spark, staging.documents_csv(spark, sf_dir), block_bytes=STAGED_BLOCK)
+
+
+@query("typed_csv", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+       'c_custkey bigint, c_name string, c_nationkey bigint, c_acctbal double, c_mktsegment string' AS types FROM customer
+""")
+def typed_csv(spark, sf_dir):
+    """Customer written as CSV and read back with the types that its cells allow."""
+    text = read_quoted_csv(spark, staging.customer_csv(spark, sf_dir), block_bytes=STAGED_BLOCK)
+    types = column_types(text)
+    return typed(text, types).withColumn("types", F.lit(", ".join(f"{c} {types[c]}" for c in text.columns)))
+
+
+@query("headers_table", """
+SELECT seg AS file, CAST(position - 1 AS INTEGER) AS position, names[position] AS "column" FROM (
+  SELECT seg, names, unnest(range(1, len(names) + 1)) AS position FROM (
+    SELECT c_mktsegment AS seg, ['key of ' || c_mktsegment, 'name, quoted', 'line' || chr(10) || 'end'] AS names
+    FROM customer GROUP BY c_mktsegment))
+""")
+def headers_table(spark, sf_dir):
+    """C2 over a folder: the header cells of one CSV a segment (commas and line ends among them), in their places."""
+    heads = headers_of(spark, staging.segment_csv(spark, sf_dir))
+    return heads.select(F.regexp_extract("path", r"([^/]+)[.]csv$", 1).alias("file"), "position", "column")
+
+
+@query("header_only", """
+SELECT CAST(i - 1 AS INTEGER) AS position, ['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment'][i] AS "column", CAST(0 AS BIGINT) AS n_rows
+FROM range(1, 6) t(i)
+""")
+def header_only(spark, sf_dir):
+    """A table made of the header of customer alone, read back: its columns and no row."""
+    path = fresh_shared_path(spark, "header-only")
+    write_header_only(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"), path)
+    rows = read_text_csv(spark, path).count()
+    return headers_of(spark, path).select("position", "column", F.lit(rows).cast("long").alias("n_rows"))
+
+
+@query("get_or_create_insert", """
+WITH dim AS (SELECT 'S-' || lpad(CAST(min(c_custkey) AS VARCHAR), 9, '0') AS id, c_mktsegment AS name FROM customer GROUP BY c_mktsegment),
+names AS (SELECT DISTINCT CASE WHEN o_orderkey % 4 = 0 THEN o_orderpriority WHEN o_orderkey % 4 = 1 THEN 'BUILDING'
+                               WHEN o_orderkey % 4 = 2 THEN o_orderpriority || ' ' || o_orderstatus END AS name FROM orders)
+SELECT id, name FROM dim
+UNION ALL SELECT 'NEW-' || upper(md5(name)), name FROM names WHERE name IS NOT NULL AND name NOT IN (SELECT name FROM dim)
+""")
+def get_or_create_insert(spark, sf_dir):
+    """C12, both halves: names looked up in a dimension of segments, those not found inserted with the ids that they get."""
+    dim = table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("name")).agg(
+        F.concat(F.lit("S-"), F.lpad(F.min("c_custkey").cast("string"), 9, "0")).alias("id"))
+    names = table(spark, sf_dir, "orders").select(F.expr(
+        "CASE WHEN o_orderkey % 4 = 0 THEN o_orderpriority WHEN o_orderkey % 4 = 1 THEN 'BUILDING' "
+        "WHEN o_orderkey % 4 = 2 THEN concat(o_orderpriority, ' ', o_orderstatus) END").alias("name"))
+    return workitems.with_created(dim, workitems.get_or_create(names, dim))

@@ -50,6 +50,30 @@ def customer_csv(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def documents_csv(spark: SparkSession, sf_dir: str) -> str:
+    """documents written as CSV part files, each text with a quoted word, a CRLF and the id behind it, every cell quoted."""
+    path = shared_path(spark, "stage", _tag(sf_dir), "documents_csv")
+    if not _done(path):
+        tail = F.concat(F.lit('\n"'), F.coalesce("lang", F.lit("")), F.lit('"\r\n'), F.col("doc_id").cast("string"))
+        (table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.concat("text", tail).alias("text"))
+         .write.mode("overwrite").option("header", True).option("escape", '"').option("quoteAll", True)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+        _mark(path)
+    return path
+
+
+def segment_csv(spark: SparkSession, sf_dir: str) -> str:
+    """One CSV a market segment, with a header of its own and one row."""
+    path = shared_path(spark, "stage", _tag(sf_dir), "segment_csv")
+    if not _done(path):
+        seg = F.col("c_mktsegment")
+        head = F.concat(F.lit("key of "), seg, F.lit(',"name, quoted","line\nend"\r\n'), F.min("c_custkey").cast("string"), F.lit(",a,b\r\n"))
+        files = table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(head.cast("binary").alias("content"))
+        write_blobs(files.select(F.concat(F.lit(path + "/"), seg, F.lit(".csv")).alias("path"), "content")).count()
+        _mark(path)
+    return path
+
+
 def customer_workbooks(spark: SparkSession, sf_dir: str) -> str:
     """One workbook per (segment, block of WORKBOOK_ROWS customer keys); sheet = segment,
     row 1 = header, then the customers in key order, every cell as text."""

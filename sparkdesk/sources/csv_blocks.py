@@ -211,3 +211,50 @@ def headers_of(spark: SparkSession, path: str) -> DataFrame:
     """C2 over a folder: (path, position, column), the cells of each file's first record as they stand."""
     heads = csv_blocks(spark, path).where("block = 0")
     return heads.select("path", F.posexplode("header").alias("position", "column"))
+
+
+# --- typed scan -------------------------------------------------------------------------------
+
+# Texts that a typed scan takes as missing, as the pandas reader does by default.
+MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN",
+           "None", "n/a", "nan", "null")
+_WHOLE = r"^\s*[+-]?[0-9]+\s*$"
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$|^\s*[+-]?([iI][nN][fF]|[iI][nN][fF][iI][nN][iI][tT][yY])\s*$"
+_TRUTH = r"^(True|TRUE|true|False|FALSE|false)$"
+
+
+def column_types(text: DataFrame) -> dict:
+    """Column -> boolean, bigint, double or string, the narrowest that takes every cell which isn't missing.
+
+    One aggregate over all columns: every row says what each of its cells can be, and the types merge by AND, in
+    the map tasks first. A column with no cell is a string. Whole numbers beyond 64 bits make a double.
+    """
+    aggs = []
+    for i, c in enumerate(text.columns):
+        cell = F.col(f"`{c}`")
+        cell = F.when(~cell.isin(*MISSING), cell)
+        as_long = cell.rlike(_WHOLE) & F.trim(cell).try_cast("bigint").isNotNull()
+        aggs += [F.bool_and(cell.rlike(_TRUTH)).alias(f"b{i}"), F.bool_and(as_long).alias(f"l{i}"), F.bool_and(cell.rlike(_NUMBER)).alias(f"d{i}")]
+    seen = text.agg(*aggs).first()
+    return {c: "boolean" if seen[f"b{i}"] else "bigint" if seen[f"l{i}"] else "double" if seen[f"d{i}"] else "string"
+            for i, c in enumerate(text.columns)}
+
+
+def typed(text: DataFrame, types: dict) -> DataFrame:
+    """The text columns cast to ``types``; missing cells are null in every type."""
+    def cast(c: str):
+        cell = F.when(~F.col(f"`{c}`").isin(*MISSING), F.col(f"`{c}`"))
+        kind = types[c]
+        return (cell if kind == "string" else (F.lower(cell) == "true") if kind == "boolean" else F.trim(cell).cast(kind)).alias(c)
+
+    return text.select(*[cast(c) for c in text.columns])
+
+
+def read_typed_quoted_csv(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``read_quoted_csv`` with inferred types. The extension of a single file must be ``.csv``."""
+    from .tabular import TabularError, check_extension
+
+    if not _is_folder(path) and check_extension(path) != ".csv":
+        raise TabularError("A workbook is read with read_workbooks.")
+    text = read_quoted_csv(spark, path, block_bytes)
+    return typed(text, column_types(text))
