@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import fits
@@ -101,6 +101,13 @@ def write_state(state: DataFrame, path: str) -> None:
      .partitionBy("assistant_id").parquet(path))
 
 
+def read_collections(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """D-5: the state of the assistants that ``wanted(assistant_id)`` names. The folders of other assistants are
+    not read: Spark prunes partitions by the wanted side when it runs."""
+    ids = wanted.select("assistant_id").distinct()
+    return spark.read.parquet(path).join(ids, "assistant_id", "left_semi")
+
+
 # --- nearest neighbours -----------------------------------------------------------------------
 
 # Queries scored together inside one task (bounds the distance matrix to chunk x batch rows).

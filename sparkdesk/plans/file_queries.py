@@ -9,8 +9,9 @@ from ..functions.text import url_file_name as url_file_name_col
 from ..operators import files as fileops
 from ..operators import messages
 from ..operators.messages import assemble_messages
-from ..session import table
+from ..session import fresh_shared_path, table
 from ..sources import files as filesrc
+from ..sources.export import write_table
 from . import staging
 from .registry import query
 
@@ -226,3 +227,29 @@ def page_messages(spark, sf_dir):
         F.when(third, F.concat(F.lit("reference "), F.col("conv_id").cast("string"))).alias("reference"))
     return messages.page_messages(questions, turns.where("turn > 0"), "conv_id", "turn", "text", PAGE_SYSTEM,
                                   REFERENCE_INTRO, REFERENCE_REPLY)
+
+
+@query("whole_text", f"""
+SELECT source || '/doc_' || CAST(doc_id AS VARCHAR) || '.txt' AS rel_path, coalesce(text, '') AS text,
+       CAST(greatest((octet_length(encode(coalesce(text, ''))) + 4095) // 4096, 1) AS BIGINT) AS n_pieces
+FROM documents WHERE {_KIND} = 0
+""")
+def whole_text(spark, sf_dir):
+    """The text files of the staged folder as one value each, read in ranges of 4 KB and put together."""
+    root = staging.document_files(spark, sf_dir)
+    pieces = filesrc.text_pieces(spark, root, piece_bytes=4096, recursive=True, extensions=".txt", ignore=["skipme"])
+    return filesrc.joined_text(pieces).select(F.regexp_replace("path", r"^.*/files/", "").alias("rel_path"), "text", "n_pieces")
+
+
+@query("overwrite_append", """
+SELECT c_custkey, c_name, c_acctbal, n FROM customer, (VALUES (1), (2)) copies(n) WHERE n = 1 OR c_custkey % 3 = 0
+""")
+def overwrite_append(spark, sf_dir):
+    """A third of the customers written, all written over them, then a third appended; the table read back."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    path = fresh_shared_path(spark, "sink")
+    third = cust.where("c_custkey % 3 = 0")
+    write_table(third.withColumn("n", F.lit(0)), path)
+    write_table(cust.withColumn("n", F.lit(1)), path)
+    write_table(third.withColumn("n", F.lit(2)), path, override=False)
+    return spark.read.parquet(path)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import memory
 from ..operators.rules import top_per_key
-from ..session import table
+from ..session import cut_lineage, fresh_shared_path, table
 from .registry import query
 
 # events as an operation log: signup = add, click = update, error = delete, view = search,
@@ -197,3 +197,49 @@ def template_match_many(spark, sf_dir):
     best = memory.best_template(mem, templates, TEMPLATE_MAX_DISTANCE, ship=False)
     return best.select(F.col("id").alias("vec_id"), F.col("user").alias("agent"), "template_id",
                        F.round("distance", 4).alias("distance"))
+
+
+COLLECTION = "asst_1"
+
+
+@query("memory_collection", f"""
+WITH {_LOG_SQL},
+n AS (SELECT count(*) AS n FROM embeddings),
+g AS (SELECT assistant_id, memory_id, max(CASE WHEN status = 'deleted' THEN 1 END) AS gone,
+             arg_max(content, seq) FILTER (WHERE status IN ('added', 'updated')) AS content,
+             max(seq) FILTER (WHERE status IN ('added', 'updated')) AS last_seq,
+             max(user_id) FILTER (WHERE status = 'added') AS user_id
+      FROM st WHERE assistant_id = '{COLLECTION}' GROUP BY ALL),
+m AS (SELECT g.memory_id, g.user_id, g.content, g.last_seq, e.embedding FROM g, n, embeddings e
+      WHERE g.gone IS NULL AND g.last_seq IS NOT NULL AND e.vec_id = g.last_seq % n.n),
+q AS (SELECT st.seq, st.user_id, st.content, e.embedding FROM st, n, embeddings e
+      WHERE st.status = 'search' AND st.assistant_id = '{COLLECTION}' AND e.vec_id = st.seq % n.n),
+d AS (SELECT q.seq, m.memory_id, m.content, m.last_seq,
+             list_distance(CAST(m.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS dist FROM q JOIN m ON q.user_id = m.user_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY dist, last_seq) AS rank FROM d),
+t AS (SELECT seq, string_agg('- ' || content || ' (memory_id: ' || memory_id || ')', chr(10) ORDER BY rank) AS result
+      FROM r WHERE rank <= {SEARCH_K} GROUP BY seq)
+SELECT q.seq, q.user_id, coalesce(t.result, 'No memories found for user_id ' || q.user_id || ' with query: ' || q.content) AS result
+FROM q LEFT JOIN t ON q.seq = t.seq
+""")
+def memory_collection(spark, sf_dir):
+    """D-5: the folded state of the log, with a vector for each text, written by assistant; every search of one
+    assistant's users over that assistant's collection (an event's vector is the one at its id modulo their number)."""
+    vectors = table(spark, sf_dir, "embeddings")
+    n = vectors.count()
+    vec = vectors.select(F.col("vec_id").alias("at"), "embedding")
+    log = _log(spark, sf_dir).withColumn("at", F.col("seq") % n).join(vec, "at", "left").drop("at")
+    status = cut_lineage(memory.fold_status(log))
+    path = fresh_shared_path(spark, "collections")
+    memory.write_state(memory.fold_state(status), path)
+    asked = status.where((F.col("status") == "search") & (F.col("assistant_id") == COLLECTION) & F.col("embedding").isNotNull())
+    mine = memory.read_collections(spark, path, asked)
+    queries = asked.select(F.col("seq").alias("query_id"), F.col("user_id").alias("user"), F.col("embedding").alias("vec"),
+                           F.lit(None).cast("long").alias("source_id"))
+    points = mine.where("embedding is not null").select(F.col("user_id").alias("user"), F.col("last_seq").alias("id"), F.col("embedding").alias("vec"))
+    ranked = memory.knn(points, queries, k=SEARCH_K, ship=False)
+    named = ranked.join(mine.select(F.col("last_seq").alias("id"), "memory_id", "content"), "id").drop("id").withColumnRenamed("memory_id", "id")
+    lines = memory.result_lines(named, F.col("content"), ["query_id"]).select("query_id", "result")
+    none = F.concat(F.lit("No memories found for user_id "), F.col("user_id"), F.lit(" with query: "), F.col("content"))
+    return (asked.select(F.col("seq").alias("query_id"), "user_id", "content").join(lines, "query_id", "left")
+            .select(F.col("query_id").alias("seq"), "user_id", F.coalesce("result", none).alias("result")))

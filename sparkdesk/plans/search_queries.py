@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.trigram import similarity, trigram_set, with_word_similarity
-from ..operators.simsearch import search_long_texts, similarity_search
+from ..operators.simsearch import search_long_texts, search_request, similarity_search
 from ..session import table
 from .registry import query
 
@@ -183,3 +183,23 @@ def simsearch_tenant(spark, sf_dir):
                           F.concat(F.lit("Customer#"), F.lpad((F.col("n_nationkey") * 7).cast("string"), 9, "0"))
                           .alias("term"))
     return similarity_search(cust, "c_custkey", cols, items, min_pct=30.0, k=3)
+
+
+# A request as a caller sends it: blank and missing items keep their place, quotes are stripped, 'null' is a default.
+REQUEST_ITEMS = """["", "  ", "Suplier#000000007", null, "'Supplier'#00000001", "no such thing at all"]"""
+_REQUEST_SQL = """SELECT * FROM (VALUES (0, ''), (1, '  '), (2, 'Suplier#000000007'), (4, '''Supplier''#00000001'),
+                                        (5, 'no such thing at all')) r(item_index, term)"""
+
+
+@query("simsearch_request", f"""
+SELECT 'Supplier' AS entity, 'found' AS status, item, id, name, score, similarity_percent FROM ({_topk_oracle(
+    _REQUEST_SQL, "SELECT s_suppkey AS id, s_name AS name, s_name AS t0 FROM supplier", ["s_name"], 30.0, 1, True)})
+UNION ALL SELECT 'Nobody', 'Entity not found', NULL, NULL, NULL, NULL, NULL
+""")
+def simsearch_request(spark, sf_dir):
+    """B8 + B14: items as JSON, parameters 'null' and '', and a request for an entity that isn't there."""
+    entities = {"Supplier": (table(spark, sf_dir, "supplier"), "s_suppkey", ["S_NAME", "s_acctbal", "s name"])}
+    found = search_request(entities, "Supplier", REQUEST_ITEMS, "null", "")
+    other = search_request(entities, "Nobody", REQUEST_ITEMS, "5", "10", spark=spark)
+    return (found.select(F.lit("Supplier").alias("entity"), F.lit("found").alias("status"), "item", "id", "name", "score", "similarity_percent")
+            .unionByName(other, allowMissingColumns=True))

@@ -257,3 +257,53 @@ def dispatch_items(files: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["path", "kind", "item_no", "item"])
 
     return files.select("path", "content").mapInPandas(run, "path string, kind string, item_no int, item string")
+
+
+TEXT_PIECE = 32 << 20
+
+
+def text_pieces(spark: SparkSession, path: str, piece_bytes: int = TEXT_PIECE, recursive: bool = False, extensions=None,
+                ignore: list | None = None) -> DataFrame:
+    """E2 for files of any size: (path, start, text), one row for each range of a file's bytes, read by many tasks.
+
+    A range begins at the first character that starts in it, so none is cut; put together in order of ``start``
+    the pieces are the file. Bytes that are no UTF-8 become U+FFFD. An empty file gives one empty piece.
+    """
+    files = directory_manifest(spark, path, recursive, extensions, ignore).select("path", F.col("length").alias("size"))
+    files = cut_lineage(files)
+    step = F.lit(piece_bytes).cast("long")
+    ranges = files.select("path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), step)).alias("start"))
+    # about PART_BYTES of ranges a task, whatever their number
+    weight = files.agg(F.sum(F.col("size") + F.lit(1 << 12))).first()[0] or 1
+    tasks = min(max(int(weight // max(PART_BYTES, piece_bytes)) + 1, task_slots(spark)), 100_000)
+    cut = len(_prefix(path))
+
+    def joint(fh, at: int, size: int) -> int:
+        """The first place from ``at`` on that is no further byte of a character (at most three are)."""
+        if at <= 0 or at >= size:
+            return min(at, size)
+        follow = fh.read_at(min(3, size - at), at)
+        return at + next((i for i, b in enumerate(follow) if b & 0xC0 != 0x80), len(follow))
+
+    def read(batches):
+        fs, _ = _fs(path)
+        names = ["path", "start", "text"]
+        rows, held = [], 0
+        for pdf in batches:
+            for p, size, start in zip(pdf["path"], pdf["size"], pdf["start"]):
+                with fs.open_input_file(p[cut:]) as fh:
+                    begin, end = joint(fh, start, size), joint(fh, start + piece_bytes, size)
+                    rows.append((p, start, fh.read_at(end - begin, begin).decode("utf-8", errors="replace") if end > begin else ""))
+                held += end - begin
+                if held > PART_BYTES:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows, held = [], 0
+        yield pd.DataFrame(rows, columns=names)
+
+    return ranges.repartition(tasks, "path", "start").mapInPandas(read, "path string, start long, text string")
+
+
+def joined_text(pieces: DataFrame) -> DataFrame:
+    """Each file's content as one value (path, text, n_pieces), for files that one row can hold (2 GB in Spark)."""
+    parts = F.array_sort(F.collect_list(F.struct("start", "text")))
+    return pieces.groupBy("path").agg(F.array_join(F.transform(parts, lambda x: x["text"]), "").alias("text"), F.count(F.lit(1)).alias("n_pieces"))

@@ -105,3 +105,26 @@ def test_names_with_an_underscore_are_listed(spark, tmp_path):
     assert all(r.modificationTime is not None and r.path == f"file:{tmp_path}/{r.rel_path}" for r in rows)
     assert [r.name for r in filesrc.directory_manifest(spark, "file://" + str(tmp_path), extensions=".py").collect()] == ["__init__.py"]
     assert [(r.member, bytes(r.content)) for r in filesrc.read_archives(spark, str(tmp_path)).collect()] == [("_old", b"old")]
+
+
+def test_text_pieces_cut_between_characters(spark, tmp_path):
+    text = "aé漢😀\n" * 500
+    (tmp_path / "a.txt").write_bytes(text.encode())
+    (tmp_path / "empty.txt").write_bytes(b"")
+    (tmp_path / "bad.txt").write_bytes(b"x\x80\x80\x80\x80\x80\x80y" * 20)
+    (tmp_path / "b.bin").write_bytes(b"no")
+    for size in (1, 3, 7, 1000, 1 << 20):
+        pieces = filesrc.text_pieces(spark, str(tmp_path), piece_bytes=size, extensions=".txt")
+        got = {r["path"].rsplit("/", 1)[1]: r["text"] for r in filesrc.joined_text(pieces).collect()}
+        assert got["a.txt"] == text and got["empty.txt"] == "" and set(got) == {"a.txt", "empty.txt", "bad.txt"}
+        assert got["bad.txt"].count("x") == got["bad.txt"].count("y") == 20
+    spread = filesrc.text_pieces(spark, str(tmp_path), piece_bytes=100, extensions=".txt").where("path like '%a.txt'")
+    assert spread.count() > 50 and spread.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_text_pieces_of_one_task_stay_small(spark, tmp_path):
+    """A file of 24 MB is never whole in one row: no piece is over its bound."""
+    (tmp_path / "big.txt").write_bytes("0123456789abcde\n".encode() * 1_500_000)
+    pieces = filesrc.text_pieces(spark, str(tmp_path), piece_bytes=1 << 20)
+    worst, total = pieces.agg(F.max(F.length("text")), F.sum(F.length("text"))).first()
+    assert worst <= 1 << 20 and total == 24_000_000

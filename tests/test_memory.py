@@ -182,3 +182,13 @@ def test_many_templates_of_one_agent(spark):
     for i, (tid, d) in got.items():
         all_d = np.linalg.norm(t - q[i], axis=1)
         assert (tid is None and all_d.min() >= 0.5 - 1e-9) or (abs(all_d[tid] - all_d.min()) < 1e-6 and abs(d - all_d.min()) < 1e-6)
+
+
+def test_read_collections_prunes_assistants(spark, tmp_path):
+    state = spark.createDataFrame([(f"a{i}", f"m{j}", "u", "c", j) for i in range(20) for j in range(3)],
+                                  "assistant_id string, memory_id string, user_id string, content string, last_seq long")
+    memory.write_state(state, str(tmp_path / "state"))
+    asked = spark.createDataFrame([("a3", 1), ("a3", 2), ("a7", 1), ("gone", 1), ("a9", 0), (None, 1)], "assistant_id string, n int").where("n > 0")
+    got = memory.read_collections(spark, str(tmp_path / "state"), asked)
+    assert sorted((r["assistant_id"], r["memory_id"]) for r in got.collect()) == [(a, f"m{j}") for a in ("a3", "a7") for j in range(3)]
+    assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString().lower()
