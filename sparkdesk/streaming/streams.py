@@ -5,12 +5,15 @@ stream-static semi-join with a broadcast id list), the SQL audit and row items.
 is folded per micro-batch in ``foreachBatch``: the previous snapshot is turned back into log
 rows that sort before the new ones, folded together with the batch, and the new snapshot is
 written under the batch id (a retried batch rewrites the same folder, so the sink is idempotent).
+``memory_status_stream`` keeps one small state per memory id instead, so a batch costs what its own rows cost.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.utils import AnalysisException
 
 from ..operators import memory
@@ -103,3 +106,49 @@ def live_memories(spark: SparkSession, root: str) -> DataFrame:
     snap = latest_snapshot(spark, root)
     return snap.filter(F.col("del_seq").isNull()).select(
         *memory.KEY, F.col("owner").alias("user_id"), "content", F.col("content_seq").alias("last_seq"))
+
+
+# --- one state per memory id ------------------------------------------------------------------
+
+STATUS_SCHEMA = ("seq long, op string, assistant_id string, user_id string, memory_id string, content string, error string, "
+                 "status string")
+# of an id that was added once: its owner, the add's place in the log, and whether it was deleted since
+ID_STATE = "owner string, add_seq long, gone boolean"
+
+
+def _id_statuses(key, frames, state):
+    """The statuses of one id's operations in a micro-batch, in log order, and its state after them."""
+    ops = pd.concat(list(frames), ignore_index=True).sort_values("seq", kind="stable", ignore_index=True)
+    owner, add_seq, gone = state.get if state.exists else (None, None, False)
+    out = []
+    for seq, op, user in zip(ops["seq"], ops["op"], ops["user_id"]):
+        if op == "add":
+            out.append("added" if add_seq is None else "duplicate")
+            if add_seq is None:
+                owner, add_seq = user, int(seq)
+        elif add_seq is None or gone or user != owner or seq <= add_seq:
+            out.append("not found")
+        else:
+            out.append("updated" if op == "update" else "deleted")
+            gone = gone or op == "delete"
+    if add_seq is not None:
+        state.update((owner, add_seq, bool(gone)))
+    yield ops.assign(status=out)
+
+
+def memory_status_stream(log: DataFrame) -> DataFrame:
+    """D-1 to D-3 and D-6 as a stream: the status of every operation, as ``memory.fold_status`` gives it, append mode.
+
+    ``log`` holds LOG_COLS; other columns are left out. The state of an id is its owner, the place of its add and
+    whether it was deleted; ids that were never added keep none. Searches and invalid rows, those without an id among
+    them, need no state and are not shuffled. The result is that of the batch fold if no operation of an id comes in a later
+    micro-batch than one behind it in the log; inside a micro-batch any order will do. A task holds one id's rows of
+    one micro-batch: bound the batch with the source's rate option where one id may get very many at once.
+    """
+    checked = memory.mint_ids(memory.validate_ops(log.select(*LOG_COLS)))
+    stateless = F.col("error").isNotNull() | (F.col("op") == "search")
+    plain = checked.where(stateless).withColumn("status", F.when(F.col("error").isNotNull(), F.lit("invalid")).otherwise(F.lit("search")))
+    kept = (checked.where(~stateless).groupBy(*memory.KEY)
+            .applyInPandasWithState(_id_statuses, STATUS_SCHEMA, ID_STATE, "append", GroupStateTimeout.NoTimeout))
+    names = [*LOG_COLS, "error", "status"]
+    return kept.select(*names).unionByName(plain.select(*names))

@@ -61,3 +61,43 @@ def test_replayed_epoch_gives_the_same_state(spark, tmp_path):
         fold(spark.createDataFrame(LOG[4:], SCHEMA), 1)
     live = sorted((r.memory_id, r.user_id, r.content) for r in streams.live_memories(spark, root).collect())
     assert live == [("m2", "u1", "x")] and spark.read.parquet(status).count() == len(LOG)
+
+
+def _random_log(n):
+    import random
+
+    rnd = random.Random(5)
+    ids = [None, "", "hot", "hot", "hot", *[f"m{i}" for i in range(12)]]
+    return [(i, rnd.choice(["add", "add", "update", "update", "delete", "search", "bad", None]), rnd.choice(["a1", "a2", None]),
+             rnd.choice(["u1", "u1", "u2"]), rnd.choice(ids), rnd.choice(["text", "text", "x", None, " "])) for i in range(n)]
+
+
+def test_memory_status_stream_equals_batch_also_after_a_restart(spark, tmp_path):
+    schema = "seq long, op string, assistant_id string, user_id string, memory_id string, content string"
+    rows = _random_log(600)
+    src, out, ck = tmp_path / "log", str(tmp_path / "out"), str(tmp_path / "ck")
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(src))
+        q = (streams.memory_status_stream(stream).writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", ck).trigger(availableNow=True).start())
+        q.awaitTermination()
+        assert q.exception() is None
+
+    def put(chunk):  # shuffled inside its micro-batch
+        spark.createDataFrame(chunk[::-1], schema).coalesce(1).write.mode("append").parquet(str(src))
+
+    put(rows[:200])
+    run()
+    run()  # nothing new: nothing twice
+    put(rows[200:350])
+    put([])
+    run()
+    put(rows[350:])
+    run()
+    got = sorted(tuple(r) for r in spark.read.parquet(out).select("seq", "op", "memory_id", "error", "status").fillna("-").collect())
+    batch = memory.fold_status(spark.createDataFrame(rows, schema))
+    assert got == sorted(tuple(r) for r in batch.select("seq", "op", "memory_id", "error", "status").fillna("-").collect())
+    assert {r[4] for r in got} == {"invalid", "added", "duplicate", "updated", "deleted", "not found", "search"}
+    live = memory.fold_state(spark.read.parquet(out))
+    assert sorted(map(str, live.collect())) == sorted(map(str, memory.fold_state(batch).collect()))
