@@ -23,10 +23,13 @@ class FileTypeError(ValueError):
     pass
 
 
+SNIFF_BYTES = 12  # what sniff_mime looks at
+
+
 def sniff_mime(content) -> Column:
     """Type from the leading bytes; unknown → null."""
     c = F.col(content) if isinstance(content, str) else content
-    h = F.hex(F.substring(c, 1, 12))
+    h = F.hex(F.substring(c, 1, SNIFF_BYTES))
     return (F.when(h.startswith("FFD8FF"), F.lit("image/jpeg"))
             .when(h.startswith("89504E470D0A1A0A"), F.lit("image/png"))
             .when(h.startswith("474946383761") | h.startswith("474946383961"), F.lit("image/gif"))

@@ -57,27 +57,26 @@ def mint_ids(log: DataFrame) -> DataFrame:
 
 
 def fold_status(log: DataFrame) -> DataFrame:
-    """Status of every log row: invalid | added | duplicate | updated | deleted | not found | search."""
-    v = mint_ids(validate_ops(log))
-    ok = F.col("error").isNull()
-    adds = (v.filter(ok & (F.col("op") == "add"))
+    """Status of every log row: invalid | added | duplicate | updated | deleted | not found | search.
+
+    Searches and invalid rows, those without an id among them, take no part in the joins by id."""
+    every = mint_ids(validate_ops(log))
+    stateless = F.col("error").isNotNull() | (F.col("op") == "search")
+    plain = every.where(stateless).withColumn("status", F.when(F.col("error").isNotNull(), F.lit("invalid")).otherwise(F.lit("search")))
+    v = every.where(~stateless)
+    adds = (v.filter(F.col("op") == "add")
             .groupBy(*KEY).agg(F.min("seq").alias("add_seq"), F.min_by("user_id", "seq").alias("owner")))
     with_add = v.join(adds, KEY, "left")
-    owned = (ok & F.col("owner").isNotNull() & (F.col("user_id") == F.col("owner"))
-             & (F.col("seq") > F.col("add_seq")))
+    owned = F.col("owner").isNotNull() & (F.col("user_id") == F.col("owner")) & (F.col("seq") > F.col("add_seq"))
     dels = (with_add.filter(owned & (F.col("op") == "delete"))
             .groupBy(*KEY).agg(F.min("seq").alias("del_seq")))
     full = with_add.join(dels, KEY, "left")
-    live = owned & (F.col("del_seq").isNull() | (F.col("seq") <= F.col("del_seq")))
-    status = (F.when(~ok, F.lit("invalid"))
-              .when(F.col("op") == "search", F.lit("search"))
-              .when(F.col("op") == "add", F.when(F.col("seq") == F.col("add_seq"), F.lit("added"))
-                    .otherwise(F.lit("duplicate")))
-              .when((F.col("op") == "update") & live & (F.col("del_seq").isNull() | (F.col("seq") < F.col("del_seq"))),
+    status = (F.when(F.col("op") == "add", F.when(F.col("seq") == F.col("add_seq"), F.lit("added")).otherwise(F.lit("duplicate")))
+              .when((F.col("op") == "update") & owned & (F.col("del_seq").isNull() | (F.col("seq") < F.col("del_seq"))),
                     F.lit("updated"))
-              .when((F.col("op") == "delete") & live & (F.col("seq") == F.col("del_seq")), F.lit("deleted"))
+              .when((F.col("op") == "delete") & owned & (F.col("seq") == F.col("del_seq")), F.lit("deleted"))
               .otherwise(F.lit("not found")))
-    return full.withColumn("status", status).drop("add_seq", "owner", "del_seq")
+    return full.withColumn("status", status).select(*plain.columns).unionByName(plain)
 
 
 def fold_state(status: DataFrame) -> DataFrame:

@@ -67,10 +67,9 @@ FROM (SELECT CASE WHEN starts_with(mime, 'application/zip|') THEN 'application/z
 GROUP BY mime
 """)
 def type_routing(spark, sf_dir):
-    """Every staged file's type from its first bytes; accepted / total per type. (Spark's
-    listing skips hidden files, so the .cache files never reach it.)"""
+    """Every staged file's type from its first bytes, the only ones read; accepted / total per type."""
     root = staging.document_files(spark, sf_dir)
-    allfiles = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    allfiles = filesrc.directory_manifest(spark, root, recursive=True, ignore=["_DONE"], with_content=True, head=fileops.SNIFF_BYTES)
     return fileops.routing_summary(fileops.route_by_type(allfiles))
 
 
@@ -177,7 +176,7 @@ FROM documents WHERE {_KIND} = 4 ORDER BY name LIMIT 100
 def list_by_type(spark, sf_dir):
     """The first 100 PDF files of the staged folder, by name (type from the first bytes)."""
     root = staging.document_files(spark, sf_dir)
-    m = filesrc.directory_manifest(spark, root, recursive=True, with_content=True)
+    m = filesrc.directory_manifest(spark, root, recursive=True, with_content=True, head=fileops.SNIFF_BYTES)
     typed = m.select("name", "rel_path", "path", fileops.sniff_mime("content").alias("mime"))
     return fileops.list_by_type(typed, "PDF").select("name", "rel_path", "mime")
 

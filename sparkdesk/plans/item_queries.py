@@ -19,7 +19,7 @@ _CUST_JSON = ("{'c_custkey': CAST(c_custkey AS VARCHAR), 'c_name': c_name, 'c_na
 @query("row_items", f"SELECT to_json({_CUST_JSON}) AS item FROM customer")
 def row_items(spark, sf_dir):
     """C3 + C5: customer written as CSV, read back with every cell as text, one item per row."""
-    df = read_text_csv(spark, staging.customer_csv(spark, sf_dir))
+    df = read_quoted_csv(spark, staging.customer_csv(spark, sf_dir))
     return workitems.row_items(df)
 
 
@@ -67,7 +67,7 @@ FROM customer
 def task_table(spark, sf_dir):
     """C11 + C13: one task per CSV row with default type/status and the conversation as group;
     written by the bulk sink and read back."""
-    items = workitems.row_items(read_text_csv(spark, staging.customer_csv(spark, sf_dir))
+    items = workitems.row_items(read_quoted_csv(spark, staging.customer_csv(spark, sf_dir))
                                 .withColumn("item_no", F.col("c_custkey").cast("bigint")), ordinal="item_no")
     tasks = workitems.task_table(items, QUESTION, AGENT, task_type="", status=None, group_id="",
                                  conversation_id=CONVERSATION, ordinal="item_no")

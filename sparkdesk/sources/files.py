@@ -90,19 +90,20 @@ def _prefix(path: str) -> str:
     return "file:"
 
 
-def _with_content(files: DataFrame, path: str) -> DataFrame:
-    """The files' bytes besides, read in tasks, in parts of about PART_BYTES."""
+def _with_content(files: DataFrame, path: str, head: int | None = None) -> DataFrame:
+    """The files' bytes besides (the first ``head`` of each if given), read in tasks, in parts of about PART_BYTES."""
     cut = len(_prefix(path))
 
     def run(batches):
         fs, _ = _fs(path)
         for pdf in batches:
-            part = pdf["length"].cumsum() // PART_BYTES
+            size = pdf["length"] if head is None else pdf["length"].clip(upper=head)
+            part = size.cumsum() // PART_BYTES
             for _, some in pdf.groupby(part, sort=False):
                 contents = []
                 for p in some["path"]:
                     with fs.open_input_stream(p[cut:], compression=None) as fh:
-                        contents.append(fh.read())
+                        contents.append(fh.read() if head is None else fh.read(head))
                 yield some.assign(content=contents)
 
     schema = StructType([*files.schema.fields, StructField("content", BinaryType())])
@@ -110,13 +111,13 @@ def _with_content(files: DataFrame, path: str) -> DataFrame:
 
 
 def directory_manifest(spark: SparkSession, path: str, recursive: bool = False, extensions=None,
-                       ignore: list | None = None, with_content: bool = False) -> DataFrame:
+                       ignore: list | None = None, with_content: bool = False, head: int | None = None) -> DataFrame:
     """Files under ``path`` (flat or recursive) as (path, name, rel_path, length, modificationTime).
 
     Hidden files and folders are skipped, so are names in ``ignore`` (folders and file names);
     ``extensions`` (list or comma text, always lower-cased and trimmed) keeps files whose
     lower-cased name ends with one of them. ``with_content`` also reads the bytes (one pass
-    for jobs that need both the listing rules and the content).
+    for jobs that need both the listing rules and the content), only the first ``head`` of each file if given.
     """
     if isinstance(extensions, str):
         extensions = extensions.split(",")
@@ -139,7 +140,7 @@ def directory_manifest(spark: SparkSession, path: str, recursive: bool = False,
             cond = cond | low.endswith(e)
         df = df.filter(cond)
     df = df.select("path", "name", "rel_path", "length", "modificationTime")
-    return _with_content(df, root) if with_content else df
+    return _with_content(df, root, head) if with_content else df
 
 
 def whole_text(spark: SparkSession, path: str) -> DataFrame:
