@@ -12,7 +12,8 @@ One job for the whole batch (the reference runs one query per item):
 4. candidates are recounted exactly per column from the two trigram sets;
 5. lossless bound: both measures are <= shared / n_a, so pairs with
    100 * shared <= min_pct * n_a can never pass the threshold and are dropped before the
-   word-similarity run search (mapInPandas, survivors only);
+   word-similarity run search (mapInPandas, survivors only); so are pairs whose shared / n_a
+   is under the k-th best plain similarity of their item;
 6. score = greatest over columns of greatest(similarity, word_similarity) * 100,
    threshold (strictly greater), top-k per item with a (score desc, id) order. Spark plans
    a partial ``WindowGroupLimit`` before the shuffle, so a hot item sends at most k rows
@@ -38,7 +39,7 @@ DEFAULT_MIN_PCT = 30.0
 SAFE_NAME = re.compile(r"^[a-z_][a-z0-9_]*$")
 
 # Item batches up to this many trigram rows are broadcast; beyond, the join shuffles.
-ITEM_BROADCAST_ROWS = 2_000_000
+ITEM_BROADCAST_ROWS = 200_000
 
 
 def parse_k(value, default: int = DEFAULT_K) -> int:
@@ -78,6 +79,13 @@ def normalise_items(items: DataFrame) -> DataFrame:
             .filter(F.col("term").isNotNull() & (F.trim("term") != "")))
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder, read again by the steps that follow."""
+    folder = fresh_shared_path(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def similarity_search(entity: DataFrame, id_col: str, columns: list, items: DataFrame,
                       min_pct: float = DEFAULT_MIN_PCT, k: int = DEFAULT_K,
                       use_word_similarity: bool = True, label: Column | None = None,
@@ -158,9 +166,10 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
     # hash partitioning serves the distinct, and the adaptive planner does not pack it)
     cand = cand_pairs.select("item_index", "id").repartition(slots, "item_index", "id").distinct()
 
-    # survivors get texts (entity by id; AQE broadcasts from the measured size of the candidates
-    # when it can) and the term's set (checked-small batch), then an exact recount per column
-    cand = cand.join(ent_sets, "id").join(bc(it_sets), "item_index")
+    # survivors get texts (entity by id: both sides grow with the entity, and the planned size of its sets is
+    # that of the compressed table, so neither is ever broadcast) and the term's set (checked-small batch), then an
+    # exact recount per column
+    cand = cand.join(ent_sets.hint("merge"), "id").join(bc(it_sets), "item_index")
     cand = cand.select("item_index", "id", "name", "term", "a_set", *[f"t{i}" for i in range(n_cols)],
                        F.size("a_set").alias("n_a"),
                        *[F.size(F.array_intersect("a_set", f"b{i}")).alias(f"s{i}") for i in range(n_cols)],
@@ -169,17 +178,27 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
     best_shared = F.greatest(*[F.col(f"s{i}") for i in range(n_cols)]) if n_cols > 1 else F.col("s0")
     cand = cand.filter(best_shared * 100.0 >= F.lit(float(min_pct)) * F.col("n_a") - F.lit(1e-9))
 
+    sims = [similarity_from_counts(F.col(f"s{i}"), F.col("n_a"), F.coalesce(F.col(f"nb{i}"), F.lit(0))) for i in range(n_cols)]
     if use_word_similarity:
-        # CPU-heavy per row: spread the (post-bound) candidates over every task slot, as the
+        # Floors (exact): the k-th best plain similarity of an item is never above its k-th best score, and no pair
+        # scores above shared / n_a. Pairs whose bound is under their item's floor are not searched for runs.
+        cand = _stored(cand.drop("a_set"), "search-pairs")
+        plain = F.greatest(*sims) if n_cols > 1 else sims[0]
+        by_plain = Window.partitionBy("item_index").orderBy(F.col("plain").desc())
+        floors = (cand.select("item_index", plain.alias("plain")).withColumn("r", F.row_number().over(by_plain))
+                  .where(F.col("r") == int(k)).select("item_index", F.col("plain").alias("floor")))
+        cand = (cand.join(bc(floors), "item_index", "left")
+                .where(F.col("floor").isNull() | (best_shared / F.col("n_a") >= F.col("floor") - F.lit(1e-9))).drop("floor"))
+        # CPU-heavy per row: spread the remaining candidates over every task slot, as the
         # adaptive planner would otherwise pack them into a few partitions by byte size; the
         # ordered trigram codes of each text, then one linear run search per pair
         cand = cand.repartition(slots)
-        cand = with_trigram_codes(cand, [(f"t{i}", f"l{i}", True) for i in range(n_cols)], fold_upper=fold_upper)
+        cand = with_trigram_codes(cand, [("term", "a_set", False), *[(f"t{i}", f"l{i}", True) for i in range(n_cols)]],
+                                  fold_upper=fold_upper)
         cand = add_run_similarity(cand, [("a_set", f"l{i}", f"w{i}") for i in range(n_cols)])
     scores = []
     for i in range(n_cols):
-        sim = similarity_from_counts(F.col(f"s{i}"), F.col("n_a"), F.coalesce(F.col(f"nb{i}"), F.lit(0)))
-        scores.append((F.greatest(sim, F.col(f"w{i}")) if use_word_similarity else sim) * 100.0)
+        scores.append((F.greatest(sims[i], F.col(f"w{i}")) if use_word_similarity else sims[i]) * 100.0)
     score = F.greatest(*scores) if len(scores) > 1 else scores[0]
     scored = cand.select("item_index", "term", "id", "name", score.alias("raw_score"))
     scored = scored.filter(F.col("raw_score") > F.lit(float(min_pct)))

@@ -155,3 +155,31 @@ def test_small_inputs_are_spread_over_the_slots(spark):
 
     part = spark.read.parquet(f"{SF001}/part.parquet")
     assert spread_small(part).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_entity_sets_are_never_broadcast(spark):
+    """The planned size of the entity's sets is that of a compressed table: no plan may send them through the driver."""
+    entity = spark.range(300).select(F.col("id"), F.concat(F.lit("name of "), F.col("id").cast("string")).alias("name"))
+    items = spark.createDataFrame([(0, "name of 7")], "item_index int, term string")
+    found = similarity_search(entity, "id", ["name"], items, min_pct=30.0, k=2, use_word_similarity=False)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [id" in plan
+
+
+def test_floors_keep_every_best_row(spark):
+    """Rows whose bound is under an item's floor are dropped; ties and repeated ids are not."""
+    names = ["blue ring", "blue ring", "old ring", "ring blue x", "lue rin", "green bolt", "a b c", "ring"]
+    entity = spark.createDataFrame([(i % 6, n) for i, n in enumerate(names)], "id long, name string")
+    items = [(0, "lue ring"), (1, "een bolt"), (2, "ring")]
+    got = similarity_search(entity, "id", ["name"], spark.createDataFrame(items, "item_index int, term string"), min_pct=20.0, k=3).collect()
+    from sparkdesk.functions.trigram import best_extent_similarity, py_trigram_list, py_trigram_set
+
+    for item in (0, 1, 2):
+        scores = []
+        for _, term in (x for x in items if x[0] == item):
+            a = set(py_trigram_set(term, True))
+            for n in names:
+                b = set(py_trigram_set(n, True))
+                scores.append(max(len(a & b) / len(a | b), best_extent_similarity(a, py_trigram_list(n, True))))
+        want = sorted((round(s * 100, 4) for s in scores if s * 100 > 20.0), reverse=True)[:3]
+        assert [r.score for r in sorted(got, key=lambda r: r["rank"]) if r.item_index == item] == want
