@@ -124,23 +124,37 @@ def with_word_similarity(df: DataFrame, a, b, out: str) -> DataFrame:
     return add_run_similarity(staged, [(tmp_a, tmp_b, out)]).drop(tmp_a, tmp_b)
 
 
+# A task's memo of scored pairs is emptied at about this size.
+MEMO_BYTES, MEMO_ENTRY = 16 << 20, 400
+
+
 def add_run_similarity(df: DataFrame, specs: list) -> DataFrame:
     """For each (set column, list column, out) adds ``out`` = best run similarity, per row."""
     outs = [o for _, _, o in specs]
     schema = StructType(list(df.schema.fields) + [StructField(o, DoubleType()) for o in outs])
 
+    def key(v):
+        """Codes as their bytes (a tuple of Python integers takes five times as much)."""
+        if v is None or len(v) == 0:
+            return b""
+        return v.tobytes() if getattr(v, "dtype", None) == "int64" else tuple(v)
+
     def run(batches):
-        memo: dict = {}  # repeated (term, text) pairs are scored once per task
+        memo: dict = {}  # repeated (term, text) pairs are scored once while the memo holds them
+        held = 0
         for pdf in batches:
             for a, b, o in specs:
                 vals = []
                 for x, y in zip(pdf[a], pdf[b]):
-                    key = (tuple(x) if x is not None else (), tuple(y) if y is not None else ())
-                    v = memo.get(key)
+                    pair = (key(x), key(y))
+                    v = memo.get(pair)
                     if v is None:
                         v = best_extent_similarity(x, y)
-                        if len(memo) < 200_000:
-                            memo[key] = v
+                        held += MEMO_ENTRY + 16 * (len(x if x is not None else ()) + len(y if y is not None else ()))
+                        if held > MEMO_BYTES:
+                            memo.clear()
+                            held = 0
+                        memo[pair] = v
                     vals.append(v)
                 pdf[o] = vals
             yield pdf
@@ -196,6 +210,10 @@ def py_trigram_code_list(text, fold_upper: bool = False) -> list:
     return [_code(g) for g in py_trigram_list(text, fold_upper)]
 
 
+PART_CHARS = 1 << 20  # characters of text whose codes a task holds at once
+SHORT = 100
+
+
 def with_trigram_codes(df: DataFrame, specs: list, fold_upper: bool = False) -> DataFrame:
     """Adds, per (text column, out, ordered), the text's trigrams as array<bigint> codes: the
     distinct set, or the ordered list with repeats when ``ordered``. Joins and intersections
@@ -205,11 +223,24 @@ def with_trigram_codes(df: DataFrame, specs: list, fold_upper: bool = False) ->
     schema = StructType(list(df.schema.fields) + [StructField(o, ArrayType(LongType())) for _, o, _ in specs])
 
     def run(batches):
+        import numpy as np
+
+        from .text_windows import trigram_places
+
+        def codes(text, ordered):
+            if text is None or len(text) < SHORT:  # below, a call of numpy costs more than the text
+                return (py_trigram_code_list if ordered else py_trigram_codes)(text, fold_upper)
+            if fold_upper:
+                text = text.upper()
+            places = trigram_places(text)
+            return places if ordered else np.unique(places)
+
         for pdf in batches:
-            for c, o, ordered in specs:
-                f = py_trigram_code_list if ordered else py_trigram_codes
-                pdf[o] = [f(x, fold_upper) for x in pdf[c]]
-            yield pdf
+            size = sum(pdf[c].str.len().fillna(0).to_numpy("int64") for c, *_ in specs)
+            # a batch of long texts is handed back in parts, as its codes take eight bytes a character
+            part = (size.cumsum() // PART_CHARS) if len(pdf) else size
+            for _, some in pdf.groupby(part, sort=False):
+                yield some.assign(**{o: [codes(x, ordered) for x in some[c]] for c, o, ordered in specs})
 
     return df.mapInPandas(run, schema)
 

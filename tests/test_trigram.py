@@ -76,3 +76,57 @@ def test_codes_agree_between_jvm_and_python(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [sorted(r.c) if r.c is not None else None for r in df.select(trigram_codes("t").alias("c")).collect()]
     assert got == [sorted(py_trigram_codes(t)) for t in texts]
+
+
+class _Rows:
+    """Hands back the task function of a mapInPandas step."""
+
+    def __init__(self, schema):
+        from pyspark.sql.types import _parse_datatype_string
+
+        self.schema = _parse_datatype_string(schema)
+
+    def mapInPandas(self, run, schema):  # noqa: N802
+        return run
+
+
+def test_codes_of_long_texts_come_in_parts():
+    import pandas as pd
+
+    from sparkdesk.functions.trigram import PART_CHARS, py_trigram_code_list, py_trigram_codes, with_trigram_codes
+
+    texts = [f"word{i} straße ÉTÉ " * (PART_CHARS // 60) for i in range(12)] + [None, "", "x"]
+    pdf = pd.DataFrame({"id": range(len(texts)), "t": texts})
+    run = with_trigram_codes(_Rows("id long, t string"), [("t", "b", False), ("t", "l", True)], fold_upper=True)
+    parts = list(run(iter([pdf])))
+    assert len(parts) > 3 and max(p["t"].str.len().sum() for p in parts) <= 2 * PART_CHARS
+    out = pd.concat(parts)
+    assert out["id"].tolist() == list(range(len(texts)))
+    for t, b, codes in zip(texts, out["b"], out["l"], strict=True):
+        assert sorted(b) == sorted(py_trigram_codes(t, True)) and list(codes) == py_trigram_code_list(t, True)
+    assert [p.columns.tolist() for p in run(iter([pdf[:0]]))] in ([], [["id", "t", "b", "l"]])
+
+
+def test_memo_of_scored_pairs_is_bounded():
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+
+    from sparkdesk.functions.trigram import add_run_similarity, best_extent_similarity
+
+    def batches(n):
+        for k in range(n):
+            rows = [np.arange(k * 1000 + i, k * 1000 + i + 200) << 40 for i in range(200)]
+            yield pd.DataFrame({"a": [np.arange(3)] * 200, "l": rows})
+
+    run = add_run_similarity(_Rows("a array<bigint>, l array<bigint>"), [("a", "l", "w")])
+    tracemalloc.start()
+    for _ in run(batches(100)):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
+    a, text = np.array([1, 2, 3]), np.array([9, 1, 2, 9, 9, 3])
+    pdf = pd.DataFrame({"a": [a, a, None], "l": [text, text, text]})
+    assert next(iter(run(iter([pdf]))))["w"].tolist() == [best_extent_similarity(a, text)] * 2 + [0.0]
