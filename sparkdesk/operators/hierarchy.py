@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import stored
 from .ranking import row_numbers
 
 
@@ -22,7 +22,7 @@ class HierarchyError(ValueError):
 def _walk(nodes: DataFrame) -> DataFrame:
     """The steps (step, next): ``d<node>`` enters a node and ``u<node>`` leaves it; next is null after a root."""
     # children numbered below their parent, without a window over a parent that has most nodes
-    placed = cut_lineage(row_numbers(nodes, [F.col("node")], "pos", keys=("parent",)))
+    placed = stored(row_numbers(nodes, [F.col("node")], "pos", keys=("parent",)), "tree-placed")
     first = placed.where("pos = 1 and parent is not null").select(F.col("parent").alias("node"), F.col("node").alias("first"))
     sibling = placed.where("parent is not null").select("parent", (F.col("pos") - 1).alias("pos"), F.col("node").alias("sibling"))
     enter = (placed.select("node").join(first, "node", "left")
@@ -45,7 +45,7 @@ def interval_labels(tree: DataFrame) -> DataFrame:
     own = (tree.select(F.col("node").cast("string").alias("node"), F.col("parent").cast("string").alias("parent"))
            .where("node is not null").groupBy("node")
            .agg(F.min("parent").alias("parent"), F.max("parent").alias("other")))
-    own = cut_lineage(own)
+    own = stored(own, "tree-nodes")
     twice = own.where("parent != other").limit(1).collect()
     if twice:
         raise HierarchyError(f"Node {twice[0]['node']} has more than one parent.")
@@ -54,18 +54,18 @@ def interval_labels(tree: DataFrame) -> DataFrame:
 
     down = F.col("step").startswith("d")
     # over the steps from here to where the pointer leads: their number, and entries less exits
-    steps = cut_lineage(_walk(nodes).select("step", "next", F.lit(1).cast("long").alias("hops"),
-                                            F.when(down, 1).otherwise(-1).cast("long").alias("climb"),
-                                            F.when(F.col("next").isNull(), F.col("step")).alias("last")))
+    steps = stored(_walk(nodes).select("step", "next", F.lit(1).cast("long").alias("hops"),
+                                       F.when(down, 1).otherwise(-1).cast("long").alias("climb"),
+                                       F.when(F.col("next").isNull(), F.col("step")).alias("last")), "tree-steps")
     reach, total = 1, steps.count()
     while reach < total:
         ahead = steps.select(F.col("step").alias("next"), F.col("next").alias("n_next"), F.col("hops").alias("n_hops"),
                              F.col("climb").alias("n_climb"), F.col("last").alias("n_last"))
         # finished steps stay as they are; the rest meet the one step that their pointer names
-        moved = (steps.where("next is not null").join(ahead, "next")
+        moved = (steps.where("next is not null").join(ahead.hint("merge"), "next")
                  .select("step", F.col("n_next").alias("next"), (F.col("hops") + F.col("n_hops")).alias("hops"),
                          (F.col("climb") + F.col("n_climb")).alias("climb"), F.col("n_last").alias("last")))
-        steps = cut_lineage(steps.where("next is null").unionByName(moved))
+        steps = stored(steps.where("next is null").unionByName(moved), "tree-steps")
         reach *= 2
         if steps.where("next is not null").isEmpty():
             break
@@ -78,10 +78,10 @@ def interval_labels(tree: DataFrame) -> DataFrame:
         F.max(F.when(F.col("down"), 1 - F.col("climb"))).alias("depth"), F.bool_and("ended").alias("ended"))
     # hops count from a step to the end of its walk, which the root's entry sees whole
     whole = both.where("ended and node = tree").select("tree", F.col("from_enter").alias("length"))
-    return (both.join(whole, "tree", "left")
-            .select("node", "tree", *[F.when(F.col("ended"), c).alias(n) for n, c in (
-                ("enter", F.col("length") - F.col("from_enter") + 1), ("leave", F.col("length") - F.col("from_leave") + 1),
-                ("depth", F.col("depth")))], (~F.col("ended")).alias("cyclic")))
+    labels = both.join(whole, "tree", "left").select("node", "tree", *[F.when(F.col("ended"), c).alias(n) for n, c in (
+        ("enter", F.col("length") - F.col("from_enter") + 1), ("leave", F.col("length") - F.col("from_leave") + 1),
+        ("depth", F.col("depth")))], (~F.col("ended")).alias("cyclic"))
+    return stored(labels, "tree-labels")
 
 
 def included(pairs: DataFrame, labels: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
@@ -92,7 +92,7 @@ def included(pairs: DataFrame, labels: DataFrame, child: str = "child", parent:
 
     out = pairs.drop("level")
     for prefix, on in (("c", child), ("p", parent)):
-        out = out.join(side(prefix, on), F.col(f"`{on}`").cast("string") == F.col(f"__{prefix}"), "left")
+        out = out.join(side(prefix, on).hint("merge"), F.col(f"`{on}`").cast("string") == F.col(f"__{prefix}"), "left")
     under = (F.col("__c_tree") == F.col("__p_tree")) & (F.col("__p_enter") <= F.col("__c_enter")) & (F.col("__c_leave") <= F.col("__p_leave"))
     level = (F.when(F.col("__c") == F.col("__p"), F.lit(1).cast("long")).when(under, F.col("__c_depth") - F.col("__p_depth") + 1)
              .otherwise(F.lit(-1).cast("long")).alias("level"))

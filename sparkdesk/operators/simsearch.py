@@ -31,7 +31,7 @@ from pyspark.sql.types import StringType, StructType
 from ..functions.text import score_text
 from ..functions.text_windows import Text, TermBlock, scores_of, trigram_places
 from ..functions.trigram import add_run_similarity, similarity_from_counts, trigram_codes, with_trigram_codes
-from ..session import cut_lineage, fits, fresh_shared_path, spread_small, task_slots
+from ..session import cut_lineage, fits, fresh_shared_path, spread_small, stored, task_slots
 
 # Defaults of a request.
 DEFAULT_K = 1
@@ -79,13 +79,6 @@ def normalise_items(items: DataFrame) -> DataFrame:
             .filter(F.col("term").isNotNull() & (F.trim("term") != "")))
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder, read again by the steps that follow."""
-    folder = fresh_shared_path(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def similarity_search(entity: DataFrame, id_col: str, columns: list, items: DataFrame,
                       min_pct: float = DEFAULT_MIN_PCT, k: int = DEFAULT_K,
                       use_word_similarity: bool = True, label: Column | None = None,
@@ -182,7 +175,7 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
     if use_word_similarity:
         # Floors (exact): the k-th best plain similarity of an item is never above its k-th best score, and no pair
         # scores above shared / n_a. Pairs whose bound is under their item's floor are not searched for runs.
-        cand = _stored(cand.drop("a_set"), "search-pairs")
+        cand = stored(cand.drop("a_set"), "search-pairs")
         plain = F.greatest(*sims) if n_cols > 1 else sims[0]
         by_plain = Window.partitionBy("item_index").orderBy(F.col("plain").desc())
         floors = (cand.select("item_index", plain.alias("plain")).withColumn("r", F.row_number().over(by_plain))

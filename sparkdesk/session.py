@@ -81,6 +81,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, read again. Unlike a checkpoint, whose planned size is the one its
+    plan had, the table's size is that of its files: in a loop of joins the planned size does not multiply from round to round."""
+    path = fresh_shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 

@@ -149,3 +149,13 @@ def test_quoted_csv_without_header_or_file(spark, tmp_path):
         csv_blocks.read_quoted_csv(spark, str(tmp_path / "none.csv"))
     (tmp_path / "h.csv").write_bytes(b"a,b")
     assert csv_blocks.read_quoted_csv(spark, str(tmp_path / "h.csv")).count() == 0
+
+
+def test_planned_size_of_interval_labels_stays_small(spark):
+    """Rounds of joins start from tables: the planned size, a product over the joins of a checkpoint's plan, does not multiply."""
+    n = 300
+    tree = spark.createDataFrame([(str(i), str(i - 1) if i else None) for i in range(n)], "node string, parent string")
+    labels = hierarchy.interval_labels(tree)
+    size = int(str(labels._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    assert size < 1 << 24
+    assert sorted((int(r.node), r.enter, r.leave, r.depth) for r in labels.collect()) == [(i, i + 1, 2 * n - i, i + 1) for i in range(n)]
