@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path, table
-from ..sources.blobs import _fs, write_blobs
+from ..sources.blobs import _fs, put_blob, write_blobs
 from ..sources.tabular import build_xlsx
 
 # Rows per generated workbook (a workbook is one task's output; the range read stays within 1000 rows).
@@ -23,6 +23,10 @@ WORKBOOK_ROWS = 500
 ZIP_DOCS = 50
 
 
+# What a task tells of a file that it has put itself: no content passes from the maker to a writer in batches.
+BLOB = "path string, size long"
+
+
 def _tag(sf_dir: str) -> str:
     return os.path.basename(os.path.normpath(sf_dir)).replace(".", "_")
 
@@ -89,10 +93,10 @@ def customer_workbooks(spark: SparkSession, sf_dir: str) -> str:
         pdf = pdf.sort_values("c_custkey", key=lambda s: s.astype("int64"))
         seg, block = pdf["c_mktsegment"].iloc[0], int(pdf["block"].iloc[0])
         rows = [cols] + pdf[cols].fillna("").values.tolist()
-        return pd.DataFrame({"path": [f"{path}/{seg}_{block}.xlsx"], "content": [build_xlsx([(seg, rows)])]})
+        target = f"{path}/{seg}_{block}.xlsx"
+        return pd.DataFrame({"path": [target], "size": [put_blob(target, build_xlsx([(seg, rows)]))]})
 
-    books = text.groupBy("c_mktsegment", "block").applyInPandas(one_book, "path string, content binary")
-    write_blobs(books).count()
+    text.groupBy("c_mktsegment", "block").applyInPandas(one_book, BLOB).agg(F.sum("size")).collect()
     _mark(path)
     return path
 
@@ -113,26 +117,30 @@ def document_files(spark: SparkSession, sf_dir: str) -> str:
     def singles(batches):
         for pdf in batches:
             out = []
+
+            def put(target: str, data: bytes) -> None:
+                out.append((target, put_blob(target, data)))  # noqa: B023
+
             for doc_id, source, text in zip(pdf["doc_id"], pdf["source"], pdf["text"]):
                 data = (text or "").encode("utf-8")
                 kind = int(doc_id) % 6
                 base = f"{path}/{source}/doc_{doc_id}"
                 if kind == 0:
-                    out.append((base + ".txt", data))
+                    put(base + ".txt", data)
                 elif kind == 1:
-                    out.append((base + ".txt.gz", gzip.compress(data, mtime=0)))
+                    put(base + ".txt.gz", gzip.compress(data, mtime=0))
                 elif kind == 2:
-                    out.append((base + ".txt.bz2", bz2.compress(data)))
+                    put(base + ".txt.bz2", bz2.compress(data))
                 elif kind == 3:
-                    out.append((base + ".png", b"\x89PNG\r\n\x1a\n" + data))
+                    put(base + ".png", b"\x89PNG\r\n\x1a\n" + data)
                 elif kind == 4:
-                    out.append((base + ".pdf", b"%PDF-1.4\n" + data))
+                    put(base + ".pdf", b"%PDF-1.4\n" + data)
                 else:
-                    out.append((base + ".jpg", b"\xff\xd8\xff\xe0" + data))
+                    put(base + ".jpg", b"\xff\xd8\xff\xe0" + data)
                 if int(doc_id) % ZIP_DOCS == 0:
-                    out.append((f"{path}/{source}/.cache_{doc_id}", b"hidden"))
-                    out.append((f"{path}/{source}/skipme/doc_{doc_id}.txt", data))
-            yield pd.DataFrame(out, columns=["path", "content"])
+                    put(f"{path}/{source}/.cache_{doc_id}", b"hidden")
+                    put(f"{path}/{source}/skipme/doc_{doc_id}.txt", data)
+            yield pd.DataFrame(out, columns=["path", "size"])
 
     def one_zip(pdf: pd.DataFrame) -> pd.DataFrame:
         buf = io.BytesIO()
@@ -141,11 +149,12 @@ def document_files(spark: SparkSession, sf_dir: str) -> str:
                 zf.writestr(f"docs/doc_{doc_id}.txt", (text or "").encode("utf-8"))
             zf.writestr("__MACOSX/._docs", b"meta")
         src, block = pdf["source"].iloc[0], int(pdf["block"].iloc[0])
-        return pd.DataFrame({"path": [f"{path}/{src}/archive_{block}.zip"], "content": [buf.getvalue()]})
+        target = f"{path}/{src}/archive_{block}.zip"
+        return pd.DataFrame({"path": [target], "size": [put_blob(target, buf.getvalue())]})
 
-    files = docs.mapInPandas(singles, "path string, content binary")
+    files = docs.mapInPandas(singles, BLOB)
     zips = (docs.withColumn("block", F.floor(F.col("doc_id") / ZIP_DOCS).cast("bigint"))
-            .groupBy("source", "block").applyInPandas(one_zip, "path string, content binary"))
-    write_blobs(files.unionByName(zips)).count()
+            .groupBy("source", "block").applyInPandas(one_zip, BLOB))
+    files.unionByName(zips).agg(F.sum("size")).collect()
     _mark(path)
     return path

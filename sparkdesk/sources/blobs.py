@@ -18,21 +18,23 @@ def _fs(path: str):
     return fs.FileSystem.from_uri(path)
 
 
+def put_blob(path: str, data: bytes) -> int:
+    """Writes bytes to a path (parents created); returns their number."""
+    fs, inner = _fs(path)
+    fs.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    with fs.open_output_stream(inner, compression=None) as fh:
+        fh.write(data)
+    return len(data)
+
+
 def write_blobs(df: DataFrame, path_col: str = "path", content_col: str = "content") -> DataFrame:
     """Writes each row's bytes to its path (parents created); returns (path, size) rows.
-    Lazy: the files are written when the result is computed."""
+    Lazy: the files are written when the result is computed. A task gets rows in batches of up to 10,000, so
+    large contents made in Python are better put by the task that makes them (``put_blob``)."""
 
     def write(batches):
         for pdf in batches:
-            out = []
-            for p, content in zip(pdf[path_col], pdf[content_col]):
-                fs, inner = _fs(p)
-                parent = inner.rsplit("/", 1)[0]
-                fs.create_dir(parent, recursive=True)
-                data = bytes(content)
-                with fs.open_output_stream(inner, compression=None) as fh:
-                    fh.write(data)
-                out.append((p, len(data)))
+            out = [(p, put_blob(p, bytes(content))) for p, content in zip(pdf[path_col], pdf[content_col])]
             yield pd.DataFrame(out, columns=["path", "size"])
 
     return df.select(path_col, content_col).mapInPandas(write, "path string, size long")
