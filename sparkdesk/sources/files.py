@@ -36,6 +36,7 @@ class FileSetError(ValueError):
 
 
 PART_BYTES = 16 << 20
+LISTING_ROWS = 10_000  # rows of a folder's listing handed on at once
 LISTING = "path string, folder boolean, length long, modified long"
 
 
@@ -60,7 +61,9 @@ def _listing(spark: SparkSession, path: str, recursive: bool = True) -> DataFram
         def run(batches):
             for pdf in batches:
                 for folder in pdf["path"]:
-                    yield pd.DataFrame(entries(folder, first), columns=["path", "folder", "length", "modified"])
+                    found = entries(folder, first)
+                    for at in range(0, max(len(found), 1), LISTING_ROWS):
+                        yield pd.DataFrame(found[at:at + LISTING_ROWS], columns=["path", "folder", "length", "modified"])
         return run
 
     slots = task_slots(spark)
@@ -149,21 +152,34 @@ def whole_text(spark: SparkSession, path: str) -> DataFrame:
             .select(F.input_file_name().alias("path"), F.col("value").alias("text")))
 
 
-def _expand_one(path: str, content: bytes) -> list:
+def _expand_one(path: str, content: bytes):
+    """The members of one archive, one at a time."""
     name = posixpath.basename(path)
     if name.endswith(".zip"):
-        out = []
         with zipfile.ZipFile(io.BytesIO(content)) as zf:
             for info in zf.infolist():
                 if info.is_dir() or info.filename.startswith(MAC_META + "/") or f"/{MAC_META}/" in info.filename:
                     continue
-                out.append((path, info.filename, zf.read(info), "ok"))
-        return out
-    if name.endswith(".gz"):
-        return [(path, name[: -len(".gz")], gzip.decompress(content), "ok")]
-    if name.endswith(".bz2"):
-        return [(path, name[: -len(".bz2")], bz2.decompress(content), "ok")]
-    return [(path, None, None, "unsupported archive format")]
+                yield path, info.filename, zf.read(info), "ok"
+    elif name.endswith(".gz"):
+        yield path, name[: -len(".gz")], gzip.decompress(content), "ok"
+    elif name.endswith(".bz2"):
+        yield path, name[: -len(".bz2")], bz2.decompress(content), "ok"
+    else:
+        yield path, None, None, "unsupported archive format"
+
+
+def _member_frames(archives):
+    """Members of (path, content) pairs, in frames of about PART_BYTES."""
+    columns, rows, held = ["archive", "member", "content", "status"], [], 0
+    for path, content in archives:
+        for row in _expand_one(path, content):
+            rows.append(row)
+            held += len(row[2] or b"") + 200
+            if held > PART_BYTES:
+                yield pd.DataFrame(rows, columns=columns)
+                rows, held = [], 0
+    yield pd.DataFrame(rows, columns=columns)
 
 
 def expand_archives(files: DataFrame) -> DataFrame:
@@ -171,22 +187,32 @@ def expand_archives(files: DataFrame) -> DataFrame:
 
     def run(batches):
         for pdf in batches:
-            rows = []
-            for p, c in zip(pdf["path"], pdf["content"]):
-                rows += _expand_one(p, bytes(c))
-            yield pd.DataFrame(rows, columns=["archive", "member", "content", "status"])
+            yield from _member_frames((p, bytes(c)) for p, c in zip(pdf["path"], pdf["content"]))
 
     return files.select("path", "content").mapInPandas(run, ARCHIVE_SCHEMA)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """E3 over a folder: every .zip / .gz / .bz2 file expanded."""
+    """E3 over a folder: every .zip / .gz / .bz2 file expanded by the task that reads it, one archive at a time."""
     files = _listing(spark, path)
     name = F.element_at(F.split("path", "/"), -1)
     cond = F.lit(False)
     for s in ARCHIVE_SUFFIXES:
         cond = cond | name.endswith(s)
-    return expand_archives(_with_content(files.filter(cond), path))
+    cut = len(_prefix(path))
+
+    def run(batches):
+        fs, _ = _fs(path)
+
+        def contents():
+            for pdf in batches:
+                for p in pdf["path"]:
+                    with fs.open_input_stream(p[cut:], compression=None) as fh:
+                        yield p, fh.read()
+
+        yield from _member_frames(contents())
+
+    return files.filter(cond).select("path").repartition(task_slots(spark), "path").mapInPandas(run, ARCHIVE_SCHEMA)
 
 
 def _preview_one(path: str, content: bytes) -> tuple:

@@ -128,3 +128,36 @@ def test_text_pieces_of_one_task_stay_small(spark, tmp_path):
     pieces = filesrc.text_pieces(spark, str(tmp_path), piece_bytes=1 << 20)
     worst, total = pieces.agg(F.max(F.length("text")), F.sum(F.length("text"))).first()
     assert worst <= 1 << 20 and total == 24_000_000
+
+
+def test_members_come_in_bounded_frames(monkeypatch):
+    import gzip
+
+    monkeypatch.setattr(filesrc, "PART_BYTES", 5_000)
+    archives = [(f"/a/f{i}.txt.gz", gzip.compress(bytes([i]) * 2_000)) for i in range(20)] + [("/a/x.rar", b"")]
+    frames = list(filesrc._member_frames(iter(archives)))
+    assert len(frames) >= 7 and max(len(f) for f in frames) <= 3
+    rows = [r for f in frames for r in f.itertuples(index=False)]
+    assert [r.archive for r in rows] == [p for p, _ in archives]
+    assert [r.content for r in rows[:20]] == [bytes([i]) * 2_000 for i in range(20)] and rows[20].status == "unsupported archive format"
+
+
+def test_staged_contents_never_pass_as_rows(spark, monkeypatch, tmp_path):
+    """The task that makes a file puts it: contents are no rows that a writer gets by the ten thousand."""
+    from sparkdesk.plans import staging
+    from sparkdesk.sources import blobs
+
+    docs = [(i, f"text {i}" if i % 3 else None, "web") for i in range(120)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+
+    def no_rows(*a, **k):
+        raise AssertionError("contents passed as rows")
+
+    monkeypatch.setattr(blobs, "write_blobs", no_rows)
+    monkeypatch.setattr(staging, "write_blobs", no_rows)
+    members = filesrc.read_archives(spark, staging.document_files(spark, str(tmp_path))).collect()
+    got = sorted((r.archive.rsplit("/", 1)[1], r.member, bytes(r.content).decode()) for r in members)
+    want = [(f"doc_{i}.txt.gz", f"doc_{i}.txt", t or "") for i, t, _ in docs if i % 6 == 1]
+    want += [(f"doc_{i}.txt.bz2", f"doc_{i}.txt", t or "") for i, t, _ in docs if i % 6 == 2]
+    want += [(f"archive_{i // 50}.zip", f"docs/doc_{i}.txt", t or "") for i, t, _ in docs]
+    assert got == sorted(want)
