@@ -5,7 +5,7 @@
 2. The points of a cell lie within d(q, pivot) + greatest distance of a query, so the cells' counts give a bound on the query's
    k-th distance. A cell is needed only if the triangle inequality and the plane between two pivots allow a point that near.
 3. Points of a cell are cut into blocks and the queries that need it into shares, both of bounded size by their counts; every block
-   meets every share once, in its own group. Each keeps a local top k per query, ties at the k-th distance included; a
+   meets every share once, in its own group. Each keeps a local top k per query, ties at the k-th distance by the lower id; a
    window keeps k of them.
 
 Nothing but the pivots passes through the driver, and no (query, point) pair becomes a row unless it is in a local top k.
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 N_PIVOTS = 64
 BLOCK_POINTS, SHARE_QUERIES = 2048, 2048
+SLICE_QUERIES = 256  # queries whose distances a task holds at once
 SLACK = 1e-6  # of rounding, relative
 OUTSIDE = -1  # cell of zero vectors under cosine: met by every query
 
@@ -93,6 +94,8 @@ def nearest(points: DataFrame, queries: DataFrame, k: int, metric: str = "l2", e
     placed = with_cells(points, pivots, metric)
     cells = placed.groupBy("user", "cell").agg(F.count(F.lit(1)).alias("n"), F.min("radius").alias("low"), F.max("radius").alias("high"))
     of_user = cells.groupBy("user").agg(F.collect_list(F.struct("cell", "n", "low", "high")).alias("cells"))  # n_pivots + 1 at most
+    # arrays of numbers: an array of structs is a Python object a field for every query of a batch
+    of_user = of_user.select("user", *[F.col(f"cells.{c}").alias(f"cells_{c}") for c in ("cell", "n", "low", "high")])
     if metric == "cosine":
         limit = np.inf if max_distance is None else float(np.sqrt(2 * max(max_distance, 0.0)))
     else:
@@ -102,14 +105,13 @@ def nearest(points: DataFrame, queries: DataFrame, k: int, metric: str = "l2", e
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             found = []
-            if len(pdf):
-                mat = matrix(pdf["vec"], metric)
-                for d, vec, own in zip(distances(mat, pivots, "l2"), mat, pdf["cells"], strict=True):
-                    cell, n = (np.array([c[f] for c in own], np.int64) for f in ("cell", "n"))
-                    low, high = (np.array([c[f] for c in own], np.float64) for f in ("low", "high"))
+            of = pdf[["cells_cell", "cells_n", "cells_low", "cells_high"]].to_numpy()
+            for s in range(0, len(pdf), SLICE_QUERIES):
+                mat = matrix(pdf["vec"].iloc[s:s + SLICE_QUERIES], metric)
+                for d, vec, (cell, n, low, high) in zip(distances(mat, pivots, "l2"), mat, of[s:s + SLICE_QUERIES], strict=True):
                     every = metric == "cosine" and not vec.any()
                     found.append(cell.tolist() if every else cell[needed_cells(d, gap, cell, n, low, high, wanted, limit)].tolist())
-            yield pdf.drop(columns="cells").assign(need=found)
+            yield pdf[["user", "query_id", "vec", "source_id"]].assign(need=found)
 
     routed = asked.join(of_user, "user").mapInPandas(route, "user string, query_id long, vec array<double>, source_id long, need array<long>")
     shares = routed.select("user", F.explode("need").alias("cell")).groupBy("user", "cell").agg(F.count(F.lit(1)).alias("asking"))
@@ -124,12 +126,23 @@ def nearest(points: DataFrame, queries: DataFrame, k: int, metric: str = "l2", e
     def meet(key, pts: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
         if not len(pts) or not len(qs):
             return pd.DataFrame({"query_id": [], "user": [], "id": [], "distance": []})
-        d = distances(matrix(qs["vec"], metric), matrix(pts["vec"], metric), metric)
-        if exclude_self:
-            d[qs["source_id"].to_numpy()[:, None] == pts["id"].to_numpy()[None, :]] = np.inf
-        kth = np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, min(k, d.shape[1]) - 1]
-        q, p = np.nonzero((d <= kth[:, None]) & np.isfinite(d) & (d < (np.inf if max_distance is None else max_distance)))
-        return pd.DataFrame({"query_id": qs["query_id"].to_numpy()[q], "user": key[0], "id": pts["id"].to_numpy()[p], "distance": d[q, p]})
+        ids, sources, asking = pts["id"].to_numpy(), qs["source_id"].to_numpy(), qs["query_id"].to_numpy()
+        mat, most = matrix(pts["vec"], metric), np.inf if max_distance is None else max_distance
+        parts = []
+        for s in range(0, len(qs), SLICE_QUERIES):
+            d = distances(matrix(qs["vec"].iloc[s:s + SLICE_QUERIES], metric), mat, metric)
+            if exclude_self:
+                d[sources[s:s + SLICE_QUERIES, None] == ids[None, :]] = np.inf
+            kth = np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, min(k, d.shape[1]) - 1]
+            q, p = np.nonzero((d <= kth[:, None]) & np.isfinite(d) & (d < most))
+            # ties beyond k: those of the lowest ids are the ones that the last ranking keeps
+            order = np.lexsort((ids[p], d[q, p], q))
+            q, p = q[order], p[order]
+            first = np.flatnonzero(np.append(True, q[1:] != q[:-1])) if len(q) else q
+            near = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q)))) < k
+            q, p = q[near], p[near]
+            parts.append(pd.DataFrame({"query_id": asking[s + q], "user": key[0], "id": ids[p], "distance": d[q, p]}))
+        return pd.concat(parts)
 
     keys = ["user", "cell", "block", "share"]
     met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, out)

@@ -192,3 +192,30 @@ def test_read_collections_prunes_assistants(spark, tmp_path):
     got = memory.read_collections(spark, str(tmp_path / "state"), asked)
     assert sorted((r["assistant_id"], r["memory_id"]) for r in got.collect()) == [(a, f"m{j}") for a in ("a3", "a7") for j in range(3)]
     assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_ties_of_copies_stay_within_k(spark, monkeypatch):
+    """Copies of one point: a block hands on k rows a query, not every tie, and the lowest ids win."""
+    from sparkdesk.operators import metric_join
+
+    monkeypatch.setattr(metric_join, "SLICE_QUERIES", 7)
+    mem = spark.createDataFrame([(f"u{i % 2}", i, [1.0, float(i % 2)]) for i in range(400)], "user string, id long, vec array<double>")
+    asked = mem.selectExpr("id as query_id", "user", "vec", "id as source_id")
+    made = []
+    grouped = type(mem.groupBy("id").cogroup(mem.groupBy("id")))
+    plain = grouped.applyInPandas
+
+    def counted(self, func, schema):
+        def run(key, left, right):
+            import pandas as pd
+
+            out = func(key, left, right)
+            return out if len(out) <= 3 * len(right) else pd.DataFrame({"query_id": [-1], "user": ["ties"], "id": [-1], "distance": [0.0]})
+        made.append(schema)
+        return plain(self, run, schema)
+
+    monkeypatch.setattr(grouped, "applyInPandas", counted)
+    got = metric_join.nearest(mem, asked, 3, exclude_self=True).collect()
+    assert made and not [r for r in got if r.user == "ties"]
+    rows = {q: [r.id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] for q in range(400)}
+    assert rows == {q: [i for i in range(q % 2, 400, 2) if i != q][:3] for q in range(400)}
