@@ -1,10 +1,11 @@
 """Word similarity of many terms against long texts by a sliding-window count filter.
 
 A run of a text with d distinct trigrams that shares x of a term's n scores x / (n + d - x). The text is cut into blocks of
-``BLOCK`` trigram places. For every rung u of a ladder of sizes, all runs with u <= d < 1.25 u that start in a block lie inside one window:
-the places from the block's start until 1.25 u + BLOCK distinct trigrams are reached. The window's trigrams, counted against all terms
-at once (one small matrix product), give x at most, so c / (n + u - c) bounds these runs. Only blocks whose bound reaches a
-term's floor are scored exactly. The bound never falls below a score, so nothing is lost.
+``BLOCK`` trigram places. For every rung u of a ladder of sizes, all runs with u <= d < 1.05 u that start in a block lie inside one window:
+the places from the block's start until 1.05 u + BLOCK distinct trigrams are reached. The window's trigrams, counted against a
+term, give x at most, so c / (n + u - c) bounds these runs. Two steps: windows of ``WIDE`` blocks and ``RUNGS`` rungs at once are counted
+for all terms as one matrix product; single blocks and rungs only where that count reaches the term's floor, as bits. Only blocks whose
+bound reaches the floor are scored exactly. The bound never falls below a score, so nothing is lost.
 """
 
 from __future__ import annotations
@@ -16,6 +17,9 @@ import numpy as np
 from .trigram import previous_places
 
 BLOCK, RATIO = 8, 1.05
+WIDE, RUNGS = 2, 2  # blocks and rungs that are counted together first
+SCORED = 4  # neighbouring blocks whose runs are scored together
+WINDOWS, TRIPLES = 1 << 12, 1 << 16  # windows in one matrix product, (block, rung, term) counted as bits at once
 LADDER = np.unique(np.floor(RATIO ** np.arange(0, 600)).astype(np.int64))
 
 
@@ -55,20 +59,42 @@ class Text:
         self.n = len(codes)
         self.starts = np.arange(0, self.n, BLOCK)
 
-    def window_ends(self, sizes: np.ndarray) -> np.ndarray:
-        """For every block start and size: the first place at which more than that many distinct trigrams are reached."""
-        out = np.empty((len(self.starts), len(sizes)), np.int64)
-        for b, s in enumerate(self.starts.tolist()):
-            reach = 2 * int(sizes[-1]) + BLOCK
+    def window_ends(self, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """For every start and size: the first place at which more than that many distinct trigrams are reached."""
+        out = np.empty((len(starts), len(sizes)), np.int64)
+        reach = 2 * int(sizes[-1]) + BLOCK
+        for b, s in enumerate(starts.tolist()):
             while True:
-                seen = np.cumsum(self.prev[s:s + reach] < s)
-                if s + reach >= self.n or seen[-1] > sizes[-1]:
+                new = np.flatnonzero(self.prev[s:s + reach] < s)
+                if s + reach >= self.n or len(new) > sizes[-1]:
                     break
                 reach *= 2
-            out[b] = s + np.searchsorted(seen, sizes, side="right")
+            some = int(np.searchsorted(sizes, len(new)))
+            out[b, :some], out[b, some:] = s + new[sizes[:some]], self.n
         return out
 
 
+def union_spans(present: np.ndarray, longest: int) -> list[np.ndarray]:
+    """spans[m][b]: what blocks b .. b + 2**m - 1 hold, for all that windows of ``longest`` blocks need."""
+    spans = [present]
+    while 2 ** len(spans) <= min(longest, len(present)):
+        last, step = spans[-1], 2 ** (len(spans) - 1)
+        joined = last.copy()
+        joined[:-step] |= last[step:]
+        spans.append(joined)
+    return spans
+
+
+def window_union(spans: list[np.ndarray], first: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """What the blocks first .. stop - 1 hold, a row for each window."""
+    level = np.log2(np.maximum(stop - first, 1)).astype(np.int64)
+    out = np.empty((len(first), spans[0].shape[1]), spans[0].dtype)
+    for m in np.unique(level).tolist():
+        at = np.flatnonzero(level == m)
+        out[at] = spans[m][first[at]] | spans[m][stop[at] - 2 ** m]
+    return out
+
+
 class TermBlock:
     """Some terms: their trigram sets as a 0/1 matrix over their joint vocabulary."""
 
@@ -86,71 +112,153 @@ class TermBlock:
         number = np.where(known, np.cumsum(known) - 1, -1)
         return at[known], number[text.inverse]
 
-    def bounds(self, text: Text, rows: np.ndarray, place: np.ndarray, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For every block and term: the upper bound (0 where it is below the term's floor) and where the last window that may hold such a run ends."""
-        out = np.zeros((len(text.starts), len(self.sizes)), np.float32)
-        until = np.zeros(out.shape, np.int32)
+    def windows(self, text: Text, floors: np.ndarray) -> Windows | None:
+        """The text against the terms that share enough of their trigrams with it, with the rungs on which some can reach its floor."""
+        rows, place = self.rows_of(text)
         has = self.has[rows]
-        low, high = floors * self.sizes, self.sizes / floors
-        ladder = [(int(u), int(v)) for u, v in zip(LADDER[:-1], LADDER[1:], strict=True) if (v >= low).any() and (u <= high).any() and u <= len(text.distinct)]
-        if not len(rows) or not ladder:
-            return out, until
-        # a rung's columns: the terms that runs of its sizes can reach, given all their trigrams that the text has
-        held = has.sum(axis=0)
-        ends = text.window_ends(np.array([v + BLOCK for _, v in ladder]))
-        present = np.zeros((len(text.starts), len(rows)), bool)
+        cols = np.flatnonzero(has.sum(axis=0) >= floors * self.sizes - 1e-3)
+        sizes, floors = self.sizes[cols], floors[cols]
+        ladder = np.stack([LADDER[:-1], LADDER[1:]], axis=1)
+        ladder = ladder[(ladder[:, 1] >= (floors * sizes).min(initial=np.inf)) & (ladder[:, 0] <= min((sizes / floors).max(initial=0), len(text.distinct)))]
+        return Windows(text, ladder, place, cols, has[:, cols], sizes, floors) if len(rows) and len(ladder) else None
+
+
+class Windows:
+    """The two counts of one text against some terms."""
+
+    def __init__(self, text: Text, ladder: np.ndarray, place: np.ndarray, terms: np.ndarray, has: np.ndarray, sizes: np.ndarray, floors: np.ndarray):
+        self.text, self.ladder, self.place, self.terms, self.has, self.sizes, self.floors = text, ladder, place, terms, has, sizes, floors
+        self.present = np.zeros((len(text.starts), len(has)), bool)
         here = np.flatnonzero(place >= 0)
-        present[here // BLOCK, place[here]] = True
-        spans = [present]  # spans[m][b]: blocks b .. b + 2**m - 1
-        while 2 ** len(spans) <= len(present):
-            last, step = spans[-1], 2 ** (len(spans) - 1)
-            joined = last.copy()
-            joined[:-step] |= last[step:]
-            spans.append(joined)
-        for k, (u, v) in enumerate(ladder):
-            most = np.minimum(held, v)
-            cols = np.flatnonzero((v >= low) & (u <= high) & (most / (self.sizes + np.maximum(u - most, 0)) >= floors - 1e-6))
-            if not len(cols):
-                continue
-            stop = np.minimum((ends[:, k] + BLOCK - 1) // BLOCK, len(present))  # past the last block of the window
-            level = np.log2(np.maximum(stop - np.arange(len(present)), 1)).astype(np.int64)
-            inside = np.empty(present.shape, np.float32)
-            for m in np.unique(level).tolist():
-                b = np.flatnonzero(level == m)
-                inside[b] = spans[m][b] | spans[m][stop[b] - 2 ** m]
-            count = inside @ has[:, cols]
-            bound = count / (self.sizes[cols] + np.maximum(u - count, 0))
-            b, j = np.nonzero(bound >= floors[cols] - 1e-6)
-            until[b, cols[j]] = ends[b, k]  # the ladder rises: the last one is the longest
-            out[b, cols[j]] = np.maximum(out[b, cols[j]], bound[b, j])
-        return out, until
-
-
-def best_in_block(text: Text, is_a: np.ndarray, n_a: int, block: int, end: int) -> float:
-    """The best score of the runs that start in the block and end before ``end``."""
-    s = int(text.starts[block])
-    hits = s + np.flatnonzero(is_a[s:s + BLOCK])
+        self.present[here // BLOCK, place[here]] = True
+        first = np.arange(0, len(ladder), RUNGS)
+        self.low, self.high = ladder[first, 0], ladder[np.minimum(first + RUNGS, len(ladder)) - 1, 1]  # sizes of a group of rungs: low <= d < high
+        # the least count by which a run of the group can reach the floor
+        self.least = least_count(sizes, floors, self.low[:, None]).astype(np.float32)
+        self.least[(self.high[:, None] < floors * sizes) | (self.low[:, None] > sizes / floors)] = np.inf
+
+    def wide(self):
+        """(groups, wide blocks, ends, counts) in parts: one row for each window of ``WIDE`` blocks and one group of rungs."""
+        starts = np.arange(0, len(self.present), WIDE)
+        ends = self.text.window_ends(self.text.starts[starts], self.high + WIDE * BLOCK)
+        stop = -(-ends // (WIDE * BLOCK))  # past the last wide block of the window
+        spans = union_spans(np.logical_or.reduceat(self.present, starts, axis=0), int((stop - np.arange(len(starts))[:, None]).max()))
+        total = stop.size
+        for a in range(0, total, WINDOWS):
+            group, block = np.divmod(np.arange(a, min(a + WINDOWS, total)), len(starts))
+            yield group, block, ends[block, group], window_union(spans, block, stop[block, group]).astype(np.float32) @ self.has
+
+    def bounds(self) -> tuple[np.ndarray, ...]:
+        """Runs of neighbouring blocks whose bound reaches the term's floor, by term: (term, first block, bound, where the last window
+        that may hold such a run ends)."""
+        found = [np.zeros((3, 0), np.int64)]
+        for group, block, _, count in self.wide():
+            w, j = np.divmod(np.flatnonzero(count >= self.least[group]), len(self.sizes))
+            found.append(np.stack([group[w], block[w], j]))
+        group, block, term = np.concatenate(found, axis=1)
+        kept = [np.zeros((4, 0))]
+        if len(group):
+            blocks = len(self.present)
+            fine = (np.unique(block)[:, None] * WIDE + np.arange(WIDE)).reshape(-1)
+            fine = fine[fine < blocks]
+            number = np.full(blocks + WIDE, -1)
+            number[fine] = np.arange(len(fine))
+            ends = self.text.window_ends(self.text.starts[fine], self.ladder[:, 1] + BLOCK)
+            stop = -(-ends // BLOCK)
+            spans = union_spans(bits(self.present), int((stop - fine[:, None]).max()))
+            term_bits = bits(self.has.T > 0)
+            step = max(1, TRIPLES // (WIDE * RUNGS))
+            parts = np.repeat(np.arange(RUNGS), WIDE), np.tile(np.arange(WIDE), RUNGS)
+            for a in range(0, len(group), step):
+                k = (group[a:a + step, None] * RUNGS + parts[0]).reshape(-1)
+                at = number[(block[a:a + step, None] * WIDE + parts[1]).reshape(-1)]
+                j = np.repeat(term[a:a + step], WIDE * RUNGS)
+                some = (k < len(self.ladder)) & (at >= 0)
+                k, at, j = k[some], at[some], j[some]
+                u, end = self.ladder[k, 0], ends[at, k]
+                inside = window_union(spans, fine[at], stop[at, k])
+                inside &= term_bits[j]
+                count = np.bitwise_count(inside).sum(axis=1, dtype=np.int64)
+                bound = count / (self.sizes[j] + np.maximum(u - count, 0))
+                some = bound >= self.floors[j] - 1e-6
+                kept.append(np.stack([j[some], fine[at[some]] // SCORED, bound[some], end[some]]))
+        term, block, bound, end = np.concatenate(kept, axis=1)
+        order = np.lexsort((block, term))
+        term, block, bound, end = term[order].astype(np.int64), block[order].astype(np.int64) * SCORED, bound[order], end[order].astype(np.int64)
+        first = np.flatnonzero(np.append(True, (np.diff(term) != 0) | (np.diff(block) != 0))) if len(term) else term
+        if not len(term):
+            return term, block, bound, end
+        return term[first], block[first], np.maximum.reduceat(bound, first), np.maximum.reduceat(end, first)
+
+    def is_term(self, j: int) -> np.ndarray:
+        """Which places of the text hold a trigram of the term."""
+        return (self.place >= 0) & (self.has[:, j][self.place] > 0)
+
+    def best_guess(self) -> tuple[np.ndarray, ...]:
+        """For every term the wide window with the highest bound: (first block, bound, end)."""
+        at, best, until = np.zeros(len(self.sizes), np.int64), np.zeros(len(self.sizes)), np.zeros(len(self.sizes), np.int64)
+        column = np.arange(len(self.sizes))
+        for group, block, end, count in self.wide():
+            bound = count / (self.sizes + np.maximum(self.low[group][:, None] - count, 0))
+            w = bound.argmax(axis=0)
+            more = bound[w, column] > best
+            at[more], best[more], until[more] = block[w[more]] * WIDE, bound[w, column][more], end[w[more]]
+        return at, best, until
+
+
+def least_count(n: np.ndarray, floor: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """The least c whose bound c / (n + max(u - c, 0)) reaches the floor."""
+    return np.where(u >= floor * n, floor * (n + u) / (1 + floor), floor * n) - 1e-3
+
+
+def bits(rows: np.ndarray) -> np.ndarray:
+    """Boolean rows as 64-bit words."""
+    packed = np.packbits(rows, axis=1)
+    return np.ascontiguousarray(np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8)))).view(np.uint64)
+
+
+def best_in_blocks(text: Text, is_a: np.ndarray, n_a: int, block: int, blocks: int, end: int) -> float:
+    """The best score of the runs that start in ``blocks`` blocks from ``block`` and end before ``end``."""
+    s, size = int(text.starts[block]), blocks * BLOCK
+    hits = s + np.flatnonzero(is_a[s:min(s + size, end)])
     if not len(hits):
         return 0.0
-    new = text.prev[s:end] < hits[:, None]
-    new[:, :BLOCK] &= np.arange(s, min(end, s + BLOCK)) >= hits[:, None]
+    prev = text.prev[s:end]
+    places = np.flatnonzero(prev < s + size)  # no other place is the first of its trigram in any of these runs
+    new = prev[places] < hits[:, None]
+    places += s
+    new[:, :size] &= places[:size] >= hits[:, None]
     total = np.cumsum(new, axis=1, dtype=np.int32)
-    shared = np.cumsum(new & is_a[s:end], axis=1, dtype=np.int32)
+    shared = np.cumsum(new & is_a[places], axis=1, dtype=np.int32)
     return float((shared / (n_a + total - shared)).max())
 
 
 def scores_of(text: Text, terms: TermBlock, floors: np.ndarray) -> dict[int, float]:
     """term -> the text's word similarity, for the terms whose floor (> 0) it reaches."""
-    rows, place = terms.rows_of(text)
-    bounds, until = terms.bounds(text, rows, place, floors)
-    out = {}
-    for j in np.flatnonzero(bounds.any(axis=0)).tolist():
-        is_a = (place >= 0) & (terms.has[rows, j][place] > 0)
-        best, floor = 0.0, float(floors[j])
-        for b in np.argsort(-bounds[:, j], kind="stable").tolist():
-            if bounds[b, j] <= 0 or bounds[b, j] < max(best, floor) - 1e-6:
+    windows, out = terms.windows(text, floors), {}
+    if windows is None:
+        return out
+    term, block, bound, end = windows.bounds()
+    for j in np.unique(term).tolist():
+        s, e = np.searchsorted(term, [j, j + 1]).tolist()
+        is_a, best, floor = windows.is_term(j), 0.0, float(windows.floors[j])
+        for b in (s + np.argsort(-bound[s:e], kind="stable")).tolist():
+            if bound[b] < max(best, floor) - 1e-6:
                 break
-            best = max(best, best_in_block(text, is_a, int(terms.sizes[j]), b, int(until[b, j])))
+            best = max(best, best_in_blocks(text, is_a, int(windows.sizes[j]), int(block[b]), SCORED, int(end[b])))
         if best >= floor:
-            out[j] = best
+            out[int(windows.terms[j])] = best
+    return out
+
+
+def guesses_of(text: Text, terms: TermBlock, floors: np.ndarray) -> dict[int, float]:
+    """term -> a score of one run of the text (so no more than its word similarity), where that reaches the floor (> 0)."""
+    windows, out = terms.windows(text, floors), {}
+    if windows is None:
+        return out
+    block, bound, end = windows.best_guess()
+    for j in np.flatnonzero(bound >= windows.floors - 1e-6).tolist():
+        score = best_in_blocks(text, windows.is_term(j), int(windows.sizes[j]), int(block[j]), WIDE, int(end[j]))
+        if score >= windows.floors[j]:
+            out[int(windows.terms[j])] = score
     return out

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from ..functions.text import score_text
-from ..functions.text_windows import Text, TermBlock, scores_of, trigram_places
+from ..functions.text_windows import Text, TermBlock, guesses_of, scores_of, trigram_places
 from ..functions.trigram import add_run_similarity, similarity_from_counts, trigram_codes, with_trigram_codes
 from ..session import cut_lineage, fits, fresh_shared_path, spread_small, stored, task_slots
 
@@ -210,10 +210,11 @@ SCOUT_SHARE, SCOUT_ROWS = 0.05, 20_000  # texts that set the first floors
 CHUNK_PLACES = 1_000_000  # trigram places of the texts a task holds at once
 
 
-def _long_text_scorer(term_blocks, min_pct: float, k: int):
+def _long_text_scorer(term_blocks, min_pct: float, k: int, guess: bool = False):
     """Task function: (item_index, id, name, raw_score) rows that hold each term's top k of the task, ties included.
 
-    ``term_blocks()`` yields lists of (item_index, term, floor). A term's floor rises to the k-th best score met so far."""
+    ``term_blocks()`` yields lists of (item_index, term, floor). A term's floor rises to the k-th best score met so far.
+    With ``guess`` the k-th best score of one run of each text, which is no more than the k-th best score, raises the floors before."""
     import numpy as np
     import pandas as pd
 
@@ -224,13 +225,15 @@ def _long_text_scorer(term_blocks, min_pct: float, k: int):
         for n, terms in enumerate(term_blocks()):
             sets = [np.unique(trigram_places(t)) for _, t, _ in terms]
             block = TermBlock(sets)
-            mine, tops = floors.setdefault(n, np.array([max(low, f) for *_, f in terms])), [[] for _ in terms]
-            for id_, name, text in texts:
-                for j, score in scores_of(text, block, mine).items():
-                    tops[j].append((score, id_, name))
-                    if len(tops[j]) >= k:
-                        mine[j] = max(mine[j], sorted((s for s, _, _ in tops[j]), reverse=True)[k - 1])
-                        tops[j] = [r for r in tops[j] if r[0] >= mine[j]]
+            mine = floors.setdefault(n, np.array([max(low, f) for *_, f in terms]))
+            for score in (guesses_of, scores_of) if guess else (scores_of,):
+                tops = [[] for _ in terms]
+                for id_, name, text in texts:
+                    for j, best in score(text, block, mine).items():
+                        tops[j].append((best, id_, name))
+                        if len(tops[j]) >= k:
+                            mine[j] = max(mine[j], sorted((s for s, _, _ in tops[j]), reverse=True)[k - 1])
+                            tops[j] = [r for r in tops[j] if r[0] >= mine[j]]
             yield pd.DataFrame([(i, id_, name, s * 100.0) for (i, *_), top in zip(terms, tops, strict=True) for s, id_, name in top], columns=columns)
 
     def run(batches):
@@ -283,15 +286,15 @@ def search_long_texts(entity: DataFrame, id_col: str, text_col: str, items: Data
     kind = entity.schema[id_col].dataType
     rows = entity.select(F.col(id_col).cast("string").alias("id"), F.col(id_col).cast("string").alias("name"), F.col(text_col).alias("text"))
 
-    def search(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    def search(texts: DataFrame, terms: DataFrame, guess: bool = False) -> DataFrame:
         source = _held_terms([tuple(r) for r in terms.collect()]) if small else _stored_terms(terms)
-        return spread_small(texts, "id").mapInPandas(_long_text_scorer(source, float(min_pct), int(k)), "item_index long, id string, name string, raw_score double")
+        return spread_small(texts, "id").mapInPandas(_long_text_scorer(source, float(min_pct), int(k), guess), "item_index long, id string, name string, raw_score double")
 
     # a few texts give every term a first floor: the k-th best of some texts is never above the k-th best of all
     share = min(SCOUT_SHARE, SCOUT_ROWS / max(rows.count(), 1))
     scouts = rows.where(F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     best = Window.partitionBy("item_index").orderBy(F.col("raw_score").desc())
-    floors = (search(scouts, terms.withColumn("floor", F.lit(0.0))).withColumn("r", F.row_number().over(best)).where(F.col("r") == int(k))
+    floors = (search(scouts, terms.withColumn("floor", F.lit(0.0)), guess=True).withColumn("r", F.row_number().over(best)).where(F.col("r") == int(k))
               .select("item_index", (F.col("raw_score") / 100.0 - 1e-12).alias("floor")))
     scored = search(rows, terms.join(floors, "item_index", "left").select("item_index", "term", F.coalesce("floor", F.lit(0.0)).alias("floor")))
     scored = scored.where(F.col("raw_score") > F.lit(float(min_pct))).withColumn("id", F.col("id").cast(kind))

@@ -183,3 +183,27 @@ def test_floors_keep_every_best_row(spark):
                 scores.append(max(len(a & b) / len(a | b), best_extent_similarity(a, py_trigram_list(n, True))))
         want = sorted((round(s * 100, 4) for s in scores if s * 100 > 20.0), reverse=True)[:3]
         assert [r.score for r in sorted(got, key=lambda r: r["rank"]) if r.item_index == item] == want
+
+
+def test_coarse_windows_come_first_and_guesses_stay_below_scores():
+    import random
+
+    import numpy as np
+
+    from sparkdesk.functions import text_windows as tw
+
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("abcdefg") for _ in range(rnd.randint(1, 7))) for _ in range(200)]
+    terms = [" ".join(rnd.choices(words, k=rnd.choice([3, 10, 30]))) for _ in range(20)]
+    block = tw.TermBlock([np.unique(tw.trigram_places(t)) for t in terms])
+    for text in ([" ".join(rnd.choices(words, k=n)) for n in (3, 40, 700)] + [terms[2] + " x " + terms[7]]):
+        part = tw.Text(tw.trigram_places(text))
+        for floor in (0.2, 0.5, 0.9):
+            floors = np.full(len(terms), floor)
+            exact, guess = tw.scores_of(part, block, floors), tw.guesses_of(part, block, floors)
+            assert all(floor <= s <= exact[j] for j, s in guess.items())
+            windows = block.windows(part, floors)
+            if windows is not None:  # windows in the matrix products: a quarter of the blocks times the rungs
+                assert sum(len(group) for group, *_ in windows.wide()) <= (len(part.starts) // 2 + 1) * (len(windows.ladder) // 2 + 1)
+                # the single blocks counted are those that the coarse count left; none above a floor is missed
+                assert set(exact) <= set(windows.terms[windows.bounds()[0]].tolist())
