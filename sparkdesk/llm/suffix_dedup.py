@@ -15,8 +15,10 @@ A byte goes when a string of ``length`` bytes (default 400) over it also starts
    for each byte. So one pass in text order streams the matching statistics of every position against
    all others, and starts with 400 or more are repeated.
 4. Anchors with more than ``max_contexts`` different contexts (a passage that very many documents
-   share, at its edges) would overfill a bucket. Their windows are counted by hash instead, combined
-   before the shuffle, so that no group has to meet in one task.
+   share, at its edges) would overfill a bucket. Their windows are halved by their distance from the anchor,
+   again and again. The windows of one cell all hold the cell's *core*, so only cells with equal cores have to meet: the
+   core is the new anchor, what the cell's windows cover the new context. A cell seen twice is repeated whole, a
+   core with one cell is done, and few cells of one core go to the index. At one window a cell is its core.
 
 Defined results: null and empty texts have 0 bytes; texts under 400 bytes lose nothing; a repeated row is
 another place where its strings start; null ids take part. Texts of any size are read in pieces of 2**20 bytes.
@@ -24,6 +26,7 @@ another place where its strings start; null ids take part. Texts of any size are
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,7 +57,7 @@ class Anchors:
         self.undo = np.cumprod(np.full(n, np.uint64(inverse))) * BASE
 
     def __call__(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Anchor hash, first and last window start of each context (data has at least `length` bytes)."""
+        """Anchor hash, first and last window start and place of the anchor of each context (data has at least `length` bytes)."""
         n, w = len(data), self.width
         if n > len(self.power):
             self.grow(1 << n.bit_length())
@@ -73,18 +76,18 @@ class Anchors:
         starts = n - self.length + 1
         at = (np.minimum(back[:starts], ahead[w - 1:w - 1 + starts]) & low).astype(np.int64)
         first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-        return h[at[first]], first, np.append(first[1:] - 1, starts - 1)
+        return h[at[first]], first, np.append(first[1:] - 1, starts - 1), at[first]
 
 
 def text_bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
 
 
-CONTEXT = "id long, th long, anchor long, ctx long, first long, last long"
+CONTEXT = "id long, th long, anchor long, ctx long, first long, last long, lead int"
 
 
 def contexts(docs: DataFrame, length: int) -> DataFrame:
-    """id, th, anchor, ctx, first, last: every context of every text."""
+    """id, th, anchor, ctx, first, last, lead (bytes from the first window start to the anchor): every context of every text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -96,13 +99,13 @@ def contexts(docs: DataFrame, length: int) -> DataFrame:
                 data = text_bytes(text)
                 for s, e in pieces(max(0, len(data) - length + 1), PIECE):
                     part = data[s:e + length - 1]
-                    h, first, last = anchors(part)
+                    h, first, last, at = anchors(part)
                     raw = memoryview(part)
                     ctx = np.array([xxhash.xxh3_64_intdigest(raw[a:b + length]) for a, b in zip(first.tolist(), last.tolist(), strict=True)], np.uint64)
-                    out.append((np.full(len(h), i), np.full(len(h), th), h.view(np.int64), ctx.view(np.int64), first + s, last + s))
+                    out.append((np.full(len(h), i), np.full(len(h), th), h.view(np.int64), ctx.view(np.int64), first + s, last + s, (at - first).astype(np.int32)))
             if out:
                 columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-                yield pd.DataFrame(dict(zip(("id", "th", "anchor", "ctx", "first", "last"), columns, strict=True)))
+                yield pd.DataFrame(dict(zip(("id", "th", "anchor", "ctx", "first", "last", "lead"), columns, strict=True)))
 
     return docs.where(F.octet_length("text") >= length).mapInPandas(run, CONTEXT)
 
@@ -188,40 +191,60 @@ def index_bucket(pdf: pd.DataFrame, length: int) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["id", "th", "begin", "end"], dtype="int64")
 
 
-def crowded_windows(edges: DataFrame, length: int) -> DataFrame:
-    """Repeated windows of the contexts of crowded anchors, counted by hash."""
+CELL = CONTEXT + ", n long, data binary"
 
-    def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def cells(edges: DataFrame, size: int, length: int) -> DataFrame:
+    """The contexts cut at multiples of ``size`` in the distance from window start to anchor. Halving makes two rows of one at most."""
+    names = [c.split()[0] for c in CELL.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
         for pdf in batches:
-            for i, th, data, first, last, n in zip(*(pdf[c] for c in ("id", "th", "data", "first", "last", "n")), strict=True):
-                raw = memoryview(bytes(data))
-                h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(raw[k:k + length]) for k in range(last - first + 1)), np.int64).reshape(-1, 2)
-                yield pd.DataFrame({"w1": h[:, 0], "w2": h[:, 1], "id": i, "th": th, "start": np.arange(first, last + 1), "n": n})
+            out = []
+            for i, th, anchor, first, last, lead, n, data in zip(*(pdf[c].tolist() for c in ("id", "th", "anchor", "first", "last", "lead", "n", "data")), strict=True):
+                raw, low = memoryview(data), lead - (last - first)
+                for c in range(low // size, lead // size + 1):
+                    near, far = max(low, c * size), min(lead, (c + 1) * size - 1)
+                    begin, end = lead - far, lead - near  # window starts, from the context's first one
+                    core = raw[lead - c * size:lead - (c + 1) * size + 1 + length]
+                    mine = raw[begin:end + length]
+                    key = xxhash.xxh3_64_intdigest(core, seed=(anchor * 256 + c) & ((1 << 64) - 1))
+                    out.append((i, th, key, xxhash.xxh3_64_intdigest(mine), first + begin, first + end, far, n, bytes(mine)))
+            if out:
+                made = pd.DataFrame(out, columns=names)
+                yield made.assign(anchor=made["anchor"].astype("uint64").to_numpy().view(np.int64), ctx=made["ctx"].astype("uint64").to_numpy().view(np.int64))
+
+    return edges.mapInPandas(run, CELL)
 
-    def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame([(i, th, a, b) for i, th, starts in zip(pdf["id"], pdf["th"], pdf["starts"], strict=True)
-                                for a, b in ranges(np.sort(np.asarray(starts)), length)], columns=["id", "th", "begin", "end"], dtype="int64")
 
-    w = written(edges.mapInPandas(hashes, "w1 long, w2 long, id long, th long, start long, n long"), "suffix-windows")
-    # two places of one document hash alike only if they are two contexts, so a count of rows is right
-    many = w.groupBy("w1", "w2").agg(F.sum("n").alias("k")).where("k > 1").select("w1", "w2")
-    starts = w.where("n = 1").join(many, ["w1", "w2"]).groupBy("id", "th").agg(F.collect_set("start").alias("starts"))
-    return starts.mapInPandas(joined, SPAN)
+def refined(edges: DataFrame, length: int, max_contexts: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Contexts of crowded anchors: (repeated ranges, cells for the index)."""
+    size, spans, calm = 1 << (length - GRAM).bit_length(), [], []
+    while size > 1 and not edges.isEmpty():
+        size //= 2
+        part = written(cells(edges, size, length), "suffix-cells")
+        kinds = written(part.groupBy("anchor", "ctx").agg(F.sum("n").alias("n"), F.min(F.struct("id", "th", "first", "last", "lead", "data")).alias("at")), "suffix-kinds")
+        spans.append(part.where("n = 1").select("id", "th", "anchor", "ctx", "first", "last").join(kinds.where("n > 1").select("anchor", "ctx"), ["anchor", "ctx"])
+                     .select("id", "th", F.col("first").alias("begin"), (F.col("last") + length).alias("end")))
+        several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
+        met = kinds.join(several, "anchor").select("at.*", "anchor", "ctx", "n", "kinds")
+        calm.append(met.where(F.col("kinds") <= max_contexts).drop("kinds"))
+        edges = met.where(F.col("kinds") > max_contexts).drop("kinds")
+    return spans, calm
 
 
 def fetched(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The bytes of the wanted contexts, cut out of their documents."""
-    per = wanted.groupBy("id", "th").agg(F.collect_list(F.struct("anchor", "ctx", "first", "last", "n", "crowded")).alias("wanted"))
+    per = wanted.groupBy("id", "th").agg(F.collect_list(F.struct("anchor", "ctx", "first", "last", "lead", "n", "crowded")).alias("wanted"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for i, th, text, wanted_ in zip(pdf["id"], pdf["th"], pdf["text"], pdf["wanted"], strict=True):
                 data = text.encode("utf-8", "surrogatepass")
-                yield pd.DataFrame([(i, th, w["anchor"], w["ctx"], w["first"], w["last"], w["n"], w["crowded"], data[w["first"]:w["last"] + length])
-                                    for w in wanted_], columns=["id", "th", "anchor", "ctx", "first", "last", "n", "crowded", "data"])
+                yield pd.DataFrame([(i, th, w["anchor"], w["ctx"], w["first"], w["last"], w["lead"], w["n"], w["crowded"], data[w["first"]:w["last"] + length])
+                                    for w in wanted_], columns=["id", "th", "anchor", "ctx", "first", "last", "lead", "n", "crowded", "data"])
 
     rows = docs.where(F.octet_length("text") >= length).join(per, ["id", "th"])
     return rows.mapInPandas(cut, CONTEXT + ", n long, crowded boolean, data binary")
@@ -234,19 +257,20 @@ def repeated_ranges(docs: DataFrame, length: int, max_contexts: int) -> DataFram
                   .where("total > 1").select("anchor", "several"))
     repeated = written(all_.join(per_anchor, "anchor"), "suffix-repeated")
     seen = written(repeated.groupBy("anchor", "ctx", "several").agg(
-        F.count("*").alias("n"), F.min(F.struct("id", "th", "first", "last")).alias("at")), "suffix-anchors")
+        F.count("*").alias("n"), F.min(F.struct("id", "th", "first", "last", "lead")).alias("at")), "suffix-anchors")
     whole = repeated.join(seen.where("n > 1").select("anchor", "ctx"), ["anchor", "ctx"]).select(
         "id", "th", F.col("first").alias("begin"), (F.col("last") + length).alias("end"))
     edges = seen.where("several")
     kinds = edges.groupBy("anchor").agg(F.count("*").alias("kinds"))
     edges = edges.join(kinds, "anchor").select("at.*", "anchor", "ctx", "n", (F.col("kinds") > max_contexts).alias("crowded"))
     data = written(fetched(docs, edges, length), "suffix-edges")
-    calm = data.where("not crowded")
+    spans, refined_ = refined(data.where("crowded").drop("crowded"), length, max_contexts)
+    calm = functools.reduce(DataFrame.unionByName, refined_, data.where("not crowded").drop("crowded"))
     buckets = max(1, -(-calm.count() // CONTEXTS_PER_BUCKET))
     parts = max(docs.sparkSession.sparkContext.defaultParallelism, -(-buckets // 8))
     found = (calm.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets))).repartition(parts, "bucket")
              .groupBy("bucket").applyInPandas(lambda pdf: index_bucket(pdf, length), SPAN))
-    return whole.union(found).union(crowded_windows(data.where("crowded"), length))
+    return functools.reduce(DataFrame.union, spans, whole.union(found))
 
 
 def merged(spans) -> list[tuple[int, int]]:

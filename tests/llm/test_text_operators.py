@@ -128,6 +128,26 @@ def test_suffix_dedup_indexed_and_crowded(spark, crowd):
     assert suffix_dedup.remove_repeats(table(spark, rows).limit(0)).count() == 0
 
 
+def test_suffix_dedup_crowded_contexts_are_halved(spark):
+    """A passage cut off at many places: its contexts are halved until few of them meet, never one row for a byte."""
+    rnd = random.Random(9)
+    fill = lambda n: "".join(rnd.choice("abcdefghij ") for _ in range(n))
+    passage = fill(900)
+    rows = [(i, fill(rnd.randrange(30, 200)) + passage[rnd.randrange(0, 200):rnd.randrange(560, 900)] + fill(rnd.randrange(0, 300))) for i in range(60)]
+    rows += [(60, rows[3][1]), (61, passage), (62, passage[:400]), (63, passage[250:649]), (64, None)]
+    want = brute_spans(rows, 400)
+    for crowd in (1, 4):
+        out = suffix_dedup.remove_repeats(table(spark, rows), max_contexts=crowd).collect()
+        assert sorted(((r["doc_id"], r["n_bytes"], len(r["spans"]), bytes(r["kept"])) for r in out), key=str) == want
+    edge = [(i, 1, 7, 8, 1000, 1240, 240, 1, bytearray(rnd.randbytes(640))) for i in range(20)]
+    part = spark.createDataFrame(edge, suffix_dedup.CELL)
+    for size in (128, 64, 32, 16, 8, 4, 2, 1):
+        before, part = part.count(), spark.createDataFrame(suffix_dedup.cells(part, size, 400).collect(), suffix_dedup.CELL)
+        assert part.count() <= 2 * before
+    assert part.count() == 20 * 241  # at the end every window, once
+    assert {(r["id"], r["first"]) for r in part.collect()} == {(i, s) for i in range(20) for s in range(1000, 1241)}
+
+
 def test_run_index_keeps_few_runs_and_right_statistics():
     base = bytes(random.Random(4).choices(b"abcd", k=300))
     strings = [base] * 6 + [base[:100] + b"z" + base[101:]]
