@@ -29,9 +29,10 @@ def word_points() -> np.ndarray:
     import regex
 
     table = np.zeros(0x110000, bool)
-    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    found = regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, points)))
-    table[np.frombuffer("".join(found).encode("utf-32-le"), np.uint32)] = True
+    word = regex.compile(r"[\p{L}\p{N}]+")
+    for start in range(0, len(table), 1 << 12):  # a little at a time: every worker makes the table
+        points = "".join(chr(c) for c in range(start, start + (1 << 12)) if not 0xD800 <= c < 0xE000)
+        table[np.frombuffer("".join(word.findall(points)).encode("utf-32-le"), np.uint32)] = True
     return table
 
 

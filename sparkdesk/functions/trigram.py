@@ -210,7 +210,7 @@ def py_trigram_code_list(text, fold_upper: bool = False) -> list:
     return [_code(g) for g in py_trigram_list(text, fold_upper)]
 
 
-PART_CHARS = 1 << 20  # characters of text whose codes a task holds at once
+PART_CHARS = 1 << 18  # characters of text whose codes a task holds at once
 SHORT = 100
 
 
@@ -224,6 +224,8 @@ def with_trigram_codes(df: DataFrame, specs: list, fold_upper: bool = False) ->
 
     def run(batches):
         import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
         from .text_windows import trigram_places
 
@@ -235,14 +237,17 @@ def with_trigram_codes(df: DataFrame, specs: list, fold_upper: bool = False) ->
             places = trigram_places(text)
             return places if ordered else np.unique(places)
 
-        for pdf in batches:
-            size = sum(pdf[c].str.len().fillna(0).to_numpy("int64") for c, *_ in specs)
-            # a batch of long texts is handed back in parts, as its codes take eight bytes a character
-            part = (size.cumsum() // PART_CHARS) if len(pdf) else size
-            for _, some in pdf.groupby(part, sort=False):
-                yield some.assign(**{o: [codes(x, ordered) for x in some[c]] for c, o, ordered in specs})
-
-    return df.mapInPandas(run, schema)
+        for batch in batches:
+            size = sum(pc.fill_null(pc.utf8_length(batch.column(c)), 0).to_numpy(zero_copy_only=False).astype("int64") for c, *_ in specs)
+            # a batch of long texts is taken in parts: Python holds the texts of one part, and their codes take eight bytes a character
+            part = size.cumsum() // PART_CHARS
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+            for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+                some = batch.slice(start, stop - start)
+                made = [pa.array([codes(x, ordered) for x in some.column(c).to_pylist()], pa.list_(pa.int64())) for c, _, ordered in specs]
+                yield pa.RecordBatch.from_arrays([*some.columns, *made], names=schema.names)
+
+    return df.mapInArrow(run, schema)
 
 
 def previous_places(codes):
