@@ -97,6 +97,37 @@ def test_query_matches_sql(spark, key):
     assert Counter(tuple(r) for r in queries.QUERIES[key](spark, SF001).select(*names).collect()) == want
 
 
+def test_suffix_dedup_query_on_planted_passages(spark, tmp_path):
+    """Passages of over 50 words that two documents share: the contract's 400 bytes decide, not the words."""
+    import hashlib
+
+    rng = np.random.default_rng(7)
+
+    def words(n, letters):
+        return " ".join("".join(rng.choice(list(letters), k)) for k in rng.integers(4, 9, n))
+
+    def passage(size):
+        """Over 50 words in exactly ``size`` bytes."""
+        text = words(55, "abcdefgh")
+        return (text + "é" + "z" * size).encode()[:size].decode()
+
+    rows, want = [], []
+    for k, size in enumerate((394, 399, 400, 401, 700)):
+        shared = passage(size)
+        assert len(shared.encode()) == size and len(shared.split()) > 50
+        for j in (0, 1):  # the neighbouring bytes differ, so that no match is longer than the passage
+            head, tail = words(40, "mnopq") + ":;"[j], "<>"[j] + words(40, "mnopq")
+            rows.append((10 * k + j, head + shared + tail))
+            kept, n = (head + tail, size) if size >= 400 else (rows[-1][1], 0)
+            want.append((10 * k + j, len(rows[-1][1].encode()), n, int(n > 0), hashlib.sha256(kept.encode()).hexdigest()))
+    rows += [(100 + k, words(150, "rstuv")) for k in range(10)]
+    want += [(i, len(t), 0, 0, hashlib.sha256(t.encode()).hexdigest()) for i, t in rows[-10:]]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.QUERIES["op7_suffix_dedup"](spark, str(tmp_path))
+    assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def brute_survivors(rows):
     """One row of every group of linked texts: the smallest non-null doc_id's."""
     rows = sorted(set(rows), key=repr)
