@@ -36,20 +36,24 @@ def word_points() -> np.ndarray:
     return table
 
 
+def word_trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The ordered trigram codes of lower-cased texts, one text after the other, and how many each text has."""
+    joined = "\n".join(["", "", *texts, ""])  # a line end is in no word
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = word_points().take(points)
+    points = np.where(inside, points, 32).astype(np.int64)
+    codes = np.where(inside[1:-1], points[:-2], 32)  # before a word there are two blanks
+    for later in (points[1:-1], points[2:]):
+        codes <<= 21
+        codes |= later
+    some = inside[1:-1] | inside[2:]  # a trigram ends in a word or right behind one
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return codes[some], np.diff(np.cumsum(some)[ends - 1], prepend=0)
+
+
 def trigram_places(text: str | None) -> np.ndarray:
     """The ordered trigram codes of a text (as ``py_trigram_code_list``)."""
-    points = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    inside = word_points()[points]
-    edge = np.diff(np.concatenate([[0], inside.astype(np.int8), [0]]))
-    first, size = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - np.flatnonzero(edge == 1)
-    if not len(first):
-        return np.zeros(0, np.int64)
-    padded = np.full(int((size + 3).sum()), 32, np.int64)  # two blanks, the word, one blank
-    begin = np.cumsum(size + 3) - size - 3
-    within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    padded[np.repeat(begin + 2, size) + within] = points[np.repeat(first, size) + within]
-    at = np.repeat(begin - (np.cumsum(size + 1) - size - 1), size + 1) + np.arange(int((size + 1).sum()))
-    return (padded[at] << 42) | (padded[at + 1] << 21) | padded[at + 2]
+    return word_trigrams([(text or "").lower()])[0]
 
 
 class Text:

@@ -111,13 +111,15 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
     # (one small file) is spread first; a large input keeps its scan partitions.
     ent = spread_small(ent, "id")
     slots = task_slots(ent.sparkSession)
+    t_frac = float(max(min_pct, 0.0)) / 100.0
+    if small and not use_word_similarity and t_frac > 0:
+        ent = _reaching_rows(ent, n_cols, it_sets, float(min_pct), int(k), fold_upper)
     # each row's trigram sets, computed once per row (never per candidate pair); the Python pass
     # costs far more than writing its result, and three steps below read it, so it is written
     # once to the shared checkpoint folder (a reliable checkpoint: lost executors re-read it)
     ent_sets = with_trigram_codes(ent, [(f"t{i}", f"b{i}", False) for i in range(n_cols)], fold_upper=fold_upper)
     if checkpoint_sets:
         ent_sets = cut_lineage(ent_sets)
-    t_frac = float(max(min_pct, 0.0)) / 100.0
     if not use_word_similarity and t_frac > 0:
         # Length bound (exact for plain similarity): s / (n_a + n_b - s) >= t with s <= n_a needs
         # n_b * t <= n_a. Rows too long for every term of the batch are dropped before exploding.
@@ -203,6 +205,24 @@ def similarity_search(entity: DataFrame, id_col: str, columns: list, items: Data
                       score_text(F.col("raw_score")).alias("similarity_percent"), "rank")
 
 
+def _reaching_rows(ent: DataFrame, n_cols: int, it_sets: DataFrame, min_pct: float, k: int, fold_upper: bool) -> DataFrame:
+    """The rows that reach the threshold for some term by plain similarity and, of the rows their task has met until then, are among the
+    term's k best (ties included): all that the search can return. Rows without an id match nothing, as in the join by id."""
+    import numpy as np
+
+    rows = it_sets.where(F.col("item_index").isNotNull() & (F.size("a_set") > 0)).select("a_set").collect()
+    sets = [np.array(r[0], np.int64) for r in rows]
+
+    def run(batches):
+        from ..functions.trigram_counts import Reaching, TermLists
+
+        reaching = Reaching(TermLists(sets), min_pct, max(k, 1))
+        for pdf in batches:
+            yield pdf.iloc[reaching.rows([pdf[f"t{i}"].tolist() for i in range(n_cols)], fold_upper)]
+
+    return ent.where(F.col("id").isNotNull()).mapInPandas(run, ent.schema)
+
+
 # Terms that every task holds; more are read by the tasks from a table in the shared folder, block by block.
 TERM_ROWS, TERM_CHARS = 10_000, 8_000_000
 BLOCK_TERMS = 256  # terms counted against a text at once

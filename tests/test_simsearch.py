@@ -207,3 +207,72 @@ def test_coarse_windows_come_first_and_guesses_stay_below_scores():
                 assert sum(len(group) for group, *_ in windows.wide()) <= (len(part.starts) // 2 + 1) * (len(windows.ladder) // 2 + 1)
                 # the single blocks counted are those that the coarse count left; none above a floor is missed
                 assert set(exact) <= set(windows.terms[windows.bounds()[0]].tolist())
+
+
+def _plain_scores(term, text):
+    from sparkdesk.functions.trigram import py_trigram_set
+
+    a, b = set(py_trigram_set(term)), set(py_trigram_set(text))
+    return 100.0 * len(a & b) / len(a | b) if a and b else 0.0
+
+
+def test_only_rows_that_can_be_returned_are_stored_for_the_joins(spark, monkeypatch):
+    """The sets of rows that no term reaches, or that are not among a task's k best, are neither stored nor joined."""
+    import random
+
+    from sparkdesk.operators import simsearch
+
+    rnd = random.Random(23)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 6))) for _ in range(60)]
+    terms = [(j, " ".join(rnd.choices(words, k=8))) for j in range(5)] + [(7, "!!"), (None, words[0])]
+    texts = [" ".join(rnd.choices(words, k=rnd.randint(1, 60))) for _ in range(1500)] + [t for _, t in terms[:2]] * 3 + [None, ""]
+    rows = [(i if i % 40 else None, t) for i, t in enumerate(texts)] + [(5, texts[9])]
+    stored = []
+    cut = simsearch.cut_lineage
+    monkeypatch.setattr(simsearch, "cut_lineage", lambda df: stored.append(df.count()) or cut(df))
+    entity = spark.createDataFrame(rows, "id long, text string").coalesce(1)
+    items = spark.createDataFrame(terms, "item_index int, term string")
+    found = similarity_search(entity, "id", ["text"], items, min_pct=30.0, k=3, use_word_similarity=False, fold_upper=False)
+    got = sorted((r.item_index, r["rank"], r.id, r.score) for r in found.collect())
+    want = []
+    for j, term in terms[:-2]:
+        best = sorted((-_plain_scores(term, t or ""), i) for i, t in rows if i is not None)
+        want += [(j, r + 1, i, round(-s, 4)) for r, (s, i) in enumerate([x for x in best if -x[0] > 30.0][:3])]
+    assert got == want and stored and stored[0] < len(rows) / 4
+
+
+@pytest.mark.parametrize("dense", [True, False])
+def test_counted_rows_hold_every_best_row(monkeypatch, dense):
+    import random
+
+    import numpy as np
+
+    from sparkdesk.functions import trigram_counts as tc
+    from sparkdesk.functions.trigram import py_trigram_codes
+
+    if not dense:
+        monkeypatch.setattr(tc, "DENSE", 0)
+    monkeypatch.setattr(tc, "GROUP_CHARS", 2000)
+    rnd = random.Random(29)
+    words = ["".join(rnd.choice("abcdefghé") for _ in range(rnd.randint(1, 6))) for _ in range(150)]
+    terms = [" ".join(rnd.choices(words, k=n)) for n in (1, 4, 9, 20, 20)]
+    lists = tc.TermLists([np.array(py_trigram_codes(t)) for t in terms])
+
+    def text(n):  # some texts are far longer than any term allows, some repeat few words over and over
+        return rnd.choice([" ", "-", "  "]).join(rnd.choices(words if n < 900 else words[:6], k=n))
+
+    firsts = [None, "", "--", terms[3], "x" * 5000, "ΑΣ ΑΣ", *(text(rnd.choice([2, 5, 30, 200, 900])) for _ in range(60)), " ".join(words * 40)]
+    seconds = [rnd.choice([None, "", terms[2], text(6), text(300)]) for _ in firsts]
+    reaching, seen, kept = tc.Reaching(lists, 20.0, 2), [], set()
+    for a in range(0, len(firsts), 13):
+        rows = reaching.rows([firsts[a:a + 13], seconds[a:a + 13]])
+        assert rows.tolist() == sorted(set(rows.tolist()))
+        kept |= {a + r for r in rows.tolist()}
+        seen += range(a, min(a + 13, len(firsts)))
+        for term in terms:
+            score = {i: max(_plain_scores(term, firsts[i] or ""), _plain_scores(term, seconds[i] or "")) for i in seen}
+            over = sorted((s for s in score.values() if s > 20.0), reverse=True)
+            assert {i for i, s in score.items() if over and s >= over[min(2, len(over)) - 1]} <= kept
+    for t in firsts:
+        codes, owner = tc.distinct_codes([(t or "").lower()])
+        assert sorted(py_trigram_codes(t)) == codes.tolist() and not owner.any()
