@@ -89,9 +89,7 @@ def dispatch_items(spark, sf_dir):
     """Items by extension over the staged CSV parts, workbooks and zip archives (rows only)."""
     paths = [staging.customer_csv(spark, sf_dir), staging.customer_workbooks(spark, sf_dir),
              staging.document_files(spark, sf_dir)]
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.{csv,xlsx,zip}").load(paths))
-    return filesrc.dispatch_items(files)
+    return filesrc.read_items(spark, paths, (".csv", ".xlsx", ".zip"))
 
 
 @query("base64_roundtrip", """

@@ -9,6 +9,7 @@ expanded per file inside tasks (``mapInPandas``).
 from __future__ import annotations
 
 import bz2
+import functools
 import gzip
 import io
 import os
@@ -248,42 +249,91 @@ def preview(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, "path string, kind string, entries array<string>")
 
 
+ITEM_SCHEMA = "path string, kind string, item_no int, item string"
+
+
+def _file_items(path: str, fh):
+    """The items of one file, one at a time, from its bytes as an open stream (a CSV is never held whole)."""
+    import csv
+    import json
+
+    from .tabular import parse_xlsx
+
+    ext = posixpath.splitext(path)[1].lower()
+    if ext == ".zip":
+        with zipfile.ZipFile(io.BytesIO(fh.read())) as zf:
+            for i, n in enumerate(zf.namelist()):
+                if not n.startswith(MAC_META + "/") and not n.endswith("/"):
+                    yield path, "zip", i, f"{path}/{n}"
+    elif ext == ".csv":
+        reader = csv.reader(io.TextIOWrapper(fh, encoding="utf-8", newline=""))
+        header = next(reader, [])
+        for i, r in enumerate(reader):
+            if r:
+                yield path, "csv", i, json.dumps(dict(zip(header, r)), ensure_ascii=False, separators=(",", ":"))
+    elif ext == ".xlsx":
+        for _, srows in parse_xlsx(fh.read())[:1]:
+            header = srows[0][1] if srows else []
+            for i, (_, cells) in enumerate(srows[1:]):
+                yield path, "excel", i, json.dumps(dict(zip(header, cells)), ensure_ascii=False, separators=(",", ":"))
+    else:
+        yield path, "file", 0, path
+
+
+def _item_frames(opened):
+    """Items of (path, stream) pairs, in frames of about PART_BYTES."""
+    columns, rows, held = ["path", "kind", "item_no", "item"], [], 0
+    for path, fh in opened:
+        for row in _file_items(path, fh):
+            rows.append(row)
+            held += len(row[3]) + 200
+            if held > PART_BYTES:
+                yield pd.DataFrame(rows, columns=columns)
+                rows, held = [], 0
+    yield pd.DataFrame(rows, columns=columns)
+
+
 def dispatch_items(files: DataFrame) -> DataFrame:
     """Items by extension: zip → one item per member path, csv → one JSON object per row,
     xlsx → one JSON object per data row, other → the path itself. ``files(path, content)``."""
 
     def run(batches):
-        import csv
-        import json
+        for pdf in batches:
+            yield from _item_frames((p, io.BytesIO(bytes(c))) for p, c in zip(pdf["path"], pdf["content"]))
 
-        from .tabular import parse_xlsx
+    return files.select("path", "content").mapInPandas(run, ITEM_SCHEMA)
 
-        for pdf in batches:
-            rows = []
-            for p, c in zip(pdf["path"], pdf["content"]):
-                data = bytes(c)
-                ext = posixpath.splitext(p)[1].lower()
-                if ext == ".zip":
-                    with zipfile.ZipFile(io.BytesIO(data)) as zf:
-                        rows += [(p, "zip", i, f"{p}/{n}") for i, n in enumerate(zf.namelist())
-                                 if not n.startswith(MAC_META + "/") and not n.endswith("/")]
-                elif ext == ".csv":
-                    reader = csv.reader(io.StringIO(data.decode("utf-8"), newline=""))
-                    header = next(reader, [])
-                    rows += [(p, "csv", i, json.dumps(dict(zip(header, r)), ensure_ascii=False,
-                                                      separators=(",", ":")))
-                             for i, r in enumerate(reader) if r]
-                elif ext == ".xlsx":
-                    for _, srows in parse_xlsx(data)[:1]:
-                        header = srows[0][1] if srows else []
-                        rows += [(p, "excel", i, json.dumps(dict(zip(header, cells)), ensure_ascii=False,
-                                                            separators=(",", ":")))
-                                 for i, (_, cells) in enumerate(srows[1:])]
-                else:
-                    rows.append((p, "file", 0, p))
-            yield pd.DataFrame(rows, columns=["path", "kind", "item_no", "item"])
-
-    return files.select("path", "content").mapInPandas(run, "path string, kind string, item_no int, item string")
+
+def read_items(spark: SparkSession, paths: list, extensions: tuple) -> DataFrame:
+    """C9 over folders: ``dispatch_items`` of every file below them with one of the extensions (case as given), listed in tasks and
+    read by the task that makes its items, one file at a time. Spark's own file index would hold every file of the folders on
+    the driver, also those of other extensions. As there, empty files and names that start with '.' or '_' are left out."""
+
+    def of(path: str) -> DataFrame:
+        parts = F.split(F.substring("path", len(_prefix(path)) + len(_plain(path).rstrip("/")) + 2, 1 << 30), "/")
+        name = F.element_at(parts, -1)
+        wanted = F.lit(False)
+        for e in extensions:
+            wanted = wanted | name.endswith(e)
+        hidden = F.exists(parts, lambda p: p.startswith("_") & ~p.contains("="))
+        cut = len(_prefix(path))
+
+        def run(batches):
+            fs, _ = _fs(path)
+
+            def opened():
+                for pdf in batches:
+                    for p in pdf["path"]:
+                        with fs.open_input_stream(p[cut:], compression=None) as fh:
+                            yield p, fh
+
+            yield from _item_frames(opened())
+
+        files = _listing(spark, path).where((F.col("length") > 0) & wanted & ~hidden)
+        return files.select("path").repartition(task_slots(spark), "path").mapInPandas(run, ITEM_SCHEMA)
+
+    items = [of(p) for p in paths]
+    return functools.reduce(DataFrame.unionByName, items)
 
 
 TEXT_PIECE = 32 << 20

@@ -161,3 +161,35 @@ def test_staged_contents_never_pass_as_rows(spark, monkeypatch, tmp_path):
     want += [(f"doc_{i}.txt.bz2", f"doc_{i}.txt", t or "") for i, t, _ in docs if i % 6 == 2]
     want += [(f"archive_{i // 50}.zip", f"docs/doc_{i}.txt", t or "") for i, t, _ in docs]
     assert got == sorted(want)
+
+
+def test_items_of_folders_are_listed_and_read_in_tasks(spark, tmp_path, monkeypatch):
+    """The items are those of Spark's own file index, which held every file of the folders on the driver."""
+    from sparkdesk.plans.file_queries import dispatch_items
+    from sparkdesk.sources.tabular import build_xlsx
+
+    top = tmp_path / "top"
+    for folder in ("a b", "_hidden", "_k=1", ".dot", "a b/deep"):
+        (top / folder).mkdir(parents=True)
+        (top / folder / "x.csv").write_text('k,"na\nme"\r\n1,"é, ""q"""\r\n\r\n2\r\n', newline="")
+    with zipfile.ZipFile(top / "a b" / "z.zip", "w") as zf:
+        for name in ("in/", "in/a.txt", "__MACOSX/._a", "b.txt"):
+            zf.writestr(name, "x")
+    (top / "w.xlsx").write_bytes(build_xlsx([("s", [["h", "i"], ["1", ""], ["", "2"]]), ("other", [["h"], ["9"]])]))
+    for name in ("_part.csv", ".x.csv", "UP.CSV", "note.txt", "late.csv._COPYING_"):
+        (top / name).write_text("a\n1\n")
+    (top / "empty.csv").write_text("")
+    (top / "empty.zip").write_text("")
+    (top / "long.csv").write_text("a,b\n" + "".join(f"{i},{'é' * 50}\n" for i in range(3000)))
+    monkeypatch.setattr(filesrc, "PART_BYTES", 20_000)
+    own = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{csv,xlsx,zip}").load(str(top))
+    want = sorted(tuple(r) for r in filesrc.dispatch_items(own).collect())
+    got = filesrc.read_items(spark, [str(top), str(top / "a b")], (".csv", ".xlsx", ".zip"))
+    again = [r for r in want if "/a b/" in r[0]]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want + again) and len(want) > 3000
+
+    spark.createDataFrame([(i, f"s{i % 2}", f"text {i}") for i in range(60)], "doc_id long, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, f"c{i}", "SEG") for i in range(7)], "c_custkey long, c_name string, c_mktsegment string").write.parquet(str(tmp_path / "customer.parquet"))
+    items = dispatch_items(spark, str(tmp_path))
+    assert "binaryFile" not in items._jdf.queryExecution().executedPlan().toString()
+    assert {r.kind: r["count"] for r in items.groupBy("kind").count().collect()} == {"csv": 7, "excel": 7, "zip": 60}
