@@ -19,6 +19,9 @@ from .trigram import previous_places
 BLOCK, RATIO = 8, 1.05
 WIDE, RUNGS = 2, 2  # blocks and rungs that are counted together first
 SCORED = 4  # neighbouring blocks whose runs are scored together
+COARSE = 16  # wide blocks that are counted together before them
+PRESENT = 1 << 20  # texts times trigrams counted against all terms at once
+ENDS = 1 << 18  # places looked at together for the ends of windows
 WINDOWS, TRIPLES = 1 << 12, 1 << 16  # windows in one matrix product, (block, rung, term) counted as bits at once
 LADDER = np.unique(np.floor(RATIO ** np.arange(0, 600)).astype(np.int64))
 
@@ -66,16 +69,21 @@ class Text:
 
     def window_ends(self, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """For every start and size: the first place at which more than that many distinct trigrams are reached."""
-        out = np.empty((len(starts), len(sizes)), np.int64)
-        reach = 2 * int(sizes[-1]) + BLOCK
-        for b, s in enumerate(starts.tolist()):
-            while True:
-                new = np.flatnonzero(self.prev[s:s + reach] < s)
-                if s + reach >= self.n or len(new) > sizes[-1]:
-                    break
-                reach *= 2
-            some = int(np.searchsorted(sizes, len(new)))
-            out[b, :some], out[b, some:] = s + new[sizes[:some]], self.n
+        out = np.full((len(starts), len(sizes)), self.n, np.int64)
+        open_, reach = np.arange(len(starts)), 2 * int(sizes[-1]) + BLOCK
+        while len(open_):
+            width = min(reach, self.n)
+            before = np.lib.stride_tricks.sliding_window_view(np.pad(self.prev, (0, width), constant_values=self.n), width)
+            longer = []
+            for some in np.split(open_, range(step := max(1, ENDS // width), len(open_), step)):
+                s = starts[some]
+                new = before[s] < s[:, None]
+                place, count = np.flatnonzero(new), np.count_nonzero(new, axis=1)
+                at = np.minimum((np.cumsum(count) - count)[:, None] + sizes, max(len(place) - 1, 0))
+                reached = sizes < count[:, None]
+                out[some] = np.where(reached, place[at] - (np.arange(len(some)) * width - s)[:, None], self.n)
+                longer.append(some[~reached[:, -1] & (s + width < self.n)])
+            open_, reach = np.concatenate(longer), reach * 2
         return out
 
 
@@ -117,15 +125,32 @@ class TermBlock:
         number = np.where(known, np.cumsum(known) - 1, -1)
         return at[known], number[text.inverse]
 
-    def windows(self, text: Text, floors: np.ndarray) -> Windows | None:
-        """The text against the terms that share enough of their trigrams with it, with the rungs on which some can reach its floor."""
+    def reaching(self, codes: list[np.ndarray], floors: np.ndarray) -> list[np.ndarray]:
+        """For each text, given by its trigram codes, the terms that share enough of their trigrams with it."""
+        found, step = [], max(1, PRESENT // max(len(self.vocab), 1))
+        for a in range(0, len(codes), step):
+            some = codes[a:a + step]
+            present = np.zeros((len(some), len(self.vocab) + 1), np.float32)  # the last place: trigrams of no term
+            for row, c in zip(present, some, strict=True):
+                at = np.minimum(np.searchsorted(self.vocab, c), len(self.vocab) - 1)
+                row[np.where(self.vocab[at] == c, at, len(self.vocab))] = 1.0
+            enough = present[:, :-1] @ self.has >= floors * self.sizes - 1e-3
+            found += [np.flatnonzero(row) for row in enough]
+        return found
+
+    def windows(self, text: Text, floors: np.ndarray, some: np.ndarray | None = None) -> Windows | None:
+        """The text against the terms (of ``some``) that share enough of their trigrams with it, with the rungs on which some can reach its floor."""
         rows, place = self.rows_of(text)
-        has = self.has[rows]
-        cols = np.flatnonzero(has.sum(axis=0) >= floors * self.sizes - 1e-3)
+        cols = np.arange(len(self.sizes)) if some is None else some
+        has = self.has[np.ix_(rows, cols)]
+        enough = has.sum(axis=0) >= floors[cols] * self.sizes[cols] - 1e-3
+        cols, has = cols[enough], has[:, enough]
         sizes, floors = self.sizes[cols], floors[cols]
+        used = np.append(has.any(axis=1), False)  # trigrams of these terms only
+        has, place = has[used[:-1]], np.where(used[place], np.cumsum(used)[place] - 1, -1)
         ladder = np.stack([LADDER[:-1], LADDER[1:]], axis=1)
         ladder = ladder[(ladder[:, 1] >= (floors * sizes).min(initial=np.inf)) & (ladder[:, 0] <= min((sizes / floors).max(initial=0), len(text.distinct)))]
-        return Windows(text, ladder, place, cols, has[:, cols], sizes, floors) if len(rows) and len(ladder) else None
+        return Windows(text, ladder, place, cols, has, sizes, floors) if len(has) and len(ladder) else None
 
 
 class Windows:
@@ -143,15 +168,32 @@ class Windows:
         self.least[(self.high[:, None] < floors * sizes) | (self.low[:, None] > sizes / floors)] = np.inf
 
     def wide(self):
-        """(groups, wide blocks, ends, counts) in parts: one row for each window of ``WIDE`` blocks and one group of rungs."""
+        """(groups, wide blocks, ends, counts) in parts: one row for each window of ``WIDE`` blocks and one group of rungs, without the
+        windows that lie in one of ``COARSE`` such blocks whose count reaches no term's least."""
         starts = np.arange(0, len(self.present), WIDE)
-        ends = self.text.window_ends(self.text.starts[starts], self.high + WIDE * BLOCK)
+        first = np.arange(0, len(starts), COARSE)
+        ends = self.text.window_ends(self.text.starts[starts[first]], self.high + COARSE * WIDE * BLOCK)
         stop = -(-ends // (WIDE * BLOCK))  # past the last wide block of the window
-        spans = union_spans(np.logical_or.reduceat(self.present, starts, axis=0), int((stop - np.arange(len(starts))[:, None]).max()))
-        total = stop.size
-        for a in range(0, total, WINDOWS):
-            group, block = np.divmod(np.arange(a, min(a + WINDOWS, total)), len(starts))
-            yield group, block, ends[block, group], window_union(spans, block, stop[block, group]).astype(np.float32) @ self.has
+        present = np.zeros((len(starts), len(self.has)), bool)
+        here = np.flatnonzero(self.place >= 0)
+        present[here // (WIDE * BLOCK), self.place[here]] = True
+        spans = union_spans(present, int((stop - first[:, None]).max()))
+        pairs = [np.zeros((2, 0), np.int64)]
+        for a in range(0, stop.size, WINDOWS):
+            group, block = np.divmod(np.arange(a, min(a + WINDOWS, stop.size)), len(first))
+            count = window_union(spans, first[block], stop[block, group]).astype(np.float32) @ self.has
+            pairs.append(np.stack([group, block])[:, (count >= self.least[group]).any(axis=1)])
+        group, block = np.concatenate(pairs, axis=1)
+        group, block = np.repeat(group, COARSE), (block[:, None] * COARSE + np.arange(COARSE)).reshape(-1)
+        group, block = group[block < len(starts)], block[block < len(starts)]
+        if not len(block):
+            return
+        near, number = np.unique(block, return_inverse=True)
+        ends = self.text.window_ends(self.text.starts[starts[near]], self.high + WIDE * BLOCK)
+        stop = -(-ends // (WIDE * BLOCK))
+        for a in range(0, len(group), WINDOWS):
+            g, b, n = group[a:a + WINDOWS], block[a:a + WINDOWS], number[a:a + WINDOWS]
+            yield g, b, ends[n, g], window_union(spans, b, stop[n, g]).astype(np.float32) @ self.has
 
     def bounds(self) -> tuple[np.ndarray, ...]:
         """Runs of neighbouring blocks whose bound reaches the term's floor, by term: (term, first block, bound, where the last window
@@ -238,9 +280,9 @@ def best_in_blocks(text: Text, is_a: np.ndarray, n_a: int, block: int, blocks: i
     return float((shared / (n_a + total - shared)).max())
 
 
-def scores_of(text: Text, terms: TermBlock, floors: np.ndarray) -> dict[int, float]:
+def scores_of(text: Text, terms: TermBlock, floors: np.ndarray, some: np.ndarray | None = None) -> dict[int, float]:
     """term -> the text's word similarity, for the terms whose floor (> 0) it reaches."""
-    windows, out = terms.windows(text, floors), {}
+    windows, out = terms.windows(text, floors, some), {}
     if windows is None:
         return out
     term, block, bound, end = windows.bounds()
@@ -256,9 +298,9 @@ def scores_of(text: Text, terms: TermBlock, floors: np.ndarray) -> dict[int, flo
     return out
 
 
-def guesses_of(text: Text, terms: TermBlock, floors: np.ndarray) -> dict[int, float]:
+def guesses_of(text: Text, terms: TermBlock, floors: np.ndarray, some: np.ndarray | None = None) -> dict[int, float]:
     """term -> a score of one run of the text (so no more than its word similarity), where that reaches the floor (> 0)."""
-    windows, out = terms.windows(text, floors), {}
+    windows, out = terms.windows(text, floors, some), {}
     if windows is None:
         return out
     block, bound, end = windows.best_guess()

@@ -28,9 +28,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from ..functions.quoted_runs import Quotes
 from ..functions.text import score_text
 from ..functions.text_windows import Text, TermBlock, guesses_of, scores_of, trigram_places
 from ..functions.trigram import add_run_similarity, similarity_from_counts, trigram_codes, with_trigram_codes
+from ..functions.trigram_counts import GROUP_CHARS
 from ..session import cut_lineage, fits, fresh_shared_path, spread_small, stored, task_slots
 
 # Defaults of a request.
@@ -248,8 +250,10 @@ def _long_text_scorer(term_blocks, min_pct: float, k: int, guess: bool = False):
             mine = floors.setdefault(n, np.array([max(low, f) for *_, f in terms]))
             for score in (guesses_of, scores_of) if guess else (scores_of,):
                 tops = [[] for _ in terms]
-                for id_, name, text in texts:
-                    for j, best in score(text, block, mine).items():
+                for (id_, name, codes), some in zip(texts, block.reaching([c for *_, c in texts], mine), strict=True):
+                    if not len(some):
+                        continue
+                    for j, best in score(Text(codes), block, mine, some).items():
                         tops[j].append((best, id_, name))
                         if len(tops[j]) >= k:
                             mine[j] = max(mine[j], sorted((s for s, _, _ in tops[j]), reverse=True)[k - 1])
@@ -262,7 +266,7 @@ def _long_text_scorer(term_blocks, min_pct: float, k: int, guess: bool = False):
             for id_, name, text in zip(pdf["id"], pdf["name"], pdf["text"], strict=True):
                 places = trigram_places(text)
                 if len(places):
-                    texts.append((id_, name, Text(places)))
+                    texts.append((id_, name, places))
                     held += len(places)
                 if held > CHUNK_PLACES:
                     yield from scored(texts, floors)
@@ -273,6 +277,29 @@ def _long_text_scorer(term_blocks, min_pct: float, k: int, guess: bool = False):
     return run
 
 
+def _quote_scorer(rows: list, k: int):
+    """Task function: (item_index, raw_score), each term's k best scores of runs that quote it, one for each of the task's texts at most."""
+    import numpy as np
+    import pandas as pd
+
+    rows = [(i, t) for i, t, *_ in rows if i is not None]
+
+    def run(batches):
+        quotes = Quotes([t for _, t in rows])
+        best = [[] for _ in rows]
+        for pdf in batches:
+            if not (texts := [t.lower() for t in pdf["text"] if t]):
+                continue
+            part = np.cumsum([len(t) for t in texts]) // GROUP_CHARS
+            for some in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(part)) + 1):
+                for _, j, score in quotes.scores([texts[i] for i in some.tolist()]):
+                    if len(best[j]) < k or score > best[j][-1]:
+                        best[j] = sorted([*best[j], score], reverse=True)[:k]
+        yield pd.DataFrame([(i, s * 100.0) for (i, _), top in zip(rows, best, strict=True) for s in top], columns=["item_index", "raw_score"])
+
+    return run
+
+
 def _held_terms(rows: list):
     return lambda: (rows[s:s + BLOCK_TERMS] for s in range(0, len(rows), BLOCK_TERMS))
 
@@ -310,13 +337,22 @@ def search_long_texts(entity: DataFrame, id_col: str, text_col: str, items: Data
         source = _held_terms([tuple(r) for r in terms.collect()]) if small else _stored_terms(terms)
         return spread_small(texts, "id").mapInPandas(_long_text_scorer(source, float(min_pct), int(k), guess), "item_index long, id string, name string, raw_score double")
 
-    # a few texts give every term a first floor: the k-th best of some texts is never above the k-th best of all
+    best = Window.partitionBy("item_index").orderBy(F.col("raw_score").desc())
+
+    def with_floors(terms: DataFrame, scores: DataFrame) -> DataFrame:
+        """The k-th best of some scores, one of each text at most, is never above the k-th best of all."""
+        kth = (scores.withColumn("r", F.row_number().over(best)).where(F.col("r") == int(k))
+               .select("item_index", (F.col("raw_score") / 100.0 - 1e-12).alias("more")))
+        return terms.join(kth, "item_index", "left").select("item_index", "term", F.greatest("floor", F.coalesce("more", F.lit(0.0))).alias("floor"))
+
+    # texts that quote a term, then a few texts scored in full, give every term a first floor
+    floored = terms.withColumn("floor", F.lit(0.0))
+    if small:
+        quoting = spread_small(rows, "id").mapInPandas(_quote_scorer([tuple(r) for r in terms.collect()], max(int(k), 1)), "item_index long, raw_score double")
+        floored = cut_lineage(with_floors(floored, quoting))
     share = min(SCOUT_SHARE, SCOUT_ROWS / max(rows.count(), 1))
     scouts = rows.where(F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    best = Window.partitionBy("item_index").orderBy(F.col("raw_score").desc())
-    floors = (search(scouts, terms.withColumn("floor", F.lit(0.0)), guess=True).withColumn("r", F.row_number().over(best)).where(F.col("r") == int(k))
-              .select("item_index", (F.col("raw_score") / 100.0 - 1e-12).alias("floor")))
-    scored = search(rows, terms.join(floors, "item_index", "left").select("item_index", "term", F.coalesce("floor", F.lit(0.0)).alias("floor")))
+    scored = search(rows, with_floors(floored, search(scouts, floored, guess=True)))
     scored = scored.where(F.col("raw_score") > F.lit(float(min_pct))).withColumn("id", F.col("id").cast(kind))
     w = Window.partitionBy("item_index").orderBy(F.col("raw_score").desc(), F.col("id").asc())
     top = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= int(k)).join(terms, "item_index")

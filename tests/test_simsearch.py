@@ -276,3 +276,60 @@ def test_counted_rows_hold_every_best_row(monkeypatch, dense):
     for t in firsts:
         codes, owner = tc.distinct_codes([(t or "").lower()])
         assert sorted(py_trigram_codes(t)) == codes.tolist() and not owner.any()
+
+
+def test_quoted_runs_score_no_more_than_the_text_and_find_quotes():
+    import random
+
+    import numpy as np
+
+    from sparkdesk.functions.quoted_runs import Quotes
+    from sparkdesk.functions.trigram import best_extent_similarity, py_trigram_code_list, py_trigram_codes
+
+    rnd = random.Random(31)
+    words = ["".join(rnd.choice("abcdefghé") for _ in range(rnd.randint(1, 7))) for _ in range(300)]
+    terms = [" ".join(rnd.choices(words, k=n)) for n in (30, 30, 12, 2)] + ["", "same same " * 30]
+    texts = [" ".join(rnd.choices(words, k=80)) for _ in range(6)] + ["", terms[1], "same " * 300]
+    texts += [texts[0] + " " + terms[0] + " " + texts[1], " ".join(terms[0].split()[:20]) + " x", terms[2].upper().lower() + " tail", texts[2] + terms[1]]
+    got = {(i, j): s for i, j, s in Quotes(terms).scores([t.lower() for t in texts])}
+    for (i, j), s in got.items():
+        assert 0 < s <= best_extent_similarity(py_trigram_codes(terms[j]), py_trigram_code_list(texts[i])) + 1e-12
+    assert got[9, 0] == got[7, 1] == got[11, 2] == 1.0 and 0.5 < got[10, 0] < 1.0 and got[12, 1] > 0.9
+    assert Quotes([]).scores(texts) == Quotes(["ab"]).scores(texts) == [] and np.isfinite(list(got.values())).all()
+
+
+def test_floors_of_quoted_terms_leave_out_other_texts(spark, monkeypatch):
+    """Texts that can't reach the k-th best of the texts that quote a term are not searched by windows, from the first one on."""
+    import random
+
+    from sparkdesk.operators import simsearch
+
+    rnd = random.Random(37)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 6))) for _ in range(60)]
+    terms = [" ".join(rnd.choices(words, k=25)) for _ in range(3)]
+    rows = [(i, " ".join(rnd.choices(words, k=60))) for i in range(200)]
+    rows += [(1000 + i, "start " + terms[i % 3] + " end") for i in range(9)]
+    floors = []
+    held = simsearch._held_terms
+    monkeypatch.setattr(simsearch, "_held_terms", lambda rows: floors.append([r[2] for r in rows]) or held(rows))
+    entity = spark.createDataFrame(rows, "id long, text string")
+    items = spark.createDataFrame(list(enumerate(terms)), "item_index int, term string")
+    found = simsearch.search_long_texts(entity, "id", "text", items, min_pct=30.0, k=3).collect()
+    assert sorted((r.item_index, r["rank"], r.id, r.score) for r in found) == [(j, r + 1, 1000 + j + 3 * r, 100.0) for j in range(3) for r in range(3)]
+    assert len(floors) == 2 and all(f > 0.99 for some in floors for f in some)
+
+
+def test_ends_of_windows_equal_a_plain_count():
+    import random
+
+    import numpy as np
+
+    from sparkdesk.functions import text_windows as tw
+
+    rnd = random.Random(41)
+    for n in (1, 30, 400, 3000):
+        codes = np.array([rnd.randrange(rnd.choice([5, 90])) for _ in range(n)])
+        text, sizes = tw.Text(codes), np.array([3, 10, 60])
+        for s, row in zip(text.starts.tolist(), text.window_ends(text.starts, sizes).tolist(), strict=True):
+            for size, end in zip(sizes.tolist(), row, strict=True):
+                assert len(set(codes[s:end].tolist())) <= size and (end == n or len(set(codes[s:end + 1].tolist())) == size + 1)
